@@ -282,7 +282,7 @@ def csv_text_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Whole texts with their line breaks, quotes and blanks."""
     documents, path = _table(spark, sf_dir, "documents"), scratch_path(spark, "csv")
     sinks.write_csv(documents, path, max_records_per_file=100_000)
-    return sources.read_csv(spark, path, documents.schema, multi_line=True)
+    return sources.read_csv(spark, path, documents.schema, multi_line=True, keep_empty=True)
 
 
 def event_csv_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:

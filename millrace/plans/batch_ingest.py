@@ -6,7 +6,7 @@ from collections.abc import Callable
 from dataclasses import dataclass
 from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession, types as T
 
 from millrace import schemas, storage
 from millrace.operators.aggregate import totals_by_key
@@ -22,10 +22,15 @@ LANDED_ORDERS = "orders/orders"
 TRANSFORMED_ORDERS = "orders/orders_transformed.parquet"
 AGGREGATED_ORDERS = "orders/orders_aggregated.parquet"
 
-_LANDING = {
-    "csv": (write_csv, lambda spark, path, schema: read_csv(spark, path, schema)),
-    "parquet": (write_parquet, read_parquet),
-}
+
+
+def _read_landed_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    # Text may hold line breaks; without text columns the files can be split.
+    texts = any(isinstance(f.dataType, T.StringType) for f in schema.fields)
+    return read_csv(spark, path, schema, multi_line=texts, keep_empty=texts)
+
+
+_LANDING = {"csv": (write_csv, _read_landed_csv), "parquet": (write_parquet, read_parquet)}
 
 
 @dataclass(frozen=True)

@@ -38,6 +38,7 @@ def run_csv_etl(
     this_run_only: bool = False,
     schema: T.StructType | str | None = None,
     infer_types: bool = False,
+    multi_line: bool = False,
 ) -> CsvEtlResult:
     """Land the files of ``source``, clean what has been landed, and load the result.
 
@@ -47,13 +48,14 @@ def run_csv_etl(
     scan. Paths are handed on as values and whole folders are read.
     """
     run_ts = run_ts or datetime.now(timezone.utc)
-    landed = land_raw_csv(spark, source, raw_root, name, run_ts)
-    raw = read_csv(spark, landed if this_run_only else f"{raw_root.rstrip('/')}/*.csv", trim=True)
+    landed = land_raw_csv(spark, source, raw_root, name, run_ts, multi_line)
+    to_read = landed if this_run_only else f"{raw_root.rstrip('/')}/*.csv"
+    raw = read_csv(spark, to_read, multi_line=multi_line, trim=True)
     transformed = write_run_csv(
         clean_csv(raw, names or {}, not_null), transformed_root, f"{name}_transformed", run_ts
     )
     if load is not None:
-        frame = read_csv(spark, transformed, schema=schema, infer_types=infer_types)
+        frame = read_csv(spark, transformed, schema, infer_types, multi_line)
         if callable(load):
             load(frame)
         else:

@@ -47,7 +47,8 @@ def _writer(
 def write_csv(df: DataFrame, path: str, max_records_per_file: int | None = None) -> None:
     """CSV files with a header each, replacing what is at ``path``.
 
-    An empty cell is a null and a quoted empty cell an empty text, as ``read_csv`` takes them.
+    A null is an empty cell, an empty text a quoted one: ``read_csv`` with ``keep_empty`` gives
+    both back. Line breaks are kept inside quotes: such files need ``multi_line``.
     """
     _writer(df, "csv", max_records_per_file=max_records_per_file).save(path)
 
@@ -93,7 +94,10 @@ def land_raw_csv(
     has the header of its own. Returns the path.
     """
     raw = read_csv(spark, source, multi_line=multi_line, trim=True)
-    return write_run_csv(raw, root, name, run_ts)
+    path = run_path(root, name, run_ts)
+    # In quotes, blanks that belong to a cell survive a reader that trims.
+    _writer(raw, "csv").option("quoteAll", True).save(path)
+    return path
 
 
 def publish(df: DataFrame, key: str, file_format: str = "parquet") -> str:
@@ -132,10 +136,11 @@ def publish_single_file(
         folder = staging
         if len(parts) != 1:
             folder = f"{key.rstrip('/')}.merged"
-            reader = spark.read.format(file_format).schema(df.schema)
             if file_format == "csv":
-                reader = reader.options(**CSV_DIALECT).option("multiLine", True)
-            _writer(reader.load(staging).coalesce(1), file_format).save(folder)
+                staged = read_csv(spark, staging, df.schema, multi_line=True, keep_empty=True)
+            else:
+                staged = spark.read.schema(df.schema).format(file_format).load(staging)
+            _writer(staged.coalesce(1), file_format).save(folder)
             parts = storage.part_files(spark, folder, limit=2)
         if len(parts) != 1:
             raise FileNotFoundError(f"{key}: expected one part file, found {len(parts)}")

@@ -17,7 +17,7 @@ def read_csv(
     infer_types: bool = False,
     multi_line: bool = False,
     trim: bool = False,
-    null_value: str | None = None,
+    keep_empty: bool = False,
 ) -> DataFrame:
     """Read CSV files with a header row.
 
@@ -28,12 +28,16 @@ def read_csv(
     ``multi_line`` allows line breaks inside cells. Spark then reads each file in one task, so
     it is off unless asked for. ``trim`` drops blanks before a cell, which is needed for files
     that put a blank between comma and quote (``"A", "1958"``).
+
+    An empty cell is a null, in quotes or not. ``keep_empty`` reads one in quotes as an empty
+    text, which is how ``write_csv`` writes it.
     """
     reader = spark.read.options(**CSV_DIALECT).option("multiLine", multi_line)
     if trim:
         reader = reader.option("ignoreLeadingWhiteSpace", True)
-    if null_value is not None:
-        reader = reader.option("nullValue", null_value)
+    if keep_empty:
+        # Cells without quotes get this value and so become null; a quoted one stays "".
+        reader = reader.option("nullValue", "\0")
     if schema is not None:
         reader = reader.schema(schema).option("mode", "FAILFAST").option("enforceSchema", False)
     elif infer_types:

@@ -1,0 +1,56 @@
+from decimal import Decimal
+
+import pytest
+from pyspark.sql import functions as F
+
+from millrace import schemas
+from millrace.operators import key_counts, reduce_by_key, stage_row_counts, totals_by_key
+
+SEED = [(1, 1, "100.50"), (2, 2, "250.00"), (3, 3, "75.25"), (4, 4, "500.75"), (5, 5, "13.00")]
+
+
+def test_one_order_per_customer(spark):
+    rows = [(i, c, Decimal(a)) for i, c, a in SEED]
+    df = spark.createDataFrame(rows, "order_id int, customer_id bigint, amount decimal(10,2)")
+    out = totals_by_key(df)
+    assert out.schema.simpleString() == schemas.CUSTOMER_TOTALS.simpleString()
+    assert {tuple(r) for r in out.collect()} == {(c, float(a), float(a), 1) for _, c, a in SEED}
+    grand = out.agg(F.sum("total_spent"), F.avg("avg_order_amount")).first()
+    assert tuple(grand) == (939.5, 187.9)
+
+
+def test_doubles_keep_their_decimals_unless_a_type_is_given(spark):
+    df = spark.createDataFrame([(1, 1, 0.125), (2, 1, 0.25)], "order_id int, customer_id int, amount double")
+    assert totals_by_key(df).first()["total_spent"] == 0.375
+    assert totals_by_key(df, amount_type="decimal(12,2)").first()["total_spent"] == 0.38
+
+
+def test_amounts_all_missing_and_empty_input(spark):
+    schema = "order_id int, customer_id int, amount decimal(10,2)"
+    df = spark.createDataFrame([(1, 1, None), (None, 1, None)], schema)
+    assert [tuple(r) for r in totals_by_key(df).collect()] == [(1, None, None, 1)]
+    assert totals_by_key(df.filter("false")).collect() == []
+
+
+@pytest.mark.parametrize("how,expected", [("sum", 6), ("min", 1), ("max", 3)])
+def test_reduce_by_key(spark, how, expected):
+    df = spark.createDataFrame([("a", 1), ("a", 2), ("a", 3)], "k string, v int")
+    assert [tuple(r) for r in reduce_by_key(df, ["k"], "v", how).collect()] == [("a", expected)]
+
+
+def test_counts(spark):
+    df = spark.createDataFrame([("a",), ("a",), (None,)], "k string")
+    assert {tuple(r) for r in key_counts(df, ["k"]).collect()} == {("a", 2), (None, 1)}
+    assert {tuple(r) for r in stage_row_counts({"x": df, "y": df.limit(1)}).collect()} == {
+        ("x", 3),
+        ("y", 1),
+    }
+
+
+def test_aggregates_are_combined_before_the_shuffle(spark, plan_of):
+    df = spark.range(10).selectExpr(
+        "id as order_id", "id % 2 as customer_id", "cast(id as decimal(10,2)) as amount"
+    )
+    plan = plan_of(totals_by_key(df))
+    assert "partial_sum" in plan and plan.count("Exchange hashpartitioning") == 1
+    assert "SortAggregate" not in plan

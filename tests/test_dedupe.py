@@ -1,0 +1,113 @@
+import random
+from datetime import datetime
+
+import pytest
+from hypothesis import HealthCheck, given, settings, strategies as st
+from pyspark.sql import functions as F
+
+from millrace.operators import dedupe, dedupe_any, fill_defaults, totals_by_key
+
+T1, T2 = datetime(2024, 1, 1), datetime(2024, 1, 2)
+SCHEMA = "order_id int, customer_id int, amount double, order_date timestamp"
+NAN = float("nan")
+EDGE_ROWS = [
+    (7, 1, 5.0, T1),
+    (7, 1, 9.0, T2),
+    (None, 1, 1.0, T1),
+    (None, 1, 2.0, T2),
+    (8, 2, None, T1),
+    (9, 2, NAN, T1),
+    (10, None, 3.0, T1),
+]
+
+
+@pytest.mark.parametrize("partitions", [1, 3, 7])
+def test_edge_rows_through_dedupe_fill_and_totals(spark, partitions):
+    rows = EDGE_ROWS[:]
+    random.Random(partitions).shuffle(rows)
+    df = spark.createDataFrame(rows, SCHEMA).repartition(partitions)
+    unique = dedupe(df, ["order_id"], order_by=["order_date"])
+    totals = totals_by_key(fill_defaults(unique, {"amount": 0.0}), amount_type="decimal(12,2)")
+    assert {tuple(r) for r in totals.collect()} == {
+        (1, 6.0, 3.0, 1),
+        (2, 0.0, 0.0, 2),
+        (None, 3.0, 3.0, 1),
+    }
+
+
+def test_ties_fall_to_the_other_columns_nulls_first(spark):
+    df = spark.createDataFrame([(1, 5, 2.0, T1), (1, 4, 9.0, T1), (1, None, 9.5, T1)], SCHEMA)
+    assert dedupe(df, ["order_id"], ["order_date"]).first()["amount"] == 9.5
+    assert dedupe(df, ["order_id"], ["order_date"], keep="last").first()["customer_id"] == 5
+
+
+def test_column_order_and_types_stay(spark):
+    df = spark.createDataFrame([(1, 2, 3.0, T1)], SCHEMA).select("amount", "order_id", "order_date")
+    out = dedupe(df, ["order_id"])
+    assert out.dtypes == df.dtypes
+
+
+def test_columns_without_an_order_ride_along(spark):
+    df = spark.sql(
+        "select 1 as id, 2 as at, map('a', 1) as m union all select 1, 1, map('b', 2)"
+    )
+    row = dedupe(df, ["id"], ["at"]).first()
+    assert (row["at"], row["m"]) == (1, {"b": 2})
+    only_maps = df.select("id", "m")
+    assert dedupe(only_maps, ["id"]).count() == 1
+
+
+def test_odd_column_names(spark):
+    df = spark.createDataFrame([(1, 2), (1, 1)], "`a.b` int, `1958` int")
+    assert [tuple(r) for r in dedupe(df, ["a.b"]).collect()] == [(1, 1)]
+
+
+def test_keys_only(spark):
+    df = spark.createDataFrame([(1,), (1,), (None,), (None,)], "id int")
+    assert sorted(dedupe(df, ["id"]).collect(), key=str) == [(1,), (None,)]
+    assert dedupe_any(df, ["id"]).count() == 2
+
+
+def test_refuses_unknown_columns(spark):
+    with pytest.raises(ValueError):
+        dedupe(spark.range(1), ["nope"])
+    with pytest.raises(ValueError):
+        dedupe(spark.range(1), ["id"], keep="any")
+
+
+rows = st.lists(
+    st.tuples(
+        st.one_of(st.none(), st.integers(0, 4)),
+        st.one_of(st.none(), st.integers(0, 3)),
+        st.one_of(st.none(), st.floats(allow_nan=True, width=32)),
+    ),
+    max_size=30,
+)
+
+
+@given(rows, st.integers(1, 6), st.randoms(use_true_random=False))
+@settings(max_examples=15, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+def test_partitioning_and_order_do_not_matter(spark, rows, partitions, rnd):
+    schema = "id int, at int, v double"
+    shuffled = rows[:]
+    rnd.shuffle(shuffled)
+    one = dedupe(spark.createDataFrame(rows, schema).coalesce(1), ["id"], ["at"])
+    other = dedupe(spark.createDataFrame(shuffled, schema).repartition(partitions), ["id"], ["at"])
+    as_text = lambda df: sorted(map(str, df.collect()))
+    assert as_text(one) == as_text(other)
+    assert as_text(dedupe(one, ["id"], ["at"])) == as_text(one)
+    assert len(as_text(one)) == len({r[0] for r in rows})
+
+
+def test_hot_key_is_reduced_before_the_shuffle(spark, plan_of):
+    """A key with a third of all rows: each task may send one row of it at most."""
+    df = spark.range(0, 90_000, 1, 9).select(
+        F.when(F.col("id") % 3 == 0, F.lit(-1)).otherwise(F.col("id")).alias("key"), "id"
+    )
+    out = dedupe(df, ["key"], ["id"])
+    plan = plan_of(out)
+    partial = plan.index("partial_min")
+    assert plan.index("Exchange hashpartitioning") < partial, "the partial step must lie below"
+    assert "Window" not in plan
+    assert out.count() == 60_001
+    assert out.filter("key = -1").first()["id"] == 0

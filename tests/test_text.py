@@ -1,0 +1,68 @@
+import pytest
+from hypothesis import HealthCheck, given, settings, strategies as st
+from pyspark.sql import functions as F
+
+from millrace.operators import split_words, word_count, words
+from millrace.sources import from_lines
+
+# One text, and the same as lines, with other case: the count must tell Hello from hello.
+TEXT = "Hello River Hello Lake Hello Sea Hello Pond and Hello Brook"
+
+
+def counts(df, **options):
+    return {r["word"]: r["n"] for r in word_count(df, "line", **options).collect()}
+
+
+def test_one_text(spark):
+    assert counts(from_lines(spark, [TEXT])) == {
+        "Hello": 5, "River": 1, "Lake": 1, "Sea": 1, "Pond": 1, "and": 1, "Brook": 1,
+    }
+
+
+def test_words_and_lines_give_the_same_counts(spark):
+    assert counts(from_lines(spark, TEXT.split(" "))) == counts(from_lines(spark, [TEXT]))
+
+
+def test_case_matters(spark):
+    assert counts(from_lines(spark, ["Hello hello", "Hello"])) == {"Hello": 2, "hello": 1}
+
+
+@pytest.mark.parametrize(
+    "text,kept,dropped",
+    [
+        ("a  b ", ["a", "", "b", ""], ["a", "", "b"]),
+        ("a\nb", ["a\nb"], ["a\nb"]),
+        ("", [""], [""]),
+        ("  ", ["", "", ""], []),
+        (" a", ["", "a"], ["", "a"]),
+        ("a\t ", ["a\t", ""], ["a\t"]),
+    ],
+)
+def test_empty_words(spark, text, kept, dropped):
+    df = from_lines(spark, [text])
+    assert [r[0] for r in words(df, "line").collect()] == kept
+    assert [r[0] for r in words(df, "line", trailing_empty=False).collect()] == dropped
+
+
+def test_null_text_has_no_words(spark):
+    df = spark.createDataFrame([(None,)], "line string")
+    assert words(df, "line").count() == 0
+    assert words(df, "line", trailing_empty=False).count() == 0
+
+
+@given(st.lists(st.text(alphabet=" ab\n\tÉ", max_size=12), max_size=10))
+@settings(max_examples=15, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+def test_total_equals_the_number_of_tokens(spark, lines):
+    df = from_lines(spark, lines)
+    expected = {}
+    for line in lines:
+        for word in line.split(" "):
+            expected[word] = expected.get(word, 0) + 1
+    assert counts(df) == expected
+
+
+def test_no_python_in_the_plan(spark, plan_of):
+    df = spark.range(5).select(F.lit(TEXT).alias("line"))
+    plan = plan_of(word_count(df, "line"))
+    assert "Python" not in plan and "partial_count" in plan
+    assert df.select(split_words(F.col("line")).alias("w")).first()["w"] == TEXT.split(" ")
