@@ -19,6 +19,7 @@ from millrace.operators import (
     ORDER_RULES,
     ColumnRule,
     dedupe,
+    dedupe_sparse,
     default_time,
     failure_cases,
     failure_summary,
@@ -125,6 +126,12 @@ def events_latest_per_user(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedupe(_table(spark, sf_dir, "events"), ["user_id"], order_by=["ts"], keep="last")
 
 
+def documents_dedupe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One document per language and length; few share both, so most are not shuffled."""
+    documents = _table(spark, sf_dir, "documents")
+    return dedupe_sparse(documents, ["lang", "n_chars"], order_by=["doc_id"])
+
+
 def lineitem_reduce(spark: SparkSession, sf_dir: str) -> DataFrame:
     items = _table(spark, sf_dir, "lineitem")
     largest = reduce_by_key(items, ["l_suppkey"], "l_quantity", "max", alias="value")
@@ -417,7 +424,7 @@ def event_batch_publish(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- whole flows ---------------------------------------------------------------------------
 
 
-def _ingest(spark: SparkSession, sf_dir: str, landing_format: str):
+def _ingest(spark: SparkSession, sf_dir: str, landing_format: str, rare_repeats: bool = False):
     root, table = scratch_path(spark, "ingest"), _new_table("ingested")
     # Every fourth order comes twice, the second time a day later and at another price.
     orders = _source_orders(spark, sf_dir)
@@ -435,6 +442,7 @@ def _ingest(spark: SparkSession, sf_dir: str, landing_format: str):
         f"{root}/table",
         RUN_TS,
         landing_format,
+        rare_repeats,
     )
 
 
@@ -443,7 +451,7 @@ def batch_ingest_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def batch_ingest_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return sources.read_parquet(spark, _ingest(spark, sf_dir, "parquet").aggregated_path)
+    return sources.read_parquet(spark, _ingest(spark, sf_dir, "parquet", True).aggregated_path)
 
 
 def batch_ingest_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -490,6 +498,7 @@ _QUERIES: tuple[Query, ...] = (
     lineitem_totals,
     lineitem_dedupe,
     events_latest_per_user,
+    documents_dedupe,
     lineitem_reduce,
     event_type_counts,
     fill_default,
@@ -628,6 +637,12 @@ def oracle_sql() -> dict[str, str]:
                 FROM events)
             WHERE rn = 1
         """,
+        "documents_dedupe": """
+            SELECT * EXCLUDE (rn) FROM (
+                SELECT *, row_number() OVER (PARTITION BY lang, n_chars ORDER BY doc_id) AS rn
+                FROM documents)
+            WHERE rn = 1
+        """,
         "lineitem_reduce": """
             SELECT l_suppkey, max(l_quantity) AS value, 'max' AS how FROM lineitem GROUP BY 1
             UNION ALL

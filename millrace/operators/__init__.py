@@ -1,5 +1,5 @@
 from millrace.operators.aggregate import key_counts, reduce_by_key, totals_by_key
-from millrace.operators.dedupe import dedupe, dedupe_any
+from millrace.operators.dedupe import dedupe, dedupe_any, dedupe_sparse
 from millrace.operators.metrics import stage_row_counts
 from millrace.operators.project import (
     default_time,
@@ -33,6 +33,7 @@ __all__ = [
     "Violation",
     "dedupe",
     "dedupe_any",
+    "dedupe_sparse",
     "default_time",
     "failure_cases",
     "failure_summary",

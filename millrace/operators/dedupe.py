@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import functools
+import operator
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import DataFrame, Observation, functions as F, types as T
 
 from millrace.functions import quoted
+from millrace.session import scratch_path
 
 
 def _orderable(data_type: T.DataType) -> bool:
@@ -62,6 +65,56 @@ def dedupe(
     )
 
 
+def dedupe_sparse(
+    df: DataFrame,
+    keys: Sequence[str],
+    order_by: Sequence[str] = (),
+    keep: str = "first",
+    max_repeated_keys: int = 2_000_000,
+    max_repeated_share: float = 0.25,
+) -> DataFrame:
+    """The rows of ``dedupe``, without shuffling rows whose key occurs once.
+
+    First only the keys are counted, which reads and shuffles nothing but the key columns. The
+    keys that repeat are written to the shared scratch folder. If there are few enough of them
+    to broadcast and they hold a small share of the rows, all other rows go straight from the
+    scan to the output, and just the rows of repeated keys are shuffled. Otherwise this is a
+    plain ``dedupe``.
+
+    Use it on columnar files with rows much wider than their keys: ``df`` is read up to three
+    times, the first time the keys only, and must give the same rows each time. The keys are
+    counted at once, not when the result is used.
+    """
+    spark = df.sparkSession
+    path = scratch_path(spark, "repeated_keys")
+    columns = [quoted(k) for k in keys]
+    n = F.col("__n")
+    found = Observation()
+    counted = df.groupBy(*columns).agg(F.count(F.lit(1)).alias("__n"))
+    counted.observe(
+        found,
+        F.coalesce(F.sum(n), F.lit(0)).alias("rows"),
+        F.count_if(n > 1).alias("repeated_keys"),
+        F.coalesce(F.sum(F.when(n > 1, n)), F.lit(0)).alias("repeated_rows"),
+    ).filter(n > 1).drop("__n").write.mode("overwrite").parquet(path)
+    counts = found.get
+    if counts["repeated_keys"] == 0:
+        return df
+    if (
+        counts["repeated_keys"] > max_repeated_keys
+        or counts["repeated_rows"] > max_repeated_share * counts["rows"]
+    ):
+        return dedupe(df, keys, order_by, keep)
+
+    known = spark.read.parquet(path).toDF(*[f"__k{i}" for i in range(len(keys))])
+    same_key = functools.reduce(
+        operator.and_, [c.eqNullSafe(F.col(f"__k{i}")) for i, c in enumerate(columns)]
+    )
+    once = df.join(F.broadcast(known), same_key, "left_anti")
+    many = df.join(F.broadcast(known), same_key, "left_semi")
+    return once.unionByName(dedupe(many, keys, order_by, keep))
+
+
 def dedupe_any(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Keep one row per key, whichever comes first. Use it when the choice does not matter."""
     return df.dropDuplicates(list(keys))

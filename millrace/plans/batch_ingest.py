@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, types as T
 
 from millrace import schemas, storage
 from millrace.operators.aggregate import totals_by_key
-from millrace.operators.dedupe import dedupe
+from millrace.operators.dedupe import dedupe, dedupe_sparse
 from millrace.operators.project import fill_defaults, stamp
 from millrace.operators.quality import ORDER_RULES, watch
 from millrace.sinks.files import publish, write_csv, write_parquet
@@ -43,9 +43,15 @@ class BatchIngestResult:
     transformed_rows: int
 
 
-def transform_orders(orders: DataFrame, run_ts: datetime | None = None) -> DataFrame:
-    """Drop repeated orders, then fill missing amounts, then stamp the run."""
-    unique = dedupe(orders, ["order_id"], order_by=["order_date"])
+def transform_orders(
+    orders: DataFrame, run_ts: datetime | None = None, rare_repeats: bool = False
+) -> DataFrame:
+    """Drop repeated orders, then fill missing amounts, then stamp the run.
+
+    ``rare_repeats`` picks ``dedupe_sparse``, for orders read from columnar files.
+    """
+    drop_repeats = dedupe_sparse if rare_repeats else dedupe
+    unique = drop_repeats(orders, ["order_id"], order_by=["order_date"])
     return stamp(fill_defaults(unique, {"amount": 0.0}), run_ts=run_ts)
 
 
@@ -57,6 +63,7 @@ def run_batch_ingest(
     table_location: str | None = None,
     run_ts: datetime | None = None,
     landing_format: str = "csv",
+    rare_repeats: bool = False,
 ) -> BatchIngestResult:
     """Run the whole flow on an orders frame, such as a JDBC or catalog table.
 
@@ -67,7 +74,8 @@ def run_batch_ingest(
 
     ``load`` is the name of a catalog table, with ``table_location`` for its files, or a
     function that takes the transformed frame. ``landing_format`` is ``csv``, or ``parquet``
-    for large tables, where parsing text again would cost more than the transform.
+    for large tables, where parsing text again would cost more than the transform. Add
+    ``rare_repeats`` there if few orders come twice: the others are then not shuffled.
     """
     spark = orders.sparkSession
     run_ts = run_ts or datetime.now(timezone.utc)
@@ -87,7 +95,7 @@ def run_batch_ingest(
 
     transformed = f"{processed_root}/{TRANSFORMED_ORDERS}"
     observed, transform = watch(
-        transform_orders(read_landing(spark, landed, orders.schema), run_ts)
+        transform_orders(read_landing(spark, landed, orders.schema), run_ts, rare_repeats)
     )
     schema = observed.schema
     publish(observed, transformed)

@@ -20,13 +20,30 @@ SESSION_DEFAULTS = {
 }
 
 
-def build_session(app_name: str, conf: Mapping[str, str] | None = None) -> SparkSession:
+SHUFFLE_PARTITION_BYTES = 128 * 1024 * 1024
+
+
+def shuffle_partitions(shuffle_bytes: int) -> int:
+    """How many partitions keep a shuffle of this size at about 128 MB each.
+
+    Too many cost little, as adaptive execution joins small ones; too few spill.
+    """
+    return max(200, -(-shuffle_bytes // SHUFFLE_PARTITION_BYTES))
+
+
+def build_session(
+    app_name: str, conf: Mapping[str, str] | None = None, shuffle_bytes: int | None = None
+) -> SparkSession:
     """A session with the library's settings.
 
-    The master and executor sizes belong to ``spark-submit`` and are never set here.
+    ``shuffle_bytes`` is the size of the largest shuffle to expect, about that of the table to
+    de-duplicate. The master and executor sizes belong to ``spark-submit`` and are never set here.
     """
+    settings = {**SESSION_DEFAULTS, **(conf or {})}
+    if shuffle_bytes is not None:
+        settings["spark.sql.shuffle.partitions"] = str(shuffle_partitions(shuffle_bytes))
     builder = SparkSession.builder.appName(app_name)
-    for key, value in {**SESSION_DEFAULTS, **(conf or {})}.items():
+    for key, value in settings.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
 

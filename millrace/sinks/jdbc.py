@@ -57,15 +57,17 @@ def _stage(
 
 
 def _run(
-    connect: Callable[[], Any], statements: Sequence[str], staging: str, expected: int
+    connect: Callable[[], Any], statements: Sequence[str], table: str, staging: str, expected: int
 ) -> None:
     connection = connect()
     try:
         cursor = connection.cursor()
         for statement in statements:
             cursor.execute(statement)
-        if cursor.rowcount not in (expected, -1):
-            raise RuntimeError(f"{cursor.rowcount} rows arrived, {expected} were sent")
+        cursor.execute(f"SELECT COUNT(*) FROM {table}")
+        arrived = cursor.fetchone()[0]
+        if arrived != expected:
+            raise RuntimeError(f"{arrived} rows arrived, {expected} were sent")
         connection.commit()
         cursor.execute(f"DROP TABLE {staging}")
         connection.commit()
@@ -95,7 +97,7 @@ def load_jdbc_table(
     expected = df.count()  # from the file footers
     staging = f"{table}__staging"
     _stage(df, database, staging, batch_size, connections)
-    _run(connect, swap_statements(table, staging, schema), staging, expected)
+    _run(connect, swap_statements(table, staging, schema), table, staging, expected)
     return expected
 
 
@@ -108,10 +110,13 @@ def replace_jdbc_table(
     batch_size: int = 10_000,
     connections: int = 32,
 ) -> int:
-    """Replace a table by a Parquet dataset, with the dataset's own columns."""
+    """Replace a table by a Parquet dataset, with the dataset's own columns.
+
+    Databases that commit on DDL (MySQL) show no table for the moment of the swap.
+    """
     df = spark.read.parquet(parquet_path)
     expected = df.count()
     staging = f"{table}__staging"
     _stage(df, database, staging, batch_size, connections)
-    _run(connect, replace_statements(table, staging, df.columns), staging, expected)
+    _run(connect, replace_statements(table, staging, df.columns), table, staging, expected)
     return expected

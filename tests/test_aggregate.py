@@ -1,6 +1,7 @@
 from decimal import Decimal
 
 import pytest
+from hypothesis import given, settings, strategies as st
 from pyspark.sql import functions as F
 
 from millrace import schemas
@@ -32,6 +33,31 @@ def test_amounts_all_missing_and_empty_input(spark):
     assert totals_by_key(df.filter("false")).collect() == []
 
 
+@given(
+    st.lists(
+        st.one_of(st.none(), st.decimals(-9_999_999_999, 9_999_999_999, places=2, allow_nan=False)), max_size=40
+    )
+)
+@settings(max_examples=20, deadline=None)
+def test_split_sum_is_exact(spark, amounts):
+    df = spark.createDataFrame([(1, 1, a) for a in amounts], "order_id int, customer_id int, amount decimal(12,2)")
+    present = [a for a in amounts if a is not None]
+    if present:
+        total = float(sum(present))
+        expected = [(1, total, total / len(present), len(amounts))]
+    else:
+        expected = [(1, None, None, len(amounts))] if amounts else []
+    assert [tuple(r) for r in totals_by_key(df).collect()] == expected
+
+
+@pytest.mark.parametrize("decimal_type", ["decimal(5,0)", "decimal(12,12)", "decimal(38,4)", "decimal(18,2)"])
+def test_sums_of_any_decimal(spark, decimal_type):
+    df = spark.sql(f"select 1 as order_id, 1 as customer_id, cast(x as {decimal_type}) as amount "
+                   "from values (0.75), (-0.5), (null) as t(x)")
+    expected = df.agg(F.sum("amount").cast("double")).first()[0]
+    assert totals_by_key(df).first()["total_spent"] == expected
+
+
 @pytest.mark.parametrize("how,expected", [("sum", 6), ("min", 1), ("max", 3)])
 def test_reduce_by_key(spark, how, expected):
     df = spark.createDataFrame([("a", 1), ("a", 2), ("a", 3)], "k string, v int")

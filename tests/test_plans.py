@@ -38,10 +38,13 @@ def ingest(spark, folder, rows, name=None, **options):
     )
 
 
-@pytest.mark.parametrize("landing_format", ["csv", "parquet"])
-def test_batch_ingest(spark, folder, name, landing_format):
+@pytest.mark.parametrize(
+    "options",
+    [{}, {"landing_format": "parquet"}, {"landing_format": "parquet", "rare_repeats": True}],
+)
+def test_batch_ingest(spark, folder, name, options):
     rows = [*SEED, (5, 5, Decimal("99.00"), T2)]
-    result = ingest(spark, folder, rows, name, landing_format=landing_format)
+    result = ingest(spark, folder, rows, name, **options)
     assert (result.landed_rows, result.transformed_rows) == (6, 5)
     assert sorted(map(tuple, read_table(spark, name).collect())) == [
         (i, c, a, RUN_TS) for i, c, a, _ in SEED

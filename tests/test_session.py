@@ -1,7 +1,7 @@
 import pytest
 
 from millrace import scratch_path
-from millrace.session import SESSION_DEFAULTS, scratch_root
+from millrace.session import SESSION_DEFAULTS, scratch_root, shuffle_partitions
 
 
 class FakeSession:
@@ -35,3 +35,8 @@ def test_paths_are_new_each_time(spark):
 
 def test_defaults_leave_the_cluster_alone():
     assert not [k for k in SESSION_DEFAULTS if "master" in k or "memory" in k or "cores" in k]
+
+
+def test_shuffle_partitions_grow_with_the_data():
+    assert shuffle_partitions(0) == 200
+    assert shuffle_partitions(100 * 2**40) == 819_200
