@@ -6,7 +6,7 @@ import functools
 import operator
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Observation, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Observation, functions as F, types as T
 
 from millrace.functions import quoted
 from millrace.session import scratch_path
@@ -65,21 +65,35 @@ def dedupe(
     )
 
 
+def _key_bytes(df: DataFrame, keys: Sequence[str]) -> Column:
+    """About the memory one key takes in a broadcast table."""
+    size = F.lit(32)
+    for name in keys:
+        data_type = df.schema[name].dataType
+        if isinstance(data_type, (T.StringType, T.BinaryType)):
+            size = size + F.lit(16) + F.coalesce(F.octet_length(quoted(name)), F.lit(0))
+        elif isinstance(data_type, (T.ArrayType, T.StructType)):
+            size = size + F.lit(16) + F.length(F.to_json(F.struct(quoted(name))))
+        else:
+            size = size + F.lit(16)
+    return size.cast("bigint")
+
+
 def dedupe_sparse(
     df: DataFrame,
     keys: Sequence[str],
     order_by: Sequence[str] = (),
     keep: str = "first",
-    max_repeated_keys: int = 2_000_000,
+    max_broadcast_bytes: int = 128 * 1024 * 1024,
     max_repeated_share: float = 0.25,
 ) -> DataFrame:
     """The rows of ``dedupe``, without shuffling rows whose key occurs once.
 
     First only the keys are counted, which reads and shuffles nothing but the key columns. The
-    keys that repeat are written to the shared scratch folder. If there are few enough of them
-    to broadcast and they hold a small share of the rows, all other rows go straight from the
-    scan to the output, and just the rows of repeated keys are shuffled. Otherwise this is a
-    plain ``dedupe``.
+    keys that repeat are written to the shared scratch folder and their size is measured. If it
+    is within ``max_broadcast_bytes`` and they hold a small share of the rows, all other rows go
+    straight from the scan to the output, and just the rows of repeated keys are shuffled.
+    Otherwise this is a plain ``dedupe``.
 
     Use it on columnar files with rows much wider than their keys: ``df`` is read up to three
     times, the first time the keys only, and must give the same rows each time. The keys are
@@ -94,14 +108,14 @@ def dedupe_sparse(
     counted.observe(
         found,
         F.coalesce(F.sum(n), F.lit(0)).alias("rows"),
-        F.count_if(n > 1).alias("repeated_keys"),
         F.coalesce(F.sum(F.when(n > 1, n)), F.lit(0)).alias("repeated_rows"),
+        F.coalesce(F.sum(F.when(n > 1, _key_bytes(df, keys))), F.lit(0)).alias("key_bytes"),
     ).filter(n > 1).drop("__n").write.mode("overwrite").parquet(path)
     counts = found.get
-    if counts["repeated_keys"] == 0:
+    if counts["repeated_rows"] == 0:
         return df
     if (
-        counts["repeated_keys"] > max_repeated_keys
+        counts["key_bytes"] > max_broadcast_bytes
         or counts["repeated_rows"] > max_repeated_share * counts["rows"]
     ):
         return dedupe(df, keys, order_by, keep)

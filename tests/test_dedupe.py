@@ -142,7 +142,7 @@ def test_sparse_dedupe_leaves_unique_rows_alone(spark, folder):
     assert dedupe_sparse(df.filter("false"), ["id"]).count() == 0
 
 
-@pytest.mark.parametrize("bounds", [{"max_repeated_keys": 1}, {"max_repeated_share": 0.01}])
+@pytest.mark.parametrize("bounds", [{"max_broadcast_bytes": 50}, {"max_repeated_share": 0.01}])
 def test_sparse_dedupe_broadcasts_nothing_beyond_its_bounds(spark, folder, plan_of, bounds):
     spark.createDataFrame(_sparse_rows(), SPARSE_SCHEMA).write.parquet(f"{folder}/in")
     df = spark.read.parquet(f"{folder}/in")
