@@ -13,7 +13,7 @@ from millrace.operators.aggregate import totals_by_key
 from millrace.operators.dedupe import dedupe, dedupe_sparse
 from millrace.operators.project import fill_defaults, stamp
 from millrace.operators.quality import ORDER_RULES, watch
-from millrace.sinks.files import publish, write_csv, write_parquet
+from millrace.sinks.files import publish, run_path, write_csv, write_parquet
 from millrace.sinks.tables import load_table
 from millrace.sources.files import read_csv, read_parquet
 
@@ -68,7 +68,8 @@ def run_batch_ingest(
     """Run the whole flow on an orders frame, such as a JDBC or catalog table.
 
     The source is read once: its rules are counted while it is landed, and only a landing
-    without violations takes the place of the last one. Each later step starts from files,
+    without violations takes the place of the last one. (On an object store, where that move
+    would copy all data, it gets a run-stamped path of its own.) Each later step starts from files,
     so no step is computed twice and a lost executor costs single tasks. The totals come
     from the transformed files and so agree with them row for row.
 
@@ -84,6 +85,8 @@ def run_batch_ingest(
 
     landed = f"{raw_root}/{LANDED_ORDERS}.{landing_format}"
     staging = f"{landed}.staging"
+    if storage.rename_copies(spark, landed):
+        landed = staging = run_path(raw_root, LANDED_ORDERS, run_ts, f".{landing_format}")
     observed, landing = watch(orders, ORDER_RULES)
     write_landing(observed, staging)
     try:
@@ -91,7 +94,8 @@ def run_batch_ingest(
     except ValueError:
         storage.delete(spark, staging)
         raise
-    storage.promote(spark, staging, landed)
+    if staging != landed:
+        storage.promote(spark, staging, landed)
 
     transformed = f"{processed_root}/{TRANSFORMED_ORDERS}"
     observed, transform = watch(

@@ -36,6 +36,9 @@ def _writer(
     partition_by: Sequence[str] = (),
     max_records_per_file: int | None = None,
 ) -> DataFrameWriter:
+    if partition_by:
+        # Else every task would write a file per value. A value with many rows is split again.
+        df = df.hint("rebalance", *partition_by)
     writer = df.write.format(file_format).options(**WRITE_OPTIONS[file_format]).mode("overwrite")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
@@ -100,12 +103,24 @@ def land_raw_csv(
     return path
 
 
-def publish(df: DataFrame, key: str, file_format: str = "parquet") -> str:
+def publish(
+    df: DataFrame, key: str, file_format: str = "parquet", in_place: bool | None = None
+) -> str:
     """Replace the dataset at a fixed key once the new one is complete.
 
     It is written beside the key first: a run that fails leaves the old dataset as it was.
+    On an object store the move into place would copy all data, so there, or with
+    ``in_place``, it is written to the key itself and a run that fails leaves no dataset. Use
+    ``load_table``, which moves nothing, where readers must not see that.
     """
     spark = df.sparkSession
+    if in_place is None:
+        in_place = storage.rename_copies(spark, key)
+    if in_place:
+        _writer(df, file_format).save(key)
+        if not storage.part_files(spark, key, limit=1):
+            raise FileNotFoundError(f"no part file was written for {key}")
+        return key
     staging = f"{key.rstrip('/')}.staging"
     _writer(df, file_format).save(staging)
     if not storage.part_files(spark, staging, limit=1):

@@ -2,14 +2,27 @@
 
 from __future__ import annotations
 
+from urllib.parse import urlparse
+
 from pyspark.sql import SparkSession
 
+# Stores without folders, where renaming a folder copies every object in it.
+COPYING_SCHEMES = frozenset({"s3", "s3a", "s3n", "gs", "oss", "cosn", "obs"})
+
 
 def _locate(spark: SparkSession, path: str):
     hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
     return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()), hadoop_path
 
 
+def rename_copies(spark: SparkSession, path: str) -> bool:
+    scheme = urlparse(path).scheme
+    if not scheme:
+        fs, _ = _locate(spark, path)
+        scheme = fs.getScheme()
+    return scheme in COPYING_SCHEMES
+
+
 def exists(spark: SparkSession, path: str) -> bool:
     fs, p = _locate(spark, path)
     return fs.exists(p)

@@ -7,7 +7,7 @@ from hypothesis import HealthCheck, given, settings, strategies as st
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
 
-from millrace import schemas, scratch_path
+from millrace import schemas, scratch_path, storage
 from millrace.sinks import (
     land_raw_csv,
     publish,
@@ -132,6 +132,18 @@ def test_raw_landing_keeps_the_text_of_cells(spark, folder, trim):
     assert rows(landed) == [(" padded ", "bare"), ('say "hi"', "a, b"), (None, None)]
 
 
+def test_where_a_rename_copies(spark):
+    assert storage.rename_copies(spark, "s3a://bucket/key")
+    assert not storage.rename_copies(spark, "hdfs://node/key")
+    assert not storage.rename_copies(spark, "/tmp/key")
+
+
+def test_partitioned_layout_has_few_files(spark, folder):
+    write_parquet(spark.range(0, 1000, 1, 8).selectExpr("id", "id % 2 as half"), folder, ["half"])
+    files = [f for _, _, names in os.walk(folder) for f in names if f.startswith("part-")]
+    assert len(files) == 2
+
+
 def test_partitioned_layout_is_pruned(spark, folder, plan_of):
     write_parquet(spark.range(10).selectExpr("id", "id % 2 as half"), folder, partition_by=["half"])
     df = read_parquet(spark, folder).filter("half = 1")

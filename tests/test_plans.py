@@ -5,7 +5,7 @@ from decimal import Decimal
 
 import pytest
 
-from millrace import schemas
+from millrace import schemas, storage
 from millrace.operators import ValidationError
 from millrace.plans import run_batch_ingest, run_csv_etl
 from millrace.sources import from_rows, read_csv, read_parquet, read_table
@@ -111,6 +111,17 @@ def test_load_by_function(spark, folder):
     assert seen == [5] and result.table is None
 
 
+def test_on_an_object_store_nothing_is_moved(spark, folder, name, monkeypatch):
+    monkeypatch.setattr(storage, "rename_copies", lambda spark, path: True)
+    monkeypatch.setattr(storage, "move", None)
+    result = ingest(spark, folder, SEED, name)
+    assert result.landed_path == f"{folder}/raw/orders/orders_20240506_070809.csv"
+    assert read_table(spark, name).count() == 5
+    with pytest.raises(ValidationError):
+        ingest(spark, f"{folder}/bad", [(6, 1, Decimal("-1.00"), T1)])
+    assert os.listdir(f"{folder}/bad/raw/orders") == []
+
+
 def test_table_needs_a_location(spark, folder):
     with pytest.raises(ValueError, match="table_location"):
         run_batch_ingest(from_rows(spark, SEED, schemas.ORDERS), f"{folder}/r", f"{folder}/p", "t")
