@@ -74,9 +74,9 @@ def _new_table(name: str) -> str:
     return f"millrace_{name}_{uuid.uuid4().hex[:12]}"
 
 
-def _source_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _source_orders(spark: SparkSession, sf_dir: str, condition: str = "true") -> DataFrame:
     """The orders table under the names and money type of a relational source."""
-    return _table(spark, sf_dir, "orders").select(
+    return _table(spark, sf_dir, "orders").filter(condition).select(
         F.col("o_orderkey").alias("order_id"),
         F.col("o_custkey").alias("customer_id"),
         F.col("o_totalprice").cast("decimal(10,2)").alias("amount"),
@@ -326,7 +326,7 @@ def partitioned_parquet(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "parquet")
     events = _table(spark, sf_dir, "events")
     sinks.write_parquet(events, path, partition_by=["event_type"])
-    return sources.read_parquet(spark, path).filter("event_type = 'click'").select(events.columns)
+    return sources.read_parquet(spark, path).select(events.columns)
 
 
 def json_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -426,9 +426,10 @@ def event_batch_publish(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _ingest(spark: SparkSession, sf_dir: str, landing_format: str, rare_repeats: bool = False):
     root, table = scratch_path(spark, "ingest"), _new_table("ingested")
-    # Every fourth order comes twice, the second time a day later and at another price.
+    # Every finished order comes twice, the second time a day later and at another price.
     orders = _source_orders(spark, sf_dir)
-    repeats = orders.filter("order_id % 4 = 0").select(
+    finished = _source_orders(spark, sf_dir, "o_orderstatus = 'F'")
+    repeats = finished.select(
         "order_id",
         "customer_id",
         (F.col("amount") + 1).cast("decimal(10,2)").alias("amount"),
@@ -564,14 +565,15 @@ _DECODED_EVENTS = """
 _INGESTED = """
     WITH source AS (
         SELECT o_orderkey AS order_id, o_custkey AS customer_id,
-               CAST(o_totalprice AS DECIMAL(10,2)) AS amount, o_orderdate AS order_date
+               CAST(o_totalprice AS DECIMAL(10,2)) AS amount, o_orderdate AS order_date,
+               o_orderstatus
         FROM orders
     ), doubled AS (
-        SELECT * FROM source
+        SELECT order_id, customer_id, amount, order_date FROM source
         UNION ALL
         SELECT order_id, customer_id, CAST(amount + 1 AS DECIMAL(10,2)),
                order_date + INTERVAL 1 DAY
-        FROM source WHERE order_id % 4 = 0
+        FROM source WHERE o_orderstatus = 'F'
     ), ranked AS (
         SELECT *, row_number() OVER (
             PARTITION BY order_id
@@ -756,7 +758,7 @@ def oracle_sql() -> dict[str, str]:
             FROM supplier
         """,
         "parquet_round_trip": "SELECT * FROM orders",
-        "partitioned_parquet": "SELECT * FROM events WHERE event_type = 'click'",
+        "partitioned_parquet": "SELECT * FROM events",
         "json_round_trip": "SELECT * FROM events",
         "fixed_key_publish": "SELECT * FROM orders",
         "single_file_publish": f"""
@@ -797,7 +799,7 @@ def oracle_sql() -> dict[str, str]:
         + _totals_sql("ingested", "customer_id", "amount", "order_id"),
         "batch_ingest_counts": """
             SELECT 'landed' AS stage,
-                   count(*) + count(*) FILTER (o_orderkey % 4 = 0) AS row_count
+                   count(*) + count(*) FILTER (o_orderstatus = 'F') AS row_count
             FROM orders
             UNION ALL SELECT 'transformed', count(DISTINCT o_orderkey) FROM orders
         """,

@@ -42,7 +42,8 @@ def load_table(df: DataFrame, table: str, schema: T.StructType, location: str) -
             raise ValueError(f"table {table} has the columns {found}, not those of the load")
     path = _write_version(to_target(df, schema), location)
     if present:
-        spark.sql(f"ALTER TABLE {table} SET LOCATION '{path}'")
+        quoted_path = path.replace("\\", "\\\\").replace("'", "\\'")
+        spark.sql(f"ALTER TABLE {table} SET LOCATION '{quoted_path}'")
         spark.catalog.refreshTable(table)
     else:
         _create(df, table, path, schema)

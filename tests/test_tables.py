@@ -29,6 +29,12 @@ def test_load_creates_then_replaces(spark, folder, name):
     assert read_table(spark, name, ["amount"]).columns == ["amount"]
 
 
+def test_location_with_a_quote(spark, folder, name):
+    for rows in (ROWS, ROWS[:1]):
+        load_table(from_rows(spark, rows, TARGET), name, TARGET, f"{folder}/it's")
+    assert read_table(spark, name).count() == 1
+
+
 def test_empty_frame_empties_the_table(spark, folder, name):
     load_table(from_rows(spark, ROWS, TARGET), name, TARGET, folder)
     load_table(from_rows(spark, [], TARGET), name, TARGET, folder)
