@@ -133,14 +133,15 @@ def documents_dedupe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def lineitem_reduce(spark: SparkSession, sf_dir: str) -> DataFrame:
-    items = _table(spark, sf_dir, "lineitem")
-    largest = reduce_by_key(items, ["l_suppkey"], "l_quantity", "max", alias="value")
-    smallest = reduce_by_key(items, ["l_suppkey"], "l_quantity", "min", alias="value")
-    total = reduce_by_key(with_ones(items, "one"), ["l_suppkey"], "one", "sum", alias="value")
-    return (
-        largest.withColumn("how", F.lit("max"))
-        .unionByName(smallest.withColumn("how", F.lit("min")))
-        .unionByName(total.withColumn("value", F.col("value").cast("double")).withColumn("how", F.lit("sum")))
+    items = with_ones(_table(spark, sf_dir, "lineitem"), "one")
+    return reduce_by_key(
+        items,
+        ["l_suppkey"],
+        {
+            "n": ("one", "sum"),
+            "smallest": ("l_quantity", "min"),
+            "largest": ("l_quantity", "max"),
+        },
     )
 
 
@@ -394,7 +395,9 @@ def event_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _stream_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     schema = _table(spark, sf_dir, "events").schema
     # As a glob the path may be a folder of files or a single file.
-    files = sources.read_event_files(spark, f"{sf_dir}/event[s].parquet", schema)
+    files = sources.read_event_files(
+        spark, f"{sf_dir}/event[s].parquet", schema, max_bytes_per_trigger=100 * 2**30
+    )
     return _sensor_events(files)
 
 
@@ -646,11 +649,9 @@ def oracle_sql() -> dict[str, str]:
             WHERE rn = 1
         """,
         "lineitem_reduce": """
-            SELECT l_suppkey, max(l_quantity) AS value, 'max' AS how FROM lineitem GROUP BY 1
-            UNION ALL
-            SELECT l_suppkey, min(l_quantity), 'min' FROM lineitem GROUP BY 1
-            UNION ALL
-            SELECT l_suppkey, CAST(count(*) AS DOUBLE), 'sum' FROM lineitem GROUP BY 1
+            SELECT l_suppkey, count(*) AS n, min(l_quantity) AS smallest,
+                   max(l_quantity) AS largest
+            FROM lineitem GROUP BY l_suppkey
         """,
         "event_type_counts": "SELECT event_type, count(*) AS n FROM events GROUP BY event_type",
         "fill_default": """

@@ -3,7 +3,7 @@ holds a large part of the rows costs one partial row per task."""
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
@@ -68,11 +68,14 @@ _REDUCERS = {"sum": F.sum, "min": F.min, "max": F.max}
 
 
 def reduce_by_key(
-    df: DataFrame, keys: Sequence[str], value: str, how: str = "sum", alias: str | None = None
+    df: DataFrame, keys: Sequence[str], reductions: Mapping[str, tuple[str, str]]
 ) -> DataFrame:
-    """Reduce the values of each key to one by ``sum``, ``min`` or ``max``."""
+    """Reduce the values of each key to one, any number of reductions in one pass.
+
+    ``reductions`` maps a result's name to a column and ``sum``, ``min`` or ``max``.
+    """
     return df.groupBy(*[quoted(k) for k in keys]).agg(
-        _REDUCERS[how](quoted(value)).alias(alias or value)
+        *[_REDUCERS[how](quoted(column)).alias(name) for name, (column, how) in reductions.items()]
     )
 
 

@@ -61,9 +61,16 @@ def read_event_files(
     schema: T.StructType | str,
     file_format: str = "parquet",
     max_files_per_trigger: int | None = None,
+    max_bytes_per_trigger: int | None = None,
 ) -> DataFrame:
-    """A stream of the files under ``path``. ``max_files_per_trigger`` bounds a micro-batch."""
+    """A stream of the files under ``path``, a folder or a glob.
+
+    A micro-batch takes all files that are new unless one of the bounds is given; what a
+    restart has to do again is at most one micro-batch.
+    """
     reader = spark.readStream.schema(schema).format(file_format)
     if max_files_per_trigger is not None:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    if max_bytes_per_trigger is not None:
+        reader = reader.option("maxBytesPerTrigger", max_bytes_per_trigger)
     return reader.load(path)

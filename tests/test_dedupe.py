@@ -60,6 +60,8 @@ def test_columns_without_an_order_ride_along(spark):
 def test_odd_column_names(spark):
     df = spark.createDataFrame([(1, 2), (1, 1)], "`a.b` int, `1958` int")
     assert [tuple(r) for r in dedupe(df, ["a.b"]).collect()] == [(1, 1)]
+    assert len(dedupe(df, ["1958"], ["a.b"]).collect()) == 2
+    assert [tuple(r) for r in dedupe_sparse(df.filter("`1958` > 0"), ["a.b"]).collect()] == [(1, 1)]
 
 
 def test_keys_only(spark):

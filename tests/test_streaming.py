@@ -77,6 +77,17 @@ def test_stream_publishes_all_and_a_restart_goes_on(spark, folder):
     assert sorted(r["timestamp"] for r in published.collect()) == list(range(47))
 
 
+def test_micro_batches_bounded_by_bytes(spark, folder):
+    for start in (0, 10, 20):
+        _write(spark, folder, start, start + 10)
+    stream = read_event_files(
+        spark, f"{folder}/in", schemas.SENSOR_EVENT, max_bytes_per_trigger=1024
+    )
+    query = publish_events(stream, file_sink(f"{folder}/out"), f"{folder}/checkpoint")
+    assert await_published(query) == 30
+    assert len({p.batchId for p in query.recentProgress if p.numInputRows}) == 3
+
+
 def test_interval_stream_runs_until_stopped(spark, folder):
     _write(spark, folder, 0, 10)
     stream = read_event_files(spark, f"{folder}/in", schemas.SENSOR_EVENT)
