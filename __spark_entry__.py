@@ -189,7 +189,9 @@ def default_insert_time(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders with status F lose their date and get the current time instead."""
     orders = _table(spark, sf_dir, "orders").select(
         "o_orderstatus",
-        F.when(F.col("o_orderstatus") != "F", F.col("o_orderdate").cast("timestamp")).alias("placed"),
+        F.expr("case when o_orderstatus <> 'F' then cast(o_orderdate as timestamp) end").alias(
+            "placed"
+        ),
     )
     filled = default_time(orders, "placed")
     return filled.groupBy("o_orderstatus").agg(
@@ -231,7 +233,8 @@ def conversation_word_count(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def page_word_count_trimmed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words of the lines of raw pages, empty words at the end of a line dropped."""
-    lines = _table(spark, sf_dir, "pages").select(F.explode(F.split("html", "\n", -1)).alias("line"))
+    pages = _table(spark, sf_dir, "pages")
+    lines = pages.select(F.explode(F.split("html", "\n", -1)).alias("line"))
     return word_count(lines, "line", trailing_empty=False)
 
 
@@ -350,8 +353,8 @@ def single_file_publish(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = _table(spark, sf_dir, "orders")
     totals = totals_by_key(orders, "o_orderpriority", "o_totalprice", "o_orderkey", MONEY)
     sinks.publish_single_file(totals, key)
-    files = sources.read_parquet(spark, key)
-    return files.select("*", (F.input_file_name().endswith("/priority_totals.parquet")).alias("fixed_key"))
+    at_key = F.input_file_name().endswith("/priority_totals.parquet")
+    return sources.read_parquet(spark, key).select("*", at_key.alias("fixed_key"))
 
 
 def table_load(spark: SparkSession, sf_dir: str) -> DataFrame:

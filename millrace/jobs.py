@@ -1,4 +1,4 @@
-"""The flows as jobs for ``spark-submit``: ``spark-submit millrace/jobs.py <job> ...``."""
+"""The flows as jobs for ``spark-submit submit.py <job> ...``."""
 
 from __future__ import annotations
 

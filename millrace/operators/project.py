@@ -27,7 +27,8 @@ def fill_defaults(df: DataFrame, defaults: Mapping[str, object]) -> DataFrame:
         else:
             fits = isinstance(types[name], T.StringType) and isinstance(value, str)
         if not fits:
-            raise TypeError(f"{value!r} is no default for {name!r} of type {types[name].simpleString()}")
+            found = types[name].simpleString()
+            raise TypeError(f"{value!r} is no default for {name!r} of type {found}")
     return df.fillna(dict(defaults))
 
 

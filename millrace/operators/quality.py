@@ -151,7 +151,8 @@ def failure_cases(
             .select(*ids, "__case.column", "__case.check", "__case.failure_case")
         )
     else:
-        cases = cases.select(*ids, *[F.lit("").alias(c) for c in ("column", "check", "failure_case")])
+        empty = [F.lit("").alias(c) for c in ("column", "check", "failure_case")]
+        cases = cases.select(*ids, *empty)
 
     schema_failures = _schema_failures(df, rules)
     if schema_failures:

@@ -117,3 +117,10 @@ def test_bad_rows_are_picked_beside_the_scan(spark, folder, plan_of):
     plan = plan_of(cases)
     assert "LessThanOrEqual(v,0)" in plan and "Exchange" not in plan and "Python" not in plan
     assert cases.count() == 4
+
+
+def test_watch_of_a_frame_known_to_be_empty(spark, folder):
+    for i, df in enumerate([spark.range(5).filter("false"), spark.range(0), spark.range(5).limit(0)]):
+        observed, counts = watch(df, [ColumnRule("id", "int")])
+        observed.write.parquet(f"{folder}/out{i}")
+        assert counts.rows == 0 and counts.violations() == []
