@@ -1,10 +1,11 @@
 from millrace.sources.files import read_csv, read_event_files, read_json, read_parquet
 from millrace.sources.memory import from_lines, from_rows
 from millrace.sources.object_store import object_store_conf
-from millrace.sources.tables import JdbcDatabase, read_jdbc, read_table
+from millrace.sources.tables import JdbcDatabase, even_predicates, read_jdbc, read_table
 
 __all__ = [
     "JdbcDatabase",
+    "even_predicates",
     "from_lines",
     "from_rows",
     "object_store_conf",

@@ -48,9 +48,9 @@ def read_jdbc(
 
     ``partition_column`` (the primary key) splits the read into ``num_partitions`` ranges
     between its smallest and largest value, asked from the database as one row. Rows
-    outside them and null keys belong to the first and last range, so none is lost. Many
-    ranges even out gaps in the ids; where single values are hot, give ``predicates``
-    instead, one condition per task, which must cover every row exactly once.
+    outside them and null keys belong to the first and last range, so none is lost. Where
+    the ids have large gaps, so that a few ranges would hold most rows, give ``predicates``
+    instead, one condition per task: ``even_predicates``, or others that cover every row once.
     """
     options = database.scan_options()
     if predicates is not None:
@@ -79,5 +79,15 @@ def read_jdbc(
     ).load()
 
 
+def even_predicates(column: str, count: int) -> list[str]:
+    """Conditions that deal whole-number ids out evenly, however they are spread.
+
+    The database reads the table, or an index on the column, once per condition.
+    """
+    parts = [f"ABS(MOD({column}, {count})) = {i}" for i in range(count)]
+    parts[0] = f"({parts[0]} OR {column} IS NULL)"
+    return parts
+
+
 def bounds_query(table: str, column: str) -> str:
     return f"SELECT MIN({column}) AS lo, MAX({column}) AS hi FROM {table}"

@@ -12,7 +12,11 @@ def sensor_events(
     df: DataFrame, event_time: Column, device: Column, reading: Column, id: Column | None = None
 ) -> DataFrame:
     """Shape rows as sensor events: epoch seconds, a reading of two decimals, and an id, which
-    is a random UUID where the input has none. Give ``event_time`` in epoch seconds."""
+    is a random UUID where the input has none. Give ``event_time`` in epoch seconds.
+
+    A random id belongs to one attempt: a micro-batch that runs again makes new ones. Where
+    readers drop repeated messages by id, give the events their ids before they are stored.
+    """
     ids = event_id() if id is None else F.coalesce(id.cast("string"), event_id())
     columns = [ids, event_time, device, rounded(reading, 2)]
     return df.select(

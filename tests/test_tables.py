@@ -9,7 +9,7 @@ from pyspark.sql import types as T
 from millrace import schemas
 from millrace.operators import stamp
 from millrace.sinks import jdbc, load_jdbc_table, load_table, replace_jdbc_table, replace_table
-from millrace.sources import JdbcDatabase, from_rows, read_jdbc, read_table, tables
+from millrace.sources import JdbcDatabase, even_predicates, from_rows, read_jdbc, read_table, tables
 
 RUN_TS = datetime(2024, 5, 6, 7, 8, 9)
 ROWS = [(1, 1, Decimal("100.50"), RUN_TS), (2, 2, Decimal("250.00"), RUN_TS)]
@@ -216,3 +216,12 @@ def test_jdbc_read_of_an_empty_table_and_without_a_key():
     assert "partitionColumn" not in spark.loads[-1]
     read_jdbc(spark, DB, "orders")
     assert len(spark.loads) == 3 and spark.loads[-1]["dbtable"] == "orders"
+
+
+@pytest.mark.parametrize("count", [1, 3, 8])
+def test_even_predicates_cover_every_row_once(spark, count):
+    ids = spark.range(-1000, 1000).union(spark.sql("select cast(null as bigint)"))
+    met = " + ".join(f"int(coalesce({p}, false))" for p in even_predicates("id", count))
+    assert ids.selectExpr(f"{met} as n").filter("n <> 1").count() == 0
+    sizes = [ids.filter(p).count() for p in even_predicates("id", count)]
+    assert sum(sizes) == 2001 and max(sizes) <= 2 * (2001 // count + 1)
