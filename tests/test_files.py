@@ -144,6 +144,17 @@ def test_partitioned_layout_has_few_files(spark, folder):
     assert len(files) == 2
 
 
+def test_partitioned_layout_splits_a_hot_value(spark, folder):
+    df = spark.range(0, 200_000, 1, 8).selectExpr("id", "if(id % 3 = 0, -1, id % 5) as k", "uuid() as u")
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "256k")
+    try:
+        write_parquet(df, folder, ["k"])
+    finally:
+        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    hot = [f for f in os.listdir(f"{folder}/k=-1") if f.startswith("part-")]
+    assert len(hot) > 4 and read_parquet(spark, folder).count() == 200_000
+
+
 def test_partitioned_layout_is_pruned(spark, folder, plan_of):
     write_parquet(spark.range(10).selectExpr("id", "id % 2 as half"), folder, partition_by=["half"])
     df = read_parquet(spark, folder).filter("half = 1")
