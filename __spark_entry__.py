@@ -14,7 +14,7 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from millrace import schemas, sinks, sources, streaming
-from millrace.functions import epoch_seconds_utc, event_id, run_stamp
+from millrace.functions import epoch_seconds_utc, event_id, run_stamp, run_timestamp
 from millrace.operators import (
     ORDER_RULES,
     ColumnRule,
@@ -196,7 +196,7 @@ def default_insert_time(spark: SparkSession, sf_dir: str) -> DataFrame:
     filled = default_time(orders, "placed")
     return filled.groupBy("o_orderstatus").agg(
         F.count("placed").alias("n"),
-        F.count_if(F.col("placed") > F.lit(RUN_TS).cast("timestamp")).alias("defaulted"),
+        F.count_if(F.col("placed") > run_timestamp(RUN_TS)).alias("defaulted"),
     )
 
 

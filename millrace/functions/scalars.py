@@ -17,8 +17,13 @@ def quoted(name: str) -> Column:
 
 
 def run_timestamp(run_ts: datetime | None = None) -> Column:
-    """The time of the run: a fixed one when given, else the start of the query."""
-    return F.current_timestamp() if run_ts is None else F.lit(run_ts).cast("timestamp")
+    """The time of the run: a fixed one when given, else the start of the query.
+
+    A time without zone is one in the session's zone, whatever the zone of the driver's machine.
+    """
+    if run_ts is None:
+        return F.current_timestamp()
+    return F.lit(run_ts.isoformat(sep=" ")).cast("timestamp")
 
 
 def run_stamp(ts: Column) -> Column:

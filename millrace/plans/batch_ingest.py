@@ -69,15 +69,18 @@ def run_batch_ingest(
 
     The source is read once: its rules are counted while it is landed, and only a landing
     without violations takes the place of the last one. (On an object store, where that move
-    would copy all data, it gets a run-stamped path of its own.) Each later step starts from files,
-    so no step is computed twice and a lost executor costs single tasks. The totals come
-    from the transformed files and so agree with them row for row.
+    would copy all data, it gets a run-stamped path of its own.) Each later step starts from
+    files, so no step is computed twice and a lost executor costs single tasks. The totals
+    come from the transformed files and so agree with them row for row.
 
     ``load`` is the name of a catalog table, with ``table_location`` for its files, or a
-    function that takes the transformed frame. ``landing_format`` is ``csv``, or ``parquet``
+    function that takes the transformed frame; a load over JDBC starts from the files at the
+    result's ``transformed_path``. ``landing_format`` is ``csv``, or ``parquet``
     for large tables, where parsing text again would cost more than the transform. Add
     ``rare_repeats`` there if few orders come twice: the others are then not shuffled.
     """
+    if isinstance(load, str) and table_location is None:
+        raise ValueError("a catalog table needs a table_location for its files")
     spark = orders.sparkSession
     run_ts = run_ts or datetime.now(timezone.utc)
     raw_root, processed_root = raw_root.rstrip("/"), processed_root.rstrip("/")
@@ -112,8 +115,6 @@ def run_batch_ingest(
         if callable(load):
             load(frame)
         else:
-            if table_location is None:
-                raise ValueError("a catalog table needs a table_location for its files")
             load_table(frame, load, schemas.ORDERS_TRANSFORMED, table_location)
 
     return BatchIngestResult(

@@ -47,6 +47,8 @@ def run_csv_etl(
     files: as text, or typed by ``schema``, or by ``infer_types`` at the price of one more
     scan. Paths are handed on as values and whole folders are read.
     """
+    if isinstance(load, str) and table_location is None:
+        raise ValueError("a catalog table needs a table_location for its files")
     run_ts = run_ts or datetime.now(timezone.utc)
     landed = land_raw_csv(spark, source, raw_root, name, run_ts, multi_line)
     to_read = landed if this_run_only else f"{raw_root.rstrip('/')}/*.csv"
@@ -59,7 +61,5 @@ def run_csv_etl(
         if callable(load):
             load(frame)
         else:
-            if table_location is None:
-                raise ValueError("a catalog table needs a table_location for its files")
             replace_table(frame, load, table_location)
     return CsvEtlResult(landed, transformed)

@@ -1,4 +1,5 @@
-from datetime import datetime
+import time
+from datetime import datetime, timezone
 from decimal import Decimal
 
 import pytest
@@ -63,6 +64,19 @@ def test_stamp_is_one_time_for_all_rows(spark):
     assert df.select(run_stamp(F.col("processed_timestamp"))).first()[0] == "20240506_070809"
 
 
+def test_a_run_time_without_zone_is_in_the_zone_of_the_session(spark, monkeypatch):
+    monkeypatch.setenv("TZ", "Asia/Tokyo")
+    time.tzset()
+    try:
+        naive = stamp(spark.range(1), run_ts=datetime(2024, 5, 6, 7, 8, 9, 10))
+        aware = stamp(spark.range(1), run_ts=datetime(2024, 5, 6, 7, 8, 9, tzinfo=timezone.utc))
+        texts = [df.selectExpr("cast(processed_timestamp as string)").first()[0] for df in (naive, aware)]
+    finally:
+        monkeypatch.undo()
+        time.tzset()
+    assert texts == ["2024-05-06 07:08:09.00001", "2024-05-06 07:08:09"]
+
+
 def test_default_time_only_fills(spark):
     given = datetime(2020, 1, 1)
     df = spark.createDataFrame([(given,), (None,)], "join_date timestamp")
