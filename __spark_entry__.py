@@ -10,6 +10,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 from datetime import datetime
+from importlib.util import find_spec
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
@@ -554,8 +555,24 @@ def entry(spark: SparkSession) -> DataFrame:
     return orders_customer_totals(spark, "/root/testdata/sf0.001")
 
 
+def _corpus_queries() -> tuple[dict[str, Query], dict[str, str]]:
+    """Those of the text corpus package, where it is there."""
+    if not (find_spec("millrace.llm") and find_spec("millrace.llm.queries")):
+        return {}, {}
+    from millrace.llm import queries as corpus
+
+    found, sql = dict(corpus.QUERIES), dict(corpus.ORACLE_SQL)
+    if find_spec("corpus_pipeline"):
+        import corpus_pipeline
+
+        found["pipeline"] = corpus_pipeline.run
+        if corpus_pipeline.ORACLE_SQL:
+            sql["pipeline"] = corpus_pipeline.ORACLE_SQL
+    return found, sql
+
+
 def queries() -> dict[str, Query]:
-    return {q.__name__: q for q in _QUERIES}
+    return {q.__name__: q for q in _QUERIES} | _corpus_queries()[0]
 
 
 # --- the same in SQL -----------------------------------------------------------------------
@@ -608,6 +625,10 @@ def _word_count_sql(source: str) -> str:
 
 
 def oracle_sql() -> dict[str, str]:
+    return _library_sql() | _corpus_queries()[1]
+
+
+def _library_sql() -> dict[str, str]:
     return {
         "orders_customer_totals": _totals_sql(
             """(

@@ -11,7 +11,8 @@ import pytest
 import __spark_entry__ as entry_module
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
-QUERIES, ORACLE = entry_module.queries(), entry_module.oracle_sql()
+QUERIES = {q.__name__: q for q in entry_module._QUERIES}
+ORACLE = {name: sql for name, sql in entry_module.oracle_sql().items() if name in QUERIES}
 
 
 @pytest.fixture(scope="module")
