@@ -31,14 +31,14 @@ def _text_metrics(w: Words) -> list[np.ndarray]:
 
     # Lines are split at \n; those without a word do not count.
     newline = np.flatnonzero(w.data == 0x0A)
-    ends = np.union1d(newline, w.offsets[1:])
     starts = np.union1d(newline + 1, w.offsets[:-1])
-    starts = starts[starts < len(w.data)] if len(w.data) else starts[:0]
-    ends = ends[np.searchsorted(ends, starts)]
+    starts = starts[starts < len(w.data)]
+    text = np.searchsorted(w.offsets, starts, side="right") - 1
+    after = np.append(newline, len(w.data))
+    ends = np.minimum(after[np.searchsorted(newline, starts)], w.offsets[text + 1])
     letter_sums = sums(letters)
     full = letter_sums[ends] > letter_sums[starts]
-    starts, ends = starts[full], ends[full]
-    text = np.searchsorted(w.offsets, starts, side="right") - 1
+    starts, ends, text = starts[full], ends[full], text[full]
     hashed = w.bytes_hashed.runs(starts, ends)
     n_lines = np.bincount(text, minlength=n_texts)
     distinct = np.unique(np.stack([text.astype(np.uint64), hashed]), axis=1)[0].astype(np.int64)

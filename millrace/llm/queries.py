@@ -5,12 +5,15 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from millrace.llm import oracles
+from millrace.llm.decontaminate import contamination
 from millrace.llm.packing import pack
 from millrace.llm.quality import quality_verdicts
 from millrace.llm.shared import ship
 from millrace.llm.simhash import simhash_components
+from millrace.llm.warc import page_captures, resolve_revisits
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -26,6 +29,12 @@ def op1_simhash_components(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_components(_table(spark, sf_dir, "documents"), shingle=4, max_bits=4)
 
 
+def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contamination(
+        _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"), window=10, k=5
+    )
+
+
 def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = quality_verdicts(_table(spark, sf_dir, "documents"))
     return judged.select(
@@ -38,13 +47,35 @@ def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(_table(spark, sf_dir, "documents"), TOKENIZER)
 
 
+def op9_warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    resolved = resolve_revisits(page_captures(_table(spark, sf_dir, "pages")))
+    lines = F.transform(
+        F.array_sort(F.map_entries("merged_headers")), lambda e: F.concat_ws(": ", e["key"], e["value"])
+    )
+    return resolved.select(
+        "record_id",
+        "canonical_url",
+        F.unix_timestamp("captured_at").alias("captured_second"),
+        "outcome",
+        "response_id",
+        F.array_join(lines, "; ").alias("merged_headers"),
+        F.md5(F.col("body").cast("binary")).alias("body_md5"),
+    )
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
         op1_simhash_components,
+        op2_decontamination,
         op3_quality_rules,
         op8_packing,
+        op9_warc_revisits,
     )
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op2_decontamination": oracles.CONTAMINATION,
+    "op3_quality_rules": oracles.QUALITY,
+    "op9_warc_revisits": oracles.REVISITS,
+}
