@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from millrace.llm import oracles
+from millrace.llm.debruijn import remove_repeats
 from millrace.llm.decontaminate import contamination
 from millrace.llm.packing import pack
 from millrace.llm.quality import quality_verdicts
@@ -43,6 +44,10 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return remove_repeats(_table(spark, sf_dir, "documents"), window=20).drop("spans")
+
+
 def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(_table(spark, sf_dir, "documents"), TOKENIZER)
 
@@ -69,6 +74,7 @@ QUERIES: dict[str, Query] = {
         op1_simhash_components,
         op2_decontamination,
         op3_quality_rules,
+        op6_substring_dedup,
         op8_packing,
         op9_warc_revisits,
     )
@@ -77,5 +83,6 @@ QUERIES: dict[str, Query] = {
 ORACLE_SQL: dict[str, str] = {
     "op2_decontamination": oracles.CONTAMINATION,
     "op3_quality_rules": oracles.QUALITY,
+    "op6_substring_dedup": oracles.SUBSTRINGS,
     "op9_warc_revisits": oracles.REVISITS,
 }

@@ -1,6 +1,6 @@
 """Words of whole Arrow batches of texts, found and hashed with numpy.
 
-A batch is worked on in slices of about a megabyte that end between texts, so the memory in use
+A batch is worked on in slices of a quarter of a megabyte that end between texts, so the memory in use
 does not depend on the batch. One text is never cut.
 
 Hashes are polynomials over random 64-bit values of the bytes (modulo 2**64), mixed at the end.
@@ -17,7 +17,7 @@ from functools import cached_property
 import numpy as np
 import pyarrow as pa
 
-SLICE_BYTES = 1 << 20
+SLICE_BYTES = 1 << 18
 
 _BYTES = np.arange(256)
 #: Bytes of words that end at white space only: all but blank, \t, \n, \v, \f and \r.
