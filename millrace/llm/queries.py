@@ -14,6 +14,7 @@ from millrace.llm.packing import pack
 from millrace.llm.quality import quality_verdicts
 from millrace.llm.shared import ship
 from millrace.llm.simhash import simhash_components
+from millrace.llm.suffix_index import remove_earlier_strings
 from millrace.llm.warc import page_captures, resolve_revisits
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -48,6 +49,10 @@ def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_repeats(_table(spark, sf_dir, "documents"), window=20).drop("spans")
 
 
+def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return remove_earlier_strings(_table(spark, sf_dir, "documents"), length=50)
+
+
 def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(_table(spark, sf_dir, "documents"), TOKENIZER)
 
@@ -75,6 +80,7 @@ QUERIES: dict[str, Query] = {
         op2_decontamination,
         op3_quality_rules,
         op6_substring_dedup,
+        op7_suffix_dedup,
         op8_packing,
         op9_warc_revisits,
     )
