@@ -15,6 +15,7 @@ from millrace.llm.quality import quality_verdicts
 from millrace.llm.shared import ship
 from millrace.llm.simhash import simhash_components
 from millrace.llm.suffix_index import remove_earlier_strings
+from millrace.llm.toxicity import fold, learn, toxicity
 from millrace.llm.warc import page_captures, resolve_revisits
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -73,6 +74,16 @@ def op9_warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")
+    training = docs.select("doc_id", "text").filter(fold(F.col("doc_id"), 3) != 1)
+    model = learn(training.join(labels.select("doc_id", "toxic"), "doc_id"))
+    scored = toxicity(docs, model, threshold=0.7)
+    return scored.select(
+        "doc_id", (fold(F.col("doc_id"), 3) == 1).alias("held_out"), "score", "predicted", "passages"
+    )
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
@@ -83,6 +94,7 @@ QUERIES: dict[str, Query] = {
         op7_suffix_dedup,
         op8_packing,
         op9_warc_revisits,
+        op10_toxicity,
     )
 }
 
