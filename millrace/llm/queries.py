@@ -10,12 +10,13 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from millrace.llm import oracles
 from millrace.llm.debruijn import remove_repeats
 from millrace.llm.decontaminate import contamination
+from millrace.llm.html_text import main_text
 from millrace.llm.packing import pack
 from millrace.llm.quality import quality_verdicts
-from millrace.llm.shared import ship
+from millrace.llm.shared import fold, ship
 from millrace.llm.simhash import simhash_components
 from millrace.llm.suffix_index import remove_earlier_strings
-from millrace.llm.toxicity import fold, learn, toxicity
+from millrace.llm.toxicity import learn, toxicity
 from millrace.llm.warc import page_captures, resolve_revisits
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -46,6 +47,10 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return main_text(_table(spark, sf_dir, "pages"), run=8)
+
+
 def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_repeats(_table(spark, sf_dir, "documents"), window=20).drop("spans")
 
@@ -90,6 +95,7 @@ QUERIES: dict[str, Query] = {
         op1_simhash_components,
         op2_decontamination,
         op3_quality_rules,
+        op4_html_text,
         op6_substring_dedup,
         op7_suffix_dedup,
         op8_packing,

@@ -6,7 +6,7 @@ import os
 import shutil
 import tempfile
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 import millrace
 from millrace.session import scratch_path
@@ -39,3 +39,7 @@ def ship(spark: SparkSession) -> None:
     )
     spark.sparkContext.addPyFile(archive)
     _SHIPPED[app] = folder
+
+def fold(key: Column, folds: int) -> Column:
+    """The CRC-32 of the id as text, modulo ``folds``. Null ids are in fold 0."""
+    return F.coalesce(F.pmod(F.crc32(key.cast("string").cast("binary")), F.lit(folds)), F.lit(0)).cast("int")
