@@ -97,8 +97,8 @@ def remove_repeats(
     A word goes if it lies in a run of ``window`` words of one document that also starts earlier:
     in a document of a smaller id, or earlier in the same one. All is judged on the input.
     ``kept_sha256`` is the hex digest of the kept words joined by blanks, ``spans`` has the first
-    word and the end of each removed path. ``with_text`` adds the kept words as ``kept_text`` and
-    the input row without its text as a struct ``row``.
+    word and the end of each removed path. ``with_text`` adds ``kept_text`` (the kept words, or the
+    text as it is if nothing goes) and the input row without its text as a struct ``row``.
 
     Null and empty texts have no words. Null ids come after all others. Rows that repeat id and
     text are one document and get the same result; texts that share an id are documents of their
@@ -170,7 +170,7 @@ def remove_repeats(
                         "kept_sha256": hashlib.sha256(kept).hexdigest(),
                         "spans": [{"start": x, "end": y} for x, y in zip(change[::2], change[1::2], strict=True)],
                     }
-                    | ({"kept_text": kept} if with_text else {})
+                    | ({"kept_text": kept if change else body[w.offsets[i] : w.offsets[i + 1]]} if with_text else {})
                 )
         spans = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
         kinds = {"n_words": pa.int64(), "n_removed": pa.int64(), "kept_sha256": pa.string(), "spans": spans}

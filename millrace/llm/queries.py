@@ -11,6 +11,7 @@ from millrace.llm import oracles
 from millrace.llm.debruijn import remove_repeats
 from millrace.llm.decontaminate import contamination
 from millrace.llm.html_text import main_text
+from millrace.llm.maxent import score_texts
 from millrace.llm.packing import pack
 from millrace.llm.quality import quality_verdicts
 from millrace.llm.shared import fold, ship
@@ -51,6 +52,15 @@ def op4_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return main_text(_table(spark, sf_dir, "pages"), run=8)
 
 
+def op5_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    scored = score_texts(docs, docs.filter(fold(F.col("doc_id"), 10) != 0))
+    return scored.select(
+        "doc_id", (fold(F.col("doc_id"), 10) == 0).alias("held_out"), "n_tokens", "n_known",
+        "train_tokens", "base_score", "score",
+    )
+
+
 def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_repeats(_table(spark, sf_dir, "documents"), window=20).drop("spans")
 
@@ -96,6 +106,7 @@ QUERIES: dict[str, Query] = {
         op2_decontamination,
         op3_quality_rules,
         op4_html_text,
+        op5_lm_scoring,
         op6_substring_dedup,
         op7_suffix_dedup,
         op8_packing,

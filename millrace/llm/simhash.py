@@ -261,6 +261,14 @@ def near_links(fps: DataFrame, max_bits: int, cell_rows: int = 4096) -> DataFram
     return links.unionAll(crossed)
 
 
+def _component_of(distinct: DataFrame, max_bits: int) -> DataFrame:
+    """``fp`` and ``component`` of distinct fingerprints. The component is named by one of its own."""
+    # Signed order is as good as any for roots, as long as it is one order.
+    nodes = components(near_links(distinct, max_bits))
+    joined = distinct.join(nodes, distinct["fp"] == nodes["node"], "left")
+    return joined.withColumn("component", F.coalesce("component", "fp")).drop("node")
+
+
 def simhash_components(
     docs: DataFrame,
     shingle: int = 4,
@@ -277,12 +285,7 @@ def simhash_components(
     """
     marked = stored(fingerprints(docs, shingle, doc_id, text), "fingerprints")
     distinct = marked.groupBy("fp").agg(F.min("doc_id").alias("low"))
-    # Signed order is as good as any for roots, as long as it is one order.
-    links = near_links(distinct, max_bits)
-    nodes = components(links)
-    joined = distinct.join(nodes, distinct["fp"] == nodes["node"], "left").withColumn(
-        "component", F.coalesce("component", "fp")
-    )
+    joined = _component_of(distinct, max_bits)
     lowest = joined.groupBy("component").agg(F.min("low").alias("component_id"))
     named = joined.select("fp", "component").join(lowest, "component").select("fp", "component_id")
     return marked.join(named, "fp").select(
@@ -290,3 +293,21 @@ def simhash_components(
         F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
         "component_id",
     )
+
+
+def representatives(
+    docs: DataFrame, shingle: int = 4, max_bits: int = 4, doc_id: str = "doc_id", text: str = "text"
+) -> DataFrame:
+    """The rows of ``docs`` without near-duplicates: of each component the one with the smallest id.
+
+    Null ids come last; of rows that share the smallest id one stays, by a hash of id and text.
+    """
+    keyed = docs.select("*", F.xxhash64(quoted(doc_id), quoted(text)).alias("_row"))
+    marked = fingerprints(keyed.withColumn("_text", quoted(text)), shingle, "_row", "_text")
+    ids = stored(marked.withColumnRenamed("doc_id", "_row"), "fingerprints")
+    order = F.struct(quoted(doc_id).isNull(), quoted(doc_id), F.col("_row"))
+    rows = keyed.select("_row", order.alias("rank")).join(ids.distinct(), "_row")
+    lowest = rows.groupBy("fp").agg(F.min("rank").alias("low"))
+    kept = _component_of(lowest, max_bits).groupBy("component").agg(F.min("low").alias("low"))
+    kept = kept.select(F.col("low._row").alias("_row"))
+    return keyed.join(kept, "_row", "left_semi").dropDuplicates(["_row"]).select(docs.columns)
