@@ -17,7 +17,7 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, types as T
 
 from millrace.llm import grouped
 from millrace.llm.grouped import Group
@@ -143,9 +143,11 @@ def remove_repeats(
         later[order[1:]] = (edge[order[1:]] == edge[order[:-1]]) & (check[order[1:]] == check[order[:-1]])
         return grouped.answer(table, came_in, later)
 
-    schema = "doc_id long, n_words long, n_removed long, kept_sha256 string, spans array<struct<start:long,end:long>>"
+    spans_type = T.ArrayType(T.StructType().add("start", "long").add("end", "long"))
+    schema = T.StructType().add("doc_id", "long").add("n_words", "long").add("n_removed", "long")
+    schema = schema.add("kept_sha256", "string").add("spans", spans_type)
     if with_text:
-        schema += f", kept_text string, row {texts.schema['row'].dataType.simpleString()}"
+        schema = schema.add("kept_text", "string").add("row", texts.schema["row"].dataType)
 
     def remove(_: int, group: Group, answers: dict[int, pa.Table]) -> pa.Table:
         edges, (slice_no, at, _, _, edge, _), first, place = known(group, answers)

@@ -20,9 +20,9 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F, types as T
 
-from millrace.llm.quality import quoted
+from millrace.functions import quoted
 from millrace.llm.shared import stored
 from millrace.llm.tokens import ALNUM, Words, minimizers, mix, words
 
@@ -157,7 +157,11 @@ def contamination(
         quoted(text).cast("binary").alias("text"),
         *([F.struct(*map(quoted, kept)).alias("row")] if with_row else []),
     )
-    schema = "row_id long, doc_id long, n_words long, hits array<struct<start:int,length:int,digest:binary>>"
+    hit = T.StructType().add("start", "integer").add("length", "integer").add("digest", "binary")
+    schema = T.StructType().add("row_id", "long").add("doc_id", "long").add("n_words", "long")
+    schema = schema.add("hits", T.ArrayType(hit))
+    if with_row:
+        schema = schema.add("row", inputs.schema["row"].dataType)
     hit_type = pa.struct([("start", pa.int32()), ("length", pa.int32()), ("digest", pa.binary())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -182,12 +186,8 @@ def contamination(
                 pa.array([x and [dict(zip(("start", "length", "digest"), h, strict=True)) for h in x] for x in hits], pa.list_(hit_type)),
             ]
             next_id += n
-            yield pa.RecordBatch.from_arrays(arrays + batch.columns[2:], names=names)
+            yield pa.RecordBatch.from_arrays(arrays + batch.columns[2:], names=schema.names)
 
-    full = inputs.drop("text").withColumn("x", F.lit(0)).schema
-    names = ["row_id", "doc_id", "n_words", "hits", *(["row"] if with_row else [])]
-    if with_row:
-        schema = f"{schema}, row {full['row'].dataType.simpleString()}"
     passed = stored(inputs.mapInArrow(run, schema), "document-hits")
 
     hits = passed.filter("hits IS NOT NULL").select("row_id", F.explode("hits").alias("h")).select("row_id", "h.*")

@@ -17,9 +17,9 @@ from collections.abc import Callable
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F, types as T
 
-from millrace.llm.quality import quoted
+from millrace.functions import quoted
 
 GROUP_BYTES = 4 << 20
 NO_ID = np.iinfo(np.int64).max
@@ -83,9 +83,9 @@ def to_parts(g: int, part: np.ndarray, columns: list[np.ndarray]) -> pa.Table:
     """A packed row for each part. Entries keep their order within a part."""
     order = np.argsort(part, kind="stable")
     bounds = np.flatnonzero(np.diff(part[order], prepend=-1))
-    ends = np.append(bounds[1:], len(order))
+    ends = np.append(bounds, len(order))[1:]
     rows = [pack([c[order[a:b]] for c in columns]) for a, b in zip(bounds, ends, strict=True)]
-    parts = part[order[bounds]].astype(np.int32) if len(order) else np.zeros(0, np.int32)
+    parts = part[order[bounds]].astype(np.int32)
     return pa.table(
         {"part": pa.array(parts), "g": pa.array([g] * len(rows), pa.int32()), "packed": pa.array(rows, pa.binary())}
     )
@@ -138,7 +138,7 @@ def with_answers(
     texts: DataFrame,
     answers: DataFrame,
     act: Callable[[int, Group, dict[int, pa.Table]], pa.Table],
-    schema: str,
+    schema: str | T.StructType,
 ) -> DataFrame:
     """``act`` on every group that has texts, with the answers it got, by round."""
     def run(left: pa.Table, right: pa.Table) -> pa.Table:

@@ -24,7 +24,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from millrace.llm.quality import quoted
+from millrace.functions import quoted
 
 # Names of HTML elements by their role.
 _RAW = "script|style|noscript|template|textarea|title|svg|math|iframe|object|canvas|audio|video|xmp|noframes|select|option|button"
@@ -81,11 +81,11 @@ def _names(attrs: str) -> tuple[set[str], bool, bool]:
 
 def page_blocks(html: str) -> list[tuple[str, int]]:
     """The blocks of a page in order, white space made single, and what each is."""
-    stack: list[tuple[str, bool, int, bool]] = []  # element, whether it makes junk, part, part's junk
+    stack: list[tuple[str, bool, tuple[bool, bool, int]]] = []  # element, whether it makes junk, state outside
     blocks: list[tuple[str, bool, int]] = []  # text, junk, part
     parts: list[tuple[str, bool]] = []  # article or main, junk
     pieces: list[str] = []
-    junk, part = False, -1
+    junk, muted, part = False, False, -1
 
     def flush() -> None:
         if pieces:
@@ -95,15 +95,21 @@ def page_blocks(html: str) -> list[tuple[str, int]]:
             pieces.clear()
 
     def pop(at: int) -> None:
-        nonlocal junk, part
-        flush()
-        _, _, part, junk = stack[at]
+        nonlocal junk, muted, part
+        if any(x[0] not in _INLINE for x in stack[at:]):
+            flush()
+        junk, muted, part = stack[at][2]
         del stack[at:]
 
+    def say(text: str) -> None:
+        if text and not muted:
+            pieces.append(text)
+
+    # Behind the last tag there is none; a comment that is never closed hides the rest.
+    end = html.rfind(">") + 1
     at = 0
-    for m in _TAG.finditer(html):
-        if m.start() > at:
-            pieces.append(html[at : m.start()])
+    for m in _TAG.finditer(html, 0, end):
+        say(html[at : m.start()])
         at = m.end()
         if m["name"] is None:
             if m["raw"]:
@@ -125,19 +131,23 @@ def page_blocks(html: str) -> list[tuple[str, int]]:
             if name not in _INLINE:
                 flush()
             continue
-        names, hidden, main = _names(attrs) if attrs and "=" in attrs or "hidden" in attrs else (set(), False, False)
-        if name in _INLINE and not names and not hidden:
+        names, hidden, main = _names(attrs) if "=" in attrs or "hidden" in attrs else (set(), False, False)
+        outside = (junk, muted, part)
+        if name in _INLINE:  # does not end the block; what it hides is left out of it
+            odd = hidden or bool(names & (_JUNK - _HEAD if part >= 0 else _JUNK))
+            if odd or any(x[0] == name for x in stack):
+                muted = muted or odd
+                stack.append((name, False, outside))
             continue
         flush()
-        if name not in _INLINE:
-            if stack and stack[-1][0] == "p":
-                pop(len(stack) - 1)
-            while stack and stack[-1][0] in _CLOSES.get(name, ()):
-                pop(len(stack) - 1)
-        before = (part, junk)
+        if stack and stack[-1][0] == "p":
+            pop(len(stack) - 1)
+        while stack and stack[-1][0] in _CLOSES.get(name, ()):
+            pop(len(stack) - 1)
+        outside = (junk, muted, part)
         is_part = name in ("article", "main") or main
         if is_part and part >= 0 and name == "article" and parts[part][0] == "article":
-            junk, is_part = True, False  # an article in an article is a comment on it
+            junk = True  # an article in an article is a comment on it
         elif is_part:
             beside = junk and any(x[1] and x[0] in _BESIDE for x in stack)
             kind = "article" if name == "article" or "article" in names else "main"
@@ -146,9 +156,8 @@ def page_blocks(html: str) -> list[tuple[str, int]]:
         elif name not in ("html", "body"):
             odd = names & (_JUNK - _HEAD if part >= 0 else _JUNK)
             junk = junk or hidden or bool(odd) or name in _BESIDE or (name == "header" and part < 0)
-        stack.append((name, junk and not before[1], *before))
-    if at < len(html):
-        pieces.append(html[at:])
+        stack.append((name, junk and not outside[0], outside))
+    say(html[at:].split("<!--", 1)[0])
     flush()
 
     # The article with the most text, else the main part with the most; without one all is open.

@@ -24,7 +24,7 @@ import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
-from millrace.llm.quality import quoted
+from millrace.functions import quoted
 from millrace.llm.shared import stored
 from millrace.llm.tokens import Words, mix, words
 
@@ -256,7 +256,10 @@ def count_words(texts: DataFrame) -> DataFrame:
 
 
 def vocabulary_of(counts: DataFrame, head_words: int) -> tuple[Vocabulary, int]:
-    """The vocabulary, and the count from which words are in its head: at most ``head_words`` are."""
+    """The vocabulary, and the count from which words are in its head.
+
+    Besides the classes of their own at most ``head_words`` are.
+    """
     end = int(_END.view(np.int64))
     scale = F.floor(F.log2(F.col("n").cast("double"))).cast("int")
     by_scale = counts.groupBy(scale.alias("k")).agg(F.count("*").alias("words"), F.sum("n").alias("n"))
@@ -267,25 +270,27 @@ def vocabulary_of(counts: DataFrame, head_words: int) -> tuple[Vocabulary, int]:
         if held > head_words:
             break
         least = 1 << k
-    head = counts.filter((F.col("n") >= least) | (F.col("hash") == end)).toArrow()
+    # The most frequent words, the end first: they are classes, however large the head is.
+    own = counts.filter(F.col("hash") == end).toArrow()
+    top = counts.filter(F.col("hash") != end).orderBy(F.desc("n"), "hash").limit(FREQUENT - 1).toArrow()
+    top = pa.concat_tables([own, top])
+    rest = counts.filter((F.col("n") >= least) & ~F.col("hash").isin(top["hash"].to_pylist())).toArrow()
+    head = pa.concat_tables([top, rest])
     hashes, n = head["hash"].to_numpy().view(np.uint64), head["n"].to_numpy()
     order = np.argsort(hashes)
-    hashes, n, endings = hashes[order], n[order], head["ending"].to_numpy()[order]
-    by_count = np.lexsort((hashes, -n))
-    own = np.flatnonzero(hashes == _END)
-    top = np.concatenate([own, by_count[~np.isin(by_count, own)]])[:FREQUENT]
-    top = top[np.argsort(hashes[top])]
-    place = np.empty(len(top), dtype=np.int64)
-    place[np.lexsort((hashes[top], -n[top]))] = np.arange(len(top))
+    frequent = top["hash"].to_numpy().view(np.uint64)
+    place = np.argsort(frequent)
     totals, distinct = np.zeros(ENDINGS), np.zeros(ENDINGS)
     for r in counts.groupBy("ending").agg(F.sum("n").alias("n"), F.count("*").alias("words")).collect():
         totals[r["ending"]], distinct[r["ending"]] = r["n"], r["words"]
-    np.subtract.at(totals, endings[top], n[top])  # these are classes of their own
-    np.subtract.at(distinct, endings[top], 1)
-    total, words_in_all = sum(x[1] for x in sizes.values()), sum(x[0] for x in sizes.values())
-    if not len(top):
-        top, hashes, n, place = np.zeros(1, np.int64), np.array([_END]), np.zeros(1, np.int64), np.zeros(1, np.int64)
-    v = Vocabulary(total, words_in_all, hashes, n, hashes[top], place, totals, distinct)
+    endings = top["ending"].to_numpy()
+    np.subtract.at(totals, endings, top["n"].to_numpy())  # these are classes of their own
+    np.subtract.at(distinct, endings, 1)
+    total, in_all = sum(x[1] for x in sizes.values()), sum(x[0] for x in sizes.values())
+    if not in_all:  # no training text: an end that was never seen
+        none = np.zeros(1, dtype=np.int64)
+        return Vocabulary(0, 0, np.array([_END]), none, np.array([_END]), none, totals, distinct), least
+    v = Vocabulary(total, in_all, hashes[order], n[order], frequent[place], place, totals, distinct)
     return v, least
 
 

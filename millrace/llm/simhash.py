@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import DataFrame, functions as F
 
 from millrace.llm.components import components
-from millrace.llm.quality import quoted
+from millrace.functions import quoted
 from millrace.llm.shared import stored
 from millrace.llm.tokens import mix, words
 
@@ -302,12 +302,16 @@ def representatives(
 
     Null ids come last; of rows that share the smallest id one stays, by a hash of id and text.
     """
-    keyed = docs.select("*", F.xxhash64(quoted(doc_id), quoted(text)).alias("_row"))
-    marked = fingerprints(keyed.withColumn("_text", quoted(text)), shingle, "_row", "_text")
-    ids = stored(marked.withColumnRenamed("doc_id", "_row"), "fingerprints")
-    order = F.struct(quoted(doc_id).isNull(), quoted(doc_id), F.col("_row"))
-    rows = keyed.select("_row", order.alias("rank")).join(ids.distinct(), "_row")
-    lowest = rows.groupBy("fp").agg(F.min("rank").alias("low"))
+    keyed = docs.select(
+        F.struct(*map(quoted, docs.columns)).alias("row"),
+        F.xxhash64(quoted(doc_id), quoted(text)).alias("key"),
+        quoted(doc_id).alias("id"),
+        quoted(text).alias("body"),
+    )
+    marked = fingerprints(keyed, shingle, "key", "body").select(F.col("doc_id").alias("key"), "fp")
+    prints = stored(marked, "fingerprints").distinct()
+    rank = F.struct(F.col("id").isNull().alias("late"), "id", "key").alias("rank")
+    lowest = keyed.select("key", rank).join(prints, "key").groupBy("fp").agg(F.min("rank").alias("low"))
     kept = _component_of(lowest, max_bits).groupBy("component").agg(F.min("low").alias("low"))
-    kept = kept.select(F.col("low._row").alias("_row"))
-    return keyed.join(kept, "_row", "left_semi").dropDuplicates(["_row"]).select(docs.columns)
+    found = keyed.select("row", "key").join(kept.select("low.key"), "key", "left_semi")
+    return found.dropDuplicates(["key"]).select("row.*")

@@ -25,7 +25,7 @@ import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame, functions as F
 
-from millrace.llm.quality import quoted
+from millrace.functions import quoted
 from millrace.llm.tokens import ALNUM, Words, mix, words
 
 #: Lengths in bytes of the prefixes a word takes after; after these comes the word itself.
@@ -71,6 +71,8 @@ def _count_texts(w: Words, toxic: np.ndarray, counts: np.ndarray) -> None:
 
 def _token_scores(w: Words, model: Model, toxic: np.ndarray | None = None) -> np.ndarray:
     """Log-odds of each word. ``toxic``: the texts' labels, to leave out each text's own count."""
+    if not 0 < model.base < 1:
+        return np.zeros(len(w.starts))
     features, has = _features(w, len(model.counts))
     own = np.zeros(len(w.starts)) if toxic is None else toxic[w.text_of].astype(np.float64)
     left = 0.0 if toxic is None else 1.0

@@ -1,0 +1,81 @@
+"""Benchmark windows in documents against a plain search."""
+
+import hashlib
+import re
+
+import pytest
+
+from millrace.llm.decontaminate import contamination
+
+PATTERN = rb"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+
+
+def plain(texts, items, window=10):
+    windows = {}
+    for item, text in items:
+        w = re.findall(PATTERN, (text or "").encode().lower())
+        n = min(len(w), window)
+        for i in range(len(w) - n + 1 if w and item is not None else 0):
+            windows.setdefault(tuple(w[i : i + n]), set()).add(str(item))
+    lengths = {len(x) for x in windows}
+    out = []
+    for doc_id, text in texts:
+        w = re.findall(PATTERN, (text or "").encode().lower())
+        hit, found = set(), set()
+        for n in lengths:
+            for i in range(len(w) - n + 1):
+                if (who := windows.get(tuple(w[i : i + n]))) is not None:
+                    hit.update(range(i, i + n))
+                    found |= who
+        ids = ",".join(sorted(found))
+        out.append((doc_id, len(w), len(hit), len(found), hashlib.sha256(ids.encode()).hexdigest(), bool(hit)))
+    return sorted(out, key=repr)
+
+
+def run(docs, items, **options):
+    return sorted((tuple(r) for r in contamination(docs, items, **options).collect()), key=repr)
+
+
+ITEMS = [
+    (1, "one two three four five six seven eight nine ten eleven twelve"),
+    (1, "One-Two three; FOUR five six seven eight nine ten"),
+    (20, "short item"),
+    (3, "x"),
+    (4, None),
+    (5, " .,- "),
+    (None, "short item"),
+    (7, "seven eight nine ten eleven twelve thirteen fourteen fifteen sixteen"),
+    (100, "été 日本 w1 w2 w3 w4 w5 w6 w7 w8 w9"),
+]
+TEXTS = [
+    (1, "zero one two three four five six seven eight nine ten eleven twelve thirteen fourteen fifteen sixteen"),
+    (2, "ONE.two.three four five six seven eight nine"),
+    (3, "a short, item! and x and short x item"),
+    (4, "Été 日本 w1 w2 w3 w4 w5 w6 w7 w8"),
+    (5, None),
+    (None, "short item " * 30),
+    (6, ""),
+    (6, "one two three four five six seven eight nine ten " * 3),
+    (6, "one two three four five six seven eight nine ten " * 3),
+]
+
+
+@pytest.mark.parametrize("window,k", [(10, 5), (4, 2), (3, 3)])
+def test_hits_are_those_of_a_plain_search(corpus, window, k):
+    docs = corpus.createDataFrame(TEXTS, "doc_id long, text string").repartition(3)
+    items = corpus.createDataFrame(ITEMS, "item_id long, text string").repartition(2)
+    found = run(docs, items, window=window, k=k, bitmap_bits=1 << 10)
+    assert found == plain(TEXTS, ITEMS, window)
+
+
+def test_odd_rows(corpus, odd_docs, no_docs):
+    items = corpus.createDataFrame([(1, " ".join(f"w{i}" for i in range(30, 45))), (2, "one")], "item_id long, text string")
+    texts = [(r["doc_id"], r["text"]) for r in odd_docs.collect()]
+    found = run(odd_docs, items)
+    assert found == plain(texts, [tuple(r) for r in items.collect()])
+    assert sum(r[-1] for r in found) == 5
+    with_row = contamination(odd_docs, items, with_row=True)
+    assert sorted(with_row.select("row.*").collect(), key=repr) == sorted(odd_docs.collect(), key=repr)
+    no_items = items.filter("item_id < 0")
+    assert not any(r[-1] for r in run(odd_docs, no_items))
+    assert run(no_docs, items) == [] == run(no_docs, no_items)

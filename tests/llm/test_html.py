@@ -1,0 +1,97 @@
+"""The main text of hand-made and of given pages."""
+
+import html as entities
+import re
+import time
+
+import pytest
+
+from millrace.llm.html_text import JUNK, OPEN, TEXT, main_text, page_blocks
+
+from .conftest import SF_DIR
+
+
+def kept(page):
+    return " ".join(t for t, kind in page_blocks(page) if kind == TEXT)
+
+
+@pytest.mark.parametrize(
+    "page,expected",
+    [
+        ("<article><h1>A</h1><p>b<b>c</b> d<br>e&amp;f&#x41;&nbsp;g</article>", "A bc d e&fA g"),
+        ("<nav>n</nav><main><p>m</p><aside>x</aside></main><footer>f</footer>", "m"),
+        ("<main>x<article>a<p>b</article>y</main>", "a b"),
+        ("<article>a<div class='post-comments'>c</div><form>f</form>b</article>", "a b"),
+        ("<article>a<article>comment</article>b</article>", "a b"),
+        ("<article class='comment'>no</article><article>yes yes</article>", "yes yes"),
+        ("<article>short</article><article>the longer one</article>", "the longer one"),
+        ("<div class='layout with-sidebar'><article>a<p class=adBox>x<p>b</article></div>", "a b"),
+        ("<article><header class='article-header'><h1>T</h1></header>a</article>", "T a"),
+        ("<article>a<script>if (a < b) '</p>'</script><style>p{}</style><!-- c <p> -->b</article>", "a b"),
+        ("<article>a<p title='x > y'>b<span hidden>h</span><i style='display: none'>h</i>c</article>", "a bc"),
+        ("<article><ul><li>1<li class='share'>s<li>2</ul></article>", "1 2"),
+        ("<ARTICLE>A &lt;b&gt; &bogus; &#xD800; <B>c</ARTICLE>", "A <b> &bogus; � c"),
+        ("<div role='main'>a</div><div role='navigation'>n</div>", "a"),
+        ("<body class='sidebar'><main class='menu-open'>a</main>", "a"),
+        ("<article>a <a href=\"unclosed>b</a> c</article>", "a b c"),
+        ("<article>a < b and c > d</article>", "a < b and c > d"),
+        ("<article> wide　blanks\t\n</article>", "wide blanks"),
+        ("<article>a<!-- never closed", "a"),
+        ("", ""),
+    ],
+)
+def test_structure(page, expected):
+    assert kept(page) == expected
+
+
+def test_open_blocks_where_nothing_marks_the_text():
+    page = "<header>h</header><div class=menu>m</div><div>a<p>b</p></div><footer>f</footer>"
+    assert page_blocks(page) == [("h", JUNK), ("m", JUNK), ("a", OPEN), ("b", OPEN), ("f", JUNK)]
+
+
+def test_broken_markup_takes_linear_time():
+    for piece in ("<a href=\"x ", "<", "<div class='", "<script>", "<!--", "<p>", "</p>", "&amp", "'\"<b "):
+        start = time.perf_counter()
+        page_blocks(piece * 20_000)
+        assert time.perf_counter() - start < 10, piece
+
+
+def test_given_pages(corpus):
+    pages = corpus.read.parquet(f"{SF_DIR}/pages.parquet")
+    found = {r["page_id"]: r for r in main_text(pages).collect()}
+    for row in pages.collect():
+        body = re.search(r"<article>(.*)</article>", row["html"], re.S)[1]
+        body = re.sub(r"<[^>]*>", "", re.sub(r"</?(p|br|h1)>", " ", body))
+        expected = " ".join(entities.unescape(body).split())
+        assert found[row["page_id"]]["text"] == expected
+        assert found[row["page_id"]]["n_chars"] == len(expected) > 0
+        assert found[row["page_id"]]["url"] == row["url"]
+
+
+def test_runs_shared_within_a_host_go(corpus):
+    def page(words, shared=""):
+        return f"<div>{words}</div><div>{shared}</div><p>{words[::-1]}</p>"
+
+    line = "all rights reserved by the people who made this page since nineteen ninety"
+    own = [f"unique words of page number {i} come here and go on {i * 7}" for i in range(6)]
+    rows = [(i, f"http://Host.example/{i}", page(own[i], line)) for i in range(3)]
+    rows += [(3, "http://other.example/3", page(own[3], line)), (4, None, page(own[4], "Menu")), (5, None, page(own[5], "Menu"))]
+    rows += [(6, "http://host.example/6", page(own[0] + " but longer than the other page" + " by far and wide" * 5, ""))]
+    frame = corpus.createDataFrame(rows, "page_id long, url string, html string")
+    found = {r["page_id"]: r["text"] for r in main_text(frame).collect()}
+    assert found[1] == f"{own[1]} {own[1][::-1]}"
+    assert found[3] == f"{own[3]} {line} {own[3][::-1]}"
+    assert found[4] == f"{own[4]} {own[4][::-1]}"
+    # Half and less of a block shared is no boilerplate; all of it is.
+    assert "but longer" in found[6] and own[0] not in found[0].split(own[0][::-1])[0]
+
+
+def test_odd_rows(corpus):
+    schema = "page_id long, url string, html string, page long, text string, gone string, block int"
+    same = (3, "http://a/", "<div>some words that are the same on both rows of this page</div>", 1, "t", "g", 2)
+    rows = [(None, None, None, None, None, None, None), (1, "x", "", 1, "t", "g", 2), (2, None, "<p>a", 1, "t", "g", 2), same, same]
+    rows.append((4, "http://b/", "<div>word </div>" * 20_000 + "<article>" + "long text " * 200_000 + "</article>", 1, "t", "g", 2))
+    found = main_text(corpus.createDataFrame(rows, schema)).collect()
+    texts = sorted((r["page_id"] or 0, r["text"][:8], r["n_chars"]) for r in found)
+    assert texts == [(0, "", 0), (1, "", 0), (2, "a", 1), (3, "some wor", 54), (3, "some wor", 54), (4, "long tex", 1_999_999)]
+    assert main_text(corpus.createDataFrame([], schema)).count() == 0

@@ -1,0 +1,122 @@
+"""Repeated word spans and byte strings against plain removal."""
+
+import hashlib
+import random
+
+import numpy as np
+import pytest
+
+from millrace.llm.debruijn import remove_repeats
+from millrace.llm.suffix_index import IndexFamily, match_batches, remove_earlier_strings
+
+
+def order(row):
+    return (row[0] is None, row[0] or 0)
+
+
+def plain_words(rows, window):
+    """Rows of distinct ids. (id, words, removed, sha of the kept words)"""
+    seen, out = set(), []
+    for doc_id, text in sorted(rows, key=order):
+        words = (text or "").encode().split()
+        gone = set()
+        for i in range(len(words) - window + 1):
+            key = tuple(words[i : i + window])
+            if key in seen:
+                gone.update(range(i, i + window))
+            seen.add(key)
+        kept = b" ".join(w for i, w in enumerate(words) if i not in gone)
+        out.append((doc_id, len(words), len(gone), hashlib.sha256(kept).hexdigest()))
+    return sorted(out, key=order)
+
+
+def plain_bytes(rows, length):
+    first, out = {}, []
+    for doc_id, text in sorted(rows, key=order):
+        body = (text or "").encode()
+        gone = np.zeros(len(body) + 2, dtype=bool)
+        for i in range(len(body) - length + 1):
+            if first.setdefault(body[i : i + length], order((doc_id,))) < order((doc_id,)):
+                gone[i + 1 : i + 1 + length] = True
+        kept = bytes(np.frombuffer(body, np.uint8)[~gone[1 : len(body) + 1]])
+        spans = int(np.count_nonzero(gone[1:] & ~gone[:-1]))
+        out.append((doc_id, len(body), int(gone.sum()), spans, hashlib.sha256(kept).hexdigest()))
+    return sorted(out, key=order)
+
+
+def few_symbols(seed, alphabet, joiner):
+    """Texts in which short strings repeat again and again, with copied passages."""
+    rng = random.Random(seed)
+    passages = [[rng.choice(alphabet) for _ in range(rng.randint(4, 40))] for _ in range(4)]
+    rows = []
+    for i in range(60):
+        parts = [p for _ in range(rng.randint(0, 5)) for p in rng.choice([rng.choice(passages), [rng.choice(alphabet) for _ in range(9)]])]
+        rows.append((i * 7 % 61, joiner.join(parts)))
+    return [*rows, (None, rows[3][1]), (99, ""), (98, None), (97, rows[5][1]), (96, rows[5][1])]
+
+
+@pytest.mark.parametrize("window,anchor,group_bytes", [(4, 2, 150), (6, 3, 1 << 22), (3, 3, 400)])
+def test_word_spans(corpus, window, anchor, group_bytes):
+    rows = few_symbols(window, ["a", "b", "c", "dd"], " ")
+    docs = corpus.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    found = remove_repeats(docs, window, anchor, group_bytes=group_bytes).drop("spans").collect()
+    expected = plain_words(rows, window)
+    assert sorted((tuple(r) for r in found), key=order) == expected
+    assert sum(r[2] for r in expected) > 50
+
+
+@pytest.mark.parametrize("length,anchor,group_bytes", [(8, 4, 200), (12, 5, 1 << 22), (9, 9, 500)])
+def test_byte_strings(corpus, length, anchor, group_bytes):
+    rows = few_symbols(length, ["ab", "é", "c"], "")
+    docs = corpus.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    found = remove_earlier_strings(docs, length, anchor, group_bytes=group_bytes).collect()
+    expected = plain_bytes(rows, length)
+    assert sorted((tuple(r) for r in found), key=order) == expected
+    assert sum(r[2] for r in expected) > 50
+
+
+def test_query_bytes(documents):
+    rows = [(r["doc_id"], r["text"]) for r in documents.collect()]
+    found = remove_earlier_strings(documents, 50, group_bytes=100_000).collect()
+    assert sorted((tuple(r) for r in found), key=order) == plain_bytes(rows, 50)
+
+
+def test_odd_rows(odd_docs, no_docs):
+    rows = remove_repeats(odd_docs, 20, with_text=True, group_bytes=2000).collect()
+    assert len(rows) == odd_docs.count()
+    by_id = {}
+    for r in rows:
+        by_id.setdefault(r["doc_id"], []).append(r)
+        assert r["n_removed"] == sum(s["end"] - s["start"] for s in r["spans"])
+        assert r["n_words"] - r["n_removed"] == len(r["kept_text"].encode().split())
+        assert "n_words" in r["row"] and "text" not in r["row"]
+    # Rows equal in id and text are one document; the other text of that id repeats its words, or they its.
+    assert sorted(r["n_removed"] for r in by_id[5])[-1] == 80 and by_id[5][0]["n_words"] in (80, 86)
+    assert sorted(r["n_removed"] for r in by_id[None]) == [0, 80]
+    assert by_id[2][0]["kept_text"] == "" and by_id[3][0]["n_words"] == 0
+    cut = remove_earlier_strings(odd_docs, 50, with_text=True, group_bytes=2000).collect()
+    assert len(cut) == odd_docs.count()
+    assert all(len(r["kept"]) == r["n_bytes"] - r["n_removed"] for r in cut)
+    # Texts that share an id are not earlier than each other; the null id comes last.
+    assert {r["n_removed"] for r in cut if r["doc_id"] == 5} == {0}
+    assert sorted(r["n_removed"] == r["n_bytes"] for r in cut if r["doc_id"] is None) == [True, True]
+    assert remove_repeats(no_docs).count() == 0 == remove_earlier_strings(no_docs).count()
+
+
+def test_family_of_levels():
+    rng = np.random.default_rng(4)
+    keys = rng.integers(0, 500, 3000).astype(np.uint64)
+    documents = np.sort(rng.integers(0, 300, 3000))
+    lowest = {}
+    for k, d in zip(keys.tolist(), documents.tolist(), strict=True):
+        lowest.setdefault(k, d)
+    expected = [lowest[k] < d for k, d in zip(keys.tolist(), documents.tolist(), strict=True)]
+    for batch_rows in (7, 100, 10_000):
+        assert match_batches(keys, documents, batch_rows).tolist() == expected
+    family = IndexFamily()
+    for i in range(64):
+        family.add(np.arange(100 * i, 100 * i + 100, dtype=np.uint64), np.full(100, i))
+        sizes = [len(level) for level, _ in family.levels]
+        assert len(sizes) <= i.bit_length() + 1
+        assert all(2 * b < a for a, b in zip(sizes, sizes[1:], strict=False))
+    assert family.scan(np.array([5, 6399, 6400], dtype=np.uint64)).tolist()[:2] == [0, 63]

@@ -1,0 +1,99 @@
+"""Fingerprints and components against plain versions."""
+
+import itertools
+
+import numpy as np
+import pytest
+import xxhash
+
+from millrace.llm.components import components
+from millrace.llm.simhash import _count_codes, _grids, _manhattan, near_links, representatives, simhash_components
+
+
+def plain_fingerprint(text, k=4):
+    found = (text or "").encode().lower().split()
+    if not found:
+        return 0
+    hashes = [xxhash.xxh64_intdigest(b" ".join(found[i : i + k]), 42) for i in range(max(1, len(found) - k + 1))]
+    return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+
+
+def plain_components(nodes, linked):
+    label = {n: n for n in nodes}
+
+    def root(n):
+        while label[n] != n:
+            n = label[n]
+        return n
+
+    for a, b in itertools.combinations(nodes, 2):
+        if linked(a, b):
+            x, y = sorted((root(a), root(b)))
+            label[y] = x
+    return {n: root(n) for n in nodes}
+
+
+def test_components(corpus):
+    pairs = [(1, 2), (2, 3), (9, 3), (5, 6), (7, 7), (6, 5), *((100 + i, 101 + i) for i in range(60))]
+    found = {r["node"]: r["component"] for r in components(corpus.createDataFrame(pairs, "a long, b long")).collect()}
+    expected = {1: 1, 2: 1, 3: 1, 9: 1, 5: 5, 6: 5} | {100 + i: 100 for i in range(61)}
+    assert found == expected
+    assert components(corpus.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_query_gives_fingerprints_and_components(documents):
+    rows = {r["doc_id"]: r for r in simhash_components(documents).collect()}
+    texts = {r["doc_id"]: plain_fingerprint(r["text"]) for r in documents.collect()}
+    assert {i: r["fingerprint"] for i, r in rows.items()} == {i: f"{f:016x}" for i, f in texts.items()}
+    expected = plain_components(sorted(texts), lambda a, b: (texts[a] ^ texts[b]).bit_count() <= 4)
+    assert {i: r["component_id"] for i, r in rows.items()} == expected
+    assert len(set(expected.values())) < len(texts)
+
+
+def test_bound_is_below_the_distance_and_grids_miss_nothing():
+    rng = np.random.default_rng(1)
+    a = rng.integers(0, 2**64, 2000, dtype=np.uint64)
+    flips = [sum(1 << int(b) for b in rng.choice(64, rng.integers(0, 5), replace=False)) for _ in a]
+    b = a ^ np.array(flips, dtype=np.uint64)
+    codes = _count_codes(a), _count_codes(b)
+    counts = [[[bin(int(x) >> s & 3).count("1") for s in range(0, 64, 2)] for x in side] for side in (a, b)]
+    plain = np.abs(np.array(counts[0]) - np.array(counts[1])).sum(axis=1)
+    assert (_manhattan(*codes) == plain).all()
+    assert (plain <= np.bitwise_count(a ^ b)).all()
+    assert np.any([(codes[0] & m) == (codes[1] & m) for m in _grids(4)], axis=0).all()
+
+
+@pytest.mark.parametrize("cell_rows", [4, 4096])
+def test_cells_of_any_size_give_the_same_components(corpus, cell_rows):
+    """Many prints around a few centres, so that cells are large and are cut into blocks."""
+    rng = np.random.default_rng(2)
+    centres = rng.integers(0, 2**63, 3, dtype=np.uint64)
+    prints = {int(c) ^ sum(1 << int(b) for b in rng.choice(20, rng.integers(0, 6), replace=False)) for c in centres for _ in range(120)}
+    signed = [p - 2**64 if p >= 2**63 else p for p in prints]
+    links = near_links(corpus.createDataFrame([(p,) for p in signed], "fp long"), 4, cell_rows)
+    for a, b in links.collect():
+        assert ((a ^ b) & (2**64 - 1)).bit_count() >= 1
+    found = {r["node"]: r["component"] for r in components(links).collect()}
+    expected = plain_components(sorted(signed), lambda a, b: ((a ^ b) & (2**64 - 1)).bit_count() <= 4)
+    assert {n: found.get(n, n) for n in signed} == expected
+
+
+def test_odd_rows(odd_docs, no_docs):
+    rows = simhash_components(odd_docs).collect()
+    assert len(rows) == odd_docs.count()
+    empty = [r for r in rows if r["fingerprint"] == "0" * 16]
+    assert sorted(r["doc_id"] or 0 for r in empty) == [0, 1, 2, 3]
+    assert {r["component_id"] for r in empty} == {1}
+    prose = [r for r in rows if r["doc_id"] in (5, None) and r not in empty]
+    assert {r["component_id"] for r in prose} == {5}
+    assert simhash_components(no_docs).count() == 0
+
+
+def test_one_of_each_component_stays(odd_docs, no_docs, documents):
+    kept = representatives(odd_docs)
+    assert kept.columns == odd_docs.columns
+    ids = [r["doc_id"] for r in kept.collect()]
+    assert sorted(ids)[:1] == [1] and len(ids) == len(set(ids)) and 5 in ids and None not in ids
+    components_left = {r["component_id"] for r in simhash_components(documents).collect()}
+    assert sorted(r["doc_id"] for r in representatives(documents).collect()) == sorted(components_left)
+    assert representatives(no_docs).count() == 0
