@@ -9,18 +9,19 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
-from datetime import datetime
+from datetime import datetime, timedelta, timezone
+from decimal import Decimal
 from importlib.util import find_spec
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from millrace import schemas, sinks, sources, streaming
-from millrace.functions import epoch_seconds_utc, event_id, run_stamp, run_timestamp
+from millrace.functions import epoch_seconds_utc, event_id, run_stamp, run_timestamp, session_time
 from millrace.operators import (
     ORDER_RULES,
     ColumnRule,
     dedupe,
-    dedupe_sparse,
+    dedupe_any,
     default_time,
     failure_cases,
     failure_summary,
@@ -128,9 +129,14 @@ def events_latest_per_user(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def documents_dedupe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One document per language and length; few share both, so most are not shuffled."""
-    documents = _table(spark, sf_dir, "documents")
-    return dedupe_sparse(documents, ["lang", "n_chars"], order_by=["doc_id"])
+    """One document per language and length, whole texts with it."""
+    return dedupe(_table(spark, sf_dir, "documents"), ["lang", "n_chars"], order_by=["doc_id"])
+
+
+def document_keys_any(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many documents of each language differ in length, whichever of them is kept."""
+    unique = dedupe_any(_table(spark, sf_dir, "documents"), ["lang", "n_chars"])
+    return key_counts(unique, ["lang"])
 
 
 def lineitem_reduce(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -151,10 +157,15 @@ def event_type_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def fill_default(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A double, a decimal and a whole number, each with its own kind of default."""
     items = _table(spark, sf_dir, "lineitem").select(
-        "l_orderkey", "l_linenumber", F.expr("nullif(l_discount, 0)").alias("l_discount")
+        "l_orderkey",
+        F.expr("nullif(l_linenumber, 3)").alias("l_linenumber"),
+        F.expr("nullif(l_discount, 0)").alias("l_discount"),
+        F.expr("cast(nullif(l_tax, 0) as decimal(4,2))").alias("l_tax"),
     )
-    return fill_defaults(items, {"l_discount": 0.0})
+    defaults = {"l_discount": 0.0, "l_tax": Decimal("0.55"), "l_linenumber": -1.0}
+    return fill_defaults(items, defaults).withColumn("l_tax", F.col("l_tax").cast("double"))
 
 
 def rename_not_null(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -171,8 +182,14 @@ def target_projection(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stamp_run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    orders = stamp(_table(spark, sf_dir, "orders").select("o_orderkey"), run_ts=RUN_TS)
-    return orders.withColumn("run", run_stamp(F.col("processed_timestamp")))
+    """A run time with a zone shows in the session's zone, in paths as in columns."""
+    zoned = RUN_TS.replace(tzinfo=timezone(timedelta(hours=-5)))
+    run_ts = session_time(spark, zoned)
+    orders = stamp(_table(spark, sf_dir, "orders").select("o_orderkey"), run_ts=zoned)
+    path = sinks.run_path("", "", run_ts, "").removeprefix("/_")
+    return orders.withColumn("run", run_stamp(F.col("processed_timestamp"))).withColumn(
+        "path_stamp", F.lit(path)
+    )
 
 
 def stamp_now(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -209,7 +226,8 @@ def assigned_event_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stage_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return stage_row_counts({n: _table(spark, sf_dir, n) for n in ("orders", "lineitem")})
+    names = ("customer", "orders", "lineitem", "events", "documents", "conversations")
+    return stage_row_counts({n: _table(spark, sf_dir, n) for n in names})
 
 
 def write_row_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -321,6 +339,24 @@ def raw_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return names.select("s_suppkey", "s_name", F.lit(landed.rsplit("/", 1)[1]).alias("landed_as"))
 
 
+def _write_csv_parts(orders: DataFrame, folder: str) -> None:
+    """Orders as CSV files of two headers: finished ones have their columns the other way round."""
+    columns = ["o_orderkey", "o_totalprice", "o_orderpriority"]
+    sinks.write_csv(orders.filter("o_orderstatus <> 'F'").select(columns), f"{folder}/open")
+    sinks.write_csv(orders.filter("o_orderstatus = 'F'").select(columns[::-1]), f"{folder}/finished")
+
+
+def raw_landing_mixed_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files of two column orders, landed and read back by name."""
+    root, source = scratch_path(spark, "raw"), scratch_path(spark, "source")
+    _write_csv_parts(_table(spark, sf_dir, "orders"), source)
+    landed = sinks.land_raw_csv(spark, f"{source}/*", root, "orders", RUN_TS, mixed_headers=True)
+    text = sources.read_csv_by_name(spark, f"{landed}/*")
+    return text.select(
+        F.col("o_orderkey").cast("bigint"), F.col("o_totalprice").cast("double"), "o_orderpriority"
+    )
+
+
 def parquet_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "parquet")
     sinks.write_parquet(_table(spark, sf_dir, "orders"), path)
@@ -334,6 +370,16 @@ def partitioned_parquet(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sources.read_parquet(spark, path).select(events.columns)
 
 
+def partitioned_write_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows counted during a partitioned write, above its shuffle."""
+    events = _table(spark, sf_dir, "events")
+    observed, counts = watch(sinks.by_size(events, "event_type"))
+    path = scratch_path(spark, "parquet")
+    sinks.write_parquet(observed, path, partition_by=["event_type"])
+    written = sources.read_parquet(spark, path).groupBy("event_type").agg(F.count("*").alias("n"))
+    return written.withColumn("counted", F.lit(counts.rows).cast("bigint"))
+
+
 def json_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     events, path = _table(spark, sf_dir, "events"), scratch_path(spark, "json")
     sinks.write_json(events, path)
@@ -345,17 +391,7 @@ def fixed_key_publish(spark: SparkSession, sf_dir: str) -> DataFrame:
     key, orders = scratch_path(spark, "published"), _table(spark, sf_dir, "orders")
     sinks.publish(orders.filter("o_orderstatus = 'F'"), key)
     sinks.publish(orders, key)
-    return sources.read_parquet(spark, key)
-
-
-def single_file_publish(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Totals by priority over all orders, as one file: there are few priorities."""
-    key = f"{scratch_path(spark, 'single')}/priority_totals.parquet"
-    orders = _table(spark, sf_dir, "orders")
-    totals = totals_by_key(orders, "o_orderpriority", "o_totalprice", "o_orderkey", MONEY)
-    sinks.publish_single_file(totals, key)
-    at_key = F.input_file_name().endswith("/priority_totals.parquet")
-    return sources.read_parquet(spark, key).select("*", at_key.alias("fixed_key"))
+    return sources.read_published(spark, key)
 
 
 def table_load(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -413,25 +449,68 @@ def event_stream_publish(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def event_stream_count(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """How many messages a run published; a second run from the checkpoint publishes none."""
+    """How many messages a run of many micro-batches published, asked after its end; a second run
+    from the checkpoint publishes none."""
     out, checkpoint = scratch_path(spark, "topic"), scratch_path(spark, "offsets")
+    source, events = scratch_path(spark, "events"), _table(spark, sf_dir, "events")
+    sinks.write_parquet(events.repartition(8), source)
+    stream = sources.read_event_files(spark, source, events.schema, max_files_per_trigger=1)
     counts = []
     for run in (1, 2):
-        query = publish_events(_stream_events(spark, sf_dir), streaming.file_sink(out), checkpoint)
-        counts.append((run, streaming.await_published(query)))
+        publication = publish_events(_sensor_events(stream), streaming.file_sink(out), checkpoint)
+        publication.query.awaitTermination()
+        counts.append((run, streaming.await_published(publication)))
     return sources.from_rows(spark, counts, "run int, published bigint")
 
 
+def event_interval_publish(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A stream that looks for new events every so often, stopped once it has published all."""
+    out, checkpoint = scratch_path(spark, "topic"), scratch_path(spark, "offsets")
+    publication = publish_events(
+        _stream_events(spark, sf_dir), streaming.file_sink(out), checkpoint, "200 milliseconds"
+    )
+    try:
+        publication.query.processAllAvailable()
+    finally:
+        publication.stop()
+    published = streaming.await_published(publication)
+    found = spark.read.text(out).agg(F.count("*").alias("found"))
+    return found.withColumn("published", F.lit(published).cast("bigint"))
+
+
 def event_batch_publish(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = scratch_path(spark, "topic")
     publish_events(_sensor_events(_table(spark, sf_dir, "events")), streaming.file_sink(out))
     return streaming.decode_events(spark.read.text(out))
 
 
+def event_publish_shaped(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events of the declared columns, some without id or reading, as the job publishes them."""
+    events = _table(spark, sf_dir, "events").select(
+        F.expr("case when event_id % 3 <> 0 then cast(event_id as string) end").alias("event_id"),
+        epoch_seconds_utc(F.col("ts")).alias("timestamp"),
+        F.col("user_id").cast("int").alias("device_id"),
+        F.expr("case when event_id % 5 <> 0 then value / 7 end").alias("reading_value"),
+    )
+    source, out = scratch_path(spark, "events"), scratch_path(spark, "topic")
+    sinks.write_parquet(events, source)
+    stream = sources.read_event_files(spark, source, schemas.SENSOR_EVENT)
+    shaped = streaming.shape_events(stream)
+    checkpoint = scratch_path(spark, "offsets")
+    streaming.await_published(publish_events(shaped, streaming.file_sink(out), checkpoint))
+    found = streaming.decode_events(spark.read.text(out))
+    return found.groupBy("device_id").agg(
+        F.count("event_id").alias("ids"),
+        F.count_if(F.col("event_id").rlike("^[0-9]+$")).alias("own_ids"),
+        F.count("reading_value").alias("readings"),
+        F.count_if(F.col("reading_value") != F.round("reading_value", 2)).alias("long_readings"),
+    )
+
+
 # --- whole flows ---------------------------------------------------------------------------
 
 
-def _ingest(spark: SparkSession, sf_dir: str, landing_format: str, rare_repeats: bool = False):
+def _ingest(spark: SparkSession, sf_dir: str, landing_format: str):
     root, table = scratch_path(spark, "ingest"), _new_table("ingested")
     # Every finished order comes twice, the second time a day later and at another price.
     orders = _source_orders(spark, sf_dir)
@@ -450,7 +529,6 @@ def _ingest(spark: SparkSession, sf_dir: str, landing_format: str, rare_repeats:
         f"{root}/table",
         RUN_TS,
         landing_format,
-        rare_repeats,
     )
 
 
@@ -459,7 +537,7 @@ def batch_ingest_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def batch_ingest_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return sources.read_parquet(spark, _ingest(spark, sf_dir, "parquet", True).aggregated_path)
+    return sources.read_parquet(spark, _ingest(spark, sf_dir, "parquet").aggregated_path)
 
 
 def batch_ingest_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -471,6 +549,20 @@ def batch_ingest_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def batch_ingest_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders with a text that has line breaks, through a CSV landing of bounded files."""
+    root = scratch_path(spark, "ingest")
+    orders = _table(spark, sf_dir, "orders").select(
+        F.col("o_orderkey").alias("order_id"),
+        F.col("o_custkey").alias("customer_id"),
+        F.col("o_totalprice").cast("decimal(10,2)").alias("amount"),
+        F.col("o_orderdate").alias("order_date"),
+        F.concat_ws("\n", "o_orderpriority", F.lit(' "a", b'), "o_orderstatus").alias("note"),
+    )
+    result = run_batch_ingest(orders, f"{root}/raw", f"{root}/processed", run_ts=RUN_TS)
+    return sources.read_parquet(spark, result.transformed_path).select("order_id", "note")
+
+
 def csv_etl_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     root, table = scratch_path(spark, "etl"), _new_table("etl")
     orders = _table(spark, sf_dir, "orders").select(
@@ -501,12 +593,35 @@ def csv_etl_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sources.read_table(spark, table)
 
 
+def csv_etl_two_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two flows that land under one root keep to their own files."""
+    root, found = scratch_path(spark, "etl"), []
+    for name, table, key in (("part", "part", "p_partkey"), ("part_s", "supplier", "s_suppkey")):
+        target, source = _new_table(name), f"{root}/source_{name}"
+        rows = _table(spark, sf_dir, table).select(key)
+        sinks.write_csv(rows, source)
+        run_csv_etl(
+            spark, source, f"{root}/raw", f"{root}/transformed", name, target,
+            f"{root}/table_{name}", run_ts=RUN_TS,
+        )
+        found.append(sources.read_table(spark, target).select(F.lit(name).alias("flow"), F.col(key).alias("id")))
+    # The first flow runs again, beside the landings of the second.
+    target = _new_table("part")
+    run_csv_etl(
+        spark, f"{root}/source_part", f"{root}/raw", f"{root}/transformed", "part", target,
+        f"{root}/table_again", run_ts=RUN_TS + timedelta(days=1),
+    )
+    found.append(sources.read_table(spark, target).select(F.lit("both runs").alias("flow"), F.col("p_partkey").alias("id")))
+    return found[0].unionAll(found[1]).unionAll(found[2])
+
+
 _QUERIES: tuple[Query, ...] = (
     orders_customer_totals,
     lineitem_totals,
     lineitem_dedupe,
     events_latest_per_user,
     documents_dedupe,
+    document_keys_any,
     lineitem_reduce,
     event_type_counts,
     fill_default,
@@ -532,22 +647,27 @@ _QUERIES: tuple[Query, ...] = (
     event_csv_round_trip,
     csv_typed_by_guess,
     raw_landing,
+    raw_landing_mixed_headers,
     parquet_round_trip,
     partitioned_parquet,
+    partitioned_write_counts,
     json_round_trip,
     fixed_key_publish,
-    single_file_publish,
     table_load,
     table_replace,
     event_json_round_trip,
     event_messages,
     event_stream_publish,
     event_stream_count,
+    event_interval_publish,
     event_batch_publish,
+    event_publish_shaped,
     batch_ingest_table,
     batch_ingest_totals,
     batch_ingest_counts,
+    batch_ingest_text,
     csv_etl_table,
+    csv_etl_two_names,
 )
 
 
@@ -672,6 +792,10 @@ def _library_sql() -> dict[str, str]:
                 FROM documents)
             WHERE rn = 1
         """,
+        "document_keys_any": """
+            SELECT lang, count(*) AS n FROM (SELECT DISTINCT lang, n_chars FROM documents)
+            GROUP BY lang
+        """,
         "lineitem_reduce": """
             SELECT l_suppkey, count(*) AS n, min(l_quantity) AS smallest,
                    max(l_quantity) AS largest
@@ -679,7 +803,9 @@ def _library_sql() -> dict[str, str]:
         """,
         "event_type_counts": "SELECT event_type, count(*) AS n FROM events GROUP BY event_type",
         "fill_default": """
-            SELECT l_orderkey, l_linenumber, coalesce(nullif(l_discount, 0), 0.0) AS l_discount
+            SELECT l_orderkey, coalesce(nullif(l_linenumber, 3), -1) AS l_linenumber,
+                   coalesce(nullif(l_discount, 0), 0.0) AS l_discount,
+                   CAST(coalesce(CAST(nullif(l_tax, 0) AS DECIMAL(4,2)), 0.55) AS DOUBLE) AS l_tax
             FROM lineitem
         """,
         "rename_not_null": """
@@ -695,8 +821,8 @@ def _library_sql() -> dict[str, str]:
             FROM orders
         """,
         "stamp_run": """
-            SELECT o_orderkey, TIMESTAMP '2024-05-06 07:08:09' AS processed_timestamp,
-                   '20240506_070809' AS run
+            SELECT o_orderkey, TIMESTAMP '2024-05-06 12:08:09' AS processed_timestamp,
+                   '20240506_120809' AS run, '20240506_120809' AS path_stamp
             FROM orders
         """,
         "stamp_now": """
@@ -710,8 +836,12 @@ def _library_sql() -> dict[str, str]:
         """,
         "assigned_event_ids": "SELECT event_type, count(*) AS n FROM events GROUP BY event_type",
         "stage_counts": """
-            SELECT 'orders' AS stage, count(*) AS row_count FROM orders
+            SELECT 'customer' AS stage, count(*) AS row_count FROM customer
+            UNION ALL SELECT 'orders', count(*) FROM orders
             UNION ALL SELECT 'lineitem', count(*) FROM lineitem
+            UNION ALL SELECT 'events', count(*) FROM events
+            UNION ALL SELECT 'documents', count(*) FROM documents
+            UNION ALL SELECT 'conversations', count(*) FROM conversations
         """,
         "write_row_counts": """
             SELECT 'rows' AS item, '' AS "check", count(*) AS n FROM lineitem
@@ -782,15 +912,15 @@ def _library_sql() -> dict[str, str]:
                    'supplier_20240506_070809.csv' AS landed_as
             FROM supplier
         """,
+        "raw_landing_mixed_headers": "SELECT o_orderkey, o_totalprice, o_orderpriority FROM orders",
         "parquet_round_trip": "SELECT * FROM orders",
         "partitioned_parquet": "SELECT * FROM events",
+        "partitioned_write_counts": """
+            SELECT event_type, count(*) AS n, (SELECT count(*) FROM events) AS counted
+            FROM events GROUP BY event_type
+        """,
         "json_round_trip": "SELECT * FROM events",
         "fixed_key_publish": "SELECT * FROM orders",
-        "single_file_publish": f"""
-            SELECT *, true AS fixed_key FROM ({
-                _totals_sql("orders", "o_orderpriority", "o_totalprice", "o_orderkey")
-            })
-        """,
         "table_load": """
             SELECT CAST(o_orderkey AS INTEGER) AS order_id,
                    CAST(o_custkey AS INTEGER) AS customer_id,
@@ -811,7 +941,17 @@ def _library_sql() -> dict[str, str]:
             SELECT CAST(1 AS INTEGER) AS run, count(*) AS published FROM events
             UNION ALL SELECT 2, 0
         """,
+        "event_interval_publish": """
+            SELECT count(*) AS found, count(*) AS published FROM events
+        """,
         "event_batch_publish": _DECODED_EVENTS,
+        "event_publish_shaped": """
+            SELECT CAST(user_id AS INTEGER) AS device_id, count(*) AS ids,
+                   count(*) FILTER (event_id % 3 <> 0) AS own_ids,
+                   count(*) FILTER (event_id % 5 <> 0) AS readings,
+                   CAST(0 AS BIGINT) AS long_readings
+            FROM events GROUP BY user_id
+        """,
         "batch_ingest_table": _INGESTED
         + """
             SELECT CAST(order_id AS INTEGER) AS order_id,
@@ -828,6 +968,17 @@ def _library_sql() -> dict[str, str]:
             FROM orders
             UNION ALL SELECT 'transformed', count(DISTINCT o_orderkey) FROM orders
         """,
+        "batch_ingest_text": """
+            SELECT o_orderkey AS order_id,
+                   o_orderpriority || chr(10) || ' "a", b' || chr(10) || o_orderstatus AS note
+            FROM orders
+        """,
+        "csv_etl_two_names": """
+            SELECT 'part' AS flow, CAST(p_partkey AS VARCHAR) AS id FROM part
+            UNION ALL SELECT 'part_s', CAST(s_suppkey AS VARCHAR) FROM supplier
+            UNION ALL SELECT 'both runs', CAST(p_partkey AS VARCHAR) FROM part
+            UNION ALL SELECT 'both runs', CAST(p_partkey AS VARCHAR) FROM part
+        """,
         "csv_etl_table": """
             SELECT o_orderkey, o_orderpriority AS "1958", o_totalprice AS "January"
             FROM orders WHERE o_orderpriority <> '5-LOW'

@@ -8,6 +8,7 @@ from millrace.functions.scalars import (
     rounded,
     run_stamp,
     run_timestamp,
+    session_time,
 )
 
 __all__ = [
@@ -20,4 +21,5 @@ __all__ = [
     "rounded",
     "run_stamp",
     "run_timestamp",
+    "session_time",
 ]

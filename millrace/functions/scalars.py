@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, SparkSession, functions as F
 
 # The run stamp used in object names, as Python and as Spark write it.
 RUN_STAMP_PYTHON = "%Y%m%d_%H%M%S"
@@ -26,6 +26,17 @@ def run_timestamp(run_ts: datetime | None = None) -> Column:
     return F.lit(run_ts.isoformat(sep=" ")).cast("timestamp")
 
 
+def session_time(spark: SparkSession, run_ts: datetime) -> datetime:
+    """The same time without zone, as a clock in the session's zone shows it.
+
+    A time that has no zone is taken to be one already. Paths and columns stamped with the result agree.
+    """
+    if run_ts.tzinfo is None:
+        return run_ts
+    text = F.lit(run_ts.isoformat(sep=" ")).cast("timestamp").cast("timestamp_ntz").cast("string")
+    return datetime.fromisoformat(spark.range(1).select(text).first()[0])
+
+
 def run_stamp(ts: Column) -> Column:
     """A timestamp as ``yyyyMMdd_HHmmss`` text."""
     return F.date_format(ts, RUN_STAMP_SPARK)

@@ -2,14 +2,11 @@
 
 from __future__ import annotations
 
-import functools
-import operator
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Observation, functions as F, types as T
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from millrace.functions import quoted
-from millrace.session import scratch_path
 
 
 def _orderable(data_type: T.DataType) -> bool:
@@ -20,6 +17,16 @@ def _orderable(data_type: T.DataType) -> bool:
     return not isinstance(data_type, (T.MapType, T.VariantType, T.CalendarIntervalType))
 
 
+def _rank(field: T.StructField) -> Column:
+    """The column in a form that has an order: a map as its sorted entries."""
+    column, kind = quoted(field.name), field.dataType
+    if isinstance(kind, T.MapType) and _orderable(kind.keyType) and _orderable(kind.valueType):
+        return F.array_sort(F.map_entries(column))
+    if not _orderable(kind):
+        raise TypeError(f"{field.name!r} of type {kind.simpleString()} cannot decide between rows")
+    return column
+
+
 def dedupe(
     df: DataFrame,
     keys: Sequence[str],
@@ -29,7 +36,8 @@ def dedupe(
     """Keep one row per key: the first (or last) by ``order_by``, then by all other columns.
 
     The choice depends on the values alone, so two outputs built from the same input agree
-    however it was partitioned. Null keys form one group, nulls sort first.
+    however it was partitioned. Null keys form one group, nulls sort first. A map counts as its
+    sorted entries; columns of other types without an order are refused.
 
     It is a min (or max) over the row itself, which Spark combines before the shuffle: each
     task sends at most one row per key, however many rows one key holds. The sort it needs is
@@ -46,15 +54,15 @@ def dedupe(
         return df.dropDuplicates(list(keys))
 
     leading = [c for c in order_by if c not in keys]
-    trailing = [f.name for f in others if f.name not in leading and _orderable(f.dataType)]
-    ranking = [quoted(c) for c in (*leading, *trailing)]
-    if len(ranking) == len(others):
+    by_name = {f.name: f for f in others}
+    ranked = [by_name[c] for c in leading] + [f for f in others if f.name not in leading]
+    ranking = [_rank(f) for f in ranked]
+    if all(_orderable(f.dataType) for f in others):
         pick = F.min if keep == "first" else F.max
         row = pick(F.struct(*ranking))
     else:
-        # Maps have no order: they ride along with the row but cannot decide between rows.
         pick_by = F.min_by if keep == "first" else F.max_by
-        row = pick_by(F.struct(*[quoted(f.name) for f in others]), F.struct(*ranking or [F.lit(0)]))
+        row = pick_by(F.struct(*[quoted(f.name) for f in others]), F.struct(*ranking))
 
     picked = df.groupBy(*[quoted(k) for k in keys]).agg(row.alias("__row"))
     return picked.select(
@@ -65,70 +73,6 @@ def dedupe(
     )
 
 
-def _key_bytes(df: DataFrame, keys: Sequence[str]) -> Column:
-    """About the memory one key takes in a broadcast table."""
-    size = F.lit(32)
-    for name in keys:
-        data_type = df.schema[name].dataType
-        if isinstance(data_type, (T.StringType, T.BinaryType)):
-            size = size + F.lit(16) + F.coalesce(F.octet_length(quoted(name)), F.lit(0))
-        elif isinstance(data_type, (T.ArrayType, T.StructType)):
-            size = size + F.lit(16) + F.length(F.to_json(F.struct(quoted(name))))
-        else:
-            size = size + F.lit(16)
-    return size.cast("bigint")
-
-
-def dedupe_sparse(
-    df: DataFrame,
-    keys: Sequence[str],
-    order_by: Sequence[str] = (),
-    keep: str = "first",
-    max_broadcast_bytes: int = 128 * 1024 * 1024,
-    max_repeated_share: float = 0.25,
-) -> DataFrame:
-    """The rows of ``dedupe``, without shuffling rows whose key occurs once.
-
-    First only the keys are counted, which reads and shuffles nothing but the key columns. The
-    keys that repeat are written to the shared scratch folder and their size is measured. If it
-    is within ``max_broadcast_bytes`` and they hold a small share of the rows, all other rows go
-    straight from the scan to the output, and just the rows of repeated keys are shuffled.
-    Otherwise this is a plain ``dedupe``.
-
-    Use it on columnar files with rows much wider than their keys: ``df`` is read up to three
-    times, the first time the keys only, and must give the same rows each time. The keys are
-    counted at once, not when the result is used.
-    """
-    spark = df.sparkSession
-    path = scratch_path(spark, "repeated_keys")
-    columns = [quoted(k) for k in keys]
-    n = F.col("__n")
-    found = Observation()
-    counted = df.groupBy(*columns).agg(F.count(F.lit(1)).alias("__n"))
-    counted.observe(
-        found,
-        F.coalesce(F.sum(n), F.lit(0)).alias("rows"),
-        F.coalesce(F.sum(F.when(n > 1, n)), F.lit(0)).alias("repeated_rows"),
-        F.coalesce(F.sum(F.when(n > 1, _key_bytes(df, keys))), F.lit(0)).alias("key_bytes"),
-    ).filter(n > 1).drop("__n").write.mode("overwrite").parquet(path)
-    counts = found.get
-    if counts["repeated_rows"] == 0:
-        return df
-    if (
-        counts["key_bytes"] > max_broadcast_bytes
-        or counts["repeated_rows"] > max_repeated_share * counts["rows"]
-    ):
-        return dedupe(df, keys, order_by, keep)
-
-    known = spark.read.parquet(path).toDF(*[f"__k{i}" for i in range(len(keys))])
-    same_key = functools.reduce(
-        operator.and_, [c.eqNullSafe(F.col(f"__k{i}")) for i, c in enumerate(columns)]
-    )
-    once = df.join(F.broadcast(known), same_key, "left_anti")
-    many = df.join(F.broadcast(known), same_key, "left_semi")
-    return once.unionByName(dedupe(many, keys, order_by, keep))
-
-
 def dedupe_any(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Keep one row per key, whichever comes first. Use it when the choice does not matter."""
     return df.dropDuplicates(list(keys))

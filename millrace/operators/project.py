@@ -4,32 +4,55 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from datetime import datetime
+from decimal import Decimal
 
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from millrace.functions import default_now, quoted, run_timestamp
 
 
+def _holds(kind: T.DataType, value: object) -> bool:
+    """Whether a type can hold a value as it is."""
+    if isinstance(value, bool):
+        return isinstance(kind, T.BooleanType)
+    if isinstance(value, str):
+        return isinstance(kind, T.StringType)
+    if not isinstance(value, (int, float, Decimal)):
+        return False
+    if isinstance(kind, (T.FloatType, T.DoubleType)):
+        return True
+    exact = Decimal(str(value)) if isinstance(value, float) else Decimal(value)
+    if not exact.is_finite():
+        return False
+    if isinstance(kind, T.DecimalType):
+        digits = exact.scaleb(kind.scale)
+        return digits == digits.to_integral_value() and abs(digits) < 10**kind.precision
+    for whole, bits in ((T.ByteType, 8), (T.ShortType, 16), (T.IntegerType, 32), (T.LongType, 64)):
+        if isinstance(kind, whole):
+            return exact == exact.to_integral_value() and -(2 ** (bits - 1)) <= exact < 2 ** (bits - 1)
+    return False
+
+
 def fill_defaults(df: DataFrame, defaults: Mapping[str, object]) -> DataFrame:
     """Replace nulls (and NaN in floating columns) by a default per column.
 
-    Spark would turn a number into text to fill a string column, and skip a column that
-    does not exist; both are refused here.
+    Spark would turn a number into text to fill a string column, cut a fraction off to fill a
+    whole number, and skip a column that does not exist; all of that is refused here.
     """
     types = {f.name: f.dataType for f in df.schema.fields}
+    filled = {}
     for name, value in defaults.items():
         if name not in types:
             raise ValueError(f"no column {name!r} to fill")
-        if isinstance(value, bool):
-            fits = isinstance(types[name], T.BooleanType)
-        elif isinstance(value, (int, float)):
-            fits = isinstance(types[name], T.NumericType)
-        else:
-            fits = isinstance(types[name], T.StringType) and isinstance(value, str)
-        if not fits:
-            found = types[name].simpleString()
-            raise TypeError(f"{value!r} is no default for {name!r} of type {found}")
-    return df.fillna(dict(defaults))
+        kind = types[name]
+        if not _holds(kind, value):
+            raise TypeError(f"{value!r} is no default for {name!r} of type {kind.simpleString()}")
+        column = quoted(name)
+        if isinstance(kind, (T.FloatType, T.DoubleType)):
+            column = F.nanvl(column, F.lit(None).cast(kind))
+        default = F.lit(str(value)) if isinstance(kind, T.DecimalType) else F.lit(value)
+        filled[name] = F.coalesce(column, default.cast(kind))
+    return df.withColumns(filled) if filled else df
 
 
 def stamp(

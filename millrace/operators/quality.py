@@ -224,7 +224,8 @@ def watch(df: DataFrame, rules: Sequence[ColumnRule] = ()) -> tuple[DataFrame, W
     """Count rows and broken rules as a by-product of the next action on the returned frame.
 
     Broken schema rules raise at once. Put it right before a write: counts taken in the
-    last stage are exact even when a lost executor makes Spark run a task again.
+    last stage are exact even when a lost executor makes Spark run a task again. A shuffle for
+    the write belongs below it: ``watch(sinks.by_size(df, ...))``.
     """
     schema_failures = _schema_failures(df, rules)
     if schema_failures:

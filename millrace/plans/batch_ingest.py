@@ -8,12 +8,13 @@ from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession, types as T
 
-from millrace import schemas, storage
+from millrace import schemas
+from millrace.functions import session_time
 from millrace.operators.aggregate import totals_by_key
-from millrace.operators.dedupe import dedupe, dedupe_sparse
+from millrace.operators.dedupe import dedupe
 from millrace.operators.project import fill_defaults, stamp
 from millrace.operators.quality import ORDER_RULES, watch
-from millrace.sinks.files import publish, run_path, write_csv, write_parquet
+from millrace.sinks.files import by_size, publish
 from millrace.sinks.tables import load_table
 from millrace.sources.files import read_csv, read_parquet
 
@@ -23,14 +24,17 @@ TRANSFORMED_ORDERS = "orders/orders_transformed.parquet"
 AGGREGATED_ORDERS = "orders/orders_aggregated.parquet"
 
 
+def _has_text(schema: T.StructType) -> bool:
+    return any(isinstance(f.dataType, T.StringType) for f in schema.fields)
+
 
 def _read_landed_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     # Text may hold line breaks; without text columns the files can be split.
-    texts = any(isinstance(f.dataType, T.StringType) for f in schema.fields)
+    texts = _has_text(schema)
     return read_csv(spark, path, schema, multi_line=texts, keep_empty=texts)
 
 
-_LANDING = {"csv": (write_csv, _read_landed_csv), "parquet": (write_parquet, read_parquet)}
+_READ_LANDING = {"csv": _read_landed_csv, "parquet": read_parquet}
 
 
 @dataclass(frozen=True)
@@ -43,15 +47,9 @@ class BatchIngestResult:
     transformed_rows: int
 
 
-def transform_orders(
-    orders: DataFrame, run_ts: datetime | None = None, rare_repeats: bool = False
-) -> DataFrame:
-    """Drop repeated orders, then fill missing amounts, then stamp the run.
-
-    ``rare_repeats`` picks ``dedupe_sparse``, for orders read from columnar files.
-    """
-    drop_repeats = dedupe_sparse if rare_repeats else dedupe
-    unique = drop_repeats(orders, ["order_id"], order_by=["order_date"])
+def transform_orders(orders: DataFrame, run_ts: datetime | None = None) -> DataFrame:
+    """Drop repeated orders, then fill missing amounts, then stamp the run."""
+    unique = dedupe(orders, ["order_id"], order_by=["order_date"])
     return stamp(fill_defaults(unique, {"amount": 0.0}), run_ts=run_ts)
 
 
@@ -59,56 +57,45 @@ def run_batch_ingest(
     orders: DataFrame,
     raw_root: str,
     processed_root: str,
-    load: Callable[[DataFrame], None] | str | None = None,
+    load: Callable[[DataFrame], object] | str | None = None,
     table_location: str | None = None,
     run_ts: datetime | None = None,
     landing_format: str = "csv",
-    rare_repeats: bool = False,
 ) -> BatchIngestResult:
     """Run the whole flow on an orders frame, such as a JDBC or catalog table.
 
     The source is read once: its rules are counted while it is landed, and only a landing
-    without violations takes the place of the last one. (On an object store, where that move
-    would copy all data, it gets a run-stamped path of its own.) Each later step starts from
+    without violations takes the place of the last one. Each later step starts from
     files, so no step is computed twice and a lost executor costs single tasks. The totals
-    come from the transformed files and so agree with them row for row.
+    come from the transformed files and so agree with them row for row. Landing, transformed orders
+    and totals are datasets at fixed keys (``publish``); the result has the folders of this run.
 
     ``load`` is the name of a catalog table, with ``table_location`` for its files, or a
-    function that takes the transformed frame; a load over JDBC starts from the files at the
-    result's ``transformed_path``. ``landing_format`` is ``csv``, or ``parquet``
-    for large tables, where parsing text again would cost more than the transform. Add
-    ``rare_repeats`` there if few orders come twice: the others are then not shuffled.
+    function that takes the transformed frame as read from its files, such as one that calls
+    ``load_jdbc_table``. ``landing_format`` is ``csv``, or ``parquet`` for large tables, where
+    parsing text again would cost more than the transform. A CSV file with text is read by one
+    task, as text may hold line breaks; orders with text are therefore dealt out to files of
+    bounded size first.
     """
     if isinstance(load, str) and table_location is None:
         raise ValueError("a catalog table needs a table_location for its files")
     spark = orders.sparkSession
-    run_ts = run_ts or datetime.now(timezone.utc)
+    run_ts = session_time(spark, run_ts or datetime.now(timezone.utc))
     raw_root, processed_root = raw_root.rstrip("/"), processed_root.rstrip("/")
-    write_landing, read_landing = _LANDING[landing_format]
-
-    landed = f"{raw_root}/{LANDED_ORDERS}.{landing_format}"
-    staging = f"{landed}.staging"
-    if storage.rename_copies(spark, landed):
-        landed = staging = run_path(raw_root, LANDED_ORDERS, run_ts, f".{landing_format}")
-    observed, landing = watch(orders, ORDER_RULES)
-    write_landing(observed, staging)
-    try:
-        landing.raise_if_broken()
-    except ValueError:
-        storage.delete(spark, staging)
-        raise
-    if staging != landed:
-        storage.promote(spark, staging, landed)
-
-    transformed = f"{processed_root}/{TRANSFORMED_ORDERS}"
+
+    bounded = landing_format == "csv" and _has_text(orders.schema)
+    observed, landing = watch(by_size(orders) if bounded else orders, ORDER_RULES)
+    key = f"{raw_root}/{LANDED_ORDERS}.{landing_format}"
+    landed = publish(observed, key, landing_format, accept=landing.raise_if_broken)
+
+    read_landing = _READ_LANDING[landing_format]
     observed, transform = watch(
-        transform_orders(read_landing(spark, landed, orders.schema), run_ts, rare_repeats)
+        transform_orders(read_landing(spark, landed, orders.schema), run_ts)
     )
     schema = observed.schema
-    publish(observed, transformed)
-
-    aggregated = f"{processed_root}/{AGGREGATED_ORDERS}"
-    publish(totals_by_key(read_parquet(spark, transformed, schema)), aggregated)
+    transformed = publish(observed, f"{processed_root}/{TRANSFORMED_ORDERS}")
+    totals = totals_by_key(read_parquet(spark, transformed, schema))
+    aggregated = publish(totals, f"{processed_root}/{AGGREGATED_ORDERS}")
 
     if load is not None:
         frame = read_parquet(spark, transformed, schema)

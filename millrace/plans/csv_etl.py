@@ -8,10 +8,11 @@ from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession, types as T
 
+from millrace.functions import session_time
 from millrace.operators.project import rename, require_not_null
-from millrace.sinks.files import land_raw_csv, write_run_csv
+from millrace.sinks.files import all_runs, land_raw_csv, write_run_csv
 from millrace.sinks.tables import replace_table
-from millrace.sources.files import read_csv
+from millrace.sources.files import read_csv, read_csv_by_name
 
 
 @dataclass(frozen=True)
@@ -30,7 +31,7 @@ def run_csv_etl(
     raw_root: str,
     transformed_root: str,
     name: str,
-    load: Callable[[DataFrame], None] | str | None = None,
+    load: Callable[[DataFrame], object] | str | None = None,
     table_location: str | None = None,
     names: Mapping[str, str] | None = None,
     not_null: Sequence[str] = (),
@@ -39,20 +40,27 @@ def run_csv_etl(
     schema: T.StructType | str | None = None,
     infer_types: bool = False,
     multi_line: bool = False,
+    mixed_headers: bool = False,
 ) -> CsvEtlResult:
     """Land the files of ``source``, clean what has been landed, and load the result.
 
-    Like the landing area it keeps, the transform covers the files of all runs;
-    ``this_run_only`` leaves the older ones out. The table gets the columns of the cleaned
-    files: as text, or typed by ``schema``, or by ``infer_types`` at the price of one more
-    scan. Paths are handed on as values and whole folders are read.
+    Like the landing area it keeps, the transform covers the files of all runs of this ``name``;
+    ``this_run_only`` leaves the older ones out. All must have the same header, or the job stops;
+    with ``mixed_headers`` cells go by the names in their own files, in every run of the flow. The
+    table gets the columns of the cleaned files: as text, or typed by ``schema``, or by
+    ``infer_types`` at the price of one more scan. ``load`` is the name of a catalog table, or a
+    function that takes the frame as read from its files, such as one that calls
+    ``replace_jdbc_table``. Paths are handed on as values and whole folders are read.
     """
     if isinstance(load, str) and table_location is None:
         raise ValueError("a catalog table needs a table_location for its files")
-    run_ts = run_ts or datetime.now(timezone.utc)
-    landed = land_raw_csv(spark, source, raw_root, name, run_ts, multi_line)
-    to_read = landed if this_run_only else f"{raw_root.rstrip('/')}/*.csv"
-    raw = read_csv(spark, to_read, multi_line=multi_line, trim=True)
+    run_ts = session_time(spark, run_ts or datetime.now(timezone.utc))
+    landed = land_raw_csv(spark, source, raw_root, name, run_ts, multi_line, mixed_headers)
+    to_read = landed if this_run_only else all_runs(raw_root, name)
+    if mixed_headers:
+        raw = read_csv_by_name(spark, f"{to_read}/*", multi_line=multi_line, trim=True)
+    else:
+        raw = read_csv(spark, to_read, multi_line=multi_line, trim=True)
     transformed = write_run_csv(
         clean_csv(raw, names or {}, not_null), transformed_root, f"{name}_transformed", run_ts
     )

@@ -3,10 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql.streaming import StreamingQuery
 
 from millrace.streaming.events import encode_events
-from millrace.streaming.publish import MessageSink, publish_batch, publish_stream
+from millrace.streaming.publish import MessageSink, Publication, publish_batch, publish_stream
 
 
 def publish_events(
@@ -14,7 +13,7 @@ def publish_events(
     sink: MessageSink,
     checkpoint: str | None = None,
     interval: str | None = None,
-) -> StreamingQuery | None:
+) -> Publication | None:
     """Encode events and publish them: a stream from its checkpoint, a plain frame at once."""
     messages = encode_events(events)
     if not events.isStreaming:

@@ -11,14 +11,6 @@ ORDERS = T.StructType(
     ]
 )
 
-CUSTOMERS = T.StructType(
-    [
-        T.StructField("customer_id", T.IntegerType(), False),
-        T.StructField("customer_name", T.StringType(), True),
-        T.StructField("join_date", T.TimestampType(), True),
-    ]
-)
-
 ORDERS_TRANSFORMED = T.StructType(
     [
         T.StructField("order_id", T.IntegerType(), True),

@@ -1,7 +1,8 @@
 from millrace.sinks.files import (
+    all_runs,
+    by_size,
     land_raw_csv,
     publish,
-    publish_single_file,
     run_path,
     write_csv,
     write_json,
@@ -12,11 +13,12 @@ from millrace.sinks.jdbc import load_jdbc_table, replace_jdbc_table
 from millrace.sinks.tables import load_table, replace_table
 
 __all__ = [
+    "all_runs",
+    "by_size",
     "land_raw_csv",
     "load_jdbc_table",
     "load_table",
     "publish",
-    "publish_single_file",
     "replace_jdbc_table",
     "replace_table",
     "run_path",

@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from datetime import datetime
 
 from pyspark.sql import DataFrame, DataFrameWriter, SparkSession
 
 from millrace import storage
-from millrace.functions.scalars import RUN_STAMP_PYTHON
-from millrace.sources.files import CSV_DIALECT, read_csv
+from millrace.functions.scalars import RUN_STAMP_PYTHON, session_time
+from millrace.sources.files import CSV_DIALECT, csv_headers, read_csv
 
 # Spark's CSV and JSON writers keep milliseconds and trim blanks unless told otherwise.
 TIME_FORMATS = {
@@ -30,15 +30,39 @@ WRITE_OPTIONS: dict[str, Mapping[str, str]] = {
 }
 
 
+def by_size(df: DataFrame, *columns: str) -> DataFrame:
+    """The rows dealt out to tasks of about equal size, rows of equal ``columns`` together.
+
+    Adaptive execution splits a value, or a share, with too many bytes and joins small ones. Each
+    task writes a file, so files are bounded by bytes
+    (``spark.sql.adaptive.advisoryPartitionSizeInBytes``).
+    """
+    return df.hint("rebalance", *columns)
+
+
+def _analyzed(df: DataFrame) -> str:
+    return df._jdf.queryExecution().analyzed().toString()
+
+
+def _dealt_by_size(df: DataFrame) -> bool:
+    """Whether the plan is ``by_size``, or counts on top of it."""
+    nodes = [line.strip(" +-:").split(" ")[0] for line in _analyzed(df).splitlines()]
+    return [n for n in nodes if n != "CollectMetrics"][:1] == ["RebalancePartitions"]
+
+
 def _writer(
     df: DataFrame,
     file_format: str,
     partition_by: Sequence[str] = (),
     max_records_per_file: int | None = None,
 ) -> DataFrameWriter:
-    if partition_by:
+    if partition_by and not _dealt_by_size(df):
         # Else every task would write a file per value. A value with many rows is split again.
-        df = df.hint("rebalance", *partition_by)
+        if "CollectMetrics" in _analyzed(df):
+            raise ValueError(
+                "counts below a shuffle can count a task twice: watch(by_size(df, ...)) puts them above it"
+            )
+        df = by_size(df, *partition_by)
     writer = df.write.format(file_format).options(**WRITE_OPTIONS[file_format]).mode("overwrite")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
@@ -72,17 +96,28 @@ def write_parquet(
 
 
 def run_path(root: str, name: str, run_ts: datetime, extension: str = ".csv") -> str:
-    """``<root>/<name>_<yyyyMMdd_HHmmss><extension>``"""
+    """``<root>/<name>_<yyyyMMdd_HHmmss><extension>``, the time as it is given.
+
+    ``session_time`` turns a time with a zone into that of the session, which columns show.
+    """
     return f"{root.rstrip('/')}/{name}_{run_ts.strftime(RUN_STAMP_PYTHON)}{extension}"
 
 
 def write_run_csv(df: DataFrame, root: str, name: str, run_ts: datetime) -> str:
     """Write CSV under a path that carries the time of the run, and return the path."""
-    path = run_path(root, name, run_ts)
+    path = run_path(root, name, session_time(df.sparkSession, run_ts))
     write_csv(df, path)
     return path
 
 
+def all_runs(root: str, name: str, extension: str = ".csv") -> str:
+    """A glob for what ``run_path`` gives for one name at any time, and for no other name."""
+    special = "*?[]{}\\"
+    plain = "".join(f"\\{c}" if c in special else c for c in name)
+    digit = "[0-9]"
+    return f"{root.rstrip('/')}/{plain}_{digit * 8}_{digit * 6}{extension}"
+
+
 def land_raw_csv(
     spark: SparkSession,
     source: str | Sequence[str],
@@ -90,77 +125,53 @@ def land_raw_csv(
     name: str,
     run_ts: datetime,
     multi_line: bool = False,
+    mixed_headers: bool = False,
 ) -> str:
     """Copy reachable CSV files under a run-stamped path, every cell kept as its text.
 
     The copy is made by all tasks at once and a large file is split among them, so each part
     has the header of its own. Returns the path.
+
+    All files must have one header, and a row with a cell more or less stops the job.
+    ``mixed_headers`` lands the files of each header in a folder of its own below the path
+    (``header_0``, ``header_1``, ...), to be read by ``read_csv_by_name`` with ``<path>/*``.
     """
-    raw = read_csv(spark, source, multi_line=multi_line, trim=True)
-    path = run_path(root, name, run_ts)
-    # In quotes, blanks that belong to a cell survive a reader that trims.
-    _writer(raw, "csv").option("quoteAll", True).save(path)
+    path = run_path(root, name, session_time(spark, run_ts))
+    groups = {path: source}
+    if mixed_headers:
+        files = csv_headers(spark, source).values()
+        groups = {f"{path}/header_{i}": group for i, group in enumerate(files)}
+    for target, files in groups.items():
+        raw = read_csv(spark, files, multi_line=multi_line, trim=True)
+        # In quotes, blanks that belong to a cell survive a reader that trims.
+        _writer(raw, "csv").option("quoteAll", True).save(target)
     return path
 
 
 def publish(
-    df: DataFrame, key: str, file_format: str = "parquet", in_place: bool | None = None
-) -> str:
-    """Replace the dataset at a fixed key once the new one is complete.
-
-    It is written beside the key first: a run that fails leaves the old dataset as it was.
-    On an object store the move into place would copy all data, so there, or with
-    ``in_place``, it is written to the key itself and a run that fails leaves no dataset. Use
-    ``load_table``, which moves nothing, where readers must not see that.
-    """
-    spark = df.sparkSession
-    if in_place is None:
-        in_place = storage.rename_copies(spark, key)
-    if in_place:
-        _writer(df, file_format).save(key)
-        if not storage.part_files(spark, key, limit=1):
-            raise FileNotFoundError(f"no part file was written for {key}")
-        return key
-    staging = f"{key.rstrip('/')}.staging"
-    _writer(df, file_format).save(staging)
-    if not storage.part_files(spark, staging, limit=1):
-        raise FileNotFoundError(f"no part file was written for {key}")
-    storage.promote(spark, staging, key)
-    return key
-
-
-def publish_single_file(
     df: DataFrame,
     key: str,
     file_format: str = "parquet",
-    max_bytes: int = 128 * 1024 * 1024,
+    accept: Callable[[], None] | None = None,
+    keep: int = 2,
 ) -> str:
-    """Put a small result at a fixed key as one file.
+    """Replace the dataset at a fixed key once the new one is complete.
 
-    The result is computed and written in parallel, its size is checked, and only then its
-    parts are joined into one. A larger one is refused: it belongs in ``publish``.
+    The data are written to a folder of their own, and the key is pointed to it last, in the same
+    way on every store: a run that fails, or that ``accept`` refuses by an exception, leaves the
+    old dataset as it was. Read it with ``read_published``. Returns the folder, whose files never
+    change. The last ``keep`` datasets are kept for queries that still read them.
     """
     spark = df.sparkSession
-    staging = f"{key.rstrip('/')}.staging"
-    _writer(df, file_format).save(staging)
+    run = storage.new_run(key)
     try:
-        size = storage.size_in_bytes(spark, staging)
-        if size > max_bytes:
-            raise ValueError(f"{key}: {size} bytes are too many for one file (bound {max_bytes})")
-        parts = storage.part_files(spark, staging, limit=2)
-        folder = staging
-        if len(parts) != 1:
-            folder = f"{key.rstrip('/')}.merged"
-            if file_format == "csv":
-                staged = read_csv(spark, staging, df.schema, multi_line=True, keep_empty=True)
-            else:
-                staged = spark.read.schema(df.schema).format(file_format).load(staging)
-            _writer(staged.coalesce(1), file_format).save(folder)
-            parts = storage.part_files(spark, folder, limit=2)
-        if len(parts) != 1:
-            raise FileNotFoundError(f"{key}: expected one part file, found {len(parts)}")
-        storage.promote(spark, parts[0], key)
-        storage.delete(spark, folder)
-    finally:
-        storage.delete(spark, staging)
-    return key
+        _writer(df, file_format).save(run)
+        if not storage.has_part_file(spark, run):
+            raise FileNotFoundError(f"no part file was written for {key}")
+        if accept is not None:
+            accept()
+    except Exception:
+        storage.delete(spark, run)
+        raise
+    storage.make_current(spark, key, run, keep)
+    return run

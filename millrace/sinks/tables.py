@@ -8,8 +8,9 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, types as T
+from pyspark.sql import DataFrame, SparkSession, types as T
 
+from millrace import storage
 from millrace.operators.project import to_target
 
 
@@ -27,12 +28,30 @@ def _create(df: DataFrame, table: str, path: str, schema: T.StructType) -> None:
     df.sparkSession.catalog.createTable(table, path=path, source="parquet", schema=schema)
 
 
-def load_table(df: DataFrame, table: str, schema: T.StructType, location: str) -> None:
+def _drop_old_loads(spark: SparkSession, table: str, location: str, keep: int) -> None:
+    """Removes all loads but the last ``keep``, and never the one the table points to."""
+    if keep < 1:
+        raise ValueError("the load that counts must be kept")
+    current = _location(spark, table).rsplit("/", 1)[1]
+    loads = {n: t for n, t in storage.children(spark, location).items() if n.startswith("load_")}
+    newest = sorted(loads, key=lambda n: (n == current, loads[n], n), reverse=True)
+    for name in newest[keep:]:
+        storage.delete(spark, f"{location.rstrip('/')}/{name}")
+
+
+def _location(spark: SparkSession, table: str) -> str:
+    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").filter("col_name = 'Location'").collect()
+    return rows[0]["data_type"]
+
+
+def load_table(
+    df: DataFrame, table: str, schema: T.StructType, location: str, keep: int = 2
+) -> None:
     """Replace all rows of a table of a fixed schema, creating it if it is absent.
 
     The frame is projected and cast to ``schema``; a value that does not fit, or a table of
-    another shape, stops the load. An empty frame empties the table. ``location`` holds one
-    folder per load; older ones may go when no query reads them any more.
+    another shape, stops the load. An empty frame empties the table. ``location`` belongs to the
+    table and holds one folder per load; the last ``keep`` stay for queries that read them.
     """
     spark = df.sparkSession
     present = spark.catalog.tableExists(table)
@@ -47,10 +66,34 @@ def load_table(df: DataFrame, table: str, schema: T.StructType, location: str) -
         spark.catalog.refreshTable(table)
     else:
         _create(df, table, path, schema)
+    _drop_old_loads(spark, table, location, keep)
 
 
-def replace_table(df: DataFrame, table: str, location: str) -> None:
-    """Replace a table, schema and all, by a frame."""
+def replace_table(df: DataFrame, table: str, location: str, keep: int = 2) -> None:
+    """Replace a table, schema and all, by a frame.
+
+    The new table is written and created beside the old one, under another name; then the names
+    are changed. If that fails the old table is put back as it was.
+    """
+    spark = df.sparkSession
     path = _write_version(df, location)
-    df.sparkSession.sql(f"DROP TABLE IF EXISTS {table}")
-    _create(df, table, path, df.schema)
+    beside = f"{table}__{uuid.uuid4().hex}"
+    _create(df, beside, path, df.schema)
+    old = None
+    if spark.catalog.tableExists(table):
+        old = (_location(spark, table), spark.table(table).schema)
+    try:
+        if old is not None:
+            spark.sql(f"DROP TABLE {table}")  # its files stay
+        _rename(spark, beside, table)
+    except Exception:
+        if old is not None and not spark.catalog.tableExists(table):
+            _create(df, table, *old)
+        spark.sql(f"DROP TABLE IF EXISTS {beside}")
+        storage.delete(spark, path)
+        raise
+    _drop_old_loads(spark, table, location, keep)
+
+
+def _rename(spark: SparkSession, table: str, name: str) -> None:
+    spark.sql(f"ALTER TABLE {table} RENAME TO {name}")

@@ -1,18 +1,29 @@
-from millrace.sources.files import read_csv, read_event_files, read_json, read_parquet
+from millrace.sources.files import (
+    csv_headers,
+    read_csv,
+    read_csv_by_name,
+    read_event_files,
+    read_json,
+    read_parquet,
+    read_published,
+)
 from millrace.sources.memory import from_lines, from_rows
 from millrace.sources.object_store import object_store_conf
 from millrace.sources.tables import JdbcDatabase, even_predicates, read_jdbc, read_table
 
 __all__ = [
     "JdbcDatabase",
+    "csv_headers",
     "even_predicates",
     "from_lines",
     "from_rows",
     "object_store_conf",
     "read_csv",
+    "read_csv_by_name",
     "read_event_files",
     "read_jdbc",
     "read_json",
     "read_parquet",
+    "read_published",
     "read_table",
 ]

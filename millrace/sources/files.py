@@ -2,14 +2,29 @@
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession, types as T
+from pyspark.sql import DataFrame, DataFrameReader, SparkSession, functions as F, types as T
+
+from millrace import storage
 
 # Quotes inside a quoted cell are doubled, as in RFC 4180; Spark's own default is a backslash.
 CSV_DIALECT = {"header": "true", "quote": '"', "escape": '"'}
 
 
+def _csv_reader(
+    spark: SparkSession, multi_line: bool, trim: bool, keep_empty: bool
+) -> DataFrameReader:
+    reader = spark.read.options(**CSV_DIALECT).option("multiLine", multi_line)
+    if trim:
+        reader = reader.option("ignoreLeadingWhiteSpace", True)
+    if keep_empty:
+        # Cells without quotes get this value and so become null; a quoted one stays "".
+        reader = reader.option("nullValue", "\0")
+    return reader
+
+
 def read_csv(
     spark: SparkSession,
     path: str | Sequence[str],
@@ -21,9 +36,11 @@ def read_csv(
 ) -> DataFrame:
     """Read CSV files with a header row.
 
-    With a schema the cells are parsed to it and a cell that does not fit stops the job; the
-    header must name the schema's columns. Without one every column is text.
-    ``infer_types`` guesses types instead, at the price of reading all data twice.
+    All files must have the same header, and every row as many cells: a file with another header,
+    a row with a cell more or less, and a cell that does not fit its type stop the job. With a
+    schema the header must name its columns. Without one every column is text, under the names
+    in the first file. ``infer_types`` guesses types instead, at the price of reading all data
+    twice. Files whose headers differ are for ``read_csv_by_name``.
 
     ``multi_line`` allows line breaks inside cells. Spark then reads each file in one task, so
     it is off unless asked for. ``trim`` drops blanks before a cell, which is needed for files
@@ -32,17 +49,53 @@ def read_csv(
     An empty cell is a null, in quotes or not. ``keep_empty`` reads one in quotes as an empty
     text, which is how ``write_csv`` writes it.
     """
-    reader = spark.read.options(**CSV_DIALECT).option("multiLine", multi_line)
-    if trim:
-        reader = reader.option("ignoreLeadingWhiteSpace", True)
-    if keep_empty:
-        # Cells without quotes get this value and so become null; a quoted one stays "".
-        reader = reader.option("nullValue", "\0")
-    if schema is not None:
-        reader = reader.schema(schema).option("mode", "FAILFAST").option("enforceSchema", False)
-    elif infer_types:
-        reader = reader.option("inferSchema", True)
-    return reader.csv(path if isinstance(path, str) else list(path))
+    paths = path if isinstance(path, str) else list(path)
+    options = (spark, multi_line, trim, keep_empty)
+    if schema is None:
+        found = _csv_reader(*options).option("inferSchema", infer_types).csv(paths).schema
+        if not found.fields:
+            return spark.createDataFrame([], found)
+        schema = found
+    reader = _csv_reader(*options).schema(schema)
+    return reader.option("mode", "FAILFAST").option("enforceSchema", False).csv(paths)
+
+
+def csv_headers(spark: SparkSession, path: str | Sequence[str]) -> dict[str, list[str]]:
+    """The files of each different header line.
+
+    The lines are found by tasks that read the beginning of every file; what comes to the driver is
+    the list of files, which Spark itself keeps there.
+    """
+    lines = spark.read.text(path if isinstance(path, str) else list(path)).select(
+        F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_block_start").alias("start"),
+        F.monotonically_increasing_id().alias("line"),
+        "value",
+    )
+    first = lines.filter("start = 0").groupBy("file").agg(F.min_by("value", "line").alias("header"))
+    files: dict[str, list[str]] = {}
+    for row in first.orderBy("file").collect():
+        if row["header"].count('"') % 2:
+            raise ValueError(f"the header of {row['file']} has a line break in a name")
+        files.setdefault(row["header"], []).append(row["file"])
+    return files
+
+
+def read_csv_by_name(
+    spark: SparkSession, path: str | Sequence[str], multi_line: bool = False, trim: bool = False,
+    keep_empty: bool = False,
+) -> DataFrame:
+    """CSV files of any headers as text, each cell under the name that its own file gives it.
+
+    Files of one header are read together; columns that some files lack are null there.
+    """
+    groups = [
+        read_csv(spark, files, None, False, multi_line, trim, keep_empty)
+        for files in csv_headers(spark, path).values()
+    ]
+    if not groups:
+        raise ValueError(f"no CSV files with a header at {path}")
+    return functools.reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), groups)
 
 
 def read_parquet(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
@@ -50,6 +103,20 @@ def read_parquet(spark: SparkSession, path: str, schema: T.StructType | None = N
     return reader.parquet(path)
 
 
+def read_published(
+    spark: SparkSession, key: str, schema: T.StructType | None = None, file_format: str = "parquet"
+) -> DataFrame:
+    """The dataset that counts at a fixed key, as ``publish`` left it."""
+    run = storage.current_run(spark, key)
+    if run is None:
+        raise FileNotFoundError(f"nothing has been published at {key}")
+    if file_format == "csv":
+        return read_csv(spark, run, schema, multi_line=True, keep_empty=True)
+    if file_format == "json":
+        return read_json(spark, run, schema)
+    return read_parquet(spark, run, schema)
+
+
 def read_json(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
     """Read JSON lines with a declared schema; a line that is no JSON stops the job."""
     return spark.read.schema(schema).option("mode", "FAILFAST").json(path)

@@ -23,6 +23,20 @@ class JdbcDatabase:
     url: str
     options: Mapping[str, str] = field(default_factory=dict)
 
+    @property
+    def dialect(self) -> str:
+        """``mysql`` for MySQL and its kin, ``standard`` for others."""
+        return "mysql" if self.url.startswith(("jdbc:mysql:", "jdbc:mariadb:")) else "standard"
+
+    def quoted(self, name: str) -> str:
+        """A name as the database quotes it, so that any name stands for itself."""
+        mark = "`" if self.dialect == "mysql" else '"'
+        return mark + name.replace(mark, mark + mark) + mark
+
+    def quoted_table(self, table: str) -> str:
+        """A table's name, its parts at dots quoted each."""
+        return ".".join(map(self.quoted, table.split(".")))
+
     def scan_options(self, fetch_size: int = 10_000) -> dict[str, str]:
         return {**self.options, "url": self.url, "fetchsize": str(fetch_size)}
 
@@ -53,6 +67,7 @@ def read_jdbc(
     instead, one condition per task: ``even_predicates``, or others that cover every row once.
     """
     options = database.scan_options()
+    name, table = table, database.quoted_table(table)
     if predicates is not None:
         properties = {k: v for k, v in options.items() if k != "url"}
         return spark.read.jdbc(
@@ -64,7 +79,7 @@ def read_jdbc(
     bounds = (
         spark.read.format("jdbc")
         .options(**options)
-        .option("query", bounds_query(table, partition_column))
+        .option("query", bounds_query(database, name, partition_column))
         .load()
         .first()
     )
@@ -82,12 +97,14 @@ def read_jdbc(
 def even_predicates(column: str, count: int) -> list[str]:
     """Conditions that deal whole-number ids out evenly, however they are spread.
 
-    The database reads the table, or an index on the column, once per condition.
+    ``column`` stands in the SQL as it is given (``JdbcDatabase.quoted``). The database reads the
+    table, or an index on the column, once per condition.
     """
     parts = [f"ABS(MOD({column}, {count})) = {i}" for i in range(count)]
     parts[0] = f"({parts[0]} OR {column} IS NULL)"
     return parts
 
 
-def bounds_query(table: str, column: str) -> str:
-    return f"SELECT MIN({column}) AS lo, MAX({column}) AS hi FROM {table}"
+def bounds_query(database: JdbcDatabase, table: str, column: str) -> str:
+    name = database.quoted(column)
+    return f"SELECT MIN({name}) AS lo, MAX({name}) AS hi FROM {database.quoted_table(table)}"

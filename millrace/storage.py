@@ -1,13 +1,19 @@
-"""Moves and size checks through the Hadoop file system that Spark itself writes with."""
+"""Datasets at fixed keys, through the Hadoop file system that Spark itself writes with.
+
+A dataset at a key is a row of runs: each run writes a folder of its own below ``<key>.runs``, and an
+empty file in the folder ``<key>`` points to the run that counts. Making an empty file is atomic on
+every kind of store, and nothing is ever moved, copied or overwritten. So readers see the last
+finished run or the new one, whatever the store, and a run that fails leaves nothing behind them.
+"""
 
 from __future__ import annotations
 
-from urllib.parse import urlparse
+import uuid
 
 from pyspark.sql import SparkSession
 
-# Stores without folders, where renaming a folder copies every object in it.
-COPYING_SCHEMES = frozenset({"s3", "s3a", "s3n", "gs", "oss", "cosn", "obs"})
+# Fixed value: how the pointer files are named, before the number and the run.
+POINTER = "_current"
 
 
 def _locate(spark: SparkSession, path: str):
@@ -15,19 +21,6 @@ def _locate(spark: SparkSession, path: str):
     return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()), hadoop_path
 
 
-def rename_copies(spark: SparkSession, path: str) -> bool:
-    scheme = urlparse(path).scheme
-    if not scheme:
-        fs, _ = _locate(spark, path)
-        scheme = fs.getScheme()
-    return scheme in COPYING_SCHEMES
-
-
-def exists(spark: SparkSession, path: str) -> bool:
-    fs, p = _locate(spark, path)
-    return fs.exists(p)
-
-
 def delete(spark: SparkSession, path: str) -> bool:
     fs, p = _locate(spark, path)
     return fs.delete(p, True)
@@ -40,49 +33,63 @@ def delete_on_exit(spark: SparkSession, path: str) -> None:
     fs.deleteOnExit(p)
 
 
-def size_in_bytes(spark: SparkSession, path: str) -> int:
-    fs, p = _locate(spark, path)
-    return fs.getContentSummary(p).getLength()
+def children(spark: SparkSession, folder: str) -> dict[str, int]:
+    """Names in a folder, each with the time of its last change; none if there is no folder."""
+    fs, p = _locate(spark, folder)
+    if not fs.exists(p):
+        return {}
+    return {s.getPath().getName(): s.getModificationTime() for s in fs.listStatus(p)}
 
 
-def part_files(spark: SparkSession, path: str, limit: int) -> list[str]:
-    """At most ``limit`` part files of an output folder, without listing all of it."""
+def has_part_file(spark: SparkSession, path: str) -> bool:
+    """Whether an output folder has a part file, without listing all of it."""
     fs, p = _locate(spark, path)
-    found: list[str] = []
     statuses = fs.listStatusIterator(p)
-    while len(found) < limit and statuses.hasNext():
-        entry = statuses.next().getPath()
-        if entry.getName().startswith("part-"):
-            found.append(entry.toString())
-    return found
+    while statuses.hasNext():
+        if statuses.next().getPath().getName().startswith("part-"):
+            return True
+    return False
+
+
+def _pointers(spark: SparkSession, key: str) -> list[tuple[int, str]]:
+    """Number and run of the pointers at a key, in their order."""
+    names = [n.split(".", 2) for n in children(spark, key) if n.startswith(f"{POINTER}.")]
+    return sorted((int(number), run) for _, number, run in names)
+
+
+def runs_folder(key: str) -> str:
+    return f"{key.rstrip('/')}.runs"
+
+
+def new_run(key: str) -> str:
+    """A path for the data of a run that does not count yet."""
+    return f"{runs_folder(key)}/{uuid.uuid4().hex}"
 
 
-def move(spark: SparkSession, source: str, target: str) -> None:
-    fs, src = _locate(spark, source)
-    _, dst = _locate(spark, target)
-    fs.mkdirs(dst.getParent())
-    if not fs.rename(src, dst):
-        raise OSError(f"cannot move {source} to {target}")
+def current_run(spark: SparkSession, key: str) -> str | None:
+    """Where the data of the run is that counts at a key."""
+    pointers = _pointers(spark, key)
+    return f"{runs_folder(key)}/{pointers[-1][1]}" if pointers else None
 
 
-def promote(spark: SparkSession, staging: str, target: str) -> None:
-    """Put a finished output in the place of ``target``.
+def make_current(spark: SparkSession, key: str, run: str, keep: int = 2) -> None:
+    """Point a key to a finished run, then remove all but the last ``keep`` runs.
 
-    The old output is set aside until the new one is in place. A run that died between
-    the two moves left it there: the next run starts by putting it back.
+    Runs that nothing points to were left by drivers that died; they go as well. A key has one
+    writer at a time.
     """
-    previous = f"{target.rstrip('/')}.previous"
-    if exists(spark, previous):
-        if exists(spark, target):
-            delete(spark, previous)
-        else:
-            move(spark, previous, target)
-    if exists(spark, target):
-        move(spark, target, previous)
-    try:
-        move(spark, staging, target)
-    except Exception:
-        if exists(spark, previous) and not exists(spark, target):
-            move(spark, previous, target)
-        raise
-    delete(spark, previous)
+    if keep < 1:
+        raise ValueError("the run that counts must be kept")
+    pointers = _pointers(spark, key)
+    name = run.rsplit("/", 1)[1]
+    number = pointers[-1][0] + 1 if pointers else 1
+    fs, pointer = _locate(spark, f"{key.rstrip('/')}/{POINTER}.{number:020d}.{name}")
+    if not fs.createNewFile(pointer):
+        raise OSError(f"another run has become number {number} of {key}")
+    pointers.append((number, name))
+    kept = {r for _, r in pointers[-keep:]}
+    for n, r in pointers[:-keep]:
+        delete(spark, f"{key.rstrip('/')}/{POINTER}.{n:020d}.{r}")
+    for r in children(spark, runs_folder(key)):
+        if r not in kept:
+            delete(spark, f"{runs_folder(key)}/{r}")

@@ -1,6 +1,7 @@
-from millrace.streaming.events import decode_events, encode_events, sensor_events
+from millrace.streaming.events import decode_events, encode_events, sensor_events, shape_events
 from millrace.streaming.publish import (
     MessageSink,
+    Publication,
     await_published,
     file_sink,
     kafka_sink,
@@ -10,6 +11,7 @@ from millrace.streaming.publish import (
 
 __all__ = [
     "MessageSink",
+    "Publication",
     "await_published",
     "decode_events",
     "encode_events",
@@ -18,4 +20,5 @@ __all__ = [
     "publish_batch",
     "publish_stream",
     "sensor_events",
+    "shape_events",
 ]

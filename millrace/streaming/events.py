@@ -24,6 +24,13 @@ def sensor_events(
     )
 
 
+def shape_events(df: DataFrame) -> DataFrame:
+    """Events of the declared columns, shaped by ``sensor_events``: ids for those that lack one and
+    readings of two decimals."""
+    event_id_, time, device, reading = (quoted(f.name) for f in SENSOR_EVENT.fields)
+    return sensor_events(df, time, device, reading, event_id_)
+
+
 def encode_events(df: DataFrame, schema: T.StructType = SENSOR_EVENT) -> DataFrame:
     """One JSON object per event in a ``value`` column, the shape a message sink takes."""
     return df.select(json_object(*[quoted(f.name) for f in schema.fields]).alias("value"))

@@ -5,7 +5,7 @@ import pytest
 from hypothesis import HealthCheck, given, settings, strategies as st
 from pyspark.sql import functions as F
 
-from millrace.operators import dedupe, dedupe_any, dedupe_sparse, fill_defaults, totals_by_key
+from millrace.operators import dedupe, dedupe_any, fill_defaults, totals_by_key
 
 T1, T2 = datetime(2024, 1, 1), datetime(2024, 1, 2)
 SCHEMA = "order_id int, customer_id int, amount double, order_date timestamp"
@@ -47,21 +47,30 @@ def test_column_order_and_types_stay(spark):
     assert out.dtypes == df.dtypes
 
 
-def test_columns_without_an_order_ride_along(spark):
+def test_maps_decide_by_their_sorted_entries(spark):
     df = spark.sql(
         "select 1 as id, 2 as at, map('a', 1) as m union all select 1, 1, map('b', 2)"
     )
     row = dedupe(df, ["id"], ["at"]).first()
     assert (row["at"], row["m"]) == (1, {"b": 2})
-    only_maps = df.select("id", "m")
-    assert dedupe(only_maps, ["id"]).count() == 1
+    ties = [(1, {"b": 1, "a": 2}), (1, {"a": 2, "b": 0}), (1, {"c": 0}), (1, None)]
+    for rows in (ties[:3], ties[2::-1], [ties[1], ties[2], ties[0]]):
+        frame = spark.createDataFrame(rows, "id int, m map<string,int>").repartition(3)
+        assert dedupe(frame, ["id"]).first()["m"] == {"a": 2, "b": 0}
+        assert dedupe(frame, ["id"], keep="last").first()["m"] == {"c": 0}
+    assert dedupe(spark.createDataFrame(ties, "id int, m map<string,int>"), ["id"]).first()["m"] is None
+
+
+def test_what_has_no_order_is_refused(spark):
+    df = spark.sql("select 1 as id, map('a', map('b', 1)) as m")
+    with pytest.raises(TypeError, match="cannot decide"):
+        dedupe(df, ["id"])
 
 
 def test_odd_column_names(spark):
     df = spark.createDataFrame([(1, 2), (1, 1)], "`a.b` int, `1958` int")
     assert [tuple(r) for r in dedupe(df, ["a.b"]).collect()] == [(1, 1)]
     assert len(dedupe(df, ["1958"], ["a.b"]).collect()) == 2
-    assert [tuple(r) for r in dedupe_sparse(df.filter("`1958` > 0"), ["a.b"]).collect()] == [(1, 1)]
 
 
 def test_keys_only(spark):
@@ -113,41 +122,3 @@ def test_hot_key_is_reduced_before_the_shuffle(spark, plan_of):
     assert "Window" not in plan
     assert out.count() == 60_001
     assert out.filter("key = -1").first()["id"] == 0
-
-
-SPARSE_SCHEMA = "id int, part string, at int, v string"
-
-
-def _sparse_rows():
-    singles = [(i, "p", i, f"v{i}") for i in range(100)]
-    repeats = [(None, None, 3, "c"), (None, None, 1, "b"), (5, "p", -1, "first"), (5, None, 2, "x")]
-    return singles + repeats
-
-
-def test_sparse_dedupe_gives_the_same_rows(spark, folder, plan_of):
-    spark.createDataFrame(_sparse_rows(), SPARSE_SCHEMA).repartition(4).write.parquet(f"{folder}/in")
-    df = spark.read.parquet(f"{folder}/in")
-    for keys in (["id"], ["id", "part"], ["at", "id"]):
-        for keep in ("first", "last"):
-            plain = dedupe(df, keys, ["at"], keep)
-            sparse = dedupe_sparse(df, keys, ["at"], keep)
-            assert sorted(map(str, sparse.collect())) == sorted(map(str, plain.collect()))
-            assert sparse.columns == df.columns
-    plan = plan_of(dedupe_sparse(df, ["id"], ["at"]))
-    assert plan.count("Exchange hashpartitioning") == 1 and "LeftAnti" in plan
-
-
-def test_sparse_dedupe_leaves_unique_rows_alone(spark, folder):
-    spark.range(50).write.parquet(f"{folder}/in")
-    df = spark.read.parquet(f"{folder}/in")
-    assert dedupe_sparse(df, ["id"]) is df
-    assert dedupe_sparse(df.filter("false"), ["id"]).count() == 0
-
-
-@pytest.mark.parametrize("bounds", [{"max_broadcast_bytes": 50}, {"max_repeated_share": 0.01}])
-def test_sparse_dedupe_broadcasts_nothing_beyond_its_bounds(spark, folder, plan_of, bounds):
-    spark.createDataFrame(_sparse_rows(), SPARSE_SCHEMA).write.parquet(f"{folder}/in")
-    df = spark.read.parquet(f"{folder}/in")
-    out = dedupe_sparse(df, ["id"], ["at"], **bounds)
-    assert "Join" not in plan_of(out)
-    assert sorted(map(str, out.collect())) == sorted(map(str, dedupe(df, ["id"], ["at"]).collect()))

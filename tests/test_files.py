@@ -1,5 +1,5 @@
 import os
-from datetime import datetime
+from datetime import datetime, timedelta, timezone
 from decimal import Decimal
 
 import pytest
@@ -8,17 +8,28 @@ from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
 
 from millrace import schemas, scratch_path, storage
+from millrace.functions import session_time
 from millrace.sinks import (
     land_raw_csv,
     publish,
-    publish_single_file,
+    by_size,
+    all_runs,
     run_path,
     write_csv,
     write_json,
     write_parquet,
     write_run_csv,
 )
-from millrace.sources import from_rows, object_store_conf, read_csv, read_json, read_parquet
+from millrace.operators import watch
+from millrace.sources import (
+    from_rows,
+    object_store_conf,
+    read_csv,
+    read_csv_by_name,
+    read_json,
+    read_parquet,
+    read_published,
+)
 
 RUN_TS = datetime(2024, 5, 6, 7, 8, 9)
 ORDERS = [
@@ -132,10 +143,56 @@ def test_raw_landing_keeps_the_text_of_cells(spark, folder, trim):
     assert rows(landed) == [(" padded ", "bare"), ('say "hi"', "a, b"), (None, None)]
 
 
-def test_where_a_rename_copies(spark):
-    assert storage.rename_copies(spark, "s3a://bucket/key")
-    assert not storage.rename_copies(spark, "hdfs://node/key")
-    assert not storage.rename_copies(spark, "/tmp/key")
+def _file(path, text):
+    os.makedirs(os.path.dirname(path), exist_ok=True)
+    with open(path, "w") as f:
+        f.write(text)
+
+
+@pytest.mark.parametrize(
+    "files",
+    [
+        ["a,b\n1,2\n3,4,5\n"],
+        ["a,b\n1,2\n3\n"],
+        ["a,b\n1,2\n", "b,c,a\n1,2,3\n"],
+        ["a,b\n1,2\n", "b,a\n1,2\n"],
+    ],
+)
+def test_cells_are_never_lost_or_misplaced(spark, folder, files):
+    for i, text in enumerate(files):
+        _file(f"{folder}/in/{i}.csv", text)
+    with pytest.raises((Py4JJavaError, PySparkException)):
+        read_csv(spark, f"{folder}/in").collect()
+    with pytest.raises((Py4JJavaError, PySparkException)):
+        land_raw_csv(spark, f"{folder}/in/*.csv", f"{folder}/raw", "a", RUN_TS)
+
+
+def test_files_of_several_headers_are_landed_and_read_by_name(spark, folder):
+    _file(f"{folder}/in/0.csv", "a,b\n1,2\n")
+    _file(f"{folder}/in/1.csv", "b,c,a\n4,5,3\n")
+    _file(f"{folder}/in/2.csv", "a,b\n6,7\n")
+    path = land_raw_csv(
+        spark, f"{folder}/in/*.csv", f"{folder}/raw", "x", RUN_TS, mixed_headers=True
+    )
+    assert sorted(os.listdir(path)) == ["header_0", "header_1"]
+    found = read_csv_by_name(spark, f"{path}/*")
+    assert rows(found.select("a", "b", "c")) == [("1", "2", None), ("3", "4", "5"), ("6", "7", None)]
+    _file(f"{folder}/odd/0.csv", '"a\nb",c\n1,2\n')
+    with pytest.raises(ValueError, match="line break"):
+        read_csv_by_name(spark, f"{folder}/odd")
+
+
+def test_runs_of_one_name_only(spark, folder):
+    for name in ("web", "web_2", "w*b"):
+        write_run_csv(spark.range(1).selectExpr(f"'{name}' AS name"), folder, name, RUN_TS)
+    for name in ("web", "web_2", "w*b"):
+        assert rows(read_csv(spark, all_runs(folder, name))) == [(name,)]
+
+
+def test_run_times_with_a_zone_show_in_that_of_the_session(spark, folder):
+    zoned = datetime(2024, 5, 6, 23, 0, tzinfo=timezone(timedelta(hours=-5)))
+    assert write_run_csv(spark.range(1), folder, "z", zoned).endswith("z_20240507_040000.csv")
+    assert session_time(spark, RUN_TS) == RUN_TS
 
 
 def test_partitioned_layout_has_few_files(spark, folder):
@@ -161,51 +218,62 @@ def test_partitioned_layout_is_pruned(spark, folder, plan_of):
     assert df.count() == 5 and "PartitionFilters: [isnotnull(half" in plan_of(df)
 
 
+def test_counts_of_a_partitioned_write_are_above_its_shuffle(spark, folder, plan_of):
+    df = spark.range(0, 1000, 1, 8).selectExpr("id", "id % 2 as half")
+    observed, _ = watch(df)
+    with pytest.raises(ValueError, match="by_size"):
+        write_parquet(observed, folder, ["half"])
+    observed, counts = watch(by_size(df, "half"))
+    plan = plan_of(observed)
+    assert plan.index("CollectMetrics") < plan.index("REBALANCE")
+    write_parquet(observed, folder, ["half"])
+    assert counts.rows == 1000 and read_parquet(spark, folder).count() == 1000
+
+
 def test_publish_replaces_only_a_finished_dataset(spark, folder):
     key = f"{folder}/orders.parquet"
-    publish(spark.range(3), key)
+    with pytest.raises(FileNotFoundError):
+        read_published(spark, key)
+    first = publish(spark.range(3), key)
     publish(spark.range(5), key)
-    assert read_parquet(spark, key).count() == 5
+    assert read_published(spark, key).count() == 5
     with pytest.raises(PySparkException):
         publish(spark.range(5).selectExpr("1 div (id - id) as x"), key)
-    assert read_parquet(spark, key).count() == 5
-    assert not [f for f in os.listdir(folder) if f.endswith(".previous")]
+
+    def refuse():
+        raise ValueError("no")
+
+    with pytest.raises(ValueError, match="no"):
+        publish(spark.range(7), key, accept=refuse)
+    assert read_published(spark, key).count() == 5
+    assert read_parquet(spark, first).count() == 3  # kept for those who still read it
+    publish(spark.range(6), key)
+    assert len(os.listdir(f"{key}.runs")) == 2 and not os.path.exists(first)
+    assert len([f for f in os.listdir(key) if f.startswith("_current")]) == 2
+    # Who reads the key itself gets an error, not a mixture.
+    with pytest.raises(PySparkException):
+        spark.read.parquet(key)
 
 
-def test_publish_recovers_from_a_run_that_died_between_its_moves(spark, folder):
+def test_a_run_whose_driver_died_does_not_count(spark, folder):
     key = f"{folder}/orders.parquet"
     publish(spark.range(3), key)
-    os.rename(key, f"{key}.previous")
-    publish(spark.range(5), key)
-    assert read_parquet(spark, key).count() == 5
-    assert not os.path.exists(f"{key}.previous")
+    spark.range(9).write.parquet(storage.new_run(key))
+    assert read_published(spark, key).count() == 3
+    publish(spark.range(4), key)
+    assert read_published(spark, key).count() == 4 and len(os.listdir(f"{key}.runs")) == 2
 
 
-def test_publish_of_an_empty_frame(spark, folder):
-    publish(spark.range(0), f"{folder}/none")
-    assert read_parquet(spark, f"{folder}/none").count() == 0
+@pytest.mark.parametrize("file_format", ["parquet", "csv", "json"])
+def test_publish_of_every_format(spark, folder, file_format):
+    df = spark.range(0, 100, 1, 4).selectExpr("id", "concat('a\n', id) as t")
+    publish(df, f"{folder}/out", file_format)
+    assert rows(read_published(spark, f"{folder}/out", df.schema, file_format)) == rows(df)
 
 
-@pytest.mark.parametrize("file_format", ["parquet", "csv", "json"])
-@pytest.mark.parametrize("parts", [1, 4])
-def test_single_file(spark, folder, file_format, parts):
-    df = spark.range(0, 100, 1, parts).selectExpr("id", "concat('a\n', id) as t")
-    key = publish_single_file(df, f"{folder}/out.{file_format}", file_format)
-    publish_single_file(df, key, file_format)
-    assert os.path.isfile(key)
-    assert [f for f in os.listdir(folder) if not f.startswith(".")] == [f"out.{file_format}"]
-    back = {
-        "parquet": lambda: read_parquet(spark, key),
-        "csv": lambda: read_csv(spark, key, df.schema, multi_line=True),
-        "json": lambda: read_json(spark, key, df.schema),
-    }[file_format]()
-    assert rows(back) == rows(df)
-
-
-def test_single_file_refuses_what_is_too_large(spark, folder):
-    with pytest.raises(ValueError, match="too many"):
-        publish_single_file(spark.range(1000), f"{folder}/out.parquet", max_bytes=100)
-    assert os.listdir(folder) == []
+def test_publish_of_an_empty_frame(spark, folder):
+    publish(spark.range(0), f"{folder}/none")
+    assert read_published(spark, f"{folder}/none").count() == 0
 
 
 def test_object_store_settings():

@@ -17,7 +17,11 @@ def test_word_count_job(spark, folder, capsys):
     assert counts == {("hello", 2), ("world", 1), ("", 1)}
     jobs.main(["word-count", f"{folder}/in.txt", "--drop-trailing-empty"], spark)
     shown = capsys.readouterr().out
-    assert "hello|2" in shown and "world|1" in shown
+    assert "hello: 2" in shown and "world: 1" in shown
+    with open(f"{folder}/many.txt", "w") as f:
+        f.write(" ".join(f"w{i}" for i in range(500)))
+    jobs.main(["word-count", f"{folder}/many.txt"], spark)
+    assert len(capsys.readouterr().out.splitlines()) == 500
 
 
 def test_batch_ingest_job(spark, folder, capsys):
@@ -37,11 +41,37 @@ def test_csv_etl_job(spark, folder):
         f.write("JAN,1958\na,1\nb,\n")
     roots = ["--raw", f"{folder}/raw", "--transformed", f"{folder}/transformed", "--name", "web"]
     table = ["--table", target, "--table-location", f"{folder}/target"]
-    clean = ["--rename", "JAN=January", "--not-null", "1958", "--infer-types"]
+    clean = ["--rename", "JAN=January", "--not-null", "1958", "--infer-types", "--this-run-only"]
     jobs.main(["csv-etl", f"{folder}/in.csv", *roots, *table, *clean], spark)
     assert [r.asDict() for r in read_table(spark, target).collect()] == [{"January": "a", "1958": 1}]
 
 
-def test_publish_job_needs_its_topic():
+def test_csv_etl_job_with_line_breaks_and_several_headers(spark, folder):
+    target = f"t_{uuid.uuid4().hex}"
+    for name, text in (("a", 'x,y\n"1\n2",3\n'), ("b", "y,x\n4,5\n")):
+        with open(f"{folder}/{name}.csv", "w") as f:
+            f.write(text)
+    roots = ["--raw", f"{folder}/raw", "--transformed", f"{folder}/transformed", "--name", "web"]
+    table = ["--table", target, "--table-location", f"{folder}/target"]
+    jobs.main(["csv-etl", f"{folder}/*.csv", *roots, *table, "--multi-line", "--mixed-headers"], spark)
+    assert sorted(tuple(r) for r in read_table(spark, target).select("x", "y").collect()) == [("1\n2", "3"), ("5", "4")]
+
+
+def test_jobs_load_into_a_database(spark, folder, monkeypatch):
+    sent = []
+    monkeypatch.setattr(jobs.sinks, "replace_jdbc_table", lambda frame, db, table, connect: sent.append((frame.count(), db.url, table, connect())))
+    monkeypatch.setattr(jobs.importlib, "import_module", lambda name: type(name, (), {"connect": staticmethod(lambda **o: (name, o))}))
+    with open(f"{folder}/in.csv", "w") as f:
+        f.write("a\n1\n2\n")
+    roots = ["--raw", f"{folder}/raw", "--transformed", f"{folder}/transformed", "--name", "web"]
+    target = ["--target-url", "jdbc:mysql://h/db", "--table", "t", "--db-module", "pymysql", "--db-option", "user=u"]
+    jobs.main(["csv-etl", f"{folder}/in.csv", *roots, *target], spark)
+    assert sent == [(2, "jdbc:mysql://h/db", "t", ("pymysql", {"user": "u"}))]
+    with pytest.raises(SystemExit):
+        jobs.main(["csv-etl", f"{folder}/in.csv", *roots, "--target-url", "jdbc:mysql://h/db"], spark)
+
+
+def test_publish_job_needs_its_topic(spark, folder):
+    from_rows(spark, [], schemas.SENSOR_EVENT).write.parquet(f"{folder}/in")
     with pytest.raises(SystemExit):
-        jobs.parser().parse_args(["publish-events", "in", "--brokers", "b", "--checkpoint", "c"])
+        jobs.main(["publish-events", f"{folder}/in", "--brokers", "b", "--checkpoint", "c"], spark)

@@ -32,9 +32,30 @@ def test_fill_keeps_decimals(spark):
     assert [r[0] for r in out.collect()] == [Decimal("1.25"), Decimal("0.00")]
 
 
-@pytest.mark.parametrize("default", [{"name": 0.0}, {"amount": "none"}, {"amount": True}])
-def test_fill_refuses_another_type(spark, default):
-    df = spark.createDataFrame([("a", 1.0)], "name string, amount double")
+def test_fill_takes_the_default_as_it_is(spark):
+    df = spark.createDataFrame([(None,) * 4], "d decimal(5,2), n int, f float, b boolean")
+    out = fill_defaults(df, {"d": Decimal("0.55"), "n": 7.0, "f": 1, "b": True})
+    assert out.dtypes == df.dtypes
+    assert tuple(out.first()) == (Decimal("0.55"), 7, 1.0, True)
+
+
+@pytest.mark.parametrize(
+    "default",
+    [
+        {"name": 0.0},
+        {"amount": "none"},
+        {"amount": True},
+        {"n": 0.5},
+        {"n": Decimal("0.5")},
+        {"n": 2**31},
+        {"n": float("nan")},
+        {"d": Decimal("0.555")},
+        {"d": 1000},
+        {"d": 0.125},
+    ],
+)
+def test_fill_refuses_what_the_type_cannot_hold(spark, default):
+    df = spark.createDataFrame([], "name string, amount double, n int, d decimal(5,2)")
     with pytest.raises(TypeError):
         fill_defaults(df, default)
 

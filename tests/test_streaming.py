@@ -3,9 +3,10 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
-from millrace import schemas
+from millrace import jobs, schemas
 from millrace.plans import publish_events
 from millrace.sources import from_rows, read_event_files
+from millrace.streaming import publish as publish_module
 from millrace.streaming import (
     await_published,
     decode_events,
@@ -69,7 +70,7 @@ def test_stream_publishes_all_and_a_restart_goes_on(spark, folder):
         _write(spark, folder, start, start + 10)
     query = _run(spark, folder)
     assert await_published(query) == 40
-    assert len({p.batchId for p in query.recentProgress}) >= 4
+    assert len({p.batchId for p in query.query.recentProgress}) >= 4
     assert await_published(_run(spark, folder)) == 0
     _write(spark, folder, 40, 47)
     assert await_published(_run(spark, folder)) == 7
@@ -85,7 +86,46 @@ def test_micro_batches_bounded_by_bytes(spark, folder):
     )
     query = publish_events(stream, file_sink(f"{folder}/out"), f"{folder}/checkpoint")
     assert await_published(query) == 30
-    assert len({p.batchId for p in query.recentProgress if p.numInputRows}) == 3
+    assert len({p.batchId for p in query.query.recentProgress if p.numInputRows}) == 3
+
+
+def test_the_count_is_exact_after_the_end_and_with_little_progress_kept(spark, folder):
+    for start in range(0, 80, 10):
+        _write(spark, folder, start, start + 10)
+    setting = "spark.sql.streaming.numRecentProgressUpdates"
+    spark.conf.set(setting, "3")
+    publication = _run(spark, folder)
+    publication.query.awaitTermination()
+    assert await_published(publication) == 80 == await_published(publication)
+    assert spark.read.text(f"{folder}/out").count() == 80
+
+
+def test_a_batch_that_was_missed_is_an_error(spark, folder, monkeypatch):
+    """Progress is not looked at until the end, and only the last entries are there then."""
+    for start in range(0, 60, 10):
+        _write(spark, folder, start, start + 10)
+    monkeypatch.setattr(publish_module.Publication, "_watch", lambda self: None)
+    publication = _run(spark, folder)
+    publication.query.awaitTermination()
+    whole = publication.query
+
+    class Late:
+        recentProgress = whole.recentProgress[-3:]
+        awaitTermination = whole.awaitTermination
+
+    publication.query = Late()
+    with pytest.raises(RuntimeError, match="missed"):
+        await_published(publication)
+
+
+def test_events_are_shaped_before_they_go_out(spark, folder):
+    rows = [(None, 1, 1000, 3.14159), ("a", 2, 1001, None), ("b", 3, 1002, 2.5)]
+    events(spark, rows).write.parquet(f"{folder}/in")
+    args = ["publish-events", f"{folder}/in", "--checkpoint", f"{folder}/c", "--to-files", f"{folder}/out"]
+    jobs.main(args, spark)
+    found = {r["timestamp"]: r for r in decode_events(spark.read.text(f"{folder}/out")).collect()}
+    assert len(found[1]["event_id"]) == 36 and found[1]["reading_value"] == 3.14
+    assert found[2]["event_id"] == "a" and found[2]["reading_value"] is None
 
 
 def test_interval_stream_runs_until_stopped(spark, folder):
@@ -95,7 +135,7 @@ def test_interval_stream_runs_until_stopped(spark, folder):
         encode_events(stream), file_sink(f"{folder}/out"), f"{folder}/checkpoint", "100 milliseconds"
     )
     try:
-        query.processAllAvailable()
+        query.query.processAllAvailable()
     finally:
         query.stop()
     assert await_published(query) == 10

@@ -1,14 +1,15 @@
+import os
 import uuid
 from datetime import datetime
 from decimal import Decimal
 
 import pytest
 from pyspark.errors import PySparkException
-from pyspark.sql import types as T
 
 from millrace import schemas
 from millrace.operators import stamp
 from millrace.sinks import jdbc, load_jdbc_table, load_table, replace_jdbc_table, replace_table
+from millrace.sinks import tables as catalog_tables
 from millrace.sources import JdbcDatabase, even_predicates, from_rows, read_jdbc, read_table, tables
 
 RUN_TS = datetime(2024, 5, 6, 7, 8, 9)
@@ -56,6 +57,33 @@ def test_load_refuses_a_table_of_another_shape(spark, folder, name):
     assert read_table(spark, name).count() == 3
 
 
+def test_old_loads_go(spark, folder, name):
+    for i in range(5):
+        load_table(from_rows(spark, ROWS[:1], TARGET), name, TARGET, folder, keep=2)
+    assert len(os.listdir(folder)) == 2
+    for i in range(4):
+        replace_table(spark.range(i), name, folder, keep=1)
+    assert len(os.listdir(folder)) == 1 and read_table(spark, name).count() == 3
+    with pytest.raises(ValueError):
+        replace_table(spark.range(1), name, folder, keep=0)
+
+
+def test_failed_replace_changes_nothing(spark, folder, name, monkeypatch):
+    replace_table(spark.range(3), name, folder)
+    with pytest.raises(PySparkException):
+        replace_table(spark.range(5).selectExpr("1 div (id - id) as x"), name, folder)
+    assert read_table(spark, name).count() == 3
+
+    def fail(*_):
+        raise RuntimeError("the catalog is away")
+
+    monkeypatch.setattr(catalog_tables, "_rename", fail)
+    with pytest.raises(RuntimeError):
+        replace_table(spark.range(5).selectExpr("id as other"), name, folder)
+    assert read_table(spark, name).columns == ["id"] and read_table(spark, name).count() == 3
+    assert [t.name for t in spark.catalog.listTables() if t.name.startswith(name)] == [name]
+
+
 def test_replace_brings_its_own_columns(spark, folder, name):
     replace_table(from_rows(spark, ROWS, TARGET), name, folder)
     replace_table(spark.range(4).selectExpr("id as `1958`"), name, folder)
@@ -92,59 +120,125 @@ class FakeConnection:
 
 @pytest.fixture
 def staged(monkeypatch):
+    """What Spark would write to the database."""
     calls = []
     monkeypatch.setattr(jdbc, "_stage", lambda df, *rest: calls.append((df.columns, rest)))
+    monkeypatch.setattr(jdbc, "_create_empty", lambda df, *rest: calls.append((df.columns, rest)))
     return calls
 
 
+ODD = [("January", "int"), ("1958", "int"), ("order", "string"), ('say "a`b"', "double")]
+
+
 @pytest.fixture
-def parquet(spark, folder):
-    from_rows(spark, ROWS, TARGET).write.parquet(f"{folder}/in")
-    return f"{folder}/in"
+def odd(spark, folder):
+    schema = ", ".join(f"`{n.replace('`', '``')}` {t}" for n, t in ODD)
+    spark.createDataFrame([(1, 2, "x", 0.5), (3, 4, None, None)], schema).write.parquet(f"{folder}/in")
+    return spark.read.parquet(f"{folder}/in")
 
 
-DB = JdbcDatabase("jdbc:some:db", {"user": "u", "password": "p"})
+MYSQL = JdbcDatabase("jdbc:mysql://host/db", {"user": "u", "password": "p"})
+OTHER = JdbcDatabase("jdbc:postgresql://host/db")
+
+
+class Connections:
+    """Hands out connections that share a log."""
 
+    def __init__(self, counts, fail_on=None, tables=()):
+        self.log, self.counts, self.fail_on, self.tables = [], list(counts), fail_on, tables
 
-def test_jdbc_load_swaps_in_one_transaction(spark, parquet, staged):
-    connection = FakeConnection(inserted=2)
-    assert load_jdbc_table(spark, parquet, DB, "orders_out", TARGET, lambda: connection) == 2
-    assert connection.log == [
-        "CREATE TABLE IF NOT EXISTS orders_out (order_id INT, customer_id INT, "
-        "amount DECIMAL(10,2), processed_timestamp TIMESTAMP)",
-        "DELETE FROM orders_out",
-        "INSERT INTO orders_out (order_id, customer_id, amount, processed_timestamp) "
-        "SELECT order_id, customer_id, amount, processed_timestamp FROM (SELECT DISTINCT "
-        "load_row_id, order_id, customer_id, amount, processed_timestamp "
-        "FROM orders_out__staging) s",
-        "SELECT COUNT(*) FROM orders_out",
+    def __call__(self):
+        connection = FakeConnection(self.counts[0] if self.counts else 0, self.fail_on)
+        connection.log = self.log
+        plain = connection.execute
+
+        def execute(sql):
+            if sql.startswith("SELECT 1 FROM") and not any(t in sql for t in self.tables):
+                raise RuntimeError("no such table")
+            plain(sql)
+
+        connection.execute = execute
+        return connection
+
+
+def test_jdbc_load_swaps_in_one_transaction(odd, staged):
+    target = odd.schema
+    connect = Connections([2])
+    assert jdbc.load_jdbc_table(odd, MYSQL, "web.out", target, connect) == 2
+    names = '`January`, `1958`, `order`, `say "a``b"`'
+    assert connect.log == [
+        "DELETE FROM `web`.`out`",
+        f"INSERT INTO `web`.`out` ({names}) SELECT {names} FROM (SELECT {names}, ROW_NUMBER() OVER "
+        "(PARTITION BY `load_row_id` ORDER BY `load_row_id`) AS copy_number "
+        "FROM `web`.`out__staging`) s WHERE copy_number = 1",
+        "SELECT COUNT(*) FROM `web`.`out`",
         "commit",
-        "DROP TABLE orders_out__staging",
+        "close",
+        "DROP TABLE `web`.`out__staging`",
         "commit",
         "close",
     ]
-    assert staged[0][1][:2] == (DB, "orders_out__staging")
+    assert staged[0][1][1:] == ("web.out", target, "append")
+    assert staged[1][1][1] == "web.out__staging"
 
 
-def test_jdbc_load_rolls_back_when_rows_are_missing(spark, parquet, staged):
-    connection = FakeConnection(inserted=1)
-    with pytest.raises(RuntimeError, match="1 rows arrived, 2 were sent"):
-        load_jdbc_table(spark, parquet, DB, "t", TARGET, lambda: connection)
-    assert connection.log[-2:] == ["rollback", "close"] and "commit" not in connection.log
+def test_jdbc_names_are_quoted_as_the_database_does():
+    assert jdbc.fill_statement(OTHER, "t", "s", ["1958"]).startswith(
+        'INSERT INTO "t" ("1958") SELECT "1958" FROM (SELECT "1958", ROW_NUMBER()'
+    )
+    assert OTHER.quoted('a"b') == '"a""b"' and MYSQL.quoted_table("x.y") == "`x`.`y`"
 
 
-def test_jdbc_load_rolls_back_on_an_error(spark, parquet, staged):
-    connection = FakeConnection(inserted=2, fail_on="INSERT")
-    with pytest.raises(RuntimeError, match="says no"):
-        load_jdbc_table(spark, parquet, DB, "t", TARGET, lambda: connection)
-    assert connection.log[-2:] == ["rollback", "close"]
+def test_jdbc_load_rolls_back_when_rows_are_missing(odd, staged):
+    connect = Connections([1])
+    with pytest.raises(RuntimeError, match="1 rows arrived, 2 were sent"):
+        load_jdbc_table(odd, OTHER, "t", odd.schema, connect)
+    assert connect.log[-2:] == ["rollback", "close"] and "commit" not in connect.log
 
 
-def test_jdbc_replace_takes_the_columns_of_the_frame(spark, parquet, staged):
-    connection = FakeConnection(inserted=2)
-    replace_jdbc_table(spark, parquet, DB, "t", lambda: connection)
-    assert connection.log[0] == "DROP TABLE IF EXISTS t"
-    assert connection.log[1].startswith("CREATE TABLE t AS SELECT order_id, customer_id, amount")
+def test_jdbc_load_rolls_back_on_an_error(odd, staged):
+    connect = Connections([2], fail_on="INSERT")
+    with pytest.raises(RuntimeError, match="says no"):
+        load_jdbc_table(odd, OTHER, "t", odd.schema, connect)
+    assert connect.log[-2:] == ["rollback", "close"]
+
+
+@pytest.mark.parametrize("present", [True, False])
+@pytest.mark.parametrize("database", [MYSQL, OTHER])
+def test_jdbc_replace_fills_beside_and_renames(odd, staged, database, present):
+    connect = Connections([2], tables=[database.quoted("t")] if present else [])
+    assert replace_jdbc_table(odd, database, "t", connect) == 2
+    q = database.quoted
+    statements = [x for x in connect.log if x not in ("commit", "close", "rollback")]
+    assert statements[0].startswith(f"INSERT INTO {q('t__new')} ({q('January')}, {q('1958')}, ")
+    assert statements[1] == f"SELECT COUNT(*) FROM {q('t__new')}"
+    swap = [x for x in statements if "RENAME" in x]
+    if database is MYSQL:
+        old = "`t` TO `t__old`, " if present else ""
+        assert swap == [f"RENAME TABLE {old}`t__new` TO `t`"]
+    else:
+        old = ['ALTER TABLE "t" RENAME TO "t__old"'] if present else []
+        assert swap == [*old, 'ALTER TABLE "t__new" RENAME TO "t"']
+    # The old table is touched only after the new one has been counted.
+    touched = [i for i, x in enumerate(statements) if f" {q('t')} " in f"{x} " and "RENAME" in x]
+    assert min(touched) > 1
+    assert staged[0][1][1:] == ("t__new", odd.schema, "overwrite")
+
+
+def test_jdbc_replace_that_fails_leaves_the_old_table(odd, staged):
+    connect = Connections([1], tables=['"t"'])
+    with pytest.raises(RuntimeError, match="1 rows arrived"):
+        replace_jdbc_table(odd, OTHER, "t", connect)
+    assert not [x for x in connect.log if "RENAME" in x or x.startswith("DROP")]
+
+
+def test_spark_writes_the_target_in_the_types_of_its_dialect(spark):
+    """The types that Spark would give a new table, from its own dialects."""
+    dialects = spark._jvm.org.apache.spark.sql.jdbc.JdbcDialects
+    types = spark._jvm.org.apache.spark.sql.types.DataTypes
+    for url, text in ((OTHER.url, "TEXT"), (MYSQL.url, "LONGTEXT")):
+        found = dialects.get(url).getJDBCType(types.StringType)
+        assert found.isDefined() and found.get().databaseTypeDefinition() == text
 
 
 def test_a_task_that_runs_again_numbers_its_rows_the_same(spark, folder):
@@ -157,16 +251,17 @@ def test_a_task_that_runs_again_numbers_its_rows_the_same(spark, folder):
     assert len({r[jdbc.ROW_ID] for r in first}) == 1000
 
 
+DB = JdbcDatabase("jdbc:some:db", {"user": "u", "password": "p"})
+
+
 def test_jdbc_options():
     assert DB.scan_options() == {
         "user": "u", "password": "p", "url": "jdbc:some:db", "fetchsize": "10000",
     }
     assert DB.write_options("t", 5, 2)["numPartitions"] == "2"
-    assert tables.bounds_query("orders", "order_id") == (
-        "SELECT MIN(order_id) AS lo, MAX(order_id) AS hi FROM orders"
+    assert tables.bounds_query(MYSQL, "shop.orders", "1958") == (
+        "SELECT MIN(`1958`) AS lo, MAX(`1958`) AS hi FROM `shop`.`orders`"
     )
-    schema = T.StructType([T.StructField("a", T.LongType()), T.StructField("b", T.DoubleType())])
-    assert jdbc.column_ddl(schema) == "a BIGINT, b DOUBLE"
 
 
 class FakeReader:
@@ -205,8 +300,8 @@ def test_jdbc_read_is_split_over_the_range_of_its_key():
     spark = FakeReader((1, 900))
     read_jdbc(spark, DB, "orders", "order_id", num_partitions=8)
     bounds, scan = spark.loads
-    assert bounds["query"].startswith("SELECT MIN(order_id)")
-    assert scan["dbtable"] == "orders" and scan["partitionColumn"] == "order_id"
+    assert bounds["query"].startswith('SELECT MIN("order_id")')
+    assert scan["dbtable"] == '"orders"' and scan["partitionColumn"] == "order_id"
     assert (scan["lowerBound"], scan["upperBound"], scan["numPartitions"]) == ("1", "900", "8")
 
 
@@ -215,7 +310,7 @@ def test_jdbc_read_of_an_empty_table_and_without_a_key():
     read_jdbc(spark, DB, "orders", "order_id")
     assert "partitionColumn" not in spark.loads[-1]
     read_jdbc(spark, DB, "orders")
-    assert len(spark.loads) == 3 and spark.loads[-1]["dbtable"] == "orders"
+    assert len(spark.loads) == 3 and spark.loads[-1]["dbtable"] == '"orders"' 
 
 
 @pytest.mark.parametrize("count", [1, 3, 8])
