@@ -171,6 +171,13 @@ def remove_earlier_strings(
     width = 2 * length - anchor
     reach = length - anchor
 
+    whole = np.uint32((1 << (reach + 1)) - 1)
+
+    def marks_of(around: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarray:
+        """A hash of surroundings; the bounds tell zeros of a text from those beyond its ends."""
+        bounds = low.astype(np.uint64) * np.uint64(256) + high.astype(np.uint64)
+        return mix(_hashes_of_rows(around) ^ bounds)
+
     def send_anchors(g: int, group: Group, _: dict) -> pa.Table:
         suffixes = _Suffixes(group, length, anchor)
         part = (suffixes.keys % np.uint64(anchor_parts)).astype(np.int64)
@@ -189,8 +196,7 @@ def remove_earlier_strings(
             part = (suffixes.keys % np.uint64(anchor_parts)).astype(np.int64)
             repeated = grouped.from_parts(answers[1], part, "u1")
         found = suffixes.contexts(repeated.astype(bool))
-        # The bounds tell zeros of a text from those beyond its ends.
-        marks = mix(_hashes_of_rows(found["around"]) ^ (found["low"] * 256 + found["high"]).astype(np.uint64))
+        marks = marks_of(found["around"], found["low"], found["high"])
         _, first, place = np.unique(marks, return_index=True, return_inverse=True)
         return suffixes, found, first, place
 
@@ -210,28 +216,41 @@ def remove_earlier_strings(
 
     def reply_matches(table: pa.Table) -> pa.Table:
         columns, came_in = grouped.gather(table, ["u8", "i8", "u1", "u1", f"V{width}"])
-        key, ids, low, high, around = columns
+        key, ids, low, high, packed = columns
+        around = packed.view(np.uint8).reshape(-1, width)
+        marks = np.concatenate(
+            [marks_of(around[i : i + _CONTEXTS], low[i : i + _CONTEXTS], high[i : i + _CONTEXTS]) for i in range(0, len(key), _CONTEXTS)]
+        )
+        # What has the same surroundings in an earlier document is found whole. Of equal ones the
+        # first stands for all, and where an anchor has but one kind there is nothing else to find.
+        order = np.lexsort((ids, marks, key))
+        new_key = np.diff(key[order], prepend=~key[order[:1]]) != 0
+        new_kind = new_key | (np.diff(marks[order], prepend=~marks[order[:1]]) != 0)
+        kind = np.cumsum(new_kind) - 1
         masks = np.zeros(len(key), dtype=np.uint32)
-        order = np.argsort(ids, kind="stable")
-        hashes, owners, rows, offsets = [], [], [], []
-        for at in range(0, len(order), _CONTEXTS):
-            some = order[at : at + _CONTEXTS]
-            every = Rolling(_VALUES[around[some].view(np.uint8)])
+        of_key = np.cumsum(new_key[new_kind]) - 1
+        several = np.bincount(of_key)[of_key] > 1
+        firsts = order[new_kind][several]
+        firsts = firsts[np.argsort(ids[firsts], kind="stable")]
+        hashes, rows, offsets = [], [], []
+        for at in range(0, len(firsts), _CONTEXTS):
+            some = firsts[at : at + _CONTEXTS]
+            every = Rolling(_VALUES[around[some].ravel()])
             base = np.arange(len(some)) * width
             for before in range(reach + 1):  # the string that starts so many bytes before the anchor
-                ok = (low[some] <= before) & (before <= high[some])
+                ok = np.flatnonzero((low[some] <= before) & (before <= high[some]))
                 start = base[ok] + reach - before
                 # Equal strings have equal anchors, so the anchor's hash tells strings apart as well.
-                runs = every.runs(start, start + length)
-                hashes.append(mix(runs ^ mix(key[some][ok] + np.uint64(before))))
+                hashes.append(mix(every.runs(start, start + length) ^ mix(key[some[ok]] + np.uint64(before))))
                 rows.append(some[ok])
-                offsets.append(np.full(int(ok.sum()), before, dtype=np.uint8))
+                offsets.append(np.full(len(ok), before, dtype=np.uint8))
         if hashes:
             hashes, rows, offsets = np.concatenate(hashes), np.concatenate(rows), np.concatenate(offsets)
-            owners = ids[rows]
-            by_document = np.argsort(owners, kind="stable")
-            hit = by_document[match_batches(hashes[by_document], owners[by_document])]
+            by_document = np.argsort(ids[rows], kind="stable")
+            hit = by_document[match_batches(hashes[by_document], ids[rows[by_document]])]
             np.bitwise_or.at(masks, rows[hit], np.uint32(1) << offsets[hit].astype(np.uint32))
+        first = order[new_kind][kind]
+        masks[order] = np.where(ids[order] > ids[first], whole, masks[first])
         return grouped.answer(table, came_in, masks)
 
     schema = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
@@ -243,7 +262,6 @@ def remove_earlier_strings(
         if 2 in answers:
             masks = grouped.from_parts(answers[2], part_of(found, first), "u4")
         owners = group.ids[found["text"]]
-        whole = np.uint32((1 << (reach + 1)) - 1)
         # Where the group itself has an earlier document with the same surroundings, all is found.
         mask = np.where(owners > owners[first][place], whole, masks[place]) if len(first) else np.zeros(0, np.uint32)
         rows: list[tuple] = []
