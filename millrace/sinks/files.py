@@ -34,7 +34,7 @@ def by_size(df: DataFrame, *columns: str) -> DataFrame:
     """The rows dealt out to tasks of about equal size, rows of equal ``columns`` together.
 
     Adaptive execution splits a value, or a share, with too many bytes and joins small ones. Each
-    task writes a file, so files are bounded by bytes
+    task writes a file, so files are bounded by the bytes that are shuffled, which are compressed
     (``spark.sql.adaptive.advisoryPartitionSizeInBytes``).
     """
     return df.hint("rebalance", *columns)

@@ -115,13 +115,16 @@ def test_a_csv_landing_with_text_has_files_of_bounded_size(spark, folder):
     """One partition with long texts; a file with line breaks is read by one task."""
     orders = spark.range(0, 4000, 1, 1).selectExpr(
         "cast(id as int) as order_id", "1 as customer_id", "cast(1 as decimal(10,2)) as amount",
-        "timestamp'2024-01-01' as order_date", "concat(uuid(), '\n', repeat(uuid(), 20)) as note",
+        "timestamp'2024-01-01' as order_date", "concat_ws('\\n', transform(sequence(1, 12), x -> sha2(concat(id, ' ', x), 256))) as note",
     )
-    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "200k")
+    small = {"advisoryPartitionSizeInBytes": "200k", "coalescePartitions.minPartitionSize": "50k"}
+    for name, value in small.items():
+        spark.conf.set(f"spark.sql.adaptive.{name}", value)
     try:
         result = run_batch_ingest(orders, f"{folder}/raw", f"{folder}/processed", run_ts=RUN_TS)
     finally:
-        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+        for name in small:
+            spark.conf.unset(f"spark.sql.adaptive.{name}")
     sizes = [os.path.getsize(f"{result.landed_path}/{f}") for f in os.listdir(result.landed_path) if f.startswith("part-")]
     assert len(sizes) > 4 and max(sizes) < sum(sizes) / 3
     assert result.landed_rows == 4000 == read_parquet(spark, result.transformed_path).count()

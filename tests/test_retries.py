@@ -11,7 +11,7 @@ from millrace import schemas
 from millrace.operators import ColumnRule, greater_than, watch
 from millrace.plans import publish_events, run_batch_ingest
 from millrace.sinks import publish
-from millrace.sources import read_parquet, read_table
+from millrace.sources import read_parquet, read_published, read_table
 from millrace.streaming import decode_events, file_sink
 
 T1 = datetime(2024, 1, 1)
@@ -49,7 +49,7 @@ def test_counts_of_a_watch_are_exact(spark, folder, orders):
     rules = [ColumnRule("amount", "float", checks=(greater_than(50),))]
     observed, counts = watch(orders, rules)
     publish(observed, f"{folder}/out")
-    assert counts.rows == 100 and read_parquet(spark, f"{folder}/out").count() == 100
+    assert counts.rows == 100 and read_published(spark, f"{folder}/out").count() == 100
     assert [v.failures for v in counts.violations()] == [50]
 
 
