@@ -85,7 +85,7 @@ def op9_warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
         "outcome",
         "response_id",
         F.array_join(lines, "; ").alias("merged_headers"),
-        F.md5(F.col("body").cast("binary")).alias("body_md5"),
+        "payload_digest",
     )
 
 

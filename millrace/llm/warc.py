@@ -13,7 +13,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from millrace.llm.quality import quoted
+from millrace.functions import quoted
 from millrace.llm.shared import stored
 
 #: Headers that describe the body or the connection, which a not-modified answer does not renew.
@@ -66,49 +66,49 @@ def resolve_revisits(
     kind: str = "kind",
     status: str = "status",
     headers: str = "headers",
-    body: str = "body",
+    digest: str = "payload_digest",
 ) -> DataFrame:
     """A row per revisit: ``record_id``, ``canonical_url``, ``captured_at``, ``outcome``,
-    ``response_id``, ``merged_headers`` (map) and ``body``.
+    ``response_id``, ``merged_headers`` (map) and ``payload_digest``.
 
     ``kind`` is ``response`` or ``revisit``; full responses are those of status 200 whose headers
     have no ``content-range``. The response is the latest captured strictly before the revisit; of
     several at one time that of the greatest id. ``outcome`` is ``resolved``, ``no_response``,
     ``changed`` (a validator differs) or ``unchecked`` (none to compare). Entity tags are compared
     weakly and decide if both sides have one, else the time of the last change does. Only
-    resolved revisits have a body and the response's headers; others keep their own headers.
+    resolved revisits have a payload and the response's headers; others keep their own headers.
+    ``with_bodies`` adds the payload itself.
 
     Nulls: records without URL or time are in no join: such revisits get ``no_response``, such responses are
-    passed over. Missing headers are none. Repeated revisits each get a row; of repeated responses
-    the smallest gives the body. An empty table gives an empty result. Other columns are ignored.
+    passed over. Missing headers are none. Repeated revisits each get a row; repeated responses
+    count once. An empty table gives an empty result. Other columns are ignored.
     """
     spark = records.sparkSession
-    rows = records.select(
-        quoted(record_id).cast("string").alias("id"),
-        canonical_url(quoted(url)).alias("site"),
-        quoted(captured).cast("timestamp").alias("at"),
-        (quoted(kind) == "revisit").alias("revisit"),
-        quoted(status).cast("int").alias("status"),
-        _lower_names(quoted(headers)).alias("headers"),
+    rows = stored(
+        records.select(
+            quoted(record_id).cast("string").alias("id"),
+            canonical_url(quoted(url)).alias("site"),
+            quoted(captured).cast("timestamp").alias("at"),
+            (quoted(kind) == "revisit").alias("revisit"),
+            quoted(status).cast("int").alias("status"),
+            _lower_names(quoted(headers)).alias("headers"),
+            quoted(digest).cast("string").alias("digest"),
+        ),
+        "records",
     )
     full = ~F.col("revisit") & (F.col("status") == 200) & F.col("headers")["content-range"].isNull()
-    used = rows.filter(F.col("revisit") | full).filter("site IS NOT NULL AND at IS NOT NULL")
+    used = rows.filter("site IS NOT NULL AND at IS NOT NULL").filter(F.col("revisit") | full).drop("status")
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    answer = F.struct("at", "id", "headers")
-    ranged = stored(
-        # At one time revisits come before responses: a response counts for later times only.
-        used.repartitionByRange(parts, "site", "at", F.desc("revisit"), "id").withColumn(
-            "part", F.spark_partition_id()
-        ),
-        "ranged-records",
-    )
+    # At one time revisits come before responses: a response counts for later times only.
+    ranged = used.repartitionByRange(parts, "site", "at", F.desc("revisit"), "id")
+    ranged = stored(ranged.withColumn("part", F.spark_partition_id()), "ranged-records")
+    answer = F.struct("at", "id", "headers", "digest")
     ranged = ranged.withColumn("response", F.when(~F.col("revisit"), answer))
-    last = ranged.filter("NOT revisit").groupBy("site", "part").agg(
-        F.max_by("response", F.struct("at", "id")).alias("response")
-    )
-    seen = ranged.select("site", "part").distinct().join(last, ["site", "part"], "left")
+    last = F.max_by("response", F.when(~F.col("revisit"), F.struct("at", "id")))
+    ends = ranged.groupBy("site", "part").agg(last.alias("response"))
     by_part = Window.partitionBy("site").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    before = seen.select("site", "part", F.last("response", ignorenulls=True).over(by_part).alias("carried"))
+    before = ends.select("site", "part", F.last("response", ignorenulls=True).over(by_part).alias("carried"))
+    before = before.filter("carried IS NOT NULL")
     in_part = Window.partitionBy("site", "part").orderBy("at", F.desc("revisit"), "id")
     looked = (
         ranged.withColumn("own", F.last("response", ignorenulls=True).over(in_part))
@@ -131,23 +131,37 @@ def resolve_revisits(
     )
     renewed = F.map_filter(own, lambda k, v: ~k.isin(*NOT_RENEWED))
     kept = F.map_filter(theirs, lambda k, v: ~F.map_contains_key(renewed, k))
-    judged = looked.unionAll(lost).withColumn("outcome", outcome)
     good = F.col("outcome") == "resolved"
-    judged = judged.select(
-        F.col("id").alias("record_id"),
-        F.col("site").alias("canonical_url"),
-        F.col("at").alias("captured_at"),
-        "outcome",
-        F.col("response.id").alias("response_id"),
-        F.when(good, F.map_concat(kept, renewed)).otherwise(own).alias("merged_headers"),
-        F.when(good, F.col("response.id")).alias("_body_of"),
+    return (
+        looked.unionAll(lost)
+        .withColumn("outcome", outcome)
+        .select(
+            F.col("id").alias("record_id"),
+            F.col("site").alias("canonical_url"),
+            F.col("at").alias("captured_at"),
+            "outcome",
+            F.col("response.id").alias("response_id"),
+            F.when(good, F.map_concat(kept, renewed)).otherwise(own).alias("merged_headers"),
+            F.when(good, F.col("response.digest")).alias("payload_digest"),
+        )
     )
+
+
+def with_bodies(
+    resolved: DataFrame, records: DataFrame, record_id: str = "record_id", kind: str = "kind", body: str = "body"
+) -> DataFrame:
+    """The resolved revisits with the ``body`` of their response; null for others.
+
+    Only bodies that are needed are shuffled. Of responses that share an id the smallest body counts.
+    """
+    body_of = F.when(F.col("outcome") == "resolved", F.col("response_id")).alias("_body_of")
+    wanted = resolved.select("*", body_of)
     bodies = records.filter(quoted(kind) == "response").select(
         quoted(record_id).cast("string").alias("_body_of"), quoted(body).alias("body")
     )
-    needed = judged.select("_body_of").distinct()
-    bodies = bodies.join(needed, "_body_of", "left_semi").groupBy("_body_of").agg(F.min("body").alias("body"))
-    return judged.join(bodies, "_body_of", "left").drop("_body_of")
+    bodies = bodies.join(wanted.select("_body_of").distinct(), "_body_of", "left_semi")
+    bodies = bodies.groupBy("_body_of").agg(F.min("body").alias("body"))
+    return wanted.join(bodies, "_body_of", "left").drop("_body_of")
 
 
 def page_captures(pages: DataFrame) -> DataFrame:
@@ -160,56 +174,61 @@ def page_captures(pages: DataFrame) -> DataFrame:
     n = F.col("page_id")
     day, start = 86400, 1704067200
     first = F.lit(start) + n * 2220
-    tag = lambda c: F.concat(F.lit('"'), F.md5(c.cast("binary")), F.lit('"'))
     second = F.concat(F.col("html"), F.lit("2"))
+    digests = pages.select(
+        "page_id",
+        "url",
+        "html",
+        F.md5(F.col("html").cast("binary")).alias("one"),
+        F.md5(second.cast("binary")).alias("two"),
+        F.length("html").alias("size"),
+    )
+    quote = lambda c: F.concat(F.lit('"'), c, F.lit('"'))
     changed = F.concat(F.lit("day "), (n % 28).cast("string"))
 
-    def header_map(**values: Column) -> Column:
-        pairs = [x for k, v in values.items() for x in (F.lit(k.replace("_", "-")), v)]
-        return F.map_filter(F.create_map(*pairs), lambda k, v: v.isNotNull())
+    def headers(*pairs: tuple[str, Column]) -> Column:
+        names, values = F.array(*(F.lit(k) for k, _ in pairs)), F.array(*(v for _, v in pairs))
+        return F.map_filter(F.map_from_arrays(names, values), lambda k, v: v.isNotNull())
 
-    def response(prefix: str, at: Column, body: Column) -> DataFrame:
-        partial = (n % 13 == 0) & F.lit(prefix == "r")
-        return pages.select(
-            "page_id",
+    def record(prefix: str, at: Column, kind: str, status: Column, digest: Column, url: Column, fields: Column) -> Column:
+        return F.struct(
             F.concat(F.lit(prefix), n.cast("string")).alias("record_id"),
-            "url",
+            url.alias("url"),
             F.timestamp_seconds(at).alias("captured_at"),
-            F.lit("response").alias("kind"),
-            F.when(partial, 206).otherwise(200).alias("status"),
-            header_map(
-                ETag=F.when(n % 3 != 0, tag(body)),
-                Last_Modified=changed,
-                Content_Type=F.lit("text/html"),
-                Content_Length=F.length(body).cast("string"),
-                Cache_Control=F.lit("max-age=60"),
-                Content_Range=F.when(partial, "bytes 0-9/*"),
-            ).alias("headers"),
-            body.alias("body"),
+            F.lit(kind).alias("kind"),
+            status.alias("status"),
+            fields.alias("headers"),
+            digest.alias("payload_digest"),
         )
 
+    def response(prefix: str, at: Column, digest: Column, size: Column, partial: Column) -> Column:
+        fields = headers(
+            ("ETag", F.when(n % 3 != 0, quote(digest))),
+            ("Last-Modified", changed),
+            ("Content-Type", F.lit("text/html")),
+            ("Content-Length", size.cast("string")),
+            ("Cache-Control", F.lit("max-age=60")),
+            ("Content-Range", F.when(partial, "bytes 0-9/*")),
+        )
+        return record(prefix, at, "response", F.when(partial, 206).otherwise(200), digest, F.col("url"), fields)
+
     bare = F.regexp_replace("url", "#.*$", "")
     again = F.concat(bare, F.when(F.instr(bare, "?") > 0, "&").otherwise("?"), F.lit("utm_medium=again#x"))
-    current = F.when(n % 8 == 0, tag(second)).otherwise(tag(F.col("html")))
-    sent = F.when(n % 7 == 0, F.lit('"stale"')).otherwise(
-        F.concat(F.when(n % 2 == 0, "W/").otherwise(""), current)
+    current = quote(F.when(n % 8 == 0, F.col("two")).otherwise(F.col("one")))
+    sent = F.when(n % 7 == 0, '"stale"').otherwise(F.concat(F.when(n % 2 == 0, "W/").otherwise(""), current))
+    validated = n % 11 != 0
+    fields = headers(
+        ("etag", F.when((n % 3 != 0) & validated, sent)),
+        ("last-modified", F.when(validated, changed)),
+        ("Cache-Control", F.lit("max-age=600")),
+        ("Expires", F.concat(F.lit("after "), n.cast("string"))),
+        ("Content-Length", F.lit("0")),
     )
-    bare_of_validators = n % 11 == 0
-    revisits = pages.select(
-        "page_id",
-        F.concat(F.lit("v"), n.cast("string")).alias("record_id"),
-        again.alias("url"),
-        F.timestamp_seconds(first + (n % 5 - 1) * day).alias("captured_at"),
-        F.lit("revisit").alias("kind"),
-        F.lit(304).alias("status"),
-        header_map(
-            etag=F.when((n % 3 != 0) & ~bare_of_validators, sent),
-            last_modified=F.when(~bare_of_validators, changed),
-            Cache_Control=F.lit("max-age=600"),
-            Expires=F.concat(F.lit("after "), n.cast("string")),
-            Content_Length=F.lit("0"),
-        ).alias("headers"),
-        F.lit(None).cast("string").alias("body"),
+    no_digest = F.lit(None).cast("string")
+    captures = F.array(
+        response("r", first, F.col("one"), F.col("size"), n % 13 == 0),
+        F.when(n % 4 == 0, response("q", first + day + day // 2, F.col("two"), F.col("size") + 1, F.lit(False))),
+        record("v", first + (n % 5 - 1) * day, "revisit", F.lit(304), no_digest, again, fields),
     )
-    later = response("q", first + day + day // 2, second).filter("page_id % 4 = 0")
-    return response("r", first, F.col("html")).unionAll(later).unionAll(revisits).drop("page_id")
+    body = F.when(F.col("c.record_id").startswith("r"), F.col("html")).when(F.col("c.record_id").startswith("q"), second)
+    return digests.select("html", F.explode(captures).alias("c")).filter("c IS NOT NULL").select("c.*", body.alias("body"))
