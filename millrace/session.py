@@ -51,19 +51,26 @@ def build_session(
     return builder.getOrCreate()
 
 
+#: Folders made for local sessions that name none, by application.
+_LOCAL_ROOTS: dict[str, str] = {}
+
+
 def scratch_root(spark: SparkSession) -> str:
     """The folder all executors share, as the cluster names it in ``spark.checkpoint.dir``.
 
-    Only a local session may do without the setting; it gets a folder of its own.
+    Only a local session may do without the setting; it gets a folder of its own, which is removed
+    when it ends.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        master = spark.conf.get("spark.master", "")
-        if not master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        root = tempfile.mkdtemp(prefix="millrace-")
-        spark.conf.set("spark.checkpoint.dir", root)
-    return root.rstrip("/")
+    if root:
+        return root.rstrip("/")
+    if not spark.conf.get("spark.master", "").startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+    app = spark.sparkContext.applicationId
+    if app not in _LOCAL_ROOTS:
+        _LOCAL_ROOTS[app] = tempfile.mkdtemp(prefix="millrace-")
+        delete_on_exit(spark, _LOCAL_ROOTS[app])
+    return _LOCAL_ROOTS[app]
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

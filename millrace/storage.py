@@ -33,6 +33,16 @@ def delete_on_exit(spark: SparkSession, path: str) -> None:
     fs.deleteOnExit(p)
 
 
+def write_bytes(spark: SparkSession, path: str, data: bytes) -> None:
+    """A small file, replacing what is at ``path``."""
+    fs, p = _locate(spark, path)
+    stream = fs.create(p, True)
+    try:
+        stream.write(data)
+    finally:
+        stream.close()
+
+
 def children(spark: SparkSession, folder: str) -> dict[str, int]:
     """Names in a folder, each with the time of its last change; none if there is no folder."""
     fs, p = _locate(spark, folder)
