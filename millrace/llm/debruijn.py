@@ -90,7 +90,7 @@ def remove_repeats(
     doc_id: str = "doc_id",
     text: str = "text",
     with_text: bool = False,
-    group_bytes: int = grouped.GROUP_BYTES,
+    group_bytes: int | None = None,
 ) -> DataFrame:
     """A row per row: ``doc_id``, ``n_words``, ``n_removed``, ``kept_sha256`` and ``spans``.
 

@@ -5,7 +5,8 @@ packed: one row has all keys of one group for one part. A part answers each such
 value for each of its keys, in the same order. The group works out its keys again when
 the answer comes, so neither positions nor texts travel with them.
 
-Groups and parts grow in number with the data, not in size. Before it sends, a group drops all
+Groups and parts grow in number with the data; their size grows only with its root, and only up to
+eightfold, so that the rows they exchange do not become too many and too small. Before it sends, a group drops all
 but the first of equal keys, so that a key which is everywhere comes to its part once a group.
 All rounds of one query are one plan, in which the shuffle of the texts is done once and reused.
 """
@@ -22,12 +23,14 @@ from pyspark.sql import DataFrame, functions as F, types as T
 from millrace.functions import quoted
 
 GROUP_BYTES = 4 << 20
+#: From so many bytes of text on groups grow.
+_LARGE = 64 << 30
 NO_ID = np.iinfo(np.int64).max
 PACKED = "part int, g int, packed binary"
 
 
 def deal(
-    docs: DataFrame, doc_id: str, text: str, group_bytes: int = GROUP_BYTES, rows: bool = False
+    docs: DataFrame, doc_id: str, text: str, group_bytes: int | None = None, rows: bool = False
 ) -> tuple[DataFrame, int]:
     """``g``, ``doc_id``, ``tkey`` (a hash of the text), ``text`` as bytes, and the number of groups.
 
@@ -35,6 +38,8 @@ def deal(
     """
     body = F.coalesce(quoted(text).cast("binary"), F.lit(b""))
     size = docs.agg(F.sum(F.octet_length(body).cast("long") + 64)).first()[0] or 0
+    if group_bytes is None:
+        group_bytes = int(GROUP_BYTES * min(8.0, max(1.0, (size / _LARGE) ** 0.5)))
     groups = max(1, -(-size // group_bytes))
     tkey = F.xxhash64(body)
     others = [quoted(c) for c in docs.columns if c != text]

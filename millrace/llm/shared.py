@@ -2,17 +2,17 @@
 
 from __future__ import annotations
 
+import io
 import os
-import shutil
-import tempfile
+import zipfile
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 import millrace
+from millrace import storage
 from millrace.session import scratch_path
 
-#: Archives by application. Executors fetch them from the driver whenever they start.
-_SHIPPED: dict[str, tempfile.TemporaryDirectory] = {}
+_SHIPPED: set[str] = set()
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:
@@ -28,17 +28,26 @@ def stored(df: DataFrame, name: str) -> DataFrame:
 
 
 def ship(spark: SparkSession) -> None:
-    """Gives the executors' Python this package, once per application."""
+    """Gives the executors' Python this package, once per application.
+
+    The archive lies in the shared scratch folder, from where executors fetch it when they start.
+    """
     app = spark.sparkContext.applicationId
     if app in _SHIPPED:
         return
     root = os.path.dirname(os.path.abspath(millrace.__file__))
-    folder = tempfile.TemporaryDirectory(prefix="millrace-")
-    archive = shutil.make_archive(
-        os.path.join(folder.name, "millrace"), "zip", os.path.dirname(root), os.path.basename(root)
-    )
-    spark.sparkContext.addPyFile(archive)
-    _SHIPPED[app] = folder
+    archive = io.BytesIO()
+    with zipfile.ZipFile(archive, "w", zipfile.ZIP_DEFLATED) as out:
+        for folder, _, files in os.walk(root):
+            for name in files:
+                if name.endswith(".py"):
+                    path = os.path.join(folder, name)
+                    out.write(path, os.path.relpath(path, os.path.dirname(root)))
+    path = f"{scratch_path(spark, 'package')}/millrace.zip"
+    storage.write_bytes(spark, path, archive.getvalue())
+    spark.sparkContext.addPyFile(path)
+    _SHIPPED.add(app)
+
 
 def fold(key: Column, folds: int) -> Column:
     """The CRC-32 of the id as text, modulo ``folds``. Null ids are in fold 0."""

@@ -154,7 +154,7 @@ def remove_earlier_strings(
     doc_id: str = "doc_id",
     text: str = "text",
     with_text: bool = False,
-    group_bytes: int = grouped.GROUP_BYTES,
+    group_bytes: int | None = None,
 ) -> DataFrame:
     """A row per row: ``doc_id``, ``n_bytes``, ``n_removed``, ``n_spans`` and ``kept_sha256``.
 
