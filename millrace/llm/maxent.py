@@ -29,15 +29,39 @@ from millrace.llm.shared import stored
 from millrace.llm.tokens import Words, mix, words
 
 GROUPS, PER_GROUP = 8, 16
-ENDINGS = 64
+ENDINGS = 96
 FREQUENT = GROUPS * PER_GROUP - ENDINGS
 #: Rows of weights, by which features are hashed.
 ROWS = 1 << 16
 _END = mix(np.array([0x0E4D], dtype=np.uint64))[0]
-_BLOCKS = 32
+_BLOCKS = 256
 _PRIOR = 0.1
 
 
+class Lookup:
+    """Values of sorted 64-bit keys. Keys are hashes, so their first bits say nearly where they are."""
+
+    def __init__(self, keys: np.ndarray, values: np.ndarray) -> None:
+        self.keys, self.values = keys, values
+        bits = max(1, int(len(keys) - 1).bit_length() + 1)
+        self.shift = np.uint64(64 - bits)
+        found = np.searchsorted(keys >> self.shift, np.arange((1 << bits) + 1, dtype=np.uint64))
+        self.starts, self.sizes = found[:-1].astype(np.int32), np.diff(found).astype(np.int32)
+
+    def get(self, keys: np.ndarray, missing: int) -> np.ndarray:
+        out = np.full(len(keys), missing, dtype=np.int64)
+        bucket = (keys >> self.shift).astype(np.int64)
+        at, left = self.starts[bucket], self.sizes[bucket]
+        open_ = np.flatnonzero(left > 0)
+        at, left, asked = at[open_], left[open_], keys[open_]
+        while len(open_):
+            hit = self.keys[at] == asked
+            out[open_[hit]] = self.values[at[hit]]
+            more = np.flatnonzero(~hit & (left > 1))
+            open_, at, left, asked = open_[more], at[more] + 1, left[more] - 1, asked[more]
+        return out
+
+
 @dataclass
 class Vocabulary:
     """Counts of frequent words and sums over all; what is rarer is looked up by a join."""
@@ -63,7 +87,7 @@ class Tokens:
     n_texts: int
 
 
-def joined(slices: Iterator[Words], n: int = 1 << 17) -> Iterator[Tokens]:
+def joined(slices: Iterator[Words], n: int = 1 << 18) -> Iterator[Tokens]:
     """Tokens of several slices at a time, at least ``n`` but for the last."""
     held: list[Tokens] = []
     for w in slices:
@@ -103,64 +127,112 @@ def tokens(w: Words) -> Tokens:
     return Tokens(hashes, endings, text_of, is_first, n_texts)
 
 
-def _classes(t: Tokens, v: Vocabulary) -> np.ndarray:
-    at = np.minimum(np.searchsorted(v.frequent, t.hashes), len(v.frequent) - 1)
-    return np.where(v.frequent[at] == t.hashes, v.classes[at], FREQUENT + t.endings)
-
-
-def _rows(t: Tokens, classes: np.ndarray, end_class: int) -> tuple[np.ndarray, np.ndarray]:
-    """Weight rows of each feature, for the choice of a group and for that of a class in its group."""
-    before = np.concatenate([[_END], t.hashes[:-1]])
-    one = np.concatenate([[end_class], classes[:-1]])
-    two = np.concatenate([[end_class], one[:-1]])
-    two[t.is_first] = end_class
-    wide = np.uint64(GROUPS * PER_GROUP)
-    one, two = one.astype(np.uint64), two.astype(np.uint64)
-    features = [
-        np.zeros(len(before), dtype=np.uint64),
-        mix(before),
-        mix(two + np.uint64(1 << 32)),
-        mix((one * wide + two) + np.uint64(1 << 40)),
-    ]
-    group = (classes // PER_GROUP).astype(np.uint64)
-    first = np.array([(f % np.uint64(ROWS)).astype(np.int32) for f in features])
-    second = np.array([(mix(f ^ mix(group + np.uint64(7))) % np.uint64(ROWS)).astype(np.int32) for f in features])
+def _classes(t: Tokens, frequent: Lookup) -> np.ndarray:
+    own = frequent.get(t.hashes, -1)
+    return np.where(own >= 0, own, FREQUENT + t.endings)
+
+
+_CLASSES = GROUPS * PER_GROUP
+_MASK = np.uint64(ROWS - 1)
+
+
+def _hashed_rows() -> tuple[np.ndarray, np.ndarray]:
+    """Rows of the constant, the skip and the pair for each pair of classes, and for each with a group."""
+    pair = np.arange(_CLASSES * _CLASSES, dtype=np.uint64)
+    two = pair % np.uint64(_CLASSES)
+    features = [mix(x) for x in (np.zeros_like(pair), two + np.uint64(1 << 32), pair + np.uint64(1 << 40))]
+    groups = mix(np.arange(GROUPS, dtype=np.uint64) + np.uint64(7))
+    first = np.array([f & _MASK for f in features]).astype(np.int32)
+    second = np.array([mix(f[:, None] ^ groups).ravel() & _MASK for f in features]).astype(np.int32)
     return first, second
 
 
-def _softmax(weights: np.ndarray, rows: np.ndarray) -> np.ndarray:
-    scores = weights[rows[0]]
-    for r in rows[1:]:
-        scores += weights[r]
-    scores -= scores.max(axis=1, keepdims=True)
-    np.exp(scores, out=scores)
-    scores /= scores.sum(axis=1, keepdims=True)
-    return scores
+_PAIR_ROWS = _hashed_rows()
+
+
+@dataclass
+class History:
+    """What the choices of each token depend on: the pair of classes before it, alone and with its
+    own group, and the rows of the word before, likewise."""
+
+    pair: np.ndarray
+    pair_group: np.ndarray
+    word: np.ndarray
+    word_group: np.ndarray
+
+    @staticmethod
+    def of(t: Tokens, classes: np.ndarray, end_class: int) -> History:
+        one = np.concatenate([[end_class], classes[:-1]])
+        two = np.concatenate([[end_class], one[:-1]])
+        two[t.is_first] = end_class
+        pair, group = one * _CLASSES + two, classes // PER_GROUP
+        word = (mix(np.concatenate([[_END], t.hashes[:-1]])) & _MASK).astype(np.int64)
+        word_group = mix((word * GROUPS + group).astype(np.uint64) + np.uint64(1 << 48)) & _MASK
+        return History(pair, pair * GROUPS + group, word, word_group.astype(np.int64))
+
+    def level(self, level: int) -> tuple[np.ndarray, np.ndarray]:
+        return (self.pair_group, self.word_group) if level else (self.pair, self.word)
+
+
+class Scorer:
+    """Softmaxes under weights. The features of a pair of classes are summed beforehand."""
+
+    def __init__(self, weights: list[np.ndarray]) -> None:
+        self.weights = weights
+        self.pairs = [w[rows[0]] + w[rows[1]] + w[rows[2]] for w, rows in zip(weights, _PAIR_ROWS, strict=True)]
+
+    def softmax(self, level: int, history: History) -> np.ndarray:
+        pair, word = history.level(level)
+        scores = self.pairs[level][pair]
+        scores += self.weights[level][word]
+        scores -= scores.max(axis=1, keepdims=True)
+        np.exp(scores, out=scores)
+        scores /= scores.sum(axis=1, keepdims=True)
+        return scores
+
+
+def _sum_rows(total: np.ndarray, rows: np.ndarray, values: np.ndarray) -> None:
+    """Adds each value's row to its row of the total, equal rows together."""
+    order = np.argsort(rows)
+    sorted_rows = rows[order]
+    bounds = np.flatnonzero(np.diff(sorted_rows, prepend=-1))
+    total[sorted_rows[bounds]] += np.add.reduceat(values[order], bounds, axis=0)
 
 
 class Sums:
     """How often classes came with the features of each row, and how often they were expected."""
 
     def __init__(self) -> None:
-        self.seen = [np.zeros((ROWS, width), dtype=np.float32) for width in (GROUPS, PER_GROUP)]
-        self.expected = [np.zeros((ROWS, width), dtype=np.float32, order="F") for width in (GROUPS, PER_GROUP)]
-
-    def add(self, t: Tokens, v: Vocabulary, end_class: int, weights: list[np.ndarray] | None) -> None:
-        classes = _classes(t, v)
-        choices = (classes // PER_GROUP, classes % PER_GROUP)
-        for level, rows in enumerate(_rows(t, classes, end_class)):
-            width = self.seen[level].shape[1]
-            p = None if weights is None else _softmax(weights[level], rows).T.astype(np.float64)
-            for r in rows:
-                cells = r.astype(np.int64) * width + choices[level]
-                self.seen[level] += np.bincount(cells, minlength=ROWS * width).reshape(ROWS, width)
-                if p is not None:
-                    for c in range(width):
-                        self.expected[level][:, c] += np.bincount(r, p[c], ROWS)
+        widths = (GROUPS, PER_GROUP)
+        tables = lambda sizes: [[np.zeros((n, w), dtype=np.float32) for n, w in zip(sizes, widths, strict=True)] for _ in range(2)]
+        self.seen_words, self.expected_words = tables((ROWS, ROWS))
+        self.seen_pairs, self.expected_pairs = tables((_CLASSES**2, _CLASSES**2 * GROUPS))
+
+    def add(self, t: Tokens, frequent: Lookup, end_class: int, scorer: Scorer | None) -> None:
+        classes = _classes(t, frequent)
+        history = History.of(t, classes, end_class)
+        for level, choice in enumerate((classes // PER_GROUP, classes % PER_GROUP)):
+            pair, word = history.level(level)
+            for total, rows in ((self.seen_pairs[level], pair), (self.seen_words[level], word)):
+                np.add.at(total.reshape(-1), rows * total.shape[1] + choice, np.float32(1))
+            if scorer is not None:
+                p = scorer.softmax(level, history)
+                _sum_rows(self.expected_pairs[level], pair, p)
+                _sum_rows(self.expected_words[level], word, p)
+
+    def tables(self) -> list[np.ndarray]:
+        """Seen and expected by row, for groups and for classes in a group."""
+        out = []
+        for words_, pairs in ((self.seen_words, self.seen_pairs), (self.expected_words, self.expected_pairs)):
+            for level in range(2):
+                total = words_[level].copy()
+                for rows in _PAIR_ROWS[level]:
+                    _sum_rows(total, rows, pairs[level])
+                out.append(total)
+        return out
 
     def packed(self) -> list[bytes]:
-        size = ROWS // _BLOCKS
-        parts = [*self.seen, *(x for x in self.expected)]
+        size, parts = ROWS // _BLOCKS, self.tables()
         return [
             zstandard.compress(b"".join(x[i * size : (i + 1) * size].tobytes() for x in parts), 1) for i in range(_BLOCKS)
         ]
@@ -203,10 +275,11 @@ def _gather(texts: DataFrame, vocabulary: Vocabulary, end_class: int, weights: l
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         v, w = shared.value
+        frequent, scorer = Lookup(v.frequent, v.classes), None if w is None else Scorer(w)
         sums, some = Sums(), False
         for batch in batches:
             for t in joined(words(batch.column(0), lower=True)):
-                sums.add(t, v, end_class, w)
+                sums.add(t, frequent, end_class, scorer)
                 some = True
         if some:
             yield pa.RecordBatch.from_arrays(
@@ -294,16 +367,15 @@ def vocabulary_of(counts: DataFrame, head_words: int) -> tuple[Vocabulary, int]:
     return v, least
 
 
-def _scored(t: Tokens, v: Vocabulary, end_class: int, weights: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _scored(
+    t: Tokens, frequent: Lookup, head: Lookup, end_class: int, scorer: Scorer
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Log10 of class probabilities per token; counts, -1 for those to look up; classes."""
-    classes = _classes(t, v)
-    choices = (classes // PER_GROUP, classes % PER_GROUP)
-    log_p = np.zeros(len(classes))
-    for level, rows in enumerate(_rows(t, classes, end_class)):
-        log_p += np.log10(np.maximum(_softmax(weights[level], rows)[np.arange(len(classes)), choices[level]], 1e-30))
-    at = np.minimum(np.searchsorted(v.head, t.hashes), len(v.head) - 1)
-    counts = np.where(v.head[at] == t.hashes, v.head_counts[at], -1)
-    return log_p, counts, classes
+    classes = _classes(t, frequent)
+    history = History.of(t, classes, end_class)
+    each = np.arange(len(classes))
+    p = scorer.softmax(0, history)[each, classes // PER_GROUP] * scorer.softmax(1, history)[each, classes % PER_GROUP]
+    return np.log10(np.maximum(p.astype(np.float64), 1e-30)), head.get(t.hashes, -1), classes
 
 
 def score_texts(
@@ -342,14 +414,14 @@ def score_texts(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         v, w = shared.value
+        frequent, head, scorer = Lookup(v.frequent, v.classes), Lookup(v.head, v.head_counts), Scorer(w)
         next_id = TaskContext.get().partitionId() << 36
         norms = np.log10(v.ending_totals + _PRIOR * (v.ending_distinct + 1))
         for batch in batches:
             parts: list[list[np.ndarray]] = []
             rare: list[dict] = []
-            for x in words(batch.column(1), lower=True):
-                t = tokens(x)
-                log_p, n, classes = _scored(t, v, end_class, w)
+            for t in joined(words(batch.column(1), lower=True), 1 << 16):
+                log_p, n, classes = _scored(t, frequent, head, end_class, scorer)
                 known, unique_class = n >= 0, classes < FREQUENT
                 word = np.where(known, np.log10(np.maximum(n, 0) + _PRIOR), 0.0)
                 norm = np.where(unique_class, 0.0, norms[np.maximum(classes - FREQUENT, 0)])

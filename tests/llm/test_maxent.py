@@ -72,17 +72,17 @@ def test_probabilities_sum_to_one(corpus):
     sums = maxent._gather(frame, vocabulary, end, weights)
     assert np.allclose([x.sum() for x in sums], 4 * vocabulary.total)
     t = maxent.tokens(next(iter(words(pa.array([b"a b zz never"], pa.binary()), lower=True))))
-    classes = maxent._classes(t, vocabulary)
+    scorer = maxent.Scorer(weights)
+    classes = maxent._classes(t, maxent.Lookup(vocabulary.frequent, vocabulary.classes))
     total = np.zeros(len(classes))
     for c in range(maxent.GROUPS * maxent.PER_GROUP):
-        rows = maxent._rows(t, classes, end)
-        features, group = rows[0], c // maxent.PER_GROUP
-        p = maxent._softmax(weights[0], features)[:, group]
-        fixed = np.full(len(classes), c)
-        shifted = maxent.Tokens(t.hashes, t.endings, t.text_of, t.is_first, t.n_texts)
-        second = _rows_of_group(shifted, classes, fixed, end)
-        total += p * maxent._softmax(weights[1], second)[:, c % maxent.PER_GROUP]
-    assert np.allclose(total, 1)
+        for i in range(len(classes)):
+            asked = classes.copy()
+            asked[i] = c  # the history of a token does not hold its own class, but the group asked for
+            history = maxent.History.of(t, asked, end)
+            group, place = divmod(c, maxent.PER_GROUP)
+            total[i] += scorer.softmax(0, history)[i, group] * scorer.softmax(1, history)[i, place]
+    assert np.allclose(total, 1, atol=1e-5)
     for ending in range(maxent.ENDINGS):
         n, distinct = vocabulary.ending_totals[ending], vocabulary.ending_distinct[ending]
         assert n >= distinct >= 0
@@ -91,15 +91,23 @@ def test_probabilities_sum_to_one(corpus):
     ].sum() == vocabulary.total
 
 
-def _rows_of_group(t, classes, fixed, end):
-    """Rows for the choice within the group of a fixed class, the history as it is."""
-    own, asked = maxent._rows(t, classes, end)[1], []
-    for i in range(len(classes)):
-        changed = classes.copy()
-        changed[i] = fixed[i]
-        asked.append(maxent._rows(t, changed, end)[1][:, i])
-    assert own.shape == np.array(asked).T.shape
-    return np.array(asked).T
+def test_lookup():
+    rng = np.random.default_rng(5)
+    for n in (1, 2, 3, 1000):
+        keys = np.unique(rng.integers(0, 2**64, n, dtype=np.uint64) >> np.uint64(rng.integers(0, 40)))
+        asked = np.concatenate([keys, rng.integers(0, 2**64, 500, dtype=np.uint64)])
+        expected = [int(np.flatnonzero(keys == k)[0]) if k in keys else -7 for k in asked]
+        assert maxent.Lookup(keys, np.arange(len(keys))).get(asked, -7).tolist() == expected
+
+
+def test_gradient_sums_are_those_of_each_token():
+    rng = np.random.default_rng(6)
+    rows, values = rng.integers(0, 9, 200), rng.random((200, 3)).astype(np.float32)
+    total = np.ones((9, 3), dtype=np.float32)
+    maxent._sum_rows(total, rows, values)
+    plain = np.ones((9, 3))
+    np.add.at(plain, rows, values)
+    assert np.allclose(total, plain, atol=1e-4)
 
 
 def test_odd_rows(odd_docs, no_docs):
