@@ -26,6 +26,7 @@ import zstandard
 from pyspark.sql import DataFrame, functions as F
 
 from millrace.functions import quoted
+from millrace.llm.shared import stored
 from millrace.llm.tokens import ALNUM, Words, mix, words
 
 #: Lengths in bytes of the prefixes a word takes after; after these comes the word itself.
@@ -184,9 +185,8 @@ def learn(
     curve are fitted on at most about ``sample_rows`` rows, taken by a hash of the text. Without rows
     of both labels every text gets the share of toxic rows.
     """
-    rows = labelled.select(
-        quoted(toxic).cast("int").alias("toxic"), quoted(text).cast("binary").alias("text")
-    ).filter("toxic IS NOT NULL")
+    rows = labelled.select(quoted(toxic).cast("int").alias("toxic"), quoted(text).cast("binary").alias("text"))
+    rows = stored(rows.filter("toxic IS NOT NULL"), "labelled-texts")  # read four times, joined once
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts, seen = np.zeros((buckets, 2), dtype=np.int32), np.zeros(2, dtype=np.int64)
