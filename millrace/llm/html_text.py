@@ -236,11 +236,9 @@ def main_text(
         found.filter("key <> 0").groupBy("key").agg(F.min("page").alias("low"), F.max("page").alias("high"))
         .filter("low <> high").select("key")
     )
-    inside = found.filter("block IS NOT NULL")
-    hits = inside.filter("key <> 0").join(shared, "key", "left_semi").select("page", "block", "place")
-    sizes = inside.filter("key = 0").select("page", "block", (-F.col("place")).alias("size"))
-    covered = hits.unionAll(sizes.select("page", "block", (-F.col("size")).alias("place"))).groupBy("page", "block").agg(
-        F.array_sort(F.collect_set(F.when(F.col("place") >= 0, F.col("place")))).alias("places"),
+    inside = found.filter("block IS NOT NULL").join(shared.withColumn("hit", F.lit(True)), "key", "left")
+    covered = inside.groupBy("page", "block").agg(
+        F.array_sort(F.collect_set(F.when(F.col("hit"), F.col("place")))).alias("places"),
         F.max(F.when(F.col("place") < 0, -F.col("place"))).alias("size"),
     )
     n_covered = F.expr(
