@@ -191,9 +191,16 @@ class Scorer:
         return scores
 
 
+def _order(rows: np.ndarray) -> np.ndarray:
+    """An order that sorts numbers below 2**32. Numpy sorts 16 bits by radix, several times as fast."""
+    order = np.argsort(rows.astype(np.uint16), kind="stable")
+    high = (rows >> 16).astype(np.uint16)
+    return order[np.argsort(high[order], kind="stable")] if high.any() else order
+
+
 def _sum_rows(total: np.ndarray, rows: np.ndarray, values: np.ndarray) -> None:
     """Adds each value's row to its row of the total, equal rows together."""
-    order = np.argsort(rows)
+    order = _order(rows)
     sorted_rows = rows[order]
     bounds = np.flatnonzero(np.diff(sorted_rows, prepend=-1))
     total[sorted_rows[bounds]] += np.add.reduceat(values[order], bounds, axis=0)
