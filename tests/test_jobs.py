@@ -35,6 +35,16 @@ def test_batch_ingest_job(spark, folder, capsys):
     assert "landed 1 rows, transformed 1" in capsys.readouterr().out
 
 
+def test_orders_are_dealt_out_evenly_on_request(monkeypatch):
+    asked = []
+    monkeypatch.setattr(jobs.sources, "read_jdbc", lambda spark, db, *rest: asked.append(rest))
+    base = ["batch-ingest", "orders", "--url", "jdbc:mysql://h/db", "--raw", "r", "--processed", "p"]
+    for more in ([], ["--even-partitions", "--partitions", "2"]):
+        jobs._orders(None, jobs.parser().parse_args([*base, *more]))
+    assert asked[0] == ("orders", "order_id", 64, None)
+    assert asked[1][3] == ["(ABS(MOD(`order_id`, 2)) = 0 OR `order_id` IS NULL)", "ABS(MOD(`order_id`, 2)) = 1"]
+
+
 def test_csv_etl_job(spark, folder):
     target = f"t_{uuid.uuid4().hex}"
     with open(f"{folder}/in.csv", "w") as f:
