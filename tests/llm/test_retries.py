@@ -1,0 +1,47 @@
+"""Tasks that die halfway and run again, as after the loss of an executor."""
+
+import pytest
+from pyspark import TaskContext
+
+from millrace.llm.debruijn import remove_repeats
+from millrace.llm.decontaminate import contamination
+from millrace.llm.maxent import score_texts
+from millrace.llm.packing import pack
+from millrace.llm.quality import quality_verdicts
+from millrace.llm.queries import TOKENIZER
+from millrace.llm.simhash import simhash_components
+from millrace.llm.suffix_index import remove_earlier_strings
+
+from .conftest import SF_DIR
+
+
+def dying_once(df):
+    """The same rows, but every second task fails after its first batch, the first time."""
+
+    def rows(batches):
+        context = TaskContext.get()
+        for batch in batches:
+            yield batch
+            if context.attemptNumber() == 0 and context.partitionId() % 2 == 0:
+                raise RuntimeError("task lost")
+
+    return df.mapInArrow(rows, df.schema)
+
+
+@pytest.mark.parametrize(
+    "operator",
+    [
+        simhash_components,
+        lambda d: contamination(d, d.sparkSession.read.parquet(f"{SF_DIR}/benchmark.parquet")),
+        quality_verdicts,
+        lambda d: remove_repeats(d, group_bytes=100_000),
+        lambda d: remove_earlier_strings(d, group_bytes=100_000),
+        lambda d: pack(d, TOKENIZER, block_tokens=10_000).drop("sequence_id", "step_group"),
+        lambda d: score_texts(d, d),
+    ],
+    ids=["simhash", "contamination", "quality", "words", "bytes", "packing", "model"],
+)
+def test_results_are_those_of_a_run_without_failures(documents, operator):
+    docs = documents.orderBy("doc_id").repartition(5, "doc_id")
+    rounded = lambda rows: sorted(repr([round(x, 6) if isinstance(x, float) else x for x in r]) for r in rows)
+    assert rounded(operator(dying_once(docs)).collect()) == rounded(operator(docs).collect())
