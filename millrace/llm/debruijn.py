@@ -1,14 +1,19 @@
 """Removes long word spans that occur earlier in the corpus, over a de Bruijn graph of tokens.
 
-The runs of ``window`` words are the edges of the graph, its nodes the runs of one word less. A
-repeated span is a path of edges that have an earlier occurrence.
+The runs of ``window`` words are the edges of the graph. A repeated span is a path of edges that
+have an earlier occurrence.
 
 Most edges occur once and must not travel. Each edge has an anchor: the smallest hash of the
-k-grams in it. Equal edges have equal anchors, and about one word in six is an anchor, so a first
-round finds the anchors that are repeated. Only edges whose anchor is repeated enter the second
-round, which finds the first occurrence of each edge by source coordinates (document and
-position). Joined back to their documents, neighbouring edges that repeat compact into paths: maximal spans in
-source coordinates, whose words go.
+k-grams in it. Equal edges have equal anchors, and about one word in six begins an anchor. A first
+round joins the anchors of all texts: which are repeated, and whether all occurrences of one go
+on to the same next anchor, over the same words, and come from the same one before. Where both ends
+of a step say so it does not branch, and steps in a row compact into a path: each of its edges
+occurs where the path does, and nowhere else.
+
+Only what is near a repeated anchor enters the second round: a path as one entry, and edges that
+lie in no path one by one. There the first occurrence of each is found by source coordinates (document
+and position), and equality is verified by a hash of all its words. Joined back to their texts, later
+occurrences become maximal spans, whose words go.
 """
 
 from __future__ import annotations
@@ -27,47 +32,113 @@ _NEVER = np.uint64(2**64 - 1)
 _EDGE = ["u8", "u4", "i8", "i8", "i4"]  # hash, check, document, hash of its text, position
 
 
+#: What a part says of an anchor.
+_REPEATED, _ONE_NEXT, _ONE_BEFORE = 1, 2, 4
+#: What a group says of one: that it is there more than once, and that its steps differ.
+_MANY, _NEXT_DIFFERS, _BEFORE_DIFFERS = 1, 2, 4
+_ANCHOR = ["u4", "u1", "u4", "u2", "u4", "u2"]  # key, marks, step to the next, step from the one before
+
+
+def _differs(order: np.ndarray, new: np.ndarray, values: np.ndarray) -> np.ndarray:
+    """For each run of equal keys whether the values differ. ``order`` sorts keys, ``new`` begins runs."""
+    run = np.cumsum(new) - 1
+    other = values[order] != values[order[new]][run]
+    return np.bincount(run, other, int(new.sum())) > 0
+
+
 class _Edges:
-    """Anchors of a group's texts, and the edges whose anchor is repeated."""
+    """Anchors of a group's texts, and the paths and edges near those that are repeated."""
 
     def __init__(self, group: Group, window: int, anchor: int) -> None:
         self.window, self.anchor = window, anchor
         self.slices = list(words(group.texts))
-        found = [self._grams(w)[minimizers(self._grams(w), window - anchor + 1)] for w in self.slices]
-        found = np.concatenate(found) if found else np.zeros(0, np.uint64)
-        self.anchors, counts = np.unique(found[found != _NEVER], return_counts=True)
-        self.many = counts > 1
+        self.places: list[np.ndarray] = []
+        keys, after, before = [], [], []
+        for w in self.slices:
+            grams = self._grams(w)
+            at = minimizers(grams, window - anchor + 1)
+            at = at[grams[at] != _NEVER]
+            # The words of a step, both anchors among them, by which it is known; 0 where there is none.
+            step = np.zeros(len(at) + 1, dtype=np.uint64)
+            within = np.flatnonzero(w.text_of[at[1:]] == w.text_of[at[:-1]]) if len(at) else at
+            step[within + 1] = w.rolling.runs(at[within], at[within + 1] + anchor) | np.uint64(1)
+            self.places.append(at)
+            keys.append(grams[at])
+            after.append(step[1:])
+            before.append(step[:-1])
+        none = [np.zeros(0, np.uint64)]
+        keys, after, before = (np.concatenate(x or none) for x in (keys, after, before))
+        order = np.argsort(keys, kind="stable")
+        new = np.diff(keys[order], prepend=~keys[order[:1]]) != 0
+        first = order[new]
+        self.anchors, self.after, self.before = keys[first], after[first], before[first]
+        self.marks = (
+            _MANY * (np.bincount(np.cumsum(new) - 1, minlength=len(first)) > 1)
+            + _NEXT_DIFFERS * _differs(order, new, after)
+            + _BEFORE_DIFFERS * _differs(order, new, before)
+        ).astype(np.uint8)
 
     def _grams(self, w: Words) -> np.ndarray:
         n = len(w.starts) - self.anchor + 1
         return np.where(w.whole(self.anchor), w.rolling.grams(self.anchor), _NEVER) if n > 0 else np.zeros(0, np.uint64)
 
-    def candidates(self, repeated: np.ndarray) -> tuple[np.ndarray, ...]:
-        """Slice, position in it, text, position in the text, hash and check of the edges."""
-        keys = self.anchors[repeated]
+    def sent(self) -> list[np.ndarray]:
+        """The columns of ``_ANCHOR``: 32 bits of each key (a chance match only makes a step branch, or
+        sends an edge in vain), 48 bits of each step."""
+        columns = [(self.anchors >> np.uint64(32)).astype(np.uint32), self.marks]
+        for step in (self.after, self.before):
+            columns += [(step & np.uint64(0xFFFFFFFF)).astype(np.uint32), (step >> np.uint64(48)).astype(np.uint16)]
+        return columns
+
+    def _paths(self, w: Words, at: np.ndarray, said: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Starts and ends, in words, of the paths that have an edge."""
+        joined = (w.text_of[at[1:]] == w.text_of[at[:-1]]) & (said[:-1] & _ONE_NEXT > 0) & (said[1:] & _ONE_BEFORE > 0)
+        joined &= (said[:-1] & said[1:] & _REPEATED) > 0
+        change = np.diff(joined.astype(np.int8), prepend=0, append=0)
+        starts, ends = at[np.flatnonzero(change == 1)], at[np.flatnonzero(change == -1)] + self.anchor
+        long = ends - starts >= self.window
+        return starts[long], ends[long]
+
+    def candidates(self, said: np.ndarray) -> tuple[np.ndarray, ...]:
+        """Slice, start in it, number of edges, text, position in the text, hash and check of the
+        paths and of the other edges. ``said`` is what the parts say of the group's anchors."""
+        keys = self.anchors[said & _REPEATED > 0]
         out = []
-        for k, w in enumerate(self.slices):
-            lowest = sliding_min(self._grams(w), self.window - self.anchor + 1)
-            if not len(lowest) or not len(keys):
+        for k, (w, at) in enumerate(zip(self.slices, self.places, strict=True)):
+            if not len(at) or not len(keys):
                 continue
+            grams = self._grams(w)
+            lowest = sliding_min(grams, self.window - self.anchor + 1)
             runs = np.flatnonzero(np.diff(lowest, prepend=~lowest[:1]))
             hit = keys[np.minimum(np.searchsorted(keys, lowest[runs]), len(keys) - 1)] == lowest[runs]
-            at = np.flatnonzero(np.repeat(hit, np.diff(np.append(runs, len(lowest)))) & w.whole(self.window))
-            check = Rolling(mix(w.hashes ^ np.uint64(0xA5A5A5A5A5A5A5A5))).runs(at, at + self.window)
-            text = w.text_of[at]
+            alone = np.repeat(hit, np.diff(np.append(runs, len(lowest)))) & w.whole(self.window)
+            starts, ends = self._paths(w, at, said[np.searchsorted(self.anchors, grams[at])])
+            in_paths = ends - starts - self.window + 1
+            alone &= ~covered(len(alone), starts, in_paths)
+            single = np.flatnonzero(alone)
+            start = np.concatenate([single, starts])
+            end = np.concatenate([single + self.window, ends])
+            edges = np.concatenate([np.ones(len(single), np.int64), in_paths])
+            # Hashes hold the number of edges, so that a path is no edge.
+            salt = mix(edges.astype(np.uint64))
+            check = Rolling(mix(w.hashes ^ np.uint64(0xA5A5A5A5A5A5A5A5))).runs(start, end)
+            text = w.text_of[start]
             out.append(
                 (
-                    np.full(len(at), k),
-                    at,
+                    np.full(len(start), k),
+                    start,
+                    edges,
                     w.first_row + text,
-                    at - w.of_text[text],
-                    w.rolling.runs(at, at + self.window),
+                    start - w.of_text[text],
+                    mix(w.rolling.runs(start, end) ^ salt),
                     (check >> np.uint64(32)).astype(np.uint32),
                 )
             )
         if not out:
-            return tuple(np.zeros(0, t) for t in ("i8", "i8", "i8", "i8", "u8", "u4"))
-        return tuple(np.concatenate(c) for c in zip(*out, strict=True))
+            return tuple(np.zeros(0, t) for t in ("i8", "i8", "i8", "i8", "i8", "u8", "u4"))
+        found = [np.concatenate(c) for c in zip(*out, strict=True)]
+        order = np.lexsort((found[4], found[3]))  # by source: text, then position
+        return tuple(c[order] for c in found)
 
 
 def _first_of_each(edge: np.ndarray, check: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -103,33 +174,40 @@ def remove_repeats(
     Null and empty texts have no words. Null ids come after all others. Rows that repeat id and
     text are one document and get the same result; texts that share an id are documents of their
     own, in the order of a hash of the text. An empty table gives an empty result. Words are told
-    apart by 64-bit hashes, edges by 96 bits. A text is held in memory whole.
+    apart by 64-bit hashes, paths and edges by 96 bits. A text is held in memory whole.
     """
     texts, groups = grouped.deal(docs, doc_id, text, group_bytes, rows=with_text)
-    anchor_parts, edge_parts = max(1, groups // 8), max(1, groups // 4)
+    anchor_parts, edge_parts = max(1, groups // 4), max(1, groups // 4)
 
     def send_anchors(g: int, group: Group, _: dict) -> pa.Table:
         edges = _Edges(group, window, anchor)
         part = (edges.anchors % np.uint64(anchor_parts)).astype(np.int64)
-        short = (edges.anchors >> np.uint64(32)).astype(np.uint32)
-        return grouped.to_parts(g, part, [short, edges.many.astype(np.uint8)])
+        return grouped.to_parts(g, part, edges.sent())
 
-    def reply_repeated(table: pa.Table) -> pa.Table:
-        # Keys of 32 bits here: a chance match only sends an edge in vain.
-        (keys, many), came_in = grouped.gather(table, ["u4", "u1"])
-        return grouped.answer(table, came_in, grouped.repeated_keys(keys, came_in, many).astype(np.uint8))
+    def reply_anchors(table: pa.Table) -> pa.Table:
+        (keys, marks, *steps), came_in = grouped.gather(table, _ANCHOR)
+        order = np.argsort(keys, kind="stable")
+        new = np.diff(keys[order], prepend=~keys[order[:1]]) != 0
+        run = np.cumsum(new) - 1
+        has = lambda mark: np.bincount(run, marks[order] & mark) > 0
+        said = _REPEATED * (has(_MANY) | (np.bincount(run) > 1))
+        for bit, mark, step in ((_ONE_NEXT, _NEXT_DIFFERS, steps[:2]), (_ONE_BEFORE, _BEFORE_DIFFERS, steps[2:])):
+            said = said + bit * ~(has(mark) | _differs(order, new, step[0]) | _differs(order, new, step[1]))
+        values = np.empty(len(keys), dtype=np.uint8)
+        values[order] = np.where(said & _REPEATED, said, 0)[run]
+        return grouped.answer(table, came_in, values)
 
     def known(group: Group, answers: dict[int, pa.Table]) -> tuple[_Edges, tuple, np.ndarray, np.ndarray]:
         edges = _Edges(group, window, anchor)
-        repeated = np.zeros(len(edges.anchors), dtype=np.uint8)
+        said = np.zeros(len(edges.anchors), dtype=np.uint8)
         if 1 in answers:
             part = (edges.anchors % np.uint64(anchor_parts)).astype(np.int64)
-            repeated = grouped.from_parts(answers[1], part, "u1")
-        found = edges.candidates(repeated.astype(bool))
-        return edges, found, *_first_of_each(found[4], found[5])
+            said = grouped.from_parts(answers[1], part, "u1")
+        found = edges.candidates(said)
+        return edges, found, *_first_of_each(found[5], found[6])
 
     def send_edges(g: int, group: Group, answers: dict[int, pa.Table]) -> pa.Table:
-        _, (_, _, text_no, start, edge, check), first, _ = known(group, answers)
+        _, (_, _, _, text_no, start, edge, check), first, _ = known(group, answers)
         part = (edge[first] % np.uint64(edge_parts)).astype(np.int64)
         who = text_no[first]
         return grouped.to_parts(
@@ -150,7 +228,7 @@ def remove_repeats(
         schema = schema.add("kept_text", "string").add("row", texts.schema["row"].dataType)
 
     def remove(_: int, group: Group, answers: dict[int, pa.Table]) -> pa.Table:
-        edges, (slice_no, at, _, _, edge, _), first, place = known(group, answers)
+        edges, (slice_no, at, n_edges, _, _, edge, _), first, place = known(group, answers)
         repeats = np.ones(len(edge), dtype=bool)
         repeats[first] = False
         if 2 in answers:
@@ -158,7 +236,8 @@ def remove_repeats(
             repeats |= grouped.from_parts(answers[2], part, "u1").astype(bool)[place]
         results: list[dict] = []
         for k, w in enumerate(edges.slices):
-            gone = covered(len(w.starts), at[repeats & (slice_no == k)], window)
+            later = repeats & (slice_no == k)
+            gone = covered(len(w.starts), at[later], n_edges[later] + window - 1)
             body = w.data.tobytes()
             firsts, lasts = w.starts.tolist(), w.ends.tolist()
             for i in range(len(w.counts)):
@@ -183,6 +262,6 @@ def remove_repeats(
         out = out.add_column(0, "doc_id", group.table["doc_id"])
         return out.append_column("row", group.table["row"]) if with_text else out
 
-    first = grouped.as_round(grouped.ask(texts, send_anchors, reply_repeated), 1)
+    first = grouped.as_round(grouped.ask(texts, send_anchors, reply_anchors), 1)
     second = grouped.as_round(grouped.ask(texts, send_edges, reply_later, first), 2)
     return grouped.with_answers(texts, first.unionAll(second), remove, schema)

@@ -158,14 +158,3 @@ def with_answers(
 
 def as_round(answers: DataFrame, number: int) -> DataFrame:
     return answers.select("g", F.lit(number).alias("round"), "part", "packed")
-
-
-def repeated_keys(keys: np.ndarray, came_in: np.ndarray, many: np.ndarray) -> np.ndarray:
-    """Which keys came from two groups or are marked as being in one more than once."""
-    order = np.argsort(keys, kind="stable")
-    same = keys[order[1:]] == keys[order[:-1]]
-    twice = np.zeros(len(keys), dtype=bool)
-    twice[order[1:]] |= same
-    twice[order[:-1]] |= same
-    return twice | many.astype(bool)
-

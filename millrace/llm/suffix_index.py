@@ -5,7 +5,8 @@ hash among the ``anchor``-byte strings of some ``length`` bytes, so every string
 bytes holds one, and equal strings hold it at the same place. A first round finds the anchors that
 occur in several groups of documents or more than once in one. In a second round their
 surroundings, all bytes that a string around them can have, go to the part of the index that
-the anchor's hash names.
+the anchor's hash names. Where an anchor occurs in very many groups, as a common phrase does, no part
+takes all its surroundings: its strings are dealt out one by one, each by its own fingerprint.
 
 A part takes the suffixes in batches of rising document ids. Those of a batch are sorted into a
 suffix array (by the fingerprint of their first ``length`` bytes, so that equal starts are
@@ -108,38 +109,45 @@ class _Suffixes:
         self.keys, counts = np.unique(keys, return_counts=True)
         self.many = counts > 1
 
-    def contexts(self, repeated: np.ndarray) -> dict[str, np.ndarray]:
+    def contexts(self, said: np.ndarray) -> dict[str, np.ndarray]:
         """The surroundings of each repeated anchor, zeros beyond the ends of its text.
 
-        ``slice``, ``at``: where it is; ``text``: whose it is; ``key``; ``low`` and ``high``: how
-        many bytes before the anchor a string within the text may start, at least and at most.
+        ``slice``, ``at``: where it is; ``text``: whose it is; ``key``; ``said``: what its part says of
+        it; ``low`` and ``high``: how many bytes before the anchor a string within the text may
+        start, at least and at most.
         """
-        keys = self.keys[repeated]
+        keys, said = self.keys[said > 0], said[said > 0]
         reach = self.length - self.anchor
         out: list[tuple[np.ndarray, ...]] = []
         for k, ((row, offsets, data), (at, found)) in enumerate(zip(self.slices, self.found, strict=True)):
             if not len(keys) or not len(at):
                 continue
-            hit = keys[np.minimum(np.searchsorted(keys, found), len(keys) - 1)] == found
-            at, found = at[hit], found[hit]
+            where = np.minimum(np.searchsorted(keys, found), len(keys) - 1)
+            hit = keys[where] == found
+            at, found, of_part = at[hit], found[hit], said[where[hit]]
             text = np.searchsorted(offsets, at, side="right") - 1
             high = np.minimum(at - offsets[text], reach)
             low = np.maximum(0, at + self.length - offsets[text + 1])
             fits = low <= high
-            at, found, text, low, high = at[fits], found[fits], text[fits], low[fits], high[fits]
+            at, found, of_part = at[fits], found[fits], of_part[fits]
+            text, low, high = text[fits], low[fits], high[fits]
             padded = np.concatenate([np.zeros(reach, np.uint8), data, np.zeros(self.length, np.uint8)])
             around = np.lib.stride_tricks.sliding_window_view(padded, reach + self.length)[at].copy()
             place = np.arange(reach + self.length) - reach
             around[(place < -high[:, None]) | (place >= (offsets[text + 1] - at)[:, None])] = 0
-            out.append((np.full(len(at), k), at, row + text, found, low, high, around))
-        names = ("slice", "at", "text", "key", "low", "high", "around")
+            out.append((np.full(len(at), k), at, row + text, found, of_part, low, high, around))
+        names = ("slice", "at", "text", "key", "said", "low", "high", "around")
         if not out:
-            kinds = ("i8", "i8", "i8", "u8", "i8", "i8")
+            kinds = ("i8", "i8", "i8", "u8", "u1", "i8", "i8")
             empty = [np.zeros(0, t) for t in kinds] + [np.zeros((0, reach + self.length), np.uint8)]
             return dict(zip(names, empty, strict=True))
         return {n: np.concatenate(c) for n, c in zip(names, zip(*out, strict=True), strict=True)}
 
 
+#: What a part says of an anchor: that it is repeated, and that it is in very many groups.
+_REPEATED, _COMMON = 1, 2
+
+
 def _hashes_of_rows(around: np.ndarray) -> np.ndarray:
     n, width = around.shape
     every = Rolling(_VALUES[around.ravel()])
@@ -155,6 +163,7 @@ def remove_earlier_strings(
     text: str = "text",
     with_text: bool = False,
     group_bytes: int | None = None,
+    common_groups: int = 512,
 ) -> DataFrame:
     """A row per row: ``doc_id``, ``n_bytes``, ``n_removed``, ``n_spans`` and ``kept_sha256``.
 
@@ -164,7 +173,8 @@ def remove_earlier_strings(
 
     Null and empty texts have no bytes. Null ids count as the greatest. Rows that share an id are not
     earlier than each other, and each is judged by itself. An empty table gives an empty result.
-    Strings are told apart by 64-bit hashes besides their anchor's. A text is held in memory whole.
+    Strings are told apart by 64-bit hashes besides their anchor's, or by 96 bits for anchors in
+    ``common_groups`` groups or more. A text is held in memory whole.
     """
     texts, groups = grouped.deal(docs, doc_id, text, group_bytes)
     anchor_parts, parts = max(1, groups // 8), groups
@@ -186,25 +196,68 @@ def remove_earlier_strings(
 
     def reply_repeated(table: pa.Table) -> pa.Table:
         (keys, many), came_in = grouped.gather(table, ["u4", "u1"])
-        return grouped.answer(table, came_in, grouped.repeated_keys(keys, came_in, many).astype(np.uint8))
-
-    def known(group: Group, answers: dict[int, pa.Table]) -> tuple[_Suffixes, dict, np.ndarray, np.ndarray]:
-        """Surroundings; those to send, one of each kind and of its first document; which one stands for each."""
+        order = np.argsort(keys, kind="stable")
+        run = np.cumsum(np.diff(keys[order], prepend=~keys[order[:1]]) != 0) - 1
+        n = np.bincount(run)
+        said = np.where((n > 1) | (np.bincount(run, many[order]) > 0), _REPEATED, 0)
+        said += np.where((said > 0) & (n >= common_groups), _COMMON, 0)
+        values = np.empty(len(keys), dtype=np.uint8)
+        values[order] = said[run]
+        return grouped.answer(table, came_in, values)
+
+    def known(group: Group, answers: dict[int, pa.Table]) -> tuple[_Suffixes, dict, np.ndarray, np.ndarray, dict]:
+        """The group's suffixes; surroundings of repeated anchors; of equal ones that of the first
+        document, and for each its kind among those; the strings of the kinds around common anchors."""
         suffixes = _Suffixes(group, length, anchor)
-        repeated = np.zeros(len(suffixes.keys), dtype=np.uint8)
+        said = np.zeros(len(suffixes.keys), dtype=np.uint8)
         if 1 in answers:
             part = (suffixes.keys % np.uint64(anchor_parts)).astype(np.int64)
-            repeated = grouped.from_parts(answers[1], part, "u1")
-        found = suffixes.contexts(repeated.astype(bool))
+            said = grouped.from_parts(answers[1], part, "u1")
+        found = suffixes.contexts(said)
         marks = marks_of(found["around"], found["low"], found["high"])
         _, first, place = np.unique(marks, return_index=True, return_inverse=True)
-        return suffixes, found, first, place
+        return suffixes, found, first, place, strings_of(found, first, group)
+
+    def strings_of(found: dict, first: np.ndarray, group: Group) -> dict[str, np.ndarray]:
+        """The strings around common anchors: ``kind`` and ``before`` say which, ``id`` whose; ``one``
+        has one of each, of its first document, with ``hash`` and ``check``; ``place`` says which is each."""
+        kinds = np.flatnonzero(found["said"][first] & _COMMON)
+        out: list[tuple[np.ndarray, ...]] = []
+        for i in range(0, len(kinds), _CONTEXTS):
+            kind = kinds[i : i + _CONTEXTS]
+            some = first[kind]
+            low, high, owners = found["low"][some], found["high"][some], group.ids[found["text"][some]]
+            values = _VALUES[found["around"][some].ravel()]
+            every, other = Rolling(values), Rolling(mix(values))
+            base = np.arange(len(some)) * width
+            for before in range(reach + 1):
+                ok = np.flatnonzero((low <= before) & (before <= high))
+                start = base[ok] + reach - before
+                check = (other.runs(start, start + length) >> np.uint64(32)).astype(np.uint32)
+                back = np.full(len(ok), before, dtype=np.uint8)
+                out.append((kind[ok].astype(np.int32), back, owners[ok], every.runs(start, start + length), check))
+        names, types = ("kind", "before", "id", "hash", "check"), ("i4", "u1", "i8", "u8", "u4")
+        columns = [np.concatenate(c) for c in zip(*out, strict=True)] if out else [np.zeros(0, t) for t in types]
+        strings = dict(zip(names, columns, strict=True))
+        order = np.lexsort((strings["id"], strings["check"], strings["hash"]))
+        new = np.ones(len(order), dtype=bool)
+        new[1:] = (np.diff(strings["hash"][order]) != 0) | (np.diff(strings["check"][order]) != 0)
+        place = np.empty(len(order), dtype=np.int32)
+        place[order] = np.cumsum(new) - 1
+        return strings | {"one": order[new], "place": place}
+
+    def string_part(strings: dict) -> np.ndarray:
+        return parts + (strings["hash"][strings["one"]] % np.uint64(parts)).astype(np.int64)
+
+    def of_strings(answers: pa.Table, yes: bool) -> pa.Table:
+        return answers.filter(pa.array((answers["part"].to_numpy() >= parts) == yes))
 
     def part_of(found: dict, first: np.ndarray) -> np.ndarray:
         return (found["key"][first] % np.uint64(parts)).astype(np.int64)
 
     def send_contexts(g: int, group: Group, answers: dict[int, pa.Table]) -> pa.Table:
-        _, found, first, _ = known(group, answers)
+        _, found, first, _, strings = known(group, answers)
+        first, one = first[found["said"][first] & _COMMON == 0], strings["one"]
         columns = [
             found["key"][first],
             group.ids[found["text"][first]],
@@ -212,9 +265,22 @@ def remove_earlier_strings(
             found["high"][first].astype(np.uint8),
             found["around"][first].view(f"V{width}").ravel() if len(first) else np.zeros(0, f"V{width}"),
         ]
-        return grouped.to_parts(g, part_of(found, first), columns)
+        sent = grouped.to_parts(g, part_of(found, first), columns)
+        columns = [strings["hash"][one], strings["check"][one], strings["id"][one]]
+        return pa.concat_tables([sent, grouped.to_parts(g, string_part(strings), columns)])
+
+    def reply_strings(table: pa.Table) -> pa.Table:
+        (hashes, check, ids), came_in = grouped.gather(table, ["u8", "u4", "i8"])
+        order = np.lexsort((ids, check, hashes))
+        new = np.ones(len(order), dtype=bool)
+        new[1:] = (np.diff(hashes[order]) != 0) | (np.diff(check[order]) != 0)
+        later = np.zeros(len(order), dtype=np.uint8)
+        later[order] = ids[order] > ids[order[new]][np.cumsum(new) - 1]
+        return grouped.answer(table, came_in, later)
 
     def reply_matches(table: pa.Table) -> pa.Table:
+        if table["part"][0].as_py() >= parts:
+            return reply_strings(table)
         columns, came_in = grouped.gather(table, ["u8", "i8", "u1", "u1", f"V{width}"])
         key, ids, low, high, packed = columns
         around = packed.view(np.uint8).reshape(-1, width)
@@ -257,10 +323,14 @@ def remove_earlier_strings(
     schema += ", kept binary" if with_text else ""
 
     def remove(_: int, group: Group, answers: dict[int, pa.Table]) -> pa.Table:
-        suffixes, found, first, place = known(group, answers)
-        masks = np.zeros(len(first), dtype=np.uint32)
+        suffixes, found, first, place, strings = known(group, answers)
+        masks, later = np.zeros(len(first), dtype=np.uint32), np.zeros(len(strings["one"]), dtype=np.uint8)
         if 2 in answers:
-            masks = grouped.from_parts(answers[2], part_of(found, first), "u4")
+            rare = found["said"][first] & _COMMON == 0
+            masks[rare] = grouped.from_parts(of_strings(answers[2], False), part_of(found, first[rare]), "u4")
+            later = grouped.from_parts(of_strings(answers[2], True), string_part(strings), "u1")
+        hit = (strings["id"] > strings["id"][strings["one"]][strings["place"]]) | (later[strings["place"]] > 0)
+        np.bitwise_or.at(masks, strings["kind"][hit], np.uint32(1) << strings["before"][hit].astype(np.uint32))
         owners = group.ids[found["text"]]
         # Where the group itself has an earlier document with the same surroundings, all is found.
         mask = np.where(owners > owners[first][place], whole, masks[place]) if len(first) else np.zeros(0, np.uint32)

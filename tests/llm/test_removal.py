@@ -55,7 +55,10 @@ def few_symbols(seed, alphabet, joiner):
     return [*rows, (None, rows[3][1]), (99, ""), (98, None), (97, rows[5][1]), (96, rows[5][1])]
 
 
-@pytest.mark.parametrize("window,anchor,group_bytes", [(4, 2, 150), (6, 3, 1 << 22), (3, 3, 400)])
+@pytest.mark.parametrize(
+    "window,anchor,group_bytes",
+    [(4, 2, 150), (6, 3, 1 << 22), (3, 3, 400), (5, 2, 300), (8, 3, 1000), (7, 6, 200)],
+)
 def test_word_spans(corpus, window, anchor, group_bytes):
     rows = few_symbols(window, ["a", "b", "c", "dd"], " ")
     docs = corpus.createDataFrame(rows, "doc_id long, text string").repartition(4)
@@ -65,11 +68,16 @@ def test_word_spans(corpus, window, anchor, group_bytes):
     assert sum(r[2] for r in expected) > 50
 
 
-@pytest.mark.parametrize("length,anchor,group_bytes", [(8, 4, 200), (12, 5, 1 << 22), (9, 9, 500)])
-def test_byte_strings(corpus, length, anchor, group_bytes):
+@pytest.mark.parametrize(
+    "length,anchor,group_bytes,common_groups",
+    [(8, 4, 200, 128), (12, 5, 1 << 22, 128), (9, 9, 500, 128), (8, 4, 200, 1), (10, 4, 300, 3)],
+)
+def test_byte_strings(corpus, length, anchor, group_bytes, common_groups):
     rows = few_symbols(length, ["ab", "é", "c"], "")
     docs = corpus.createDataFrame(rows, "doc_id long, text string").repartition(4)
-    found = remove_earlier_strings(docs, length, anchor, group_bytes=group_bytes).collect()
+    found = remove_earlier_strings(
+        docs, length, anchor, group_bytes=group_bytes, common_groups=common_groups
+    ).collect()
     expected = plain_bytes(rows, length)
     assert sorted((tuple(r) for r in found), key=order) == expected
     assert sum(r[2] for r in expected) > 50
