@@ -29,7 +29,7 @@ from millrace.llm.tokens import _VALUES, Rolling, covered, minimizers, mix, text
 
 _NEVER = np.uint64(2**64 - 1)
 #: Contexts whose strings are worked out at a time.
-_CONTEXTS = 1 << 13
+_CONTEXTS = 1 << 12
 
 
 class IndexFamily:
@@ -184,9 +184,10 @@ def remove_earlier_strings(
     whole = np.uint32((1 << (reach + 1)) - 1)
 
     def marks_of(around: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarray:
-        """A hash of surroundings; the bounds tell zeros of a text from those beyond its ends."""
+        """Hashes of surroundings; the bounds tell zeros of a text from those beyond its ends."""
         bounds = low.astype(np.uint64) * np.uint64(256) + high.astype(np.uint64)
-        return mix(_hashes_of_rows(around) ^ bounds)
+        blocks = [_hashes_of_rows(around[i : i + _CONTEXTS]) for i in range(0, len(around), _CONTEXTS)]
+        return mix(np.concatenate([np.zeros(0, np.uint64), *blocks]) ^ bounds)
 
     def send_anchors(g: int, group: Group, _: dict) -> pa.Table:
         suffixes = _Suffixes(group, length, anchor)
@@ -284,9 +285,7 @@ def remove_earlier_strings(
         columns, came_in = grouped.gather(table, ["u8", "i8", "u1", "u1", f"V{width}"])
         key, ids, low, high, packed = columns
         around = packed.view(np.uint8).reshape(-1, width)
-        marks = np.concatenate(
-            [marks_of(around[i : i + _CONTEXTS], low[i : i + _CONTEXTS], high[i : i + _CONTEXTS]) for i in range(0, len(key), _CONTEXTS)]
-        )
+        marks = marks_of(around, low, high)
         # What has the same surroundings in an earlier document is found whole. Of equal ones the
         # first stands for all, and where an anchor has but one kind there is nothing else to find.
         order = np.lexsort((ids, marks, key))
