@@ -93,7 +93,7 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")
     training = docs.select("doc_id", "text").filter(fold(F.col("doc_id"), 3) != 1)
     # One plan at any size: labels grow with the documents, so they are never sent to every task.
-    model = learn(training.join(labels.select("doc_id", "toxic").hint("merge"), "doc_id"))
+    model = learn(training.join(labels.select("doc_id", "toxic").hint("merge"), "doc_id"), row_id="doc_id")
     scored = toxicity(docs, model, threshold=0.7)
     return scored.select(
         "doc_id", (fold(F.col("doc_id"), 3) == 1).alias("held_out"), "score", "predicted", "passages"

@@ -9,9 +9,9 @@ deviation and a drift.
 
 A linear scan finds every maximal-scoring segment of a text. The best chance segment of a text of n
 tokens follows an extreme-value law with ``K n exp(-lambda s)`` expected segments above a score s;
-``lambda`` is solved from the token scores of clean training texts, ``K`` is fitted to their best segments.
+``lambda`` is solved from the token scores of all clean training texts, ``K`` is fitted to their best segments.
 Segments with fewer than one expected are significant. A logistic curve over the normalised
-scores, fitted on a bounded sample of training texts, gives the probability. Training texts are scored
+scores, fitted on a bounded sample of training rows, gives the probability. Training texts are scored
 without their own counts there, so that it is not fitted to what the counts remember.
 """
 
@@ -32,6 +32,9 @@ from millrace.llm.tokens import ALNUM, Words, mix, words
 #: Lengths in bytes of the prefixes a word takes after; after these comes the word itself.
 PREFIXES = (4, 5, 6, 7, 8, 10)
 _BLOCKS = 64
+#: Steps of the bounded draw, and the unit in which best scores are added up, exactly and in any order.
+_DRAWS = 1024
+_UNIT = 1 << 16
 
 
 @dataclass
@@ -178,14 +181,21 @@ def learn(
     drift: float = 0.8,
     sample_rows: int = 100_000,
     sample_seed: int = 42,
+    row_id: str | None = None,
 ) -> Model:
     """A model from labelled texts. Rows of a null label are left out.
 
-    Counts cover all rows; ``buckets`` bounds what comes to the driver (8 bytes each). The law and the
-    curve are fitted on at most about ``sample_rows`` rows, taken by a hash of the text. Without rows
-    of both labels every text gets the share of toxic rows.
+    Counts and the law cover all rows; ``buckets`` bounds what comes to the driver (8 bytes each). The
+    curve is fitted on ``sample_rows`` rows at most. They are drawn by a hash of ``row_id``, a column of
+    unique values, else of the number that a row gets when it is stored: copies of a text are drawn one by
+    one. Without rows of both labels every text gets the share of toxic rows.
     """
-    rows = labelled.select(quoted(toxic).cast("int").alias("toxic"), quoted(text).cast("binary").alias("text"))
+    key = quoted(row_id) if row_id else F.monotonically_increasing_id()
+    rows = labelled.select(
+        quoted(toxic).cast("int").alias("toxic"),
+        quoted(text).cast("binary").alias("text"),
+        (F.shiftrightunsigned(F.xxhash64(key, F.lit(sample_seed)), 11) * F.lit(2.0**-53)).alias("draw"),
+    )
     rows = stored(rows.filter("toxic IS NOT NULL"), "labelled-texts")  # read four times, joined once
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -225,24 +235,20 @@ def learn(
         model.curve[0] = 30.0 if base else -30.0
         return model
 
-    share = min(1.0, sample_rows / sum(seen))
-    sample = rows.filter(F.pmod(F.xxhash64("text", F.lit(sample_seed)), F.lit(1 << 20)) < int(share * (1 << 20)) + 1)
+    clean = rows.filter("toxic = 0").select("text")
     shared = rows.sparkSession.sparkContext.broadcast(model)
     edges = np.linspace(-4, 6, 1001)
 
     def histogram(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """How often each token score occurs in the clean texts."""
+        bins = np.zeros(len(edges) + 1, dtype=np.int64)
         for batch in batches:
-            labels = batch.column(0).to_numpy(zero_copy_only=False) != 0
-            bins = np.zeros(len(edges) + 1, dtype=np.int64)
-            for w in words(batch.column(1), ALNUM, lower=True):
-                own = labels[w.first_row : w.first_row + len(w.counts)]
-                scores = _token_scores(w, shared.value, own)
-                clean = ~own[w.text_of]
-                bins += np.bincount(np.searchsorted(edges, scores[clean]), minlength=len(bins))
-            yield pa.RecordBatch.from_arrays([pa.array([bins.tolist()])], names=["bins"])
+            for w in words(batch.column(0), ALNUM, lower=True):
+                scores = _token_scores(w, shared.value, np.zeros(len(w.counts), dtype=bool))
+                bins += np.bincount(np.searchsorted(edges, scores), minlength=len(bins))
+        yield pa.RecordBatch.from_arrays([pa.array([bins.tolist()])], names=["bins"])
 
-    bins = sample.mapInArrow(histogram, "bins array<long>").selectExpr("posexplode(bins) AS (bin, n)")
+    bins = clean.mapInArrow(histogram, "bins array<long>").selectExpr("posexplode(bins) AS (bin, n)")
     totals = bins.groupBy("bin").sum("n").toArrow().sort_by("bin")
     weights = np.zeros(len(edges) + 1)
     weights[totals["bin"].to_numpy()] = totals["sum(n)"].to_numpy()
@@ -251,6 +257,23 @@ def learn(
         model.decay = _decay(values, weights)
     shared = rows.sparkSession.sparkContext.broadcast(model)
 
+    def best_scores(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Number and sum of the best scores of the clean texts that have a segment."""
+        n = total = 0
+        for batch in batches:
+            for w in words(batch.column(0), ALNUM, lower=True):
+                scores = _token_scores(w, shared.value, np.zeros(len(w.counts), dtype=bool))
+                best = [_summary(scores[a:b], shared.value)[0] for a, b in zip(w.of_text[:-1], w.of_text[1:], strict=True)]
+                best = np.array([x for x in best if x > -10])
+                n, total = n + len(best), total + int(np.rint(best * _UNIT).sum())
+        yield pa.RecordBatch.from_arrays([pa.array([n], pa.int64()), pa.array([total], pa.int64())], names=["n", "total"])
+
+    # The law has the location log K: the mean of a Gumbel variable is Euler's constant.
+    located = clean.mapInArrow(best_scores, "n long, total long").agg(F.sum("n").alias("n"), F.sum("total").alias("total")).first()
+    if located and located["n"]:
+        model.log_k = float(np.clip(located["total"] / _UNIT / located["n"] - np.euler_gamma, -20, 5))
+        shared = rows.sparkSession.sparkContext.broadcast(model)
+
     def summaries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             labels = batch.column(0).to_numpy(zero_copy_only=False) != 0
@@ -264,17 +287,16 @@ def learn(
                 names=["toxic", "best", "total", "n"],
             )
 
-    def fitted() -> tuple[np.ndarray, np.ndarray]:
-        table = sample.mapInArrow(summaries, "toxic int, best double, total double, n double").toArrow()
-        return np.column_stack([table[c].to_numpy() for c in ("best", "total", "n")]), table["toxic"].to_numpy()
-
-    x, y = fitted()
-    # The law has the location log K: the mean of a Gumbel variable is Euler's constant.
-    clean = x[(y == 0) & (x[:, 0] > -10), 0]
-    if len(clean):
-        model.log_k = float(np.clip(clean.mean() - np.euler_gamma, -20, 5))
-        shared = rows.sparkSession.sparkContext.broadcast(model)
-        x, y = fitted()
+    # The draws below the share are counted in steps; the rows of as many steps as fit come to the driver.
+    share = min(1.0, sample_rows / sum(seen))
+    step = F.floor(F.col("draw") / share * _DRAWS).cast("int")
+    drawn = rows.filter(F.col("draw") < share).groupBy(step.alias("step")).count().toArrow()
+    sizes = np.zeros(_DRAWS + 1, dtype=np.int64)
+    sizes[drawn["step"].to_numpy()] = drawn["count"].to_numpy()
+    fits = int(np.searchsorted(np.cumsum(sizes), sample_rows, side="right"))
+    sample = rows.filter((F.col("draw") < share) & (step < fits)).select("toxic", "text")
+    table = sample.mapInArrow(summaries, "toxic int, best double, total double, n double").toArrow()
+    x, y = np.column_stack([table[c].to_numpy() for c in ("best", "total", "n")]), table["toxic"].to_numpy()
     model.curve = _logistic(_design(x), y.astype(float))
     return model
 

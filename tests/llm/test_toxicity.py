@@ -5,8 +5,9 @@ import pytest
 from hypothesis import given, settings, strategies as st
 from pyspark.sql import functions as F
 
+import millrace.llm.toxicity as module
 from millrace.llm.queries import op10_toxicity
-from millrace.llm.toxicity import _decay, learn, segments, toxicity
+from millrace.llm.toxicity import _decay, _logistic, learn, segments, toxicity
 
 from .conftest import SF_DIR
 
@@ -82,3 +83,21 @@ def test_odd_rows(odd_docs, no_docs, labelled):
         one = learn(labelled.withColumn("toxic", F.lit(labels)))
         assert {r["predicted"] for r in toxicity(odd_docs, one).collect()} == {expected}
     assert {r["predicted"] for r in toxicity(odd_docs, learn(labelled.limit(0))).collect()} == {0}
+
+
+def test_the_law_covers_all_rows_and_the_sample_is_bounded(corpus, labelled, monkeypatch):
+    """A text with a third of the rows: the curve gets its share of it, and the law does not know the sample."""
+    hot = corpus.range(400).selectExpr("'you stupid idiot went home' AS text", "1 AS toxic")
+    rows = labelled.unionByName(hot).repartition(3).withColumn("id", F.monotonically_increasing_id())
+    fitted = []
+    curve = lambda x, y: fitted.append((x, y)) or _logistic(x, y)
+    monkeypatch.setattr(module, "_logistic", curve)
+    whole = learn(rows)
+    for row_id in (None, "id"):
+        for seed in range(3):
+            part = learn(rows, sample_rows=300, sample_seed=seed, row_id=row_id)
+            assert (part.decay, part.log_k) == (whole.decay, whole.log_k)
+            labels = fitted[-1][1]
+            assert 200 < len(labels) <= 300
+            assert abs(labels.mean() - fitted[0][1].mean()) < 0.1
+    assert len(fitted[0][1]) == rows.filter("toxic IS NOT NULL").count()
