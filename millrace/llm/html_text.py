@@ -35,13 +35,24 @@ _INLINE = frozenset(
 )
 _BESIDE = frozenset("nav footer aside form menu dialog fieldset search head".split())
 _CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}}
-#: Words of class names, ids and roles of parts that are no text.
+#: Words that name, alone or beside _PLAIN ones, parts that are no text: in classes, ids and roles.
 _JUNK = frozenset(
-    "ad ads adbox adsense advert adverts advertisement advertising alert alertdialog banner breadcrumb breadcrumbs "
-    "comment comments commentlist complementary consent contentinfo cookie cookies copyright dialog discussion disqus "
-    "footer gdpr header login masthead menu menubar modal nav navbar navigation newsletter notice notices notification "
-    "overlay pager pagination popup promo promotion promoted related replies respond search share sharebar "
-    "sharing sidebar signin signup skip social sponsor sponsored subscribe subscription toolbar widget widgets".split()
+    "ad ads adbox adsense advert adverts advertisement advertising alertdialog banner breadcrumb breadcrumbs "
+    "comment comments commentlist complementary consent contentinfo cookie cookies dialog disqus "
+    "footer gdpr header login masthead menu menubar modal nav navbar navigation newsletter "
+    "overlay pager pagination popup promo promoted replies respond sharebar "
+    "sidebar signin signup sponsored subscribe toolbar widget widgets".split()
+)
+#: Words that name text as well: the host's other pages must confirm them.
+_ASK = frozenset(
+    "alert copyright discussion notice notices notification promotion related search share sharing skip social sponsor "
+    "subscription".split()
+)
+#: Words that say nothing about what a part is.
+_PLAIN = frozenset(
+    "article area bar block blog body bottom box button buttons container content entry form global google group holder icon "
+    "icons inner item items js label link links list main outer page panel placeholder post posts primary secondary section "
+    "site slot thread title top unit user wrap wrapper x".split()
 )
 #: Those that name the head of an article when they are in it.
 _HEAD = frozenset({"header", "banner", "masthead"})
@@ -58,34 +69,51 @@ _ATTR = re.compile(r"([^\s=/]+)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))|([^\s
 _HALF = re.compile("[\ud800-\udfff]")
 _NAME_WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 
+_HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+#: Whether an element's names say that it is text, may be none, or is none.
+_NO, _MAYBE, _YES = 0, 1, 2
+
 #: What a block is: text for sure, no text for sure, or for the host to decide.
 TEXT, JUNK, OPEN = 0, 1, 2
 
 
-def _names(attrs: str) -> tuple[set[str], bool, bool]:
-    """The words of class, id and role; whether it is hidden; whether it is the main part."""
-    found: set[str] = set()
+def _names(name: str, attrs: str) -> tuple[list[set[str]], bool, bool]:
+    """The words of each class, id and role; whether it is hidden; whether it is the main part.
+
+    Ids of headings and sections are made from their titles, so they are no names.
+    """
+    found: list[set[str]] = []
+    ids: list[set[str]] = []
     hidden = main = False
     for m in _ATTR.finditer(attrs):
         key = (m[1] or m[5]).lower()
         value = m[2] or m[3] or m[4] or ""
         if key in ("class", "id", "role"):
-            found.update(w.lower() for w in _NAME_WORD.findall(value))
+            (ids if key == "id" else found).extend({w.lower() for w in _NAME_WORD.findall(x)} for x in value.split())
             main |= key == "role" and value.strip().lower() in ("main", "article")
         elif key == "hidden" or (key == "aria-hidden" and value.lower() == "true"):
             hidden = True
         elif key == "style":
             hidden |= re.sub(r"\s", "", value.lower()).find("display:none") >= 0
+    if name not in _HEADINGS and name != "section" and {"section"} not in found:
+        found += ids
     return found, hidden, main
 
 
+def _junk(names: list[set[str]], inside: bool) -> int:
+    """What whole names say. One with a word of another meaning, as in "share-price", says nothing."""
+    sure = _JUNK - _HEAD if inside else _JUNK
+    told = [n for n in names if n <= sure | _ASK | _PLAIN | (_HEAD if inside else frozenset())]
+    return _YES if any(n & sure for n in told) else _MAYBE if any(n & _ASK for n in told) else _NO
+
+
 def page_blocks(html: str) -> list[tuple[str, int]]:
     """The blocks of a page in order, white space made single, and what each is."""
-    stack: list[tuple[str, bool, tuple[bool, bool, int]]] = []  # element, whether it makes junk, state outside
-    blocks: list[tuple[str, bool, int]] = []  # text, junk, part
+    stack: list[tuple[str, bool, tuple[int, bool, int]]] = []  # element, whether it makes junk, state outside
+    blocks: list[tuple[str, int, int]] = []  # text, junk, part
     parts: list[tuple[str, bool]] = []  # article or main, junk
     pieces: list[str] = []
-    junk, muted, part = False, False, -1
+    junk, muted, part = _NO, False, -1
 
     def flush() -> None:
         if pieces:
@@ -131,10 +159,11 @@ def page_blocks(html: str) -> list[tuple[str, int]]:
             if name not in _INLINE:
                 flush()
             continue
-        names, hidden, main = _names(attrs) if "=" in attrs or "hidden" in attrs else (set(), False, False)
+        names, hidden, main = _names(name, attrs) if "=" in attrs or "hidden" in attrs else ([], False, False)
         outside = (junk, muted, part)
         if name in _INLINE:  # does not end the block; what it hides is left out of it
-            odd = hidden or bool(names & (_JUNK - _HEAD if part >= 0 else _JUNK))
+            # Code marks its comments by that name.
+            odd = hidden or _junk([n for n in names if n != {"comment"}], part >= 0) == _YES
             if odd or any(x[0] == name for x in stack):
                 muted = muted or odd
                 stack.append((name, False, outside))
@@ -147,28 +176,28 @@ def page_blocks(html: str) -> list[tuple[str, int]]:
         outside = (junk, muted, part)
         is_part = name in ("article", "main") or main
         if is_part and part >= 0 and name == "article" and parts[part][0] == "article":
-            junk = True  # an article in an article is a comment on it
+            junk = _YES  # an article in an article is a comment on it
         elif is_part:
-            beside = junk and any(x[1] and x[0] in _BESIDE for x in stack)
-            kind = "article" if name == "article" or "article" in names else "main"
-            parts.append((kind, beside or hidden or (kind == "article" and bool(names & (_JUNK - _HEAD)))))
-            part, junk = len(parts) - 1, False
+            beside = junk == _YES and any(x[1] and x[0] in _BESIDE for x in stack)
+            kind = "article" if name == "article" or any("article" in n for n in names) else "main"
+            parts.append((kind, beside or hidden or (kind == "article" and _junk(names, True) == _YES)))
+            part, junk = len(parts) - 1, _NO
         elif name not in ("html", "body"):
-            odd = names & (_JUNK - _HEAD if part >= 0 else _JUNK)
-            junk = junk or hidden or bool(odd) or name in _BESIDE or (name == "header" and part < 0)
-        stack.append((name, junk and not outside[0], outside))
+            odd = hidden or name in _BESIDE or (name == "header" and part < 0)
+            junk = _YES if odd else max(junk, _junk(names, part >= 0))
+        stack.append((name, junk == _YES and outside[0] != _YES, outside))
     say(html[at:].split("<!--", 1)[0])
     flush()
 
     # The article with the most text, else the main part with the most; without one all is open.
     sizes: dict[int, int] = {}
     for text, bad, p in blocks:
-        if p >= 0 and not bad and not parts[p][1]:
+        if p >= 0 and bad != _YES and not parts[p][1]:
             sizes[p] = sizes.get(p, 0) + len(text)
     best = max(sizes, key=lambda p: (parts[p][0] == "article", sizes[p], -p), default=-1)
     if best < 0:
-        return [(text, JUNK if bad else OPEN) for text, bad, _ in blocks]
-    return [(text, TEXT if p == best and not bad else JUNK) for text, bad, p in blocks]
+        return [(text, JUNK if bad == _YES else OPEN) for text, bad, _ in blocks]
+    return [(text, (TEXT, OPEN, JUNK)[bad] if p == best else JUNK) for text, bad, p in blocks]
 
 
 def _runs(text: str, run: int, salt: bytes) -> list[int]:

@@ -49,6 +49,36 @@ def test_open_blocks_where_nothing_marks_the_text():
     assert page_blocks(page) == [("h", JUNK), ("m", JUNK), ("a", OPEN), ("b", OPEN), ("f", JUNK)]
 
 
+@pytest.mark.parametrize(
+    "part",
+    [
+        "<section id='discussion'><p>t</p></section>",
+        "<section id='related-work'>t</section>",
+        "<div class='section' id='related'>t</div>",
+        "<h2 id='social-impact'>t</h2>",
+        "<h2 id='comments'>t</h2>",
+        "<h2 id='search-methods'>t</h2>",
+        "<p class='share-price'>t</p>",
+        "<div class='with-sidebar'>t</div>",
+        "<p>t <span class='search-term'>u</span> <code><span class='token comment'># c</span></code></p>",
+    ],
+)
+def test_names_with_another_meaning_are_no_junk(part):
+    words = " ".join(re.sub("<[^>]*>", "", part).split())
+    assert kept(f"<article>a{part}b</article>") == f"a {words} b"
+    assert (words, OPEN) in page_blocks(part)
+
+
+def test_ambiguous_names_are_for_the_host_to_decide(corpus):
+    assert page_blocks("<article>a<div class='share'>s</div></article>") == [("a", TEXT), ("s", OPEN)]
+    page = "<article><p>text of page {i}</p><div class='{name}'>{said}</div></article>".format
+    same = "tell all your friends about this page and come back to it"
+    rows = [(i, "http://a/", page(i=i, name="share", said=same)) for i in range(4)]
+    rows.append((4, "http://a/", page(i=4, name="discussion", said="what we found")))
+    found = {r["page_id"]: r["text"] for r in main_text(corpus.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert found == {**{i: f"text of page {i}" for i in range(4)}, 4: "text of page 4 what we found"}
+
+
 def test_broken_markup_takes_linear_time():
     for piece in ("<a href=\"x ", "<", "<div class='", "<script>", "<!--", "<p>", "</p>", "&amp", "'\"<b "):
         start = time.perf_counter()
