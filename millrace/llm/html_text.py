@@ -27,14 +27,23 @@ from pyspark.sql import DataFrame, functions as F
 from millrace.functions import quoted
 
 # Names of HTML elements by their role.
-_RAW = "script|style|noscript|template|textarea|title|svg|math|iframe|object|canvas|audio|video|xmp|noframes|select|option|button"
+_RAW = "script|style|textarea|title|xmp|noframes"
+#: Elements without text of the page; the last two may hold others of their name.
+_SKIPPED = "noscript iframe object canvas audio video select datalist button svg template".split()
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-_INLINE = frozenset(
+#: MathML is text of its line. Its annotations say the same again.
+_MATH = frozenset(
+    "math maction menclose merror mfenced mfrac mi mlabeledtr mmultiscripts mn mo mover mpadded mphantom mprescripts mroot mrow ms "
+    "mspace msqrt mstyle msub msubsup msup mtable mtd mtext mtr munder munderover none semantics annotation annotation-xml".split()
+)
+_ANNOTATION = frozenset({"annotation", "annotation-xml"})
+_INLINE = _MATH | frozenset(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark nobr output q rp rt ruby s samp "
     "small span strike strong sub sup time tt u var wbr img picture map area embed input".split()
 )
-_BESIDE = frozenset("nav footer aside form menu dialog fieldset search head".split())
+_BESIDE = frozenset("nav footer aside form menu dialog fieldset search head option optgroup".split())
 _CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}}
+_CLOSES |= {"option": {"option"}, "optgroup": {"option", "optgroup"}}
 #: Words that name, alone or beside _PLAIN ones, parts that are no text: in classes, ids and roles.
 _JUNK = frozenset(
     "ad ads adbox adsense advert adverts advertisement advertising alertdialog banner breadcrumb breadcrumbs "
@@ -60,11 +69,15 @@ _HEAD = frozenset({"header", "banner", "masthead"})
 _QUOTED = r"(?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+"
 _TAG = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)"
-    rf"|<(?P<raw>{_RAW})\b{_QUOTED}>.*?(?:</(?P=raw)\s*>|\Z)"
+    rf"|<(?P<raw>{_RAW})(?=[\s/>]){_QUOTED}>.*?(?:</(?P=raw)\s*>|\Z)"
     rf"|<(?P<end>/?)(?P<name>[a-zA-Z][^\s/>]*)(?P<attrs>{_QUOTED})>"
     r"|<[!?/a-zA-Z][^>]*>",
     re.S | re.I,
 )
+#: The next end tag of a skipped element, or that or the next start tag where one may not hold another.
+_EDGE = {
+    x: re.compile(rf"<(?:(?P<end>/){x}\s*>" + (")" if x in ("svg", "template") else rf"|{x}(?=[\s/>]))"), re.I) for x in _SKIPPED
+}
 _ATTR = re.compile(r"([^\s=/]+)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))|([^\s=/]+)")
 _HALF = re.compile("[\ud800-\udfff]")
 _NAME_WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
@@ -133,10 +146,19 @@ def page_blocks(html: str) -> list[tuple[str, int]]:
         if text and not muted:
             pieces.append(text)
 
+    unclosed: set[str] = set()
+
+    def behind(name: str, at: int) -> int:
+        """Where a skipped element ends. One that is never closed ends at once, and hides no text."""
+        edge = None if name in unclosed else _EDGE[name].search(html, at, end)
+        if edge is None:
+            unclosed.add(name)
+        return edge.end() if edge and edge["end"] else at
+
     # Behind the last tag there is none; a comment that is never closed hides the rest.
     end = html.rfind(">") + 1
     at = 0
-    for m in _TAG.finditer(html, 0, end):
+    while m := _TAG.search(html, at, end):
         say(html[at : m.start()])
         at = m.end()
         if m["name"] is None:
@@ -159,11 +181,21 @@ def page_blocks(html: str) -> list[tuple[str, int]]:
             if name not in _INLINE:
                 flush()
             continue
+        if name in _EDGE:
+            flush()
+            if name != "svg" or not attrs.endswith("/"):
+                at = behind(name, at)
+            continue
+        if name in _MATH:
+            if name in ("mtr", "mtd"):
+                say(" ")
+            if attrs.endswith("/"):
+                continue
         names, hidden, main = _names(name, attrs) if "=" in attrs or "hidden" in attrs else ([], False, False)
         outside = (junk, muted, part)
         if name in _INLINE:  # does not end the block; what it hides is left out of it
             # Code marks its comments by that name.
-            odd = hidden or _junk([n for n in names if n != {"comment"}], part >= 0) == _YES
+            odd = hidden or name in _ANNOTATION or _junk([n for n in names if n != {"comment"}], part >= 0) == _YES
             if odd or any(x[0] == name for x in stack):
                 muted = muted or odd
                 stack.append((name, False, outside))

@@ -69,6 +69,34 @@ def test_names_with_another_meaning_are_no_junk(part):
     assert (words, OPEN) in page_blocks(part)
 
 
+@pytest.mark.parametrize(
+    "body,expected",
+    [
+        ("<video-player>a</video-player><p>b", "a b"),
+        ("<p>a<title-bar>b</title-bar><select-menu>c</select-menu><button-group>d</button-group>e", "a b c d e"),
+        ("a<svg viewBox='0 0 1 1'/>b<svg><path d='x'/><text>no</text></svg><p>c", "a b c"),
+        ("a<svg/>b", "a b"),
+        ("<p>so <math><mi>x</mi><mo>=</mo><mn>2</mn><mspace/></math> holds", "so x=2 holds"),
+        ("<math><semantics><mi>y</mi><annotation encoding='TeX'>no</annotation></semantics></math> z", "y z"),
+        ("<math><mtable><mtr><mtd>1</mtd><mtd>2</mtd></mtr></mtable></math>", "1 2"),
+        ("<math/>a<p>b", "a b"),
+        ("<datalist><option value=x><option value=y></datalist><p>a<select><option>no</select>b", "a b"),
+        ("<p>a<button>b<p>c<button>no</button>d", "a b c d"),
+        ("<p>a<video src=x><p>b", "a b"),
+        ("a<button>no</button>b<template><p>no</template>c<iframe>no</iframe>d", "a b c d"),
+    ],
+)
+def test_elements_without_text_end_where_they_end(body, expected):
+    assert kept(f"<article>{body}</article>") == expected
+
+
+def test_elements_without_text_take_linear_time():
+    for piece in ("<svg>", "<svg/>", "<button>", "<video ", "<select><option>", "<math>", "<mi/>", "<svg></svg>", "</svg>"):
+        start = time.perf_counter()
+        page_blocks(piece * 20_000)
+        assert time.perf_counter() - start < 10, piece
+
+
 def test_ambiguous_names_are_for_the_host_to_decide(corpus):
     assert page_blocks("<article>a<div class='share'>s</div></article>") == [("a", TEXT), ("s", OPEN)]
     page = "<article><p>text of page {i}</p><div class='{name}'>{said}</div></article>".format
