@@ -5,12 +5,14 @@ the main part) is text, but for parts of it that are menus, forms, adverts, comm
 like; everything beside the article is none. Where a page has no such part, its host decides. The token
 streams of a host's pages, as far as they are not in an article, form one long text with a border
 between pages. Suffixes that begin with the same ``run`` tokens lie side by side in its suffix array; where
-they come from different pages, the run is boilerplate. What such runs cover is removed, and the unique
-runs stay.
+they come from enough different pages, the run is boilerplate. What such runs cover is removed, and the other
+runs stay. Pages of one text are one page. Enough are two and the square root of the number of the host's
+pages, and more than half of them for a block shorter than ``run``, as headings such as "Introduction" are.
 
 The suffix array of a host is never in one place, as a host may have a third of all pages: each
 suffix is a row that carries the fingerprint of its host and its first ``run`` tokens, and the rows
-of one fingerprint are its neighbours. Partial minima and maxima of the pages say if there are two.
+of one fingerprint are its neighbours. They are counted once for each page, then by fingerprint, both in part
+before they are exchanged.
 """
 
 from __future__ import annotations
@@ -25,6 +27,7 @@ import xxhash
 from pyspark.sql import DataFrame, functions as F
 
 from millrace.functions import quoted
+from millrace.llm.shared import stored
 
 # Names of HTML elements by their role.
 _RAW = "script|style|textarea|title|xmp|noframes"
@@ -88,6 +91,7 @@ _NO, _MAYBE, _YES = 0, 1, 2
 
 #: What a block is: text for sure, no text for sure, or for the host to decide.
 TEXT, JUNK, OPEN = 0, 1, 2
+_SALTS = 16
 
 
 def _names(name: str, attrs: str) -> tuple[list[set[str]], bool, bool]:
@@ -233,10 +237,13 @@ def page_blocks(html: str) -> list[tuple[str, int]]:
 
 
 def _runs(text: str, run: int, salt: bytes) -> list[int]:
-    """Fingerprints of the suffixes of a block: of ``run`` tokens each, or of a shorter block."""
+    """Fingerprints of the suffixes of a block: of ``run`` tokens each, or of a shorter block, which are odd."""
     tokens = text.split(" ")
     n = max(1, len(tokens) - run + 1)
-    return [xxhash.xxh64_intdigest(salt + " ".join(tokens[i : i + run]).encode("utf-8", "replace")) for i in range(n)]
+    short = int(len(tokens) < run)
+    return [
+        xxhash.xxh64_intdigest(salt + " ".join(tokens[i : i + run]).encode("utf-8", "replace")) & ~1 | short for i in range(n)
+    ]
 
 
 def _signed(values: list[int]) -> pa.Array:
@@ -254,9 +261,9 @@ def main_text(
 
     Blocks are joined by single blanks, character references decoded. A null or empty page
     has an empty text. Pages of a null url are a host of their own. Repeated rows get the same text
-    and count as one page when runs are compared. An empty table gives an empty result. Other columns are
-    ignored. A block without article goes if runs shared with another page of its host cover more than
-    half of its tokens.
+    and count as one page when runs are compared, as do all pages of one text. An empty table gives an empty
+    result. Other columns are ignored. A block without article goes if runs that enough pages of its host share
+    cover more than half of its tokens.
     """
     host = F.lower(F.regexp_extract(F.coalesce(quoted(url), F.lit("")), r"^(?:[a-zA-Z][a-zA-Z0-9+.-]*:)?//([^/?#]*)", 1))
     rows = pages.select(
@@ -266,38 +273,60 @@ def main_text(
     )
     keyed = rows.withColumn("page", F.xxhash64("page_id", "url", "html"))
 
+    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """What suffixes outside articles begin with, once a page, and the host itself; by digests of the pages' texts."""
+        for batch in batches:
+            keys, owners, digests = [], [], []
+            for name, body in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                salt = name.encode() + b"\0"
+                blocks = page_blocks(body)
+                own = xxhash.xxh64_intdigest(salt)
+                found = {own}
+                for text, kind in blocks:
+                    if kind == OPEN or (kind == JUNK and len(text) > 1):
+                        found.update(_runs(text, run, salt))
+                keys += found
+                owners += [own] * len(found)
+                whole = "\n".join(text for text, kind in blocks if kind != JUNK)
+                digests += [xxhash.xxh64_intdigest(whole.encode("utf-8", "replace"))] * len(found)
+            yield pa.RecordBatch.from_arrays([_signed(keys), _signed(owners), _signed(digests)], names=["key", "owner", "digest"])
+
     def suffixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Suffixes outside articles: what they begin with, their page, and where an open block has them."""
+        """Suffixes of open blocks: what they begin with, and where they are."""
         for batch in batches:
             hosts, page_keys = batch.column(0).to_pylist(), batch.column(1).to_pylist()
             keys, owners, numbers, places = [], [], [], []
             for name, page, body in zip(hosts, page_keys, batch.column(2).to_pylist(), strict=True):
                 salt = name.encode() + b"\0"
                 for number, (text, kind) in enumerate(page_blocks(body)):
-                    if kind != TEXT and (kind == OPEN or len(text) > 1):
+                    if kind == OPEN:
                         found = _runs(text, run, salt)
-                        keys += found
-                        owners += [page] * len(found)
-                        numbers += [number if kind == OPEN else None] * len(found)
-                        places += range(len(found))
-                        if kind == OPEN:  # the size of the block, at a place before its first
-                            keys.append(0)
-                            owners.append(page)
-                            numbers.append(number)
-                            places.append(-1 - text.count(" "))
+                        # The size of the block is at a place before its first.
+                        keys += [*found, 0]
+                        owners += [page] * (len(found) + 1)
+                        numbers += [number] * (len(found) + 1)
+                        places += [*range(len(found)), -1 - text.count(" ")]
             yield pa.RecordBatch.from_arrays(
                 [_signed(keys), pa.array(owners, pa.int64()), pa.array(numbers, pa.int32()), pa.array(places, pa.int32())],
                 names=["key", "page", "block", "place"],
             )
 
-    found = keyed.select(host.alias("host"), "page", "html").mapInArrow(
-        suffixes, "key long, page long, block int, place int"
-    )
-    shared = (
-        found.filter("key <> 0").groupBy("key").agg(F.min("page").alias("low"), F.max("page").alias("high"))
-        .filter("low <> high").select("key")
+    pages_of = (
+        keyed.select(host.alias("host"), "html").mapInArrow(counted, "key long, owner long, digest long")
+        .distinct().groupBy("key", "owner").agg(F.count("*").alias("n")).filter("n > 1")
     )
-    inside = found.filter("block IS NOT NULL").join(shared.withColumn("hit", F.lit(True)), "key", "left")
+    repeated = stored(pages_of, "repeated-runs")
+    # A host may have a third of all runs: its size is joined to parts of them.
+    salts = F.explode(F.array(*(F.lit(i) for i in range(_SALTS)))).alias("salt")
+    sizes = repeated.filter("key = owner").select("owner", F.col("n").alias("pages"), salts)
+    runs = repeated.filter("key <> owner").withColumn("salt", F.pmod(F.xxhash64("key"), F.lit(_SALTS)).cast("int"))
+    enough = F.when(
+        F.col("key") % 2 != 0, F.greatest(F.least(F.lit(3), F.col("pages")), F.floor(F.col("pages") / 2) + 1)
+    ).otherwise(F.ceil(F.sqrt("pages")))
+    shared = runs.join(sizes, ["owner", "salt"]).filter(F.col("n") >= enough).select("key")
+    inside = keyed.select(host.alias("host"), "page", "html").mapInArrow(
+        suffixes, "key long, page long, block int, place int"
+    ).join(shared.withColumn("hit", F.lit(True)), "key", "left")
     covered = inside.groupBy("page", "block").agg(
         F.array_sort(F.collect_set(F.when(F.col("hit"), F.col("place")))).alias("places"),
         F.max(F.when(F.col("place") < 0, -F.col("place"))).alias("size"),

@@ -144,6 +144,30 @@ def test_runs_shared_within_a_host_go(corpus):
     assert "but longer" in found[6] and own[0] not in found[0].split(own[0][::-1])[0]
 
 
+def texts_of(corpus, bodies):
+    rows = [(i, f"http://host/{i}", f"<p>{b}</p>".replace("|", "</p><p>")) for i, b in enumerate(bodies)]
+    found = main_text(corpus.createDataFrame(rows, "page_id long, url string, html string")).collect()
+    return {r["page_id"]: r["text"] for r in found}
+
+
+def test_copies_of_a_page_are_one_page(corpus):
+    same = "one text that is served under two addresses of its host and keeps its words"
+    found = texts_of(corpus, [same, same, "another text|of two parts"])
+    assert found[0] == found[1] == same
+
+
+def test_repeats_of_a_few_pages_of_a_large_host_stay(corpus):
+    line = "every page of this host ends with this line about its owner"
+    own = [f"page {i} has words number {i * 7} and {i * 11} that no other page of this host has" for i in range(12)]
+    bodies = [f"{x}|{line}|Contact" for x in own]
+    bodies[1] = f"{own[1]}|{own[0]}|more|{line}|Contact"
+    bodies[2], bodies[3] = f"Introduction|{bodies[2]}", f"Introduction|{bodies[3]}"
+    found = texts_of(corpus, bodies)
+    assert found[0] == own[0] and found[1] == f"{own[1]} {own[0]} more"
+    assert found[2] == f"Introduction {own[2]}" and found[3] == f"Introduction {own[3]}"
+    assert all(found[i] == own[i] for i in range(4, 12))
+
+
 def test_odd_rows(corpus):
     schema = "page_id long, url string, html string, page long, text string, gone string, block int"
     same = (3, "http://a/", "<div>some words that are the same on both rows of this page</div>", 1, "t", "g", 2)
