@@ -5,9 +5,10 @@ a bounded number of tokens, so memory does not depend on the data, nothing is sh
 block's plan depends on its documents alone.
 
 Within a block, whole sequences are cut from long documents first. What is left of a document goes
-to the tier of the shortest sequence that holds it. Each tier is packed, longest pieces first;
-the gap that stays in a long sequence is filled with pieces of shorter tiers, the last of them
-cut to fit. What does not fill a sequence goes on to the next block; at the end of a task it goes
+to the tier of the shortest sequence that holds it. Each tier, the shortest first, is packed into
+sequences of its own length, longest pieces first; the gap behind a piece is filled with what the shorter
+tiers have left over, the last of it cut to fit. Pieces of any tier that fill no sequence of their
+length are put together to the longest ones. What does not fill one goes on to the next block; at the end of a task it goes
 to shorter sequences of a power of two, so that at most one sequence a task is padded. Sequences
 are dealt to step groups, longest first, each to the group with the fewest tokens.
 """
@@ -102,7 +103,7 @@ def plan_block(
     """Sequences of one block: (window, [(document, start, length), ...]), and the pieces left.
 
     ``lengths`` are the documents' tokens, ``tiers`` the shorter windows, powers of two. All
-    sequences of the longest window are full. Unless the block is the last, what does not fill one
+    sequences are full, but for the end of the last block. Unless the block is the last, what does not fill one
     more is left. The last block's end goes to shorter windows, so that at most one sequence, of
     the shortest tier, is not full.
     """
@@ -119,9 +120,9 @@ def plan_block(
         pool.sort()
     left = sum(piece[0] for pool in pools.values() for piece in pool)
 
-    def fitting(gap: int) -> Piece | None:
-        """Takes the longest piece of any tier that fits."""
-        for w in reversed(windows):
+    def fitting(gap: int, tiers: list[int] = windows) -> Piece | None:
+        """Takes the longest piece of the tiers that fits."""
+        for w in reversed(tiers):
             at = bisect_right(pools[w], (gap, 1 << 62, 0)) - 1
             if at >= 0:
                 return pools[w].pop(at)
@@ -130,16 +131,44 @@ def plan_block(
     def shortest() -> Piece:
         return next(pool for w in windows if (pool := pools[w])).pop(0)
 
+    def cut(gap: int) -> Piece:
+        """Takes a part of the shortest piece, its rest stays."""
+        n, doc, start = shortest()
+        rest = (n - gap, doc, start + gap)
+        insort(pools[next(w for w in windows if rest[0] <= w)], rest)
+        return gap, doc, start
+
+    spare = 0  # tokens that shorter tiers have left over
+    for k, w in enumerate(windows):
+        unfilled: list[Piece] = []
+        while pools[w]:
+            taken = [pools[w].pop()]
+            gap = w - taken[0][0]
+            if k and gap > spare:
+                unfilled += taken
+                continue
+            # The shortest tier fills its windows with its own pieces, and cuts none.
+            while gap and (piece := fitting(gap, windows[: max(k, 1)]) or (cut(gap) if k else None)):
+                taken.append(piece)
+                gap -= piece[0]
+            if gap:
+                unfilled.append(taken[0])
+                for piece in taken[1:]:
+                    insort(pools[w], piece)
+                continue
+            sequences.append((w, [(doc, start, n) for n, doc, start in taken]))
+            left -= w
+            spare -= (w - taken[0][0]) if k else 0
+        pools[w] = sorted(unfilled)
+        spare += sum(piece[0] for piece in unfilled)
+
     while left >= (1 if last else longest):
         window = next((w for w in reversed(windows) if w <= left), windows[0])
         gap, pieces = min(window, left), []
         while gap:
             piece = fitting(gap)
-            if piece is None:  # nothing fits: cut the shortest piece, its rest stays
-                n, doc, start = shortest()
-                rest = (n - gap, doc, start + gap)
-                insort(pools[next(w for w in windows if rest[0] <= w)], rest)
-                piece = (gap, doc, start)
+            if piece is None:
+                piece = cut(gap)
             pieces.append((piece[1], piece[2], piece[0]))
             gap -= piece[0]
             left -= piece[0]
