@@ -13,6 +13,7 @@ from millrace.llm.decontaminate import contamination
 from millrace.llm.html_text import main_text
 from millrace.llm.maxent import score_texts
 from millrace.llm.packing import pack
+from millrace.llm.pieces import encode
 from millrace.llm.quality import quality_verdicts
 from millrace.llm.shared import fold, ship
 from millrace.llm.simhash import simhash_components
@@ -23,6 +24,7 @@ from millrace.llm.warc import page_captures, resolve_revisits
 Query = Callable[[SparkSession, str], DataFrame]
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
+PIECES = public_tokenizers.path("piece_bpe_32k.model")
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -100,6 +102,16 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_piece_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    encoded = encode(_table(spark, sf_dir, "documents"), PIECES, with_decoded=True)
+    return encoded.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
@@ -113,6 +125,7 @@ QUERIES: dict[str, Query] = {
         op8_packing,
         op9_warc_revisits,
         op10_toxicity,
+        op11_piece_ids,
     )
 }
 
