@@ -44,11 +44,16 @@ class BpeEncoder:
 
     The file's vocabulary is loaded into ``tiktoken``, which gives the same ids several times as
     fast. Where a text has characters beyond U+027F, on whose class libraries may disagree, or the
-    file is not a plain byte-level BPE in rank order, ``tokenizers`` itself encodes.
+    file is not a plain byte-level BPE in rank order, ``tokenizers`` itself encodes. So it does texts
+    with a run of white space that is too long for the patterns of ``tiktoken``, some million characters.
+
+    ``special`` says whether the strings of special tokens in a text stand for these tokens.
     """
 
-    def __init__(self, path: str) -> None:
+    def __init__(self, path: str, special: bool = True) -> None:
         self.exact = Tokenizer.from_file(path)
+        self.exact.encode_special_tokens = not special
+        self._allowed = "all" if special else frozenset()
         with open(path, encoding="utf-8") as file:
             spec = json.load(file)
         self.fast = self._fast(spec)
@@ -65,7 +70,7 @@ class BpeEncoder:
             and not model.get("ignore_merges")
         )
         special = {t["content"]: t["id"] for t in spec.get("added_tokens", [])}
-        letters = {c: b for b, c in _byte_letters().items()}
+        letters = {c: b for b, c in byte_letters().items()}
         try:
             ranks = {bytes(letters[c] for c in t): i for t, i in model["vocab"].items() if t not in special}
         except KeyError:
@@ -78,11 +83,14 @@ class BpeEncoder:
 
     def encode(self, text: str, plain: bool) -> list[int]:
         if plain and self.fast is not None:
-            return self.fast.encode(text, allowed_special="all")
+            try:
+                return self.fast.encode(text, allowed_special=self._allowed, disallowed_special=())
+            except ValueError:
+                pass
         return self.exact.encode(text, add_special_tokens=False).ids
 
 
-def _byte_letters() -> dict[int, str]:
+def byte_letters() -> dict[int, str]:
     """How byte-level vocabularies write bytes: printable ones as they are, others from U+0100 on."""
     shown = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
     hidden = [b for b in range(256) if b not in set(shown)]

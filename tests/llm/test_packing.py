@@ -4,6 +4,7 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pytest
 from hypothesis import given, settings, strategies as st
 from tokenizers import Tokenizer
 
@@ -22,6 +23,31 @@ def test_fast_ids_are_those_of_the_file(text):
     assert ENCODER.encode(text, True) == ENCODER.exact.encode(text, add_special_tokens=False).ids
 
 
+BLANKS = [" " * 2_000_000, "\n\t" * 1_000_000, " " * 1_500_000 + "word", "a" + "\n" * 1_200_000 + " b", "\xa0" * 1_100_000]
+
+
+@pytest.mark.parametrize("text", BLANKS, ids=range(len(BLANKS)))
+def test_long_white_space_has_the_ids_of_the_file(text):
+    assert ENCODER.encode(text, True) == ENCODER.exact.encode(text, add_special_tokens=False).ids
+
+
+def test_long_white_space_is_packed(corpus):
+    import corpus_pipeline
+
+    docs = corpus.createDataFrame(list(enumerate(BLANKS)), "doc_id long, text string")
+    check(pack(docs, PATH, with_ids=True).collect(), list(enumerate(BLANKS)), 2048)
+    assert corpus_pipeline.STAGES[-1][1](corpus, docs, None).agg({"length": "sum"}).first()[0] > 10_000
+
+
+def test_special_tokens_are_plain_text_if_asked_for():
+    encoder = BpeEncoder(PATH, special=False)
+    text = "a <|endoftext|> b"
+    assert ENCODER.encode(text, True).count(50256) == 1
+    plain = encoder.encode(text, True)
+    assert 50256 not in plain and plain == encoder.encode(text, False)
+    assert encoder.exact.decode(plain) == text
+
+
 @settings(max_examples=100, deadline=None)
 @given(st.lists(st.integers(1, 90), max_size=40), st.booleans())
 def test_plans_cover_every_token_once(lengths, last):
