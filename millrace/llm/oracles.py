@@ -199,3 +199,34 @@ SELECT record_id, site AS canonical_url, CAST(epoch(taken) AS BIGINT) AS capture
        CASE WHEN outcome = 'resolved' THEN md5(body) END AS payload_digest
 FROM judged
 """
+
+SEARCH = f"""
+WITH docs AS (
+    SELECT r, doc_id, unnest(w) AS term, len(w) AS n
+    FROM (SELECT row_number() OVER () AS r, doc_id, {_ALNUM.format("text")} AS w FROM documents)
+),
+asked AS (
+    SELECT q, item_id, term, count(*) AS times
+    FROM (SELECT q, item_id, unnest(w) AS term
+          FROM (SELECT row_number() OVER () AS q, item_id, {_ALNUM.format("text")} AS w FROM benchmark))
+    GROUP BY ALL
+),
+corpus AS (SELECT CAST(count(DISTINCT r) AS BIGINT) AS big_n, CAST(count(*) AS BIGINT) AS big_l FROM docs),
+held AS (SELECT r, doc_id, n, term, count(*) AS tf FROM docs SEMI JOIN asked USING (term) GROUP BY ALL),
+weights AS (
+    SELECT term, CAST(floor(1000 * ln((2 * big_n + 2) / (2 * df + 1))) AS BIGINT) AS w
+    FROM (SELECT term, count(*) AS df FROM held GROUP BY term), corpus
+),
+worth AS (
+    SELECT r, doc_id, term, (1000000000 * tf) // (1000 * tf + 8 * (100 - 75 + ((75 * n * big_n) // big_l))) AS impact
+    FROM held, corpus
+),
+scores AS (
+    SELECT q, item_id, r, doc_id, CAST(sum(times * w * impact) AS BIGINT) AS score
+    FROM asked JOIN worth USING (term) JOIN weights USING (term) GROUP BY ALL
+)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY q ORDER BY score DESC, doc_id NULLS LAST) AS rank
+      FROM scores WHERE score > 0)
+WHERE rank <= 10
+"""

@@ -8,9 +8,11 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from millrace.llm import oracles
+from millrace.llm.align import align
 from millrace.llm.debruijn import remove_repeats
 from millrace.llm.decontaminate import contamination
 from millrace.llm.html_text import main_text
+from millrace.llm.lexical import search
 from millrace.llm.maxent import score_texts
 from millrace.llm.packing import pack
 from millrace.llm.pieces import encode
@@ -112,6 +114,14 @@ def op11_piece_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return align(_table(spark, sf_dir, "documents"), TOKENIZER, PIECES)
+
+
+def op13_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return search(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"), k=10)
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
@@ -126,6 +136,8 @@ QUERIES: dict[str, Query] = {
         op9_warc_revisits,
         op10_toxicity,
         op11_piece_ids,
+        op12_token_alignment,
+        op13_lexical_search,
     )
 }
 
@@ -134,4 +146,5 @@ ORACLE_SQL: dict[str, str] = {
     "op3_quality_rules": oracles.QUALITY,
     "op6_substring_dedup": oracles.SUBSTRINGS,
     "op9_warc_revisits": oracles.REVISITS,
+    "op13_lexical_search": oracles.SEARCH,
 }

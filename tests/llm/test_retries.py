@@ -3,12 +3,15 @@
 import pytest
 from pyspark import TaskContext
 
+from millrace.llm.align import align
 from millrace.llm.debruijn import remove_repeats
 from millrace.llm.decontaminate import contamination
+from millrace.llm.lexical import search
 from millrace.llm.maxent import score_texts
 from millrace.llm.packing import pack
+from millrace.llm.pieces import encode
 from millrace.llm.quality import quality_verdicts
-from millrace.llm.queries import TOKENIZER
+from millrace.llm.queries import PIECES, TOKENIZER
 from millrace.llm.simhash import simhash_components
 from millrace.llm.suffix_index import remove_earlier_strings
 
@@ -38,8 +41,11 @@ def dying_once(df):
         lambda d: remove_earlier_strings(d, group_bytes=100_000),
         lambda d: pack(d, TOKENIZER, block_tokens=10_000).drop("sequence_id", "step_group"),
         lambda d: score_texts(d, d),
+        lambda d: encode(d, PIECES, with_decoded=True),
+        lambda d: align(d, TOKENIZER, PIECES, block_bytes=10_000),
+        lambda d: search(d, d.sparkSession.read.parquet(f"{SF_DIR}/benchmark.parquet"), block_postings=500),
     ],
-    ids=["simhash", "contamination", "quality", "words", "bytes", "packing", "model"],
+    ids=["simhash", "contamination", "quality", "words", "bytes", "packing", "model", "pieces", "alignment", "search"],
 )
 def test_results_are_those_of_a_run_without_failures(documents, operator):
     docs = documents.orderBy("doc_id").repartition(5, "doc_id")

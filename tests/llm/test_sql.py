@@ -22,7 +22,7 @@ def database():
 
 
 def test_all_operators_and_the_pipeline_are_registered():
-    assert [n.split("_")[0] for n in QUERIES] == [f"op{i}" for i in range(1, 12)]
+    assert [n.split("_")[0] for n in QUERIES] == [f"op{i}" for i in range(1, 14)]
     assert {*QUERIES, "pipeline"} <= set(entry_module.queries())
     assert set(ORACLE_SQL) <= set(entry_module.oracle_sql())
 
