@@ -15,7 +15,7 @@ from importlib.util import find_spec
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from millrace import schemas, sinks, sources, streaming
+from millrace import ledger, schemas, sinks, sources, streaming
 from millrace.functions import epoch_seconds_utc, event_id, run_stamp, run_timestamp, session_time
 from millrace.operators import (
     ORDER_RULES,
@@ -615,6 +615,61 @@ def csv_etl_two_names(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found[0].unionAll(found[1]).unionAll(found[2])
 
 
+def _orders_csv(spark: SparkSession, sf_dir: str, status: str, folder: str) -> DataFrame:
+    orders = _table(spark, sf_dir, "orders").filter(F.col("o_orderstatus") == status)
+    rows = orders.select("o_orderkey", "o_totalprice", "o_orderpriority")
+    sinks.write_csv(rows, folder)
+    return rows
+
+
+def csv_etl_unfinished_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two finished runs of a flow; between them one whose driver died, with all its files but no entry in the ledger."""
+    root, table = scratch_path(spark, "etl"), _new_table("etl")
+    for day, status in enumerate("FPO"):
+        rows = _orders_csv(spark, sf_dir, status, f"{root}/{status}")
+        run_ts = RUN_TS + timedelta(days=day)
+        if status == "P":
+            sinks.write_csv(rows, sinks.run_path(f"{root}/raw", "orders", run_ts))
+            continue
+        run_csv_etl(
+            spark, f"{root}/{status}", f"{root}/raw", f"{root}/transformed", "orders", table, f"{root}/table",
+            run_ts=run_ts,
+        )
+    return sources.read_table(spark, table)
+
+
+def raw_landing_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the ledger says of three landings, one of them of files of two headers."""
+    root, source = scratch_path(spark, "raw"), scratch_path(spark, "source")
+    for day, status in enumerate("FOP"):
+        rows = _orders_csv(spark, sf_dir, status, f"{source}/{status}/a")
+        mixed = status == "P"
+        if mixed:
+            sinks.write_csv(rows.select(rows.columns[::-1]), f"{source}/{status}/b")
+        sinks.land_raw_csv(
+            spark, f"{source}/{status}/*", root, "orders", RUN_TS + timedelta(days=day), mixed_headers=mixed
+        )
+    runs = ledger.finished_runs(spark, root, "orders")
+    changed = ledger.changed_files(spark, root, runs).count()
+    read = sources.read_finished_runs(spark, root, "orders", by_name=True)
+    found = read.agg(F.count("*"), F.count_distinct("o_orderkey")).first()
+    rows = [(r.label, r.rows, len(r.columns), r.files > 0 and r.bytes > 0, changed, *found) for r in runs]
+    schema = "run string, rows_landed bigint, headers int, has_files boolean, changed_files bigint"
+    return sources.from_rows(spark, rows, f"{schema}, rows_read bigint, keys_read bigint")
+
+
+def table_replace_view(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Replaced by tables of other columns; a query that began before a replacement reads on what it began with."""
+    name, location = _new_table("replaced"), scratch_path(spark, "table")
+    sinks.load_table(_table(spark, sf_dir, "region"), name, _table(spark, sf_dir, "region").schema, location)
+    sinks.replace_table(_table(spark, sf_dir, "customer"), name, location, keep=3)
+    before = sources.read_table(spark, name)
+    sinks.replace_table(_table(spark, sf_dir, "orders"), name, location, keep=3)
+    after = sources.read_table(spark, name)
+    key = lambda df, column, seen: df.select(F.lit(seen).alias("seen"), F.col(column).alias("id"))
+    return key(before, "c_custkey", "before").unionAll(key(after, "o_orderkey", "after"))
+
+
 _QUERIES: tuple[Query, ...] = (
     orders_customer_totals,
     lineitem_totals,
@@ -668,6 +723,9 @@ _QUERIES: tuple[Query, ...] = (
     batch_ingest_text,
     csv_etl_table,
     csv_etl_two_names,
+    csv_etl_unfinished_run,
+    raw_landing_ledger,
+    table_replace_view,
 )
 
 
@@ -983,4 +1041,24 @@ def _library_sql() -> dict[str, str]:
             SELECT o_orderkey, o_orderpriority AS "1958", o_totalprice AS "January"
             FROM orders WHERE o_orderpriority <> '5-LOW'
         """,
+        "csv_etl_unfinished_run": """
+            SELECT CAST(o_orderkey AS VARCHAR) AS o_orderkey, CAST(o_totalprice AS VARCHAR) AS o_totalprice,
+                   o_orderpriority
+            FROM orders WHERE o_orderstatus IN ('F', 'O')
+        """,
+        "raw_landing_ledger": """
+            WITH runs AS (
+                SELECT CASE o_orderstatus WHEN 'F' THEN 6 WHEN 'O' THEN 7 ELSE 8 END AS day,
+                       CASE o_orderstatus WHEN 'P' THEN 2 ELSE 1 END AS headers, count(*) AS n
+                FROM orders GROUP BY ALL
+            )
+            SELECT 'orders_2024050' || day || '_070809.csv' AS run, n * headers AS rows_landed, headers,
+                   true AS has_files, CAST(0 AS BIGINT) AS changed_files,
+                   CAST(sum(n * headers) OVER () AS BIGINT) AS rows_read, CAST(sum(n) OVER () AS BIGINT) AS keys_read
+            FROM runs
+        """,
+        "table_replace_view": """
+            SELECT 'before' AS seen, c_custkey AS id FROM customer
+            UNION ALL SELECT 'after', o_orderkey FROM orders
+        """,
     }

@@ -8,11 +8,12 @@ from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession, types as T
 
+from millrace import ledger
 from millrace.functions import session_time
 from millrace.operators.project import rename, require_not_null
-from millrace.sinks.files import all_runs, land_raw_csv, write_run_csv
+from millrace.sinks.files import land_raw_csv, write_run_csv
 from millrace.sinks.tables import replace_table
-from millrace.sources.files import read_csv, read_csv_by_name
+from millrace.sources.files import read_csv, read_finished_runs, read_runs
 
 
 @dataclass(frozen=True)
@@ -44,8 +45,9 @@ def run_csv_etl(
 ) -> CsvEtlResult:
     """Land the files of ``source``, clean what has been landed, and load the result.
 
-    Like the landing area it keeps, the transform covers the files of all runs of this ``name``;
-    ``this_run_only`` leaves the older ones out. All must have the same header, or the job stops;
+    Like the landing area it keeps, the transform covers the files of all finished runs of this ``name``, as the
+    ledger has them; ``this_run_only`` leaves the older ones out. A landing that a killed driver left
+    behind is never read. All must have the same header, or the job stops;
     with ``mixed_headers`` cells go by the names in their own files, in every run of the flow. The
     table gets the columns of the cleaned files: as text, or typed by ``schema``, or by
     ``infer_types`` at the price of one more scan. ``load`` is the name of a catalog table, or a
@@ -56,11 +58,11 @@ def run_csv_etl(
         raise ValueError("a catalog table needs a table_location for its files")
     run_ts = session_time(spark, run_ts or datetime.now(timezone.utc))
     landed = land_raw_csv(spark, source, raw_root, name, run_ts, multi_line, mixed_headers)
-    to_read = landed if this_run_only else all_runs(raw_root, name)
-    if mixed_headers:
-        raw = read_csv_by_name(spark, f"{to_read}/*", multi_line=multi_line, trim=True)
+    if this_run_only:
+        runs = [r for r in ledger.finished_runs(spark, raw_root, name) if r.path == landed]
+        raw = read_runs(spark, runs, multi_line, True, mixed_headers)
     else:
-        raw = read_csv(spark, to_read, multi_line=multi_line, trim=True)
+        raw = read_finished_runs(spark, raw_root, name, multi_line, True, mixed_headers)
     transformed = write_run_csv(
         clean_csv(raw, names or {}, not_null), transformed_root, f"{name}_transformed", run_ts
     )

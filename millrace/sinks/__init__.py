@@ -1,4 +1,5 @@
 from millrace.sinks.files import (
+    adopt_run,
     all_runs,
     by_size,
     land_raw_csv,
@@ -13,6 +14,7 @@ from millrace.sinks.jdbc import load_jdbc_table, replace_jdbc_table
 from millrace.sinks.tables import load_table, replace_table
 
 __all__ = [
+    "adopt_run",
     "all_runs",
     "by_size",
     "land_raw_csv",

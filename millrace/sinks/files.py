@@ -5,9 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping, Sequence
 from datetime import datetime
 
-from pyspark.sql import DataFrame, DataFrameWriter, SparkSession
+from pyspark.sql import DataFrame, DataFrameWriter, Observation, SparkSession, functions as F
 
-from millrace import storage
+from millrace import ledger, storage
 from millrace.functions.scalars import RUN_STAMP_PYTHON, session_time
 from millrace.sources.files import CSV_DIALECT, csv_headers, read_csv
 
@@ -104,12 +104,25 @@ def run_path(root: str, name: str, run_ts: datetime, extension: str = ".csv") ->
 
 
 def write_run_csv(df: DataFrame, root: str, name: str, run_ts: datetime) -> str:
-    """Write CSV under a path that carries the time of the run, and return the path."""
-    path = run_path(root, name, session_time(df.sparkSession, run_ts))
-    write_csv(df, path)
+    """Write CSV under a path that carries the time of the run, and return the path.
+
+    Once all is written the run is entered in the ledger below ``root`` (``millrace.ledger``).
+    """
+    spark = df.sparkSession
+    path = run_path(root, name, session_time(spark, run_ts))
+    ledger.withdraw(spark, root, name, path)
+    counted, rows = _counted(df)
+    write_csv(counted, path)
+    ledger.enter(spark, root, name, path, rows(), {path: df.columns})
     return path
 
 
+def _counted(df: DataFrame) -> tuple[DataFrame, Callable[[], int]]:
+    """The frame, and how many rows were written of it, known once it has been written."""
+    written = Observation()
+    return df.observe(written, F.count(F.lit(1)).alias("rows")), lambda: written.get["rows"]
+
+
 def all_runs(root: str, name: str, extension: str = ".csv") -> str:
     """A glob for what ``run_path`` gives for one name at any time, and for no other name."""
     special = "*?[]{}\\"
@@ -130,7 +143,8 @@ def land_raw_csv(
     """Copy reachable CSV files under a run-stamped path, every cell kept as its text.
 
     The copy is made by all tasks at once and a large file is split among them, so each part
-    has the header of its own. Returns the path.
+    has the header of its own. Returns the path. Once everything is copied the run is entered in the
+    ledger below ``root`` (``millrace.ledger``), which ``read_finished_runs`` goes by.
 
     All files must have one header, and a row with a cell more or less stops the job.
     ``mixed_headers`` lands the files of each header in a folder of its own below the path
@@ -141,13 +155,30 @@ def land_raw_csv(
     if mixed_headers:
         files = csv_headers(spark, source).values()
         groups = {f"{path}/header_{i}": group for i, group in enumerate(files)}
+    ledger.withdraw(spark, root, name, path)
+    storage.delete(spark, path)
+    columns, landed = {}, 0
     for target, files in groups.items():
         raw = read_csv(spark, files, multi_line=multi_line, trim=True)
+        counted, rows = _counted(raw)
         # In quotes, blanks that belong to a cell survive a reader that trims.
-        _writer(raw, "csv").option("quoteAll", True).save(target)
+        _writer(counted, "csv").option("quoteAll", True).save(target)
+        columns[target], landed = raw.columns, landed + rows()
+    ledger.enter(spark, root, name, path, landed, columns)
     return path
 
 
+def adopt_run(spark: SparkSession, root: str, name: str, path: str, multi_line: bool = False) -> None:
+    """Enter a folder of CSV files in the ledger that was written before there was one.
+
+    The folder must have the mark of a finished write (``_SUCCESS``); its rows are counted.
+    """
+    if not storage.exists(spark, f"{path.rstrip('/')}/_SUCCESS"):
+        raise FileNotFoundError(f"the write of {path} has not finished")
+    found = read_csv(spark, storage.literal(path), multi_line=multi_line, trim=True)
+    ledger.enter(spark, root, name, path, found.count(), {path: found.columns})
+
+
 def publish(
     df: DataFrame,
     key: str,

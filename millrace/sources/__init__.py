@@ -3,9 +3,11 @@ from millrace.sources.files import (
     read_csv,
     read_csv_by_name,
     read_event_files,
+    read_finished_runs,
     read_json,
     read_parquet,
     read_published,
+    read_runs,
 )
 from millrace.sources.memory import from_lines, from_rows
 from millrace.sources.object_store import object_store_conf
@@ -21,9 +23,11 @@ __all__ = [
     "read_csv",
     "read_csv_by_name",
     "read_event_files",
+    "read_finished_runs",
     "read_jdbc",
     "read_json",
     "read_parquet",
     "read_published",
+    "read_runs",
     "read_table",
 ]

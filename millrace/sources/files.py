@@ -4,13 +4,16 @@ from __future__ import annotations
 
 import functools
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.sql import DataFrame, DataFrameReader, SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, DataFrameReader, SparkSession, types as T
 
-from millrace import storage
+from millrace import ledger, storage
 
 # Quotes inside a quoted cell are doubled, as in RFC 4180; Spark's own default is a backslash.
 CSV_DIALECT = {"header": "true", "quote": '"', "escape": '"'}
+#: Files that the driver has open at a time when it looks for their headers.
+_OPEN_FILES = 16
 
 
 def _csv_reader(
@@ -61,23 +64,23 @@ def read_csv(
 
 
 def csv_headers(spark: SparkSession, path: str | Sequence[str]) -> dict[str, list[str]]:
-    """The files of each different header line.
+    """The files of each different header line; files without a line have none.
 
-    The lines are found by tasks that read the beginning of every file; what comes to the driver is
-    the list of files, which Spark itself keeps there.
+    The driver opens the files, several at a time, and reads the first line of each and no more. The list
+    of files is one that Spark itself keeps there.
     """
-    lines = spark.read.text(path if isinstance(path, str) else list(path)).select(
-        F.col("_metadata.file_path").alias("file"),
-        F.col("_metadata.file_block_start").alias("start"),
-        F.monotonically_increasing_id().alias("line"),
-        "value",
-    )
-    first = lines.filter("start = 0").groupBy("file").agg(F.min_by("value", "line").alias("header"))
+    listed = spark.read.text(path if isinstance(path, str) else list(path)).inputFiles()
+    to_path = lambda uri: spark._jvm.org.apache.hadoop.fs.Path(spark._jvm.java.net.URI(uri)).toString()
+    names = sorted(map(to_path, listed))
+    with ThreadPoolExecutor(_OPEN_FILES) as pool:
+        lines = list(pool.map(lambda name: storage.first_line(spark, name), names))
     files: dict[str, list[str]] = {}
-    for row in first.orderBy("file").collect():
-        if row["header"].count('"') % 2:
-            raise ValueError(f"the header of {row['file']} has a line break in a name")
-        files.setdefault(row["header"], []).append(row["file"])
+    for name, line in zip(names, lines, strict=True):
+        if line is None:
+            continue
+        if line.count('"') % 2:
+            raise ValueError(f"the header of {name} has a line break in a name")
+        files.setdefault(line, []).append(storage.literal(name))
     return files
 
 
@@ -98,6 +101,40 @@ def read_csv_by_name(
     return functools.reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), groups)
 
 
+def read_finished_runs(
+    spark: SparkSession, root: str, name: str, multi_line: bool = False, trim: bool = False, by_name: bool = False,
+) -> DataFrame:
+    """The CSV files of all finished runs of one name, as text.
+
+    Runs go by the ledger (``millrace.ledger``): what a run that did not finish has left is never read, and it is an error if
+    files of a finished one have come, gone or changed in size. All must have the same columns in the same
+    order; ``by_name`` puts each cell under the name that its own file gives it. No file is opened for its header, as
+    the ledger has it.
+    """
+    runs = ledger.finished_runs(spark, root, name)
+    if not runs:
+        raise FileNotFoundError(f"no run of {name} at {root} has finished")
+    ledger.check_whole(spark, root, runs)
+    return read_runs(spark, runs, multi_line, trim, by_name)
+
+
+def read_runs(
+    spark: SparkSession, runs: Sequence[ledger.Run], multi_line: bool = False, trim: bool = False, by_name: bool = False,
+) -> DataFrame:
+    """The CSV files of these runs of the ledger, as text."""
+    groups: dict[tuple[str, ...], list[str]] = {}
+    for run in runs:
+        for path, columns in run.columns.items():
+            groups.setdefault(tuple(columns), []).append(storage.literal(path))
+    if len(groups) > 1 and not by_name:
+        raise ValueError(f"runs of {runs[0].name} have other columns each: {sorted(groups)}")
+    frames = [
+        read_csv(spark, paths, T.StructType([T.StructField(c, T.StringType()) for c in columns]), False, multi_line, trim)
+        for columns, paths in groups.items()
+    ]
+    return functools.reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
+
+
 def read_parquet(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
     reader = spark.read if schema is None else spark.read.schema(schema)
     return reader.parquet(path)

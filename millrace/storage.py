@@ -14,6 +14,8 @@ from pyspark.sql import SparkSession
 
 # Fixed value: how the pointer files are named, before the number and the run.
 POINTER = "_current"
+#: Bytes that are read first to find the end of a line; as many as were read before are added then.
+_FIRST_BYTES = 1 << 14
 
 
 def _locate(spark: SparkSession, path: str):
@@ -43,6 +45,55 @@ def write_bytes(spark: SparkSession, path: str, data: bytes) -> None:
         stream.close()
 
 
+def read_bytes(spark: SparkSession, path: str) -> bytes:
+    """A small file as a whole."""
+    fs, p = _locate(spark, path)
+    stream = fs.open(p)
+    try:
+        return bytes(stream.readAllBytes())
+    finally:
+        stream.close()
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    fs, p = _locate(spark, path)
+    return fs.exists(p)
+
+
+def create_empty(spark: SparkSession, path: str) -> None:
+    """An empty file that was not there before, which is atomic on every kind of store."""
+    fs, p = _locate(spark, path)
+    if not fs.createNewFile(p):
+        raise FileExistsError(f"{path} is there already")
+
+
+def literal(path: str) -> str:
+    """A path as Spark's readers take it, where ``*?[]{}`` and a backslash would stand for others."""
+    return "".join(f"\\{c}" if c in "*?[]{}\\" else c for c in path)
+
+
+def first_line(spark: SparkSession, path: str) -> str | None:
+    """The first line of a text file, compressed or not; None if there is none. The rest is not read."""
+    fs, p = _locate(spark, path)
+    codecs = spark._jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(
+        spark._jsc.hadoopConfiguration()
+    )
+    codec, stream = codecs.getCodec(p), fs.open(p)
+    try:
+        if codec is not None:
+            stream = codec.createInputStream(stream)
+        data = b""
+        while chunk := bytes(stream.readNBytes(max(len(data), _FIRST_BYTES))):
+            data += chunk
+            line = data.splitlines(keepends=True)[0]
+            if len(line) < len(data) or line.endswith(b"\n"):
+                data = line
+                break
+    finally:
+        stream.close()
+    return data.removeprefix(b"\xef\xbb\xbf").decode("utf-8", "replace").rstrip("\r\n") if data else None
+
+
 def children(spark: SparkSession, folder: str) -> dict[str, int]:
     """Names in a folder, each with the time of its last change; none if there is no folder."""
     fs, p = _locate(spark, folder)

@@ -1,0 +1,182 @@
+"""Readers go by finished runs, not by what lies in a folder."""
+
+import gzip
+import os
+from datetime import datetime, timedelta
+
+import pytest
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
+
+from millrace import ledger, storage
+from millrace.plans import run_csv_etl
+from millrace.sinks import adopt_run, land_raw_csv, run_path, write_csv, write_run_csv
+from millrace.sources import csv_headers, read_csv_by_name, read_finished_runs
+
+RUN_TS = datetime(2024, 5, 6, 7, 8, 9)
+
+
+def put(path, text):
+    os.makedirs(os.path.dirname(path), exist_ok=True)
+    with open(path, "w", newline="") as f:
+        f.write(text)
+
+
+def rows(df):
+    return sorted(map(tuple, df.collect()))
+
+
+def etl(spark, folder, day, **options):
+    found = []
+    run_csv_etl(
+        spark, f"{folder}/in.csv", f"{folder}/raw", f"{folder}/out", "web",
+        lambda df: found.extend(map(tuple, df.collect())), run_ts=RUN_TS + timedelta(days=day), **options,
+    )
+    return sorted(found)
+
+
+def test_a_landing_that_was_cut_off_is_never_read(spark, folder):
+    put(f"{folder}/in.csv", "a,b\n1,2\n")
+    assert etl(spark, folder, 0) == [("1", "2")]
+    # A driver that died left a part file, without and with the mark of a finished write.
+    cut_off = run_path(f"{folder}/raw", "web", RUN_TS + timedelta(days=1))
+    put(f"{cut_off}/part-00000.csv", "a,b\n9,9\n")
+    put(f"{run_path(f'{folder}/raw', 'web', RUN_TS + timedelta(days=2))}/_SUCCESS", "")
+    assert etl(spark, folder, 3) == [("1", "2"), ("1", "2")]
+    assert [r.label for r in ledger.finished_runs(spark, f"{folder}/raw", "web")] == [
+        "web_20240506_070809.csv", "web_20240509_070809.csv",
+    ]
+
+
+@pytest.mark.parametrize("step", ["_writer", "_counted"])
+def test_a_landing_that_fails_is_not_entered(spark, folder, monkeypatch, step):
+    put(f"{folder}/in.csv", "a,b\n1,2\n")
+    assert etl(spark, folder, 0) == [("1", "2")]
+
+    def fail(*_, **__):
+        raise RuntimeError("the driver died")
+
+    with monkeypatch.context() as broken:
+        broken.setattr(f"millrace.sinks.files.{step}", fail)
+        with pytest.raises(RuntimeError):
+            etl(spark, folder, 1)
+    assert len(ledger.finished_runs(spark, f"{folder}/raw", "web")) == 1
+    assert etl(spark, folder, 1) == [("1", "2"), ("1", "2")]
+
+
+@pytest.mark.parametrize("step", ["write_bytes", "create_empty"])
+def test_a_run_counts_only_with_its_last_mark(spark, folder, monkeypatch, step):
+    put(f"{folder}/in.csv", "a,b\n1,2\n")
+
+    def fail(*_):
+        raise RuntimeError("the driver died")
+
+    with monkeypatch.context() as broken:
+        broken.setattr(f"millrace.storage.{step}", fail)
+        with pytest.raises(RuntimeError):
+            land_raw_csv(spark, f"{folder}/in.csv", f"{folder}/raw", "web", RUN_TS)
+    with pytest.raises(FileNotFoundError, match="has finished"):
+        read_finished_runs(spark, f"{folder}/raw", "web")
+    land_raw_csv(spark, f"{folder}/in.csv", f"{folder}/raw", "web", RUN_TS)
+    assert rows(read_finished_runs(spark, f"{folder}/raw", "web")) == [("1", "2")]
+
+
+def test_a_run_written_again_is_out_until_it_is_finished(spark, folder, monkeypatch):
+    put(f"{folder}/in.csv", "a,b\n1,2\n")
+    land_raw_csv(spark, f"{folder}/in.csv", f"{folder}/raw", "web", RUN_TS)
+    put(f"{folder}/in.csv", "a,b,c\n1,2\n")
+    with pytest.raises((Py4JJavaError, PySparkException)):
+        land_raw_csv(spark, f"{folder}/in.csv", f"{folder}/raw", "web", RUN_TS)
+    assert ledger.finished_runs(spark, f"{folder}/raw", "web") == []
+    with pytest.raises(FileExistsError):
+        path = write_run_csv(spark.range(3), f"{folder}/raw", "n", RUN_TS)
+        ledger.enter(spark, f"{folder}/raw", "n", path, 3, {path: ["id"]})
+
+
+def test_the_ledger_knows_files_rows_and_columns(spark, folder):
+    path = write_run_csv(spark.range(0, 100, 1, 4).selectExpr("id", "id * 2 as twice"), folder, "n[1]", RUN_TS)
+    (run,) = ledger.finished_runs(spark, folder, "n[1]")
+    sizes = [os.path.getsize(f"{path}/{f}") for f in os.listdir(path) if f.startswith("part-")]
+    assert (run.rows, run.files, run.bytes) == (100, 4, sum(sizes))
+    assert run.columns == {path: ["id", "twice"]} and run.path == path
+    assert read_finished_runs(spark, folder, "n[1]").count() == 100
+    # Names that another name begins with are others.
+    assert ledger.finished_runs(spark, folder, "n") == []
+
+
+@pytest.mark.parametrize("change", ["lost", "cut", "added"])
+def test_files_that_came_went_or_changed_are_an_error(spark, folder, change):
+    path = write_run_csv(spark.range(0, 10, 1, 2), folder, "n", RUN_TS)
+    part = sorted(f for f in os.listdir(path) if f.startswith("part-"))[0]
+    if change == "lost":
+        os.remove(f"{path}/{part}")
+    elif change == "cut":
+        put(f"{path}/{part}", "id\n")
+    else:
+        put(f"{path}/part-more.csv", "id\n77\n")
+    with pytest.raises(FileNotFoundError, match="part-"):
+        read_finished_runs(spark, folder, "n")
+    runs = ledger.finished_runs(spark, folder, "n")
+    (row,) = ledger.changed_files(spark, folder, runs).collect()
+    assert (row["bytes"] is None) == (change == "added") and (row["found"] is None) == (change == "lost")
+
+
+def test_runs_of_several_headers_need_no_file_to_be_opened(spark, folder, monkeypatch):
+    put(f"{folder}/a/0.csv", "a,b\n1,2\n")
+    put(f"{folder}/a/1.csv", "b,c,a\n4,5,3\n")
+    put(f"{folder}/b/0.csv", "a,b\n6,7\n")
+    for i, part in enumerate("ab"):
+        land_raw_csv(spark, f"{folder}/{part}", f"{folder}/raw", "x", RUN_TS + timedelta(days=i), mixed_headers=True)
+    monkeypatch.setattr(storage, "first_line", lambda *_: 1 / 0)
+    found = read_finished_runs(spark, f"{folder}/raw", "x", by_name=True)
+    assert rows(found.select("a", "b", "c")) == [("1", "2", None), ("3", "4", "5"), ("6", "7", None)]
+    with pytest.raises(ValueError, match="other columns"):
+        read_finished_runs(spark, f"{folder}/raw", "x")
+
+
+def test_older_landings_are_adopted_if_finished(spark, folder):
+    path = run_path(folder, "old", RUN_TS)
+    write_csv(spark.range(5), path)
+    with pytest.raises(FileNotFoundError):
+        read_finished_runs(spark, folder, "old")
+    adopt_run(spark, folder, "old", path)
+    assert read_finished_runs(spark, folder, "old").count() == 5
+    other = run_path(folder, "old", RUN_TS + timedelta(days=1))
+    put(f"{other}/part-0.csv", "id\n1\n")
+    with pytest.raises(FileNotFoundError, match="not finished"):
+        adopt_run(spark, folder, "old", other)
+
+
+def test_an_empty_landing_counts(spark, folder):
+    put(f"{folder}/in.csv", "a,b\n")
+    land_raw_csv(spark, f"{folder}/in.csv", f"{folder}/raw", "web", RUN_TS)
+    assert ledger.finished_runs(spark, f"{folder}/raw", "web")[0].rows == 0
+    assert read_finished_runs(spark, f"{folder}/raw", "web").columns == ["a", "b"]
+
+
+def test_headers_are_read_without_the_rest(spark, folder):
+    """Files with odd names, endings and a first line longer than what is read at first."""
+    wide = ",".join(f"column_{i}" for i in range(5_000))
+    texts = {"a b.csv": "x,y\r\n1,2\r\n", "b[1].csv": "x,y\r1,2\r", "c%20.csv": "﻿x,y", "wide.csv": f"{wide}\n1", "none.csv": ""}
+    for name, text in texts.items():
+        put(f"{folder}/{name}", text)
+    with gzip.open(f"{folder}/d.csv.gz", "wt") as f:
+        f.write("x,y\n" + "1,2\n" * 200_000)
+    found = csv_headers(spark, folder)
+    assert set(found) == {"x,y", wide}
+    assert [f.rsplit("/", 1)[1] for f in found["x,y"]] == ["a b.csv", "b\\[1\\].csv", "c%20.csv", "d.csv.gz"]
+    assert storage.first_line(spark, f"{folder}/none.csv") is None
+
+
+def test_a_header_costs_one_read_of_the_beginning(spark, folder):
+    put(f"{folder}/big.csv", "x,y\n" + "1,2\n" * 2_000_000)
+    tracker = spark.sparkContext.statusTracker()
+    before = len(tracker.getJobIdsForGroup(None))
+    assert list(csv_headers(spark, f"{folder}/big.csv")) == ["x,y"]
+    assert len(tracker.getJobIdsForGroup(None)) == before
+
+
+def test_files_with_odd_names_are_read_by_name(spark, folder):
+    put(f"{folder}/in/a {{1}}.csv", "x,y\n1,2\n")
+    put(f"{folder}/in/b*.csv", "y,x\n3,4\n")
+    assert rows(read_csv_by_name(spark, f"{folder}/in").select("x", "y")) == [("1", "2"), ("4", "3")]

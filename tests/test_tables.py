@@ -1,4 +1,5 @@
 import os
+import threading
 import uuid
 from datetime import datetime
 from decimal import Decimal
@@ -74,14 +75,81 @@ def test_failed_replace_changes_nothing(spark, folder, name, monkeypatch):
         replace_table(spark.range(5).selectExpr("1 div (id - id) as x"), name, folder)
     assert read_table(spark, name).count() == 3
 
-    def fail(*_):
-        raise RuntimeError("the catalog is away")
-
-    monkeypatch.setattr(catalog_tables, "_rename", fail)
+    monkeypatch.setattr(catalog_tables, "_point_view", away)
     with pytest.raises(RuntimeError):
         replace_table(spark.range(5).selectExpr("id as other"), name, folder)
     assert read_table(spark, name).columns == ["id"] and read_table(spark, name).count() == 3
     assert [t.name for t in spark.catalog.listTables() if t.name.startswith(name)] == [name]
+    assert len([f for f in os.listdir(folder) if f.startswith("load_")]) == 1
+
+
+def away(*_):
+    raise RuntimeError("the catalog is away")
+
+
+def test_a_plain_table_becomes_a_view_or_stays(spark, folder, name, monkeypatch):
+    load_table(from_rows(spark, ROWS, TARGET), name, TARGET, folder)
+    with monkeypatch.context() as broken:
+        broken.setattr(catalog_tables, "_point_view", away)
+        with pytest.raises(RuntimeError):
+            replace_table(spark.range(5), name, folder)
+    assert sorted(map(tuple, read_table(spark, name).collect())) == ROWS
+    replace_table(spark.range(5), name, folder)
+    assert read_table(spark, name).count() == 5
+    replace_table(from_rows(spark, ROWS[:1], TARGET), name, folder)
+    # A load takes the view, if it has the columns.
+    load_table(from_rows(spark, ROWS, TARGET), name, TARGET, folder)
+    assert sorted(map(tuple, read_table(spark, name).collect())) == ROWS
+    load_table(from_rows(spark, [], TARGET), name, TARGET, folder)
+    assert read_table(spark, name).count() == 0
+
+
+def test_replacing_is_one_change_of_the_catalog(spark, folder, name, monkeypatch):
+    replace_table(spark.range(3), name, folder)
+    said = []
+    plain = type(spark).sql
+    monkeypatch.setattr(type(spark), "sql", lambda self, query, *a, **b: said.append(query) or plain(self, query, *a, **b))
+    replace_table(spark.range(4), name, folder)
+    changes = [q for q in said if not q.startswith(("SHOW", "DESCRIBE"))]
+    assert len(changes) == 1 and changes[0].startswith(f"ALTER VIEW {name} AS ")
+
+
+def test_readers_never_miss_the_table(spark, folder, name):
+    """A thread asks for the table without a break while it is replaced thirty times."""
+    replace_table(spark.range(1), name, folder)
+    counts, errors, done = [], [], threading.Event()
+
+    def read():
+        while not done.is_set():
+            try:
+                counts.append(read_table(spark, name).count())
+            except Exception as error:
+                errors.append(error)
+
+    reader = threading.Thread(target=read)
+    reader.start()
+    try:
+        for i in range(2, 32):
+            replace_table(spark.range(i), name, folder, keep=40)
+    finally:
+        done.set()
+        reader.join()
+    assert not errors, errors[0]
+    assert counts == sorted(counts) and set(counts) <= set(range(1, 32)) and len(counts) > 5
+
+
+def test_a_query_under_way_reads_the_load_it_began_with(spark, folder, name):
+    replace_table(spark.range(3), name, folder)
+    before = read_table(spark, name)
+    replace_table(spark.range(7).selectExpr("id as other"), name, folder)
+    assert before.count() == 3 and read_table(spark, name).columns == ["other"]
+
+
+@pytest.mark.parametrize("odd", ["it's", "a [1] {b} *", "back\\slash", "tick`"])
+def test_folders_with_odd_names(spark, folder, name, odd):
+    for n in (2, 3):
+        replace_table(spark.range(n), name, f"{folder}/{odd}", keep=1)
+    assert read_table(spark, name).count() == 3 and len(os.listdir(f"{folder}/{odd}")) == 1
 
 
 def test_replace_brings_its_own_columns(spark, folder, name):
