@@ -16,7 +16,17 @@ from importlib.util import find_spec
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from millrace import ledger, schemas, sinks, sources, streaming
-from millrace.functions import epoch_seconds_utc, event_id, run_stamp, run_timestamp, session_time
+from millrace.functions import (
+    EVENT_NAMESPACE,
+    content_id,
+    epoch_seconds_utc,
+    event_id,
+    named_id,
+    position_id,
+    run_stamp,
+    run_timestamp,
+    session_time,
+)
 from millrace.operators import (
     ORDER_RULES,
     ColumnRule,
@@ -670,6 +680,36 @@ def table_replace_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     return key(before, "c_custkey", "before").unionAll(key(after, "o_orderkey", "after"))
 
 
+def event_ids_named(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The id that belongs to each event's type and number."""
+    events = _table(spark, sf_dir, "events")
+    return events.select("event_id", named_id(F.concat_ws("/", "event_type", "event_id")).alias("named"))
+
+
+def event_ids_stable(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids by position in the files, from two reads that split the files in different ways, and by content."""
+    source = scratch_path(spark, "events")
+    events = _table(spark, sf_dir, "events").select("event_type", "user_id", "value")
+    # Small row groups, so that a file is split; rows that repeat, so that content alone is not enough.
+    events.unionAll(events).repartition(4).write.mode("overwrite").option("parquet.block.size", 64 << 10).parquet(source)
+    split, seen = spark.conf.get("spark.sql.files.maxPartitionBytes"), []
+    for size in ("128m", "32k"):
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+        path = scratch_path(spark, "ids")
+        rows = sources.read_parquet(spark, source)
+        with_ids = rows.withColumn("place", position_id()).withColumn("held", content_id(*map(F.col, rows.columns)))
+        sinks.write_parquet(with_ids.repartition(3 + len(seen)), path)
+        seen.append(sources.read_parquet(spark, path))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", split)
+    again = seen[1].select("place", F.col("held").alias("held_again"))
+    return seen[0].join(again, "place").groupBy("event_type").agg(
+        F.count("*").alias("n"),
+        F.count_distinct("place").alias("places"),
+        F.count_if(F.col("held") == F.col("held_again")).alias("same"),
+        F.count_distinct("held").alias("contents"),
+    )
+
+
 _QUERIES: tuple[Query, ...] = (
     orders_customer_totals,
     lineitem_totals,
@@ -726,6 +766,8 @@ _QUERIES: tuple[Query, ...] = (
     csv_etl_unfinished_run,
     raw_landing_ledger,
     table_replace_view,
+    event_ids_named,
+    event_ids_stable,
 )
 
 
@@ -1061,4 +1103,21 @@ def _library_sql() -> dict[str, str]:
             SELECT 'before' AS seen, c_custkey AS id FROM customer
             UNION ALL SELECT 'after', o_orderkey FROM orders
         """,
+        "event_ids_named": f"""
+            WITH named AS (
+                SELECT event_id,
+                       sha1(from_hex('{EVENT_NAMESPACE.hex}') || encode(event_type || '/' || event_id)) AS h
+                FROM events
+            )
+            SELECT event_id,
+                   substr(h, 1, 8) || '-' || substr(h, 9, 4) || '-5' || substr(h, 14, 3) || '-'
+                   || translate(substr(h, 17, 1), '0123456789abcdef', '89ab89ab89ab89ab') || substr(h, 18, 3)
+                   || '-' || substr(h, 21, 12) AS named
+            FROM events JOIN named USING (event_id)
+        """,
+        "event_ids_stable": """
+            SELECT event_type, 2 * count(*) AS n, 2 * count(*) AS places, 2 * count(*) AS same,
+                   count(DISTINCT (user_id, value)) AS contents
+            FROM events GROUP BY event_type
+        """,
     }

@@ -9,6 +9,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import DataFrame, SparkSession
 
 from millrace import schemas, sinks, sources, streaming
+from millrace.functions import content_id, position_id, quoted
 from millrace.operators import word_count
 from millrace.plans import publish_events, run_batch_ingest, run_csv_etl
 from millrace.session import build_session
@@ -94,7 +95,12 @@ def publish(spark: SparkSession, args: argparse.Namespace) -> None:
         if args.to_files is None
         else streaming.file_sink(args.to_files)
     )
-    shaped = streaming.shape_events(events)
+    # Ids that are missing are named, so that a batch that runs again publishes the same ones.
+    if args.format == "parquet":
+        named = position_id()
+    else:
+        named = content_id(*[quoted(f.name) for f in schemas.SENSOR_EVENT.fields])
+    shaped = streaming.shape_events(events, named)
     publication = publish_events(shaped, sink, args.checkpoint, args.interval)
     print(f"published {streaming.await_published(publication)} messages")
 

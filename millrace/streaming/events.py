@@ -9,26 +9,33 @@ from millrace.schemas import SENSOR_EVENT
 
 
 def sensor_events(
-    df: DataFrame, event_time: Column, device: Column, reading: Column, id: Column | None = None
+    df: DataFrame,
+    event_time: Column,
+    device: Column,
+    reading: Column,
+    id: Column | None = None,
+    missing_id: Column | None = None,
 ) -> DataFrame:
-    """Shape rows as sensor events: epoch seconds, a reading of two decimals, and an id, which
-    is a random UUID where the input has none. Give ``event_time`` in epoch seconds.
+    """Shape rows as sensor events: epoch seconds, a reading of two decimals, and an id. Give
+    ``event_time`` in epoch seconds.
 
-    A random id belongs to one attempt: a micro-batch that runs again makes new ones. Where
-    readers drop repeated messages by id, give the events their ids before they are stored.
+    Where the input has no id, ``missing_id`` makes one: ``position_id()`` or ``content_id(...)`` give a row the
+    same id whenever it is published again, so that readers can drop messages that come twice. Without it
+    the id is a random UUID, which belongs to one attempt.
     """
-    ids = event_id() if id is None else F.coalesce(id.cast("string"), event_id())
+    made = event_id() if missing_id is None else missing_id
+    ids = made if id is None else F.coalesce(id.cast("string"), made)
     columns = [ids, event_time, device, rounded(reading, 2)]
     return df.select(
         *[c.cast(f.dataType).alias(f.name) for c, f in zip(columns, SENSOR_EVENT.fields)]
     )
 
 
-def shape_events(df: DataFrame) -> DataFrame:
+def shape_events(df: DataFrame, missing_id: Column | None = None) -> DataFrame:
     """Events of the declared columns, shaped by ``sensor_events``: ids for those that lack one and
     readings of two decimals."""
     event_id_, time, device, reading = (quoted(f.name) for f in SENSOR_EVENT.fields)
-    return sensor_events(df, time, device, reading, event_id_)
+    return sensor_events(df, time, device, reading, event_id_, missing_id)
 
 
 def encode_events(df: DataFrame, schema: T.StructType = SENSOR_EVENT) -> DataFrame:
