@@ -27,6 +27,7 @@ from millrace.functions import (
     run_timestamp,
     session_time,
 )
+from millrace.journal import Journal
 from millrace.operators import (
     ORDER_RULES,
     ColumnRule,
@@ -710,6 +711,31 @@ def event_ids_stable(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def batch_ingest_resumed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A flow whose load fails once: the second start loads what was transformed, and lands nothing again."""
+    root, journal = scratch_path(spark, "ingest"), scratch_path(spark, "journal")
+    orders, loaded = _source_orders(spark, sf_dir), []
+
+    def load(frame: DataFrame) -> None:
+        loaded.append(frame.count())
+        if len(loaded) == 1:
+            raise ConnectionError("the target is away")
+
+    for start in (1, 2):
+        try:
+            result = run_batch_ingest(
+                orders, f"{root}/raw", f"{root}/processed", load, run_ts=RUN_TS, journal=journal, source_version="1"
+            )
+        except ConnectionError:
+            if start == 2:
+                raise
+    rows = {"land": result.landed_rows, "transform": result.transformed_rows, "load": loaded[-1]}
+    runs = Journal(spark, journal).runs()
+    return sources.from_rows(
+        spark, [(step, *runs[step], n) for step, n in rows.items()], "step string, begun int, finished int, row_count bigint"
+    )
+
+
 _QUERIES: tuple[Query, ...] = (
     orders_customer_totals,
     lineitem_totals,
@@ -768,6 +794,7 @@ _QUERIES: tuple[Query, ...] = (
     table_replace_view,
     event_ids_named,
     event_ids_stable,
+    batch_ingest_resumed,
 )
 
 
@@ -1120,4 +1147,9 @@ def _library_sql() -> dict[str, str]:
                    count(DISTINCT (user_id, value)) AS contents
             FROM events GROUP BY event_type
         """,
+        "batch_ingest_resumed": """
+            SELECT step, CAST(begun AS INTEGER) AS begun, CAST(1 AS INTEGER) AS finished,
+                   (SELECT count(*) FROM orders) AS row_count
+            FROM (VALUES ('land', 1), ('transform', 1), ('load', 2)) AS t(step, begun)
+        """,
     }

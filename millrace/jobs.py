@@ -61,6 +61,8 @@ def batch_ingest(spark: SparkSession, args: argparse.Namespace) -> None:
         _target(args, load),
         args.table_location,
         landing_format=args.landing,
+        journal=args.journal,
+        source_version=args.source_version,
     )
     print(f"landed {result.landed_rows} rows, transformed {result.transformed_rows}")
 
@@ -135,6 +137,8 @@ def parser() -> argparse.ArgumentParser:
     job.add_argument("--processed", required=True)
     _add_target(job)
     job.add_argument("--landing", choices=("csv", "parquet"), default="csv")
+    job.add_argument("--journal", help="folder that remembers finished steps, to go on after a failure")
+    job.add_argument("--source-version", help="what this state of the source is called, such as a date")
     job.set_defaults(run=batch_ingest)
 
     job = jobs.add_parser("csv-etl", help="CSV files to landing, cleaned CSV and table")

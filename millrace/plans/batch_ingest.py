@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, types as T
 
 from millrace import schemas
 from millrace.functions import session_time
+from millrace.journal import Journal, no_journal
 from millrace.operators.aggregate import totals_by_key
 from millrace.operators.dedupe import dedupe
 from millrace.operators.project import fill_defaults, stamp
@@ -61,6 +62,8 @@ def run_batch_ingest(
     table_location: str | None = None,
     run_ts: datetime | None = None,
     landing_format: str = "csv",
+    journal: str | None = None,
+    source_version: str | None = None,
 ) -> BatchIngestResult:
     """Run the whole flow on an orders frame, such as a JDBC or catalog table.
 
@@ -76,39 +79,63 @@ def run_batch_ingest(
     parsing text again would cost more than the transform. A CSV file with text is read by one
     task, as text may hold line breaks; orders with text are therefore dealt out to files of
     bounded size first.
+
+    ``journal`` is a folder that remembers finished steps. A flow that failed, or whose driver died, is started
+    again with the same ``journal`` and ``source_version`` (what the caller calls this state of the source, such as a
+    date or a snapshot) and goes on behind the last finished step, with the time of the run it had. Another version runs
+    all steps.
     """
     if isinstance(load, str) and table_location is None:
         raise ValueError("a catalog table needs a table_location for its files")
+    if journal is not None and source_version is None:
+        raise ValueError("a journal needs a source_version that tells one state of the source from another")
     spark = orders.sparkSession
-    run_ts = session_time(spark, run_ts or datetime.now(timezone.utc))
+    step = no_journal if journal is None else Journal(spark, journal).step
+    now = session_time(spark, run_ts or datetime.now(timezone.utc))
+    begun = step("begin", {"source": source_version, "format": landing_format}, lambda: {"run_ts": now.isoformat()})
+    run_ts = datetime.fromisoformat(begun["run_ts"])
     raw_root, processed_root = raw_root.rstrip("/"), processed_root.rstrip("/")
 
-    bounded = landing_format == "csv" and _has_text(orders.schema)
-    observed, landing = watch(by_size(orders) if bounded else orders, ORDER_RULES)
-    key = f"{raw_root}/{LANDED_ORDERS}.{landing_format}"
-    landed = publish(observed, key, landing_format, accept=landing.raise_if_broken)
-
-    read_landing = _READ_LANDING[landing_format]
-    observed, transform = watch(
-        transform_orders(read_landing(spark, landed, orders.schema), run_ts)
+    def land() -> dict:
+        bounded = landing_format == "csv" and _has_text(orders.schema)
+        observed, landing = watch(by_size(orders) if bounded else orders, ORDER_RULES)
+        key = f"{raw_root}/{LANDED_ORDERS}.{landing_format}"
+        path = publish(observed, key, landing_format, accept=landing.raise_if_broken)
+        return {"path": path, "rows": landing.rows}
+
+    landed = step("land", {"source": source_version, "run_ts": begun["run_ts"]}, land, ["path"])
+    clean = transform_orders(_READ_LANDING[landing_format](spark, landed["path"], orders.schema), run_ts)
+
+    def transform() -> dict:
+        observed, counts = watch(clean)
+        path = publish(observed, f"{processed_root}/{TRANSFORMED_ORDERS}")
+        return {"path": path, "rows": counts.rows}
+
+    transformed = step("transform", {"landed": landed["path"], "run_ts": begun["run_ts"]}, transform, ["path"])
+    read = lambda: read_parquet(spark, transformed["path"], clean.schema)
+    aggregated = step(
+        "aggregate",
+        {"transformed": transformed["path"]},
+        lambda: {"path": publish(totals_by_key(read()), f"{processed_root}/{AGGREGATED_ORDERS}")},
+        ["path"],
     )
-    schema = observed.schema
-    transformed = publish(observed, f"{processed_root}/{TRANSFORMED_ORDERS}")
-    totals = totals_by_key(read_parquet(spark, transformed, schema))
-    aggregated = publish(totals, f"{processed_root}/{AGGREGATED_ORDERS}")
 
-    if load is not None:
-        frame = read_parquet(spark, transformed, schema)
+    def load_all() -> dict:
         if callable(load):
-            load(frame)
+            load(read())
         else:
-            load_table(frame, load, schemas.ORDERS_TRANSFORMED, table_location)
+            load_table(read(), load, schemas.ORDERS_TRANSFORMED, table_location)
+        return {}
+
+    if load is not None:
+        target = load if isinstance(load, str) else getattr(load, "__qualname__", "function")
+        step("load", {"transformed": transformed["path"], "target": target}, load_all)
 
     return BatchIngestResult(
-        landed,
-        transformed,
-        aggregated,
+        landed["path"],
+        transformed["path"],
+        aggregated["path"],
         load if isinstance(load, str) else None,
-        landing.rows,
-        transform.rows,
+        landed["rows"],
+        transformed["rows"],
     )
