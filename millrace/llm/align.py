@@ -36,24 +36,33 @@ _PLAIN_LEAD = 0xCA
 _SLICE, _JOINED = 1 << 20, 1 << 19
 
 
+def _names(mark: str, size: int) -> np.ndarray:
+    """``mark`` and each id as ASCII text, padded with zero bytes to one width."""
+    return np.array([f"{mark}{i}" for i in range(size)], dtype=np.bytes_)
+
+
 class _Side:
-    """One tokenizer: its ids for a text, the bytes of each id, and the ids as text."""
+    """One tokenizer: the bytes of its ids, and the ids as text, first in a group or behind others."""
 
-    def __init__(self, surfaces: list[bytes]) -> None:
-        self.surfaces = surfaces
+    def __init__(self, surfaces: list[bytes], mark: str) -> None:
+        self.size = len(surfaces)
         self.lengths = np.array([len(s) for s in surfaces], dtype=np.int64)
-        self.names = np.array([str(i) for i in range(len(surfaces))], dtype=object)
-        self.inside = np.array([f",{i}" for i in range(len(surfaces))], dtype=object)
+        self.first, self.next = _names(mark, self.size), _names(",", self.size)
 
-    def covers(self, ids: np.ndarray, body: bytes) -> bool:
-        return b"".join(map(self.surfaces.__getitem__, ids.tolist())) == body
+    def encode(self, text: str) -> np.ndarray:
+        raise NotImplementedError
 
 
 class ByteSide(_Side):
-    """A byte-level BPE file of the ``tokenizers`` library. Strings of special tokens are plain text."""
+    """A byte-level BPE file of the ``tokenizers`` library. Strings of special tokens are plain text.
+
+    The tokens give back the text, as merging bytes loses none, so long as the file puts nothing before the bytes.
+    """
 
     def __init__(self, path: str) -> None:
         self._encoder = BpeEncoder(path, special=False)
+        if self._encoder.fast is None:
+            raise ValueError(f"{path} is no byte-level BPE file in rank order")
         with open(path, encoding="utf-8") as file:
             spec = json.load(file)
         letters = {c: b for b, c in byte_letters().items()}
@@ -61,21 +70,26 @@ class ByteSide(_Side):
         surfaces = [b""] * (1 + max(vocab.values()))
         for entry, i in vocab.items():
             surfaces[i] = bytes(letters[c] for c in entry) if all(c in letters for c in entry) else entry.encode()
-        super().__init__(surfaces)
+        super().__init__(surfaces, ";")
 
-    def encode(self, body: bytes, text: str) -> np.ndarray:
-        plain = not body or max(body) < _PLAIN_LEAD
-        return np.array(self._encoder.encode(text, plain), dtype=np.int64)
+    def encode(self, text: str) -> np.ndarray:
+        body = text.encode()
+        return self._encoder.ids(" " + text, not body or max(body) < _PLAIN_LEAD).astype(np.int64)
 
 
 class PieceSide(_Side):
-    """A piece model file, which puts a blank before the text itself."""
+    """A piece model file, which puts a blank before the text itself.
+
+    The tokens give back the text unless it has U+2581, which the model reads as a blank.
+    """
 
     def __init__(self, path: str) -> None:
         self._model = piece_model(path)
-        super().__init__(self._model.surface)
+        if not self._model.prefix:
+            raise ValueError(f"{path} puts no blank before a text")
+        super().__init__(self._model.surface, "|")
 
-    def encode(self, body: bytes, text: str) -> np.ndarray:
+    def encode(self, text: str) -> np.ndarray:
         return np.fromiter(self._model.encode(text), np.int64)
 
 
@@ -109,12 +123,12 @@ class _Document:
     parts: list[str] | None
     begun: bool = False
 
-    def add(self, text: str) -> None:
+    def add(self, text: bytes) -> None:
         text = text if self.begun else text[1:]
         self.begun = True
-        self.digest.update(text.encode())
+        self.digest.update(text)
         if self.parts is not None:
-            self.parts.append(text)
+            self.parts.append(text.decode())
 
 
 @dataclass
@@ -138,12 +152,16 @@ def align_ids(a: _Side, b: _Side, a_ids: list[np.ndarray], b_ids: list[np.ndarra
     About ``_JOINED`` tokens are worked on at a time, and the rest of the group in which they end, so that
     a very long document takes little more memory than its tokens.
     """
-    n, all_pairs = len(a_ids), len(a.surfaces) * len(b.surfaces)
+    n, all_pairs = len(a_ids), a.size * b.size
     ids = [np.concatenate([np.zeros(0, np.int64), *x]) for x in (a_ids, b_ids)]
     docs = [np.repeat(np.arange(n), [len(y) for y in x]) for x in (a_ids, b_ids)]
     ends = [np.cumsum(side.lengths[x]) for side, x in zip((a, b), ids, strict=True)]
-    shared = np.intersect1d(*ends, assume_unique=True)
-    group = [np.searchsorted(shared, e) for e in ends]
+    # Which tokens of each side end where one of the other does: they are the last of their groups.
+    place = np.minimum(np.searchsorted(ends[1], ends[0]), max(0, len(ends[1]) - 1))
+    shared = ends[1][place] == ends[0]
+    last_b = np.zeros(len(ids[1]), dtype=bool)
+    last_b[place[shared]] = True
+    group = [np.cumsum(x) - x for x in (shared, last_b)]
     written = [_Document(hashlib.sha256(), [] if with_groups else None) for _ in range(n)]
     keys, counts = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
     at = [0, 0]
@@ -154,20 +172,22 @@ def align_ids(a: _Side, b: _Side, a_ids: list[np.ndarray], b_ids: list[np.ndarra
             (x[p], d[p], e[p], g[p] - first) for x, d, e, g, p in zip(ids, docs, ends, group, parts, strict=True)
         )
         i, j = overlaps(a_end - a.lengths[a_part], b_end - b.lengths[b_part], a_of, b_of)
-        found = a_of[i] * all_pairs + a_part[i] * len(b.surfaces) + b_part[j]
+        found = a_of[i] * all_pairs + a_part[i] * b.size + b_part[j]
         for out, x in zip((keys, counts), np.unique(found, return_counts=True), strict=True):
             out.append(x)
         _write_groups(a, b, a_part, b_part, a_group, b_group, a_of, written)
         at = [p.stop for p in parts]
-    # A document may go on in the next part.
-    found, which = np.unique(np.concatenate(keys), return_inverse=True)
+    found, links = keys[-1], counts[-1]
+    if len(keys) > 2:  # a document may go on in the next part
+        found, which = np.unique(np.concatenate(keys), return_inverse=True)
+        links = np.bincount(which, np.concatenate(counts), len(found)).astype(np.int64)
     return Aligned(
-        np.bincount(docs[0][np.searchsorted(ends[0], shared)], minlength=n),
+        np.bincount(docs[0][shared], minlength=n),
         [d.digest.hexdigest() if d.begun else "" for d in written],
         ["".join(d.parts) if d.parts is not None else None for d in written],
         found // all_pairs,
         found % all_pairs,
-        np.bincount(which, np.concatenate(counts), len(found)).astype(np.int64),
+        links,
     )
 
 
@@ -179,16 +199,16 @@ def _write_groups(
     per_a, per_b = np.bincount(a_group), np.bincount(b_group)
     a_place = np.arange(len(a_ids)) + (np.cumsum(per_b) - per_b)[a_group]
     b_place = np.arange(len(b_ids)) + np.cumsum(per_a)[b_group]
-    out = np.empty(len(a_ids) + len(b_ids), dtype=object)
-    for mark, side, ids, place, group in ((";", a, a_ids, a_place, a_group), ("|", b, b_ids, b_place, b_group)):
-        out[place] = side.inside[ids]
+    out = np.empty(len(a_ids) + len(b_ids), dtype=max(a.first.dtype, b.first.dtype))
+    for side, ids, place, group in ((a, a_ids, a_place, a_group), (b, b_ids, b_place, b_group)):
+        out[place] = side.next[ids]
         leads = np.flatnonzero(np.diff(group, prepend=-1))
-        out[place[leads]] = mark + side.names[ids[leads]]
+        out[place[leads]] = side.first[ids[leads]]
     # Ends of documents are ends of groups, so a document's tokens lie side by side.
     lasts = np.flatnonzero(np.diff(of, append=-1))
     start = 0
     for doc, end in zip(of[lasts].tolist(), (a_place[lasts] + 1 + per_b[a_group[lasts]]).tolist(), strict=True):
-        written[doc].add("".join(out[start:end].tolist()))
+        written[doc].add(out[start:end].tobytes().translate(None, b"\0"))
         start = end
 
 
@@ -219,6 +239,7 @@ def _tokenized(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         a, b = _sides(a_path, b_path)
+        none = np.zeros(0, dtype=np.int64)
         block = TaskContext.get().partitionId() << 36
         rows: list[tuple] = []
         linked: list[tuple[np.ndarray, np.ndarray]] = []
@@ -239,13 +260,12 @@ def _tokenized(
             for row, offsets, data in text_slices(batch.column(1), _SLICE):
                 a_ids, b_ids, at = [], [], offsets.tolist()
                 for start, end in zip(at, at[1:], strict=False):
-                    body = data[start:end].tobytes()
-                    spaced, text = b" " + body, body.decode("utf-8", "replace")
-                    x, y = a.encode(spaced, " " + text), b.encode(body, text)
-                    if not body or not (a.covers(x, spaced) and b.covers(y, spaced)):
-                        x = y = np.zeros(0, np.int64)
-                    a_ids.append(x)
-                    b_ids.append(y)
+                    text = data[start:end].tobytes().decode("utf-8", "replace")
+                    kept = text and "\u2581" not in text
+                    a_ids.append(a.encode(text) if kept else none)
+                    b_ids.append(b.encode(text) if kept else none)
+                    if a.lengths[a_ids[-1]].sum() != b.lengths[b_ids[-1]].sum():
+                        raise AssertionError("both sides must cover the text")
                 found = align_ids(a, b, a_ids, b_ids, with_groups)
                 cuts = np.searchsorted(found.of, np.arange(1, len(a_ids)))
                 linked += zip(np.split(found.pairs, cuts), np.split(found.links, cuts), strict=True)

@@ -89,6 +89,15 @@ class BpeEncoder:
                 pass
         return self.exact.encode(text, add_special_tokens=False).ids
 
+    def ids(self, text: str, plain: bool) -> np.ndarray:
+        """The same ids as an array."""
+        if plain and self.fast is not None:
+            try:
+                return self.fast.encode_to_numpy(text, allowed_special=self._allowed, disallowed_special=())
+            except ValueError:
+                pass
+        return np.array(self.exact.encode(text, add_special_tokens=False).ids, dtype=np.uint32)
+
 
 def byte_letters() -> dict[int, str]:
     """How byte-level vocabularies write bytes: printable ones as they are, others from U+0100 on."""

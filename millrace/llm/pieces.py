@@ -14,7 +14,7 @@ there; short segments that came before are not worked out again.
 from __future__ import annotations
 
 import codecs
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from functools import lru_cache
 from itertools import chain
 
@@ -33,7 +33,7 @@ _SPACE = "▁"
 _NEVER = float("-inf")
 
 #: Segments up to this length are remembered, so many at most, and so many tests of pairs.
-_SHORT, _SEGMENTS, _PAIRS = 48, 1 << 18, 1 << 19
+_SHORT, _SEGMENTS, _PAIRS = 48, 1 << 19, 1 << 19
 #: Characters that are cut into segments at a time.
 _STEP = 1 << 18
 #: Slots that tell which characters stand side by side in a piece. Two pairs of a slot only cut less.
@@ -48,15 +48,23 @@ codecs.register_error("millrace-each-byte", _each_byte)
 
 
 class _Known(dict):
-    """Values by key, worked out when first asked for, and forgotten when there are too many."""
+    """Values by key, worked out when first asked for. Of more than ``limit`` those not asked for lately are forgotten.
 
-    def __init__(self, work, limit: int) -> None:
-        self._work, self._limit = work, limit
+    Texts of more than ``_SHORT`` characters are worked out each time.
+    """
 
-    def __missing__(self, key):
-        if len(self) >= self._limit:
-            self.clear()
-        value = self[key] = self._work(key)
+    def __init__(self, work: Callable, limit: int) -> None:
+        self._work, self._limit, self._before = work, limit, {}
+
+    def __missing__(self, key: int | str):
+        value = self._before.get(key)
+        if value is None:
+            value = self._work(key)
+        if isinstance(key, int) or len(key) <= _SHORT:
+            if 2 * len(self) >= self._limit:
+                self._before = dict(self)
+                self.clear()
+            self[key] = value
         return value
 
 
@@ -187,8 +195,8 @@ class PieceModel:
                 at -= lengths[at]
         return tuple(reversed(out))
 
-    def _cut(self, text: str) -> Iterator[str]:
-        """Segments between which no merge takes place."""
+    def _cut(self, text: str) -> Iterator[list[str]]:
+        """Segments between which no merge takes place, those of a part of the text at a time."""
         at, step = 0, _STEP
         while at < len(text):
             part = text[at : at + step]
@@ -198,19 +206,15 @@ class PieceModel:
             elif not ends:
                 step *= 2
                 continue
-            start = 0
-            for end in ends:
-                yield part[start:end]
-                start = end
-            at, step = at + start, _STEP
+            yield [part[i:j] for i, j in zip([0, *ends], ends, strict=False)]
+            at, step = at + ends[-1], _STEP
 
     def encode(self, text: str) -> Iterable[int]:
         """The ids of the pieces of a text, without an end id."""
         if not text:
             return ()
-        known, work = self._segments, self._encode_segment
-        segments = self._cut(self.prefix + text.replace(" ", _SPACE))
-        return chain.from_iterable(known[s] if len(s) <= _SHORT else work(s) for s in segments)
+        parts = self._cut(self.prefix + text.replace(" ", _SPACE))
+        return chain.from_iterable(map(self._segments.__getitem__, chain.from_iterable(parts)))
 
     def decode(self, ids: list[int]) -> str:
         """The text of ids. Bytes that are no UTF-8 give U+FFFD each; ids out of range are an error."""
