@@ -7,6 +7,7 @@ session's shared scratch folder, a new path each time, removed when the applicat
 
 from __future__ import annotations
 
+import time
 import uuid
 from collections.abc import Callable
 from datetime import datetime, timedelta, timezone
@@ -31,12 +32,17 @@ from millrace.journal import Journal
 from millrace.operators import (
     ORDER_RULES,
     ColumnRule,
+    cast_cases,
+    cast_summary,
     dedupe,
     dedupe_any,
     default_time,
+    exact_sums,
     failure_cases,
     failure_summary,
     fill_defaults,
+    fitting,
+    fold_by_key,
     greater_than,
     key_counts,
     reduce_by_key,
@@ -47,6 +53,7 @@ from millrace.operators import (
     stamp,
     to_target,
     totals_by_key,
+    try_target,
     validate,
     watch,
     with_ones,
@@ -736,6 +743,124 @@ def batch_ingest_resumed(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def lineitem_exact_sums(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sums and means of doubles, the same to the last bit however the rows are dealt out."""
+    items = _table(spark, sf_dir, "lineitem")
+    scaled = items.withColumn("weighed", F.col("l_extendedprice") * F.col("l_quantity"))
+    return exact_sums(
+        scaled.repartition(7), ["l_suppkey"], {"total": "l_extendedprice", "weighed": "weighed"}, {"mean": "l_extendedprice"}
+    )
+
+
+def lineitem_fold(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A product modulo a prime, mixed bits and the first of the longest texts by key; a third of the rows has one key."""
+    items = _table(spark, sf_dir, "lineitem").select(
+        F.expr("if(l_orderkey % 3 = 0, -1, l_suppkey)").alias("key"),
+        (F.col("l_partkey") % 1000 + 1).alias("factor"),
+        F.concat_ws("-", "l_shipdate", "l_partkey").alias("text"),
+    )
+    longest = lambda a, b: F.when(
+        (F.length(a) > F.length(b)) | ((F.length(a) == F.length(b)) & (a < b)), a
+    ).otherwise(b)
+    folds = [
+        fold_by_key(items, ["key"], "factor", lambda a, b: (a * b) % F.lit(1_000_003), "product"),
+        fold_by_key(items, ["key"], "factor", lambda a, b: a.bitwiseXOR(b), "mixed"),
+        fold_by_key(items, ["key"], "text", longest, "longest"),
+    ]
+    return folds[0].join(folds[1], "key").join(folds[2], "key")
+
+
+def _ill_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders as text, as they come from a file, some cells of which are ill."""
+    return _table(spark, sf_dir, "orders").select(
+        F.col("o_orderkey").alias("line"),
+        F.expr("CASE o_orderkey % 11 WHEN 0 THEN o_orderkey || 'x' WHEN 1 THEN NULL WHEN 2 THEN '3000000000' "
+               "ELSE cast(o_orderkey AS string) END").alias("order_id"),
+        F.expr("CASE o_orderkey % 7 WHEN 0 THEN 'n/a' WHEN 1 THEN '' WHEN 2 THEN NULL "
+               "ELSE cast(cast(o_totalprice AS decimal(10,2)) AS string) END").alias("amount"),
+        F.expr("CASE o_orderkey % 5 WHEN 0 THEN '2024-13-45' ELSE cast(cast(o_orderdate AS date) AS string) END").alias("day"),
+    )
+
+
+_ILL_TARGET = T.StructType(
+    [
+        T.StructField("order_id", T.IntegerType(), False),
+        T.StructField("amount", T.DecimalType(10, 2)),
+        T.StructField("day", T.DateType()),
+    ]
+)
+
+
+def cast_failure_cases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every cell that does not fit its target, by row."""
+    tried = try_target(_ill_orders(spark, sf_dir), _ILL_TARGET, keep=["line"])
+    return cast_cases(tried, ["line"])
+
+
+def cast_failure_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cases per column and kind, and the rows that can be loaded."""
+    tried = try_target(_ill_orders(spark, sf_dir), _ILL_TARGET, keep=["line"])
+    good = fitting(tried).agg(F.count("*").alias("failures"))
+    rows = good.select(F.lit("all").alias("column"), F.lit("fits").alias("case"), "failures")
+    return cast_summary(tried).unionAll(rows)
+
+
+def order_key_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders whose keys have large gaps, read in ranges of nearly equal size."""
+    keys = _table(spark, sf_dir, "orders").select(
+        F.expr("if(o_orderstatus = 'F', o_orderkey * 1000, o_orderkey)").alias("key"), "o_totalprice"
+    )
+    predicates = sources.range_predicates("key", sources.equal_bounds(keys, "key", 8))
+    number = F.coalesce(*[F.when(F.expr(p), F.lit(i)) for i, p in enumerate(predicates)])
+    sizes = keys.groupBy(number.alias("range")).agg(F.count("*").alias("n"), F.sum(F.col("o_totalprice").cast(MONEY)).alias("price"))
+    return sizes.agg(
+        F.count("*").alias("ranges"),
+        F.sum("n").alias("row_count"),
+        F.sum("price").cast("double").alias("price"),
+        (F.max("n") <= F.min("n") * 1.1).alias("even"),
+    )
+
+
+def event_row_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events in micro-batches of a fifth of the rows at most, stopped after some and started again."""
+    out, checkpoint, spool = (scratch_path(spark, n) for n in ("topic", "offsets", "spool"))
+    events = _sensor_events(_table(spark, sf_dir, "events"))
+    most = -(-events.count() // 5)
+
+    def start(interval: str | None = None) -> streaming.Publication:
+        stream = sources.read_in_batches(events, spool, most)
+        return publish_events(stream, streaming.file_sink(out), checkpoint, interval)
+
+    first = start("0 seconds")
+    while first.query.isActive and streaming.last_batch(spark, checkpoint) < 1:
+        time.sleep(0.05)
+    first.stop()
+    before, after = first.await_batches(), start().await_batches()
+    sizes = [*before.values(), *after.values()]
+    found = streaming.decode_events(spark.read.text(out))
+    return found.agg(
+        F.count("*").alias("found"),
+        F.count_distinct("event_id").alias("distinct_ids"),
+        F.lit(sum(sizes)).cast("bigint").alias("published"),
+        F.lit(max(sizes) <= most).alias("bounded"),
+        F.lit(min(after, default=1 + max(before)) == max(before) + 1 and len(before) > 1).alias("resumed"),
+    )
+
+
+def landed_bytes_hashes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files with all the texts of a language, landed byte for byte in ranges; the digest of each range."""
+    source, root = scratch_path(spark, "source"), scratch_path(spark, "raw")
+    documents = _table(spark, sf_dir, "documents").select("lang", "doc_id", F.concat_ws("|", "doc_id", "text").alias("value"))
+    # The lines of a language in one file, in order; texts have line ends, quotes and characters of any kind.
+    by_language = documents.repartition("lang").sortWithinPartitions("lang", "doc_id").drop("doc_id")
+    by_language.write.mode("overwrite").partitionBy("lang").text(source)
+    sinks.land_bytes(spark, source, root, "texts", RUN_TS, range_bytes=50_000)
+    ranges = sinks.landed_bytes(spark, root, "texts")
+    ranges = ranges.withColumn("lang", F.regexp_extract("file", "/lang=([^/]*)/", 1))
+    broken = sinks.broken_ranges(ranges).count()
+    return ranges.select("lang", "number", "size", "sha256", F.lit(broken).cast("bigint").alias("broken"))
+
+
 _QUERIES: tuple[Query, ...] = (
     orders_customer_totals,
     lineitem_totals,
@@ -795,6 +920,13 @@ _QUERIES: tuple[Query, ...] = (
     event_ids_named,
     event_ids_stable,
     batch_ingest_resumed,
+    lineitem_exact_sums,
+    lineitem_fold,
+    cast_failure_cases,
+    cast_failure_summary,
+    order_key_ranges,
+    event_row_batches,
+    landed_bytes_hashes,
 )
 
 
@@ -855,6 +987,20 @@ _INGESTED = """
     )
 """
 
+_ILL_CASES = """
+    WITH ill AS (
+        SELECT o_orderkey AS line, o_orderkey % 11 AS k, o_orderkey % 7 AS a, o_orderkey % 5 AS d FROM orders
+    ), cases AS (
+        SELECT line, 'order_id' AS "column", CASE k WHEN 1 THEN 'missing' ELSE 'does_not_fit' END AS "case", 'int' AS target,
+               CASE k WHEN 0 THEN line || 'x' WHEN 2 THEN '3000000000' END AS value
+        FROM ill WHERE k IN (0, 1, 2)
+        UNION ALL
+        SELECT line, 'amount', 'does_not_fit', 'decimal(10,2)', CASE a WHEN 0 THEN 'n/a' ELSE '' END FROM ill WHERE a IN (0, 1)
+        UNION ALL
+        SELECT line, 'day', 'does_not_fit', 'date', '2024-13-45' FROM ill WHERE d = 0
+    )
+"""
+
 
 def _totals_sql(source: str, key: str, amount: str, counted: str) -> str:
     return f"""
@@ -1152,4 +1298,62 @@ def _library_sql() -> dict[str, str]:
                    (SELECT count(*) FROM orders) AS row_count
             FROM (VALUES ('land', 1), ('transform', 1), ('load', 2)) AS t(step, begun)
         """,
+        # Cents and quantities have few bits: as whole numbers of 2^-60 their sums are exact, and are rounded once.
+        "lineitem_exact_sums": """
+            WITH scaled AS (
+                SELECT l_suppkey, l_extendedprice AS a, l_extendedprice * l_quantity AS b FROM lineitem
+            ), whole AS (
+                SELECT l_suppkey, count(*) AS n,
+                       sum(CAST(a * 1152921504606846976 AS HUGEINT)) AS a, sum(CAST(b * 1152921504606846976 AS HUGEINT)) AS b
+                FROM scaled GROUP BY l_suppkey
+            ), rounded AS (
+                SELECT l_suppkey, n,
+                       (CAST(a // 1099511627776 AS DOUBLE) * 1099511627776 + CAST(a % 1099511627776 AS DOUBLE))
+                           / 1152921504606846976 AS total,
+                       (CAST(b // 1099511627776 AS DOUBLE) * 1099511627776 + CAST(b % 1099511627776 AS DOUBLE))
+                           / 1152921504606846976 AS weighed
+                FROM whole
+            )
+            SELECT l_suppkey, total, weighed, total / n AS mean FROM rounded
+        """,
+        "lineitem_fold": """
+            WITH items AS (
+                SELECT CASE WHEN l_orderkey % 3 = 0 THEN -1 ELSE l_suppkey END AS key,
+                       l_partkey % 1000 + 1 AS factor,
+                       strftime(l_shipdate, '%Y-%m-%d %H:%M:%S') || '-' || l_partkey AS text
+                FROM lineitem
+            )
+            SELECT key, list_reduce(list(factor), lambda a, b: (a * b) % 1000003) AS product,
+                   bit_xor(factor) AS mixed,
+                   list_reduce(list(text), lambda a, b:
+                       CASE WHEN len(a) > len(b) OR (len(a) = len(b) AND a < b) THEN a ELSE b END) AS longest
+            FROM items GROUP BY key
+        """,
+        "cast_failure_cases": _ILL_CASES + "SELECT * FROM cases",
+        "cast_failure_summary": _ILL_CASES
+        + """
+            SELECT "column", "case", count(*) AS failures FROM cases GROUP BY ALL
+            UNION ALL
+            SELECT 'all', 'fits', count(*) FROM orders WHERE o_orderkey NOT IN (SELECT line FROM cases)
+        """,
+        "order_key_ranges": """
+            SELECT CAST(8 AS BIGINT) AS ranges, count(*) AS row_count,
+                   CAST(sum(CAST(o_totalprice AS DECIMAL(12,2))) AS DOUBLE) AS price, true AS even
+            FROM orders
+        """,
+        "event_row_batches": """
+            SELECT count(*) AS found, count(DISTINCT event_id) AS distinct_ids, count(*) AS published, true AS bounded,
+                   true AS resumed
+            FROM events
+        """,
+        "landed_bytes_hashes": """
+            WITH files AS (
+                SELECT lang, encode(string_agg(doc_id || '|' || coalesce(text, ''), chr(10) ORDER BY doc_id) || chr(10)) AS body
+                FROM documents GROUP BY lang
+            ), ranges AS (
+                SELECT lang, number, array_slice(body, number * 50000 + 1, (number + 1) * 50000) AS part
+                FROM (SELECT lang, body, unnest(range((octet_length(body) + 49999) // 50000)) AS number FROM files)
+            )
+            SELECT lang, number, octet_length(part) AS size, sha256(part) AS sha256, CAST(0 AS BIGINT) AS broken FROM ranges
+        """,
     }

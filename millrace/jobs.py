@@ -26,7 +26,8 @@ def _orders(spark: SparkSession, args: argparse.Namespace) -> DataFrame:
     column, predicates = args.partition_column, None
     if args.even_partitions:
         predicates = sources.even_predicates(database.quoted(column), args.partitions)
-    return sources.read_jdbc(spark, database, args.source, column, args.partitions, predicates)
+    ranges = {"equal_ranges": True} if args.equal_ranges else {}
+    return sources.read_jdbc(spark, database, args.source, column, args.partitions, predicates, **ranges)
 
 
 def _target(args: argparse.Namespace, load: Callable[..., object]) -> Callable | str | None:
@@ -133,6 +134,7 @@ def parser() -> argparse.ArgumentParser:
     job.add_argument("--partition-column", default="order_id")
     job.add_argument("--partitions", type=int, default=64)
     job.add_argument("--even-partitions", action="store_true", help="for ids with large gaps")
+    job.add_argument("--equal-ranges", action="store_true", help="the same by ranges of an index")
     job.add_argument("--raw", required=True)
     job.add_argument("--processed", required=True)
     _add_target(job)

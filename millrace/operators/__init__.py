@@ -1,5 +1,7 @@
 from millrace.operators.aggregate import key_counts, reduce_by_key, totals_by_key
+from millrace.operators.casts import cast_cases, cast_summary, fitting, try_target
 from millrace.operators.dedupe import dedupe, dedupe_any
+from millrace.operators.fold import fold_by_key
 from millrace.operators.metrics import stage_row_counts
 from millrace.operators.project import (
     default_time,
@@ -23,6 +25,7 @@ from millrace.operators.quality import (
     validate,
     watch,
 )
+from millrace.operators.sums import exact_sums
 from millrace.operators.text import split_words, word_count, words
 
 __all__ = [
@@ -31,12 +34,17 @@ __all__ = [
     "ColumnRule",
     "ValidationError",
     "Violation",
+    "cast_cases",
+    "cast_summary",
     "dedupe",
     "dedupe_any",
     "default_time",
+    "exact_sums",
     "failure_cases",
     "failure_summary",
     "fill_defaults",
+    "fitting",
+    "fold_by_key",
     "greater_than",
     "key_counts",
     "reduce_by_key",
@@ -48,6 +56,7 @@ __all__ = [
     "stamp",
     "to_target",
     "totals_by_key",
+    "try_target",
     "validate",
     "watch",
     "with_ones",

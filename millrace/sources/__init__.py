@@ -4,6 +4,7 @@ from millrace.sources.files import (
     read_csv_by_name,
     read_event_files,
     read_finished_runs,
+    read_in_batches,
     read_json,
     read_parquet,
     read_published,
@@ -11,19 +12,29 @@ from millrace.sources.files import (
 )
 from millrace.sources.memory import from_lines, from_rows
 from millrace.sources.object_store import object_store_conf
-from millrace.sources.tables import JdbcDatabase, even_predicates, read_jdbc, read_table
+from millrace.sources.tables import (
+    JdbcDatabase,
+    equal_bounds,
+    even_predicates,
+    range_predicates,
+    read_jdbc,
+    read_table,
+)
 
 __all__ = [
     "JdbcDatabase",
     "csv_headers",
+    "equal_bounds",
     "even_predicates",
     "from_lines",
     "from_rows",
     "object_store_conf",
+    "range_predicates",
     "read_csv",
     "read_csv_by_name",
     "read_event_files",
     "read_finished_runs",
+    "read_in_batches",
     "read_jdbc",
     "read_json",
     "read_parquet",

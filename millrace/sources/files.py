@@ -159,6 +159,22 @@ def read_json(spark: SparkSession, path: str, schema: T.StructType | str) -> Dat
     return spark.read.schema(schema).option("mode", "FAILFAST").json(path)
 
 
+def read_in_batches(df: DataFrame, spool: str, rows: int) -> DataFrame:
+    """A stream of a frame's rows in micro-batches of at most ``rows``.
+
+    The rows are first written to the folder ``spool``, in files of at most that many, unless an earlier start has
+    finished that; each micro-batch then takes one file. The checkpoint says which files are done, so a
+    restart goes on with the next batch and a batch that runs again has the same rows. Spooling writes the data once more:
+    where batches may be bounded by files or bytes, ``read_event_files`` needs none of it.
+    """
+    if rows < 1:
+        raise ValueError("a batch has a row at least")
+    spark = df.sparkSession
+    if not storage.exists(spark, f"{spool.rstrip('/')}/_SUCCESS"):
+        df.write.mode("overwrite").option("maxRecordsPerFile", rows).parquet(spool)
+    return read_event_files(spark, storage.literal(spool), df.schema, max_files_per_trigger=1)
+
+
 def read_event_files(
     spark: SparkSession,
     path: str,

@@ -4,9 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
+from datetime import date, datetime
+from decimal import Decimal
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from millrace.functions import quoted
 from millrace.operators.project import select_columns
 
 
@@ -57,17 +60,25 @@ def read_jdbc(
     partition_column: str | None = None,
     num_partitions: int = 64,
     predicates: Sequence[str] | None = None,
+    equal_ranges: bool = False,
 ) -> DataFrame:
     """A table behind JDBC; filters and column choices made on it run in the database.
 
     ``partition_column`` (the primary key) splits the read into ``num_partitions`` ranges
     between its smallest and largest value, asked from the database as one row. Rows
     outside them and null keys belong to the first and last range, so none is lost. Where
-    the ids have large gaps, so that a few ranges would hold most rows, give ``predicates``
-    instead, one condition per task: ``even_predicates``, or others that cover every row once.
+    the ids have large gaps, so that a few ranges would hold most rows, ask for ``equal_ranges``: the
+    column alone is read once, for bounds between which lie equally many rows, and each task
+    then reads its range. Or give ``predicates``, one condition per task that together cover every row once.
     """
     options = database.scan_options()
     name, table = table, database.quoted_table(table)
+    if equal_ranges:
+        if partition_column is None or predicates is not None:
+            raise ValueError("equal ranges need a partition_column, and take no predicates")
+        keys = spark.read.format("jdbc").options(**options).option("query", keys_query(database, name, partition_column))
+        bounds = equal_bounds(keys.load(), "range_key", num_partitions)
+        predicates = range_predicates(database.quoted(partition_column), bounds)
     if predicates is not None:
         properties = {k: v for k, v in options.items() if k != "url"}
         return spark.read.jdbc(
@@ -105,6 +116,48 @@ def even_predicates(column: str, count: int) -> list[str]:
     return parts
 
 
+def equal_bounds(keys: DataFrame, column: str, count: int) -> list:
+    """Values of a column that cut its rows into ``count`` ranges of nearly equal size, in order, from one pass.
+
+    They come from a quantile sketch of bounded size, whose ranks are off by less than a fiftieth of a range, so
+    ranges of a key without repeats are within a tenth of each other. A value that many rows share is in one range; there are fewer
+    bounds then. Nulls do not count.
+    """
+    if count < 2:
+        return []
+    parts = [i / count for i in range(1, count)]
+    found = keys.agg(F.percentile_approx(quoted(column), parts, 50 * count).alias("q")).first()["q"]
+    return sorted(set(found or []))
+
+
+def _sql_value(value: object) -> str:
+    if isinstance(value, bool) or not isinstance(value, (int, float, Decimal, date, str)):
+        raise TypeError(f"{value!r} is no key to cut at")
+    if isinstance(value, datetime):
+        return f"TIMESTAMP '{value.isoformat(sep=' ')}'"
+    if isinstance(value, date):
+        return f"DATE '{value.isoformat()}'"
+    return "'" + value.replace("'", "''") + "'" if isinstance(value, str) else str(value)
+
+
+def range_predicates(column: str, bounds: Sequence[object]) -> list[str]:
+    """Conditions that put every row into one of the ranges between the bounds; nulls are in the first.
+
+    ``column`` stands in the SQL as it is given (``JdbcDatabase.quoted``). Where there is an index on it, the
+    database reads each range for itself.
+    """
+    if not bounds:
+        return ["1 = 1"]
+    values = [_sql_value(b) for b in bounds]
+    first = f"({column} < {values[0]} OR {column} IS NULL)"
+    between = [f"{column} >= {a} AND {column} < {b}" for a, b in zip(values, values[1:], strict=False)]
+    return [first, *between, f"{column} >= {values[-1]}"]
+
+
+def keys_query(database: JdbcDatabase, table: str, column: str) -> str:
+    return f"SELECT {database.quoted(column)} AS range_key FROM {database.quoted_table(table)}"
+
+
 def bounds_query(database: JdbcDatabase, table: str, column: str) -> str:
     name = database.quoted(column)
     return f"SELECT MIN({name}) AS lo, MAX({name}) AS hi FROM {database.quoted_table(table)}"

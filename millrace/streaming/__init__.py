@@ -5,6 +5,7 @@ from millrace.streaming.publish import (
     await_published,
     file_sink,
     kafka_sink,
+    last_batch,
     publish_batch,
     publish_stream,
 )
@@ -17,6 +18,7 @@ __all__ = [
     "encode_events",
     "file_sink",
     "kafka_sink",
+    "last_batch",
     "publish_batch",
     "publish_stream",
     "sensor_events",

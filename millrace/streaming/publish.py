@@ -56,7 +56,8 @@ class Publication:
     ) -> None:
         self.query = query
         self._session, self._checkpoint = spark, checkpoint
-        self._last, self._rows, self._missed = before, 0, False
+        self._last, self._missed = before, False
+        self._rows: dict[int, int] = {}
         self._lock = threading.Lock()
         self._poll_seconds = poll_seconds
         threading.Thread(target=self._watch, daemon=True).start()
@@ -72,18 +73,23 @@ class Publication:
                 if counted is None or progress.batchId <= self._last:
                     continue
                 self._missed |= progress.batchId != self._last + 1
-                self._last, self._rows = progress.batchId, self._rows + counted["rows"]
+                self._last = progress.batchId
+                self._rows[progress.batchId] = counted["rows"]
 
     def stop(self) -> None:
         self.query.stop()
 
     def await_published(self) -> int:
         """Waits for the query to end and returns how many messages it published."""
+        return sum(self.await_batches().values())
+
+    def await_batches(self) -> dict[int, int]:
+        """Waits for the query to end and returns how many messages each of its micro-batches published."""
         self.query.awaitTermination()
         self._gather()
         if self._missed or self._last < last_batch(self._session, self._checkpoint):
             raise RuntimeError("the progress of some micro-batches was missed")
-        return self._rows
+        return dict(self._rows)
 
 
 def last_batch(spark: SparkSession, checkpoint: str) -> int:

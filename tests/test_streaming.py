@@ -1,11 +1,12 @@
 import json
+import os
 
 import pytest
 from pyspark.sql import functions as F
 
 from millrace import jobs, schemas
 from millrace.plans import publish_events
-from millrace.sources import from_rows, read_event_files
+from millrace.sources import from_rows, read_event_files, read_in_batches
 from millrace.streaming import publish as publish_module
 from millrace.streaming import (
     await_published,
@@ -162,3 +163,37 @@ def test_topic_options():
     }
     with pytest.raises(ValueError):
         kafka_sink("b", "t", acks="2")
+
+
+def test_batches_of_a_number_of_rows(spark, folder):
+    """Stopped after some batches, the stream goes on with the next one."""
+    rows = events(spark, [(str(i), i, 1000, 1.0) for i in range(95)]).repartition(3)
+
+    def start(interval=None):
+        stream = read_in_batches(rows, f"{folder}/spool [1]", 10)
+        return publish_events(stream, file_sink(f"{folder}/out"), f"{folder}/checkpoint", interval)
+
+    first = start("0 seconds")
+    while publish_module.last_batch(spark, f"{folder}/checkpoint") < 3:
+        assert first.query.isActive
+    first.stop()
+    before = first.await_batches()
+    second = start()
+    after = second.await_batches()
+    assert len(before) >= 4 and len(after) >= 1 and min(after) == max(before) + 1
+    assert max([*before.values(), *after.values()]) <= 10
+    assert sum(before.values()) + sum(after.values()) == 95
+    published = decode_events(spark.read.text(f"{folder}/out"))
+    assert sorted(r["timestamp"] for r in published.collect()) == list(range(95))
+    assert start().await_batches() == {}
+    with pytest.raises(ValueError):
+        read_in_batches(rows, f"{folder}/spool", 0)
+
+
+def test_a_spool_that_was_cut_off_is_written_anew(spark, folder):
+    rows = events(spark, [(str(i), i, 1000, 1.0) for i in range(9)])
+    rows.limit(5).write.parquet(f"{folder}/spool")
+    (path,) = [f"{folder}/spool/{f}" for f in os.listdir(f"{folder}/spool") if f == "_SUCCESS"]
+    os.remove(path)
+    publication = publish_events(read_in_batches(rows, f"{folder}/spool", 4), file_sink(f"{folder}/out"), f"{folder}/c")
+    assert sum(publication.await_batches().values()) == 9
