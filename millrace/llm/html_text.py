@@ -44,6 +44,7 @@ _INLINE = _MATH | frozenset(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark nobr output q rp rt ruby s samp "
     "small span strike strong sub sup time tt u var wbr img picture map area embed input".split()
 )
+_WALLS = frozenset({"article", "main", "body"})
 _BESIDE = frozenset("nav footer aside form menu dialog fieldset search head option optgroup".split())
 _CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}}
 _CLOSES |= {"option": {"option"}, "optgroup": {"option", "optgroup"}}
@@ -127,6 +128,9 @@ def _junk(names: list[set[str]], inside: bool) -> int:
 def page_blocks(html: str) -> list[tuple[str, int]]:
     """The blocks of a page in order, white space made single, and what each is."""
     stack: list[tuple[str, bool, tuple[int, bool, int]]] = []  # element, whether it makes junk, state outside
+    opened: dict[str, list[int]] = {}  # where in the stack elements of a name are
+    walls: list[int] = []  # where those are that end tags of inline elements do not reach beyond
+    beside = 0  # how many make junk of what is beside the text
     blocks: list[tuple[str, int, int]] = []  # text, junk, part
     parts: list[tuple[str, bool]] = []  # article or main, junk
     pieces: list[str] = []
@@ -139,11 +143,24 @@ def page_blocks(html: str) -> list[tuple[str, int]]:
                 blocks.append((text, junk, part))
             pieces.clear()
 
+    def push(name: str, makes_junk: bool, outside: tuple[int, bool, int]) -> None:
+        nonlocal beside
+        opened.setdefault(name, []).append(len(stack))
+        if name in _WALLS:
+            walls.append(len(stack))
+        beside += makes_junk and name in _BESIDE
+        stack.append((name, makes_junk, outside))
+
     def pop(at: int) -> None:
-        nonlocal junk, muted, part
+        nonlocal junk, muted, part, beside
         if any(x[0] not in _INLINE for x in stack[at:]):
             flush()
         junk, muted, part = stack[at][2]
+        for name, makes_junk, _ in stack[at:]:
+            opened[name].pop()
+            beside -= makes_junk and name in _BESIDE
+        while walls and walls[-1] >= at:
+            walls.pop()
         del stack[at:]
 
     def say(text: str) -> None:
@@ -171,15 +188,14 @@ def page_blocks(html: str) -> list[tuple[str, int]]:
             continue
         name, attrs = m["name"].lower(), m["attrs"]
         if m["end"]:
-            for i in range(len(stack) - 1, -1, -1):
-                if stack[i][0] == name:
-                    pop(i)
-                    break
-                if stack[i][0] in ("article", "main", "body") and name in _INLINE:
-                    break
-            else:
-                if name not in _INLINE:
+            last = opened.get(name)
+            if name not in _INLINE:
+                if last:
+                    pop(last[-1])
+                else:
                     flush()
+            elif last and (not walls or last[-1] > walls[-1]):
+                pop(last[-1])
             continue
         if name in _VOID:
             if name not in _INLINE:
@@ -200,9 +216,9 @@ def page_blocks(html: str) -> list[tuple[str, int]]:
         if name in _INLINE:  # does not end the block; what it hides is left out of it
             # Code marks its comments by that name.
             odd = hidden or name in _ANNOTATION or _junk([n for n in names if n != {"comment"}], part >= 0) == _YES
-            if odd or any(x[0] == name for x in stack):
+            if odd or opened.get(name):
                 muted = muted or odd
-                stack.append((name, False, outside))
+                push(name, False, outside)
             continue
         flush()
         if stack and stack[-1][0] == "p":
@@ -214,14 +230,14 @@ def page_blocks(html: str) -> list[tuple[str, int]]:
         if is_part and part >= 0 and name == "article" and parts[part][0] == "article":
             junk = _YES  # an article in an article is a comment on it
         elif is_part:
-            beside = junk == _YES and any(x[1] and x[0] in _BESIDE for x in stack)
+            away = junk == _YES and beside > 0
             kind = "article" if name == "article" or any("article" in n for n in names) else "main"
-            parts.append((kind, beside or hidden or (kind == "article" and _junk(names, True) == _YES)))
+            parts.append((kind, away or hidden or (kind == "article" and _junk(names, True) == _YES)))
             part, junk = len(parts) - 1, _NO
         elif name not in ("html", "body"):
             odd = hidden or name in _BESIDE or (name == "header" and part < 0)
             junk = _YES if odd else max(junk, _junk(names, part >= 0))
-        stack.append((name, junk == _YES and outside[0] != _YES, outside))
+        push(name, junk == _YES and outside[0] != _YES, outside)
     say(html[at:].split("<!--", 1)[0])
     flush()
 

@@ -114,6 +114,44 @@ def test_broken_markup_takes_linear_time():
         assert time.perf_counter() - start < 10, piece
 
 
+@pytest.mark.parametrize(
+    "opening, closing",
+    [
+        ("<div>", "</p>"),
+        ("<div>", "</section>"),
+        ("<span hidden>", "</em>"),
+        ("<article>", "</article>"),
+        ("<nav><div>", "<article>x</article>"),
+        ("<b>", "<i></b>"),
+        ("<li><ul>", "</ol>"),
+    ],
+)
+def test_deep_markup_takes_linear_time(opening, closing):
+    start = time.perf_counter()
+    page_blocks(f"<b><article>text{opening * 100_000}more{closing * 100_000}")
+    assert time.perf_counter() - start < 5
+
+
+def test_end_tags_close_what_they_name():
+    """An end tag without a start closes nothing; one of an inline element does not reach beyond its article."""
+    page = "<div>one</section><em>two</b> three</em></div><b><article><p>four</b> five</p></article></b>"
+    assert [t for t, kind in page_blocks(page) if kind != JUNK] == ["four five"]
+    assert page_blocks("<div>a<section>b<div>c</section>d</div>e") == [(t, OPEN) for t in "abcde"]
+
+
+def test_clashing_columns_and_long_pages(corpus):
+    """Names that the operator uses inside, a long and a deep page, repeated rows and nulls."""
+    long = "<article>" + "".join(f"<p>line {i} of a long page</p>" for i in range(30_000)) + "</article>"
+    deep = "<div>" * 50_000 + "text of a deep page" + "</div>" * 50_000
+    rows = [(1, "http://h/1", long), (2, "http://h/2", deep), (2, "http://h/2", deep), (None, None, None), (3, None, "")]
+    clash = {n: "x" for n in ("page", "host", "key", "owner", "digest", "gone", "block", "place", "places", "size", "text", "n", "salt", "pages")}
+    schema = "page_id long, url string, html string, " + ", ".join(f"`{c}` string" for c in clash)
+    pages = corpus.createDataFrame([(*r, *clash.values()) for r in rows], schema)
+    found = sorted((repr(r["page_id"]), r["n_chars"], r["text"][:9]) for r in main_text(pages).collect())
+    n_long = sum(len(f"line {i} of a long page") + 1 for i in range(30_000)) - 1
+    assert found == sorted([("1", n_long, "line 0 of"), *[("2", 19, "text of a")] * 2, ("None", 0, ""), ("3", 0, "")])
+
+
 def test_given_pages(corpus):
     pages = corpus.read.parquet(f"{SF_DIR}/pages.parquet")
     found = {r["page_id"]: r for r in main_text(pages).collect()}
