@@ -25,7 +25,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
 from millrace.functions import quoted
-from millrace.llm.shared import stored
+from millrace.llm.shared import added_up, stored
 from millrace.llm.tokens import Words, mix, words
 
 GROUPS, PER_GROUP = 8, 16
@@ -211,7 +211,8 @@ class Sums:
 
     def __init__(self) -> None:
         widths = (GROUPS, PER_GROUP)
-        tables = lambda sizes: [[np.zeros((n, w), dtype=np.float32) for n, w in zip(sizes, widths, strict=True)] for _ in range(2)]
+        # Single floats would stop at 2 ** 24, which a word that a task repeats can reach.
+        tables = lambda sizes: [[np.zeros((n, w), dtype=np.float64) for n, w in zip(sizes, widths, strict=True)] for _ in range(2)]
         self.seen_words, self.expected_words = tables((ROWS, ROWS))
         self.seen_pairs, self.expected_pairs = tables((_CLASSES**2, _CLASSES**2 * GROUPS))
 
@@ -221,7 +222,7 @@ class Sums:
         for level, choice in enumerate((classes // PER_GROUP, classes % PER_GROUP)):
             pair, word = history.level(level)
             for total, rows in ((self.seen_pairs[level], pair), (self.seen_words[level], word)):
-                np.add.at(total.reshape(-1), rows * total.shape[1] + choice, np.float32(1))
+                np.add.at(total.reshape(-1), rows * total.shape[1] + choice, 1.0)
             if scorer is not None:
                 p = scorer.softmax(level, history)
                 _sum_rows(self.expected_pairs[level], pair, p)
@@ -241,7 +242,8 @@ class Sums:
     def packed(self) -> list[bytes]:
         size, parts = ROWS // _BLOCKS, self.tables()
         return [
-            zstandard.compress(b"".join(x[i * size : (i + 1) * size].tobytes() for x in parts), 1) for i in range(_BLOCKS)
+            zstandard.compress(b"".join(x[i * size : (i + 1) * size].astype(np.float32).tobytes() for x in parts), 1)
+            for i in range(_BLOCKS)
         ]
 
 
@@ -289,9 +291,9 @@ def _gather(texts: DataFrame, vocabulary: Vocabulary, end_class: int, weights: l
                 sums.add(t, frequent, end_class, scorer)
                 some = True
         if some:
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(range(_BLOCKS), pa.int32()), pa.array(sums.packed(), pa.binary())], names=["block", "packed"]
-            )
+            task = pa.array([TaskContext.get().partitionId()] * _BLOCKS, pa.int32())
+            columns = [pa.array(range(_BLOCKS), pa.int32()), task, pa.array(sums.packed(), pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, names=["block", "task", "packed"])
 
     def add(table: pa.Table) -> pa.Table:
         total = None
@@ -299,10 +301,12 @@ def _gather(texts: DataFrame, vocabulary: Vocabulary, end_class: int, weights: l
             parts = [x.astype(np.float64) for x in _unpacked(body)]
             total = parts if total is None else [a + b for a, b in zip(total, parts, strict=True)]
         raw = b"".join(x.astype(np.float32).tobytes() for x in total)
-        return pa.table({"block": table["block"][:1], "packed": pa.array([zstandard.compress(raw, 1)], pa.binary())})
+        packed = pa.array([zstandard.compress(raw, 1)], pa.binary())
+        return pa.table({"block": table["block"][:1], "task": table["task"][:1], "packed": packed})
 
-    schema = "block int, packed binary"
-    found = texts.mapInArrow(run, schema).groupBy("block").applyInArrow(add, schema).toArrow().sort_by("block")
+    schema = "block int, task int, packed binary"
+    found = added_up(texts.mapInArrow(run, schema), ["block"], add, schema, texts.rdd.getNumPartitions())
+    found = found.toArrow().sort_by("block")
     blocks = [_unpacked(b) for b in found["packed"].to_pylist()]
     if not blocks:
         return [np.zeros((ROWS, w), np.float32) for w in (GROUPS, PER_GROUP, GROUPS, PER_GROUP)]

@@ -5,7 +5,9 @@ from __future__ import annotations
 import io
 import os
 import zipfile
+from collections.abc import Callable, Sequence
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 import millrace
@@ -49,6 +51,25 @@ def ship(spark: SparkSession) -> None:
     _SHIPPED.add(app)
 
 
+#: Rows that are added up at a time are at most two to this power.
+_STEP_BITS = 5
+
+
+def added_up(
+    rows: DataFrame, keys: Sequence[str], add: Callable[[pa.Table], pa.Table], schema: str, tasks: int
+) -> DataFrame:
+    """One row per key from rows that ``tasks`` tasks have given, one a key each, with their numbers as ``task``.
+
+    ``add`` makes one row of the rows of a key, its ``task`` that of any of them. Rows of 32 neighbouring tasks are added up
+    first, then those of 32 such groups, and so on, so that what meets in a group does not grow with the number of tasks.
+    """
+    left = -(-tasks >> _STEP_BITS)
+    while left > 1:
+        rows = rows.withColumn("task", F.shiftright("task", _STEP_BITS)).groupBy(*keys, "task").applyInArrow(add, schema)
+        left = -(-left >> _STEP_BITS)
+    return rows.groupBy(*keys).applyInArrow(add, schema)
+
+
 def fold(key: Column, folds: int) -> Column:
     """The CRC-32 of the id as text, modulo ``folds``. Null ids are in fold 0."""
     return F.coalesce(F.pmod(F.crc32(key.cast("string").cast("binary")), F.lit(folds)), F.lit(0)).cast("int")

@@ -1,0 +1,267 @@
+"""The scores of the language model and of toxicity against versions that go token by token.
+
+They share only the hashes by which words and features are named.
+"""
+
+import math
+from collections import Counter, defaultdict
+
+import numpy as np
+import pyarrow as pa
+import pytest
+from pyspark.sql import functions as F
+
+from millrace.llm import maxent, toxicity as toxic_module
+from millrace.llm.maxent import score_texts
+from millrace.llm.shared import added_up
+from millrace.llm.tokens import ALNUM, mix, words
+from millrace.llm.toxicity import learn, toxicity
+
+MASK = maxent.ROWS - 1
+one = lambda x: int(mix(np.array([x % 2**64], dtype=np.uint64))[0])
+END = int(maxent._END)
+
+
+def text_tokens(text):
+    """(hash, ending) of the words, then of the end."""
+    body = (text or "").encode()
+    out = []
+    for w in words(pa.array([body], pa.binary()), lower=True):
+        for h, a, b in zip(w.hashes.tolist(), w.starts.tolist(), w.ends.tolist(), strict=True):
+            last, second = int(w.data[b - 1]), int(w.data[b - 2]) if b - a > 1 else 0
+            out.append((h, one(256 * last + second) % maxent.ENDINGS))
+    return [*out, (END, 0)]
+
+
+class PlainModel:
+    def __init__(self, training, rounds, share_of, rate=0.5):
+        self.counts = Counter(h for t in training for h, _ in text_tokens(t))
+        signed = lambda h: h - 2**64 if h >= 2**63 else h
+        top = sorted((h for h in self.counts if h != END), key=lambda h: (-self.counts[h], signed(h)))
+        self.classes = {h: i for i, h in enumerate([END, *top[: maxent.FREQUENT - 1]])}
+        endings = {h: e for t in training for h, e in text_tokens(t)}
+        self.totals, self.distinct = Counter(), Counter()
+        for h, n in self.counts.items():
+            if h not in self.classes:
+                self.totals[endings[h]] += n
+                self.distinct[endings[h]] += 1
+        self.weights = None
+        seen, _ = self.sums(training)
+        self.weights = [self.start(level, table) for level, table in enumerate(seen)]
+        for k in range(rounds):
+            seen, expected = self.sums([t for t in training if share_of(t) == k])
+            for w, s, e in zip(self.weights, seen, expected, strict=True):
+                w += rate * (s - e) / (np.maximum(s, e) + 2.0)
+
+    @staticmethod
+    def start(level, counts, smooth=8.0, share=0.5):
+        overall = counts.sum(axis=0) + 1e-3
+        overall /= overall.sum()
+        n = counts.sum(axis=1, keepdims=True)
+        return share * (np.log((counts + smooth * overall) / (n + smooth)) - np.log(overall))
+
+    def class_of(self, token):
+        return self.classes.get(token[0], maxent.FREQUENT + token[1])
+
+    def steps(self, text):
+        """For each token its class and the rows of its features, for both choices."""
+        tokens = text_tokens(text)
+        before, skip, word = self.classes[END], self.classes[END], END
+        for token in tokens:
+            c = self.class_of(token)
+            group = c // maxent.PER_GROUP
+            pair = before * maxent._CLASSES + skip
+            named = [one(0), one(skip + (1 << 32)), one(pair + (1 << 40))]
+            row = one(word) & MASK
+            first = [*(x & MASK for x in named), row]
+            salt = one(group + 7)
+            second = [*(one(x ^ salt) & MASK for x in named), one(row * maxent.GROUPS + group + (1 << 48)) & MASK]
+            yield token, c, (first, second)
+            before, skip, word = c, before, token[0]
+
+    def chances(self, level, rows):
+        scores = sum(self.weights[level][r] for r in rows)
+        p = np.exp(scores - scores.max())
+        return p / p.sum()
+
+    def sums(self, texts):
+        sizes = (maxent.GROUPS, maxent.PER_GROUP)
+        seen, expected = ([np.zeros((maxent.ROWS, n)) for n in sizes] for _ in range(2))
+        for text in texts:
+            for _, c, rows in self.steps(text):
+                for level, choice in enumerate((c // maxent.PER_GROUP, c % maxent.PER_GROUP)):
+                    p = None if self.weights is None else self.chances(level, rows[level])
+                    for r in rows[level]:
+                        seen[level][r, choice] += 1
+                        if p is not None:
+                            expected[level][r] += p
+        return seen, expected
+
+    def score(self, text):
+        total = 0.0
+        for (h, ending), c, rows in self.steps(text):
+            p = self.chances(0, rows[0])[c // maxent.PER_GROUP] * self.chances(1, rows[1])[c % maxent.PER_GROUP]
+            total += math.log10(p)
+            if h not in self.classes:
+                norm = self.totals[ending] + 0.1 * (self.distinct[ending] + 1)
+                total += math.log10((self.counts[h] + 0.1) / norm)
+        return total
+
+
+@pytest.mark.parametrize("rounds", [1, 2])
+def test_model_scores_are_those_of_a_plain_version(corpus, rounds):
+    rng = np.random.default_rng(8)
+    vocabulary = [f"w{i}{'abcdefg'[i % 7]}" for i in range(120)]
+    texts = [" ".join(rng.choice(vocabulary, p=(w := 1 / np.arange(1, 121)) / w.sum(), size=n)) for n in rng.integers(0, 40, 60)]
+    docs = corpus.createDataFrame(list(enumerate([*texts, "never seen WORDS w1b", "", None])), "doc_id long, text string")
+    training = docs.filter("doc_id < 50").repartition(3)
+    body = F.col("text").cast("binary")
+    share = {r[0]: r[1] for r in training.select("text", F.pmod(F.xxhash64(body, F.lit(7)), F.lit(rounds))).collect()}
+    model = PlainModel([texts[i] for i in range(50)], rounds, share.__getitem__)
+    found = {r["doc_id"]: r["score"] for r in score_texts(docs, training, head_words=40, rounds=rounds).collect()}
+    for i, text in enumerate([*texts, "never seen WORDS w1b", "", None]):
+        assert found[i] == pytest.approx(model.score(text), rel=2e-4, abs=1e-3)
+
+
+def word_features(text):
+    """For each word the buckets of its prefixes and of itself, None where it is too short."""
+    out = []
+    for w in words(pa.array([(text or "").encode()], pa.binary()), ALNUM, lower=True):
+        features, has = toxic_module._features(w, 1 << 21)
+        out += [[int(f) if h else None for f, h in zip(column, held, strict=True)] for column, held in zip(features.T, has.T, strict=True)]
+    return out
+
+
+class PlainToxicity:
+    STRENGTH, CAUTION, DRIFT = 5.0, 1.5, 0.8
+
+    def __init__(self, labelled):
+        self.counts = defaultdict(lambda: [0, 0])
+        for text, toxic in labelled:
+            for bucket in {(level, b) for f in word_features(text) for level, b in enumerate(f) if b is not None}:
+                self.counts[bucket[1]][0 if toxic else 1] += 1
+        self.base = sum(bool(t) for _, t in labelled) / len(labelled)
+        clean = [t for t, toxic in labelled if not toxic]
+        edges = np.linspace(-4, 6, 1001)
+        bins = Counter()
+        for text in clean:
+            for s in self.word_scores(text, False):
+                bins[int(np.searchsorted(edges, s))] += 1
+        middle = lambda i: edges[0] if i == 0 else edges[-1] if i == len(edges) else (edges[i - 1] + edges[i]) / 2
+        values = [(middle(i), n) for i, n in bins.items()]
+        self.decay, self.log_k = 1.0, 0.0
+        if sum(v * n for v, n in values) < 0 and any(v > 0 for v, _ in values):
+            mean = lambda x: sum(n * math.exp(x * v) for v, n in values) / sum(bins.values())
+            low, high = 1e-3, 64.0
+            for _ in range(100):
+                x = (low + high) / 2
+                low, high = (x, high) if mean(x) < 1 else (low, x)
+            self.decay = low
+        best = [b for t in clean if (b := self.summary(t, False)[0]) > -10]
+        if best:
+            self.log_k = min(5.0, max(-20.0, sum(best) / len(best) - np.euler_gamma))
+        design = np.array([self.design(self.summary(t, bool(toxic))) for t, toxic in labelled])
+        y = np.array([float(bool(toxic)) for _, toxic in labelled])
+        self.curve = np.zeros(5)
+        for _ in range(200):
+            p = 1 / (1 + np.exp(-design @ self.curve))
+            gradient = design.T @ (y - p) - 1e-2 * self.curve
+            bend = sum(q * (1 - q) * np.outer(x, x) for x, q in zip(design, p, strict=True)) + 1e-2 * np.eye(5)
+            self.curve += np.linalg.solve(bend, gradient)
+
+    def word_scores(self, text, own=None):
+        out = []
+        for features in word_features(text):
+            def held(level):
+                bad, good = self.counts[features[level]] if features[level] is not None else (0, 0)
+                return (bad - (own is True), good - (own is False))
+
+            share, last = self.base, len(features) - 1
+            for level in range(last):
+                if features[level] is None:
+                    continue
+                bad, good = held(level)
+                if features[level + 1] is not None:
+                    bad, good = bad - held(level + 1)[0], good - held(level + 1)[1]
+                bad, good = max(bad, 0), max(good, 0)
+                share = (bad + self.STRENGTH * share) / (bad + good + self.STRENGTH)
+            bad, good = (max(x, 0) for x in held(last))
+            bad, good = bad + self.STRENGTH * share, good + self.STRENGTH * (1 - share)
+            odds = math.log(bad / good) - math.log(self.base / (1 - self.base))
+            out.append(min(6, max(-3, odds - self.CAUTION * math.sqrt(1 / bad + 1 / good))) - self.DRIFT)
+        return out
+
+    def segments(self, scores):
+        """The best segment, then those to its left and right."""
+        if not any(s > 0 for s in scores):
+            return []
+        best, at, low, start = (0.0, 0, 0), 0.0, 0.0, 0
+        for i, s in enumerate(scores):
+            at += s
+            if at - low > best[0] + 1e-12:
+                best = (at - low, start, i + 1)
+            if at < low:
+                low, start = at, i + 1
+        total, a, b = best
+        return [*self.segments(scores[:a]), total, *self.segments(scores[b:])]
+
+    def summary(self, text, own=None):
+        scores = self.word_scores(text, own)
+        found = self.segments(scores)
+        if not found:
+            return -10.0, 0.0, 0.0
+        normal = [self.decay * s - self.log_k - math.log(len(scores)) for s in found]
+        good = [x for x in normal if x > 0]
+        return max(max(normal), -10.0), math.log1p(sum(good)), math.log1p(len(good))
+
+    @staticmethod
+    def design(x):
+        return [1.0, min(x[0], 0.0), min(max(x[0], 0.0), 40.0), x[1], x[2]]
+
+    def score(self, text):
+        return 1 / (1 + math.exp(-float(np.dot(self.design(self.summary(text)), self.curve))))
+
+
+def test_toxicity_scores_are_those_of_a_plain_version(corpus):
+    rng = np.random.default_rng(9)
+    plain = [f"ordinary{i}" if i % 3 else f"day{i}" for i in range(60)]
+    bad = ["nastiness", "nastily", "vileword", "vilest", "hateful"]
+    texts = []
+    for i in range(160):
+        body = list(rng.choice(plain, size=int(rng.integers(3, 30))))
+        if i % 4 == 0:
+            at = int(rng.integers(0, len(body)))
+            body[at:at] = list(rng.choice(bad, size=int(rng.integers(1, 4))))
+        texts.append((i, " ".join(body), int(i % 4 == 0)))
+    rows = corpus.createDataFrame(texts, "doc_id long, text string, toxic int").repartition(3)
+    model = learn(rows.filter("doc_id < 120"), row_id="doc_id")
+    expected = PlainToxicity([(t, y) for i, t, y in texts if i < 120])
+    assert model.decay == pytest.approx(expected.decay, rel=1e-4) and model.log_k == pytest.approx(expected.log_k, abs=1e-3)
+    more = corpus.createDataFrame([(900, ""), (901, None), (902, "nasti vile")], "doc_id long, text string")
+    found = {r["doc_id"]: r["score"] for r in toxicity(rows.select("doc_id", "text").unionAll(more), model).collect()}
+    for i, text in [(i, t) for i, t, _ in texts] + [(900, ""), (901, None), (902, "nasti vile")]:
+        assert found[i] == pytest.approx(expected.score(text), rel=1e-3, abs=1e-4)
+
+
+@pytest.mark.parametrize("tasks", [1, 31, 33, 500, 1100])
+def test_groups_do_not_grow_with_the_number_of_tasks(corpus, tasks):
+    """No group has more than 32 rows, and nothing is lost."""
+    rows = corpus.range(tasks * 3).selectExpr("cast(id % 3 as int) AS block", "cast(id div 3 as int) AS task", "id AS n")
+
+    def add(table):
+        if table.num_rows > 32:
+            raise AssertionError(f"{table.num_rows} rows in a group")
+        n = sum(table["n"].to_pylist())
+        return pa.table({"block": table["block"][:1], "task": table["task"][:1], "n": [n]})
+
+    found = added_up(rows, ["block"], add, "block int, task int, n long", tasks).collect()
+    assert {r["block"]: r["n"] for r in found} == {b: sum(range(b, tasks * 3, 3)) for b in range(3)}
+
+
+def test_a_word_that_comes_very_often_is_counted_to_the_last():
+    """Counts go beyond what a single float can count one by one."""
+    sums = maxent.Sums()
+    table = sums.seen_words[0]
+    table[5, 0] = 2.0**24
+    np.add.at(table.reshape(-1), np.full(1000, 5 * table.shape[1]), 1.0)
+    assert table[5, 0] == 2**24 + 1000 and table.dtype == np.float64
