@@ -23,10 +23,11 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import zstandard
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
 from millrace.functions import quoted
-from millrace.llm.shared import stored
+from millrace.llm.shared import added_up, stored
 from millrace.llm.tokens import ALNUM, Words, mix, words
 
 #: Lengths in bytes of the prefixes a word takes after; after these comes the word itself.
@@ -183,7 +184,8 @@ def learn(
     sample_seed: int = 42,
     row_id: str | None = None,
 ) -> Model:
-    """A model from labelled texts. Rows of a null label are left out.
+    """A model from labelled texts. Rows of a null label are left out; rows that repeat, such as those of a text that is
+    labelled twice, count each.
 
     Counts and the law cover all rows; ``buckets`` bounds what comes to the driver (8 bytes each). The
     curve is fitted on ``sample_rows`` rows at most. They are drawn by a hash of ``row_id``, a column of
@@ -208,26 +210,26 @@ def learn(
         if not seen.any():
             return
         size = buckets // _BLOCKS
-        bodies = [zstandard.compress(counts[i * size : (i + 1) * size].tobytes(), 1) for i in range(_BLOCKS)]
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(range(_BLOCKS), pa.int32()), pa.array(bodies, pa.binary()), pa.array([seen.tolist()] * _BLOCKS)],
-            names=["block", "packed", "seen"],
-        )
+        bodies = [zstandard.compress(counts[i * size : (i + 1) * size].astype(np.int64).tobytes(), 1) for i in range(_BLOCKS)]
+        task = pa.array([TaskContext.get().partitionId()] * _BLOCKS, pa.int32())
+        columns = [pa.array(range(_BLOCKS), pa.int32()), task, pa.array(bodies, pa.binary()), pa.array([seen.tolist()] * _BLOCKS)]
+        yield pa.RecordBatch.from_arrays(columns, names=["block", "task", "packed", "seen"])
 
     def add(table: pa.Table) -> pa.Table:
         total: np.ndarray | int = 0
         for body in table["packed"].to_pylist():
-            total = total + np.frombuffer(zstandard.decompress(body), dtype=np.int32)
+            total = total + np.frombuffer(zstandard.decompress(body), dtype=np.int64)
         seen = np.array(table["seen"].to_pylist(), dtype=np.int64).sum(axis=0).tolist()
-        packed = zstandard.compress(np.asarray(total, dtype=np.int32).tobytes(), 1)
-        return pa.table({"block": table["block"][:1], "packed": pa.array([packed], pa.binary()), "seen": pa.array([seen])})
+        packed = pa.array([zstandard.compress(np.asarray(total, dtype=np.int64).tobytes(), 1)], pa.binary())
+        return pa.table({"block": table["block"][:1], "task": table["task"][:1], "packed": packed, "seen": pa.array([seen])})
 
-    schema = "block int, packed binary, seen array<long>"
-    blocks = rows.mapInArrow(count, schema).groupBy("block").applyInArrow(add, schema).toArrow().sort_by("block")
+    schema = "block int, task int, packed binary, seen array<long>"
+    blocks = added_up(rows.mapInArrow(count, schema), ["block"], add, schema, rows.rdd.getNumPartitions())
+    blocks = blocks.toArrow().sort_by("block")
     counts = np.zeros((buckets, 2), dtype=np.float32)
     size, seen = buckets // _BLOCKS, [0, 0]
     for i, body in enumerate(blocks["packed"].to_pylist()):
-        counts[i * size : (i + 1) * size] = np.frombuffer(zstandard.decompress(body), dtype=np.int32).reshape(-1, 2)
+        counts[i * size : (i + 1) * size] = np.frombuffer(zstandard.decompress(body), dtype=np.int64).reshape(-1, 2)
         seen = blocks["seen"][0].as_py()
     base = seen[0] / sum(seen) if sum(seen) else 0.0
     model = Model(counts, base, strength, caution, drift, 1.0, 0.0, np.zeros(5))
