@@ -83,6 +83,8 @@ def csv_etl(spark: SparkSession, args: argparse.Namespace) -> None:
         infer_types=args.infer_types,
         multi_line=args.multi_line,
         mixed_headers=args.mixed_headers,
+        journal=args.journal,
+        source_version=args.source_version,
     )
     print(f"landed {result.raw_path}, transformed {result.transformed_path}")
 
@@ -117,6 +119,11 @@ def _add_target(job: argparse.ArgumentParser) -> None:
     job.add_argument("--db-option", action="append", default=[], metavar="KEY=VALUE")
 
 
+def _add_journal(job: argparse.ArgumentParser) -> None:
+    job.add_argument("--journal", help="folder that remembers finished steps, to go on after a failure")
+    job.add_argument("--source-version", help="what this state of the source is called, such as a date")
+
+
 def parser() -> argparse.ArgumentParser:
     root = argparse.ArgumentParser(prog="millrace")
     jobs = root.add_subparsers(dest="job", required=True)
@@ -139,8 +146,7 @@ def parser() -> argparse.ArgumentParser:
     job.add_argument("--processed", required=True)
     _add_target(job)
     job.add_argument("--landing", choices=("csv", "parquet"), default="csv")
-    job.add_argument("--journal", help="folder that remembers finished steps, to go on after a failure")
-    job.add_argument("--source-version", help="what this state of the source is called, such as a date")
+    _add_journal(job)
     job.set_defaults(run=batch_ingest)
 
     job = jobs.add_parser("csv-etl", help="CSV files to landing, cleaned CSV and table")
@@ -155,6 +161,7 @@ def parser() -> argparse.ArgumentParser:
     job.add_argument("--multi-line", action="store_true", help="cells may hold line breaks")
     job.add_argument("--this-run-only", action="store_true", help="leave out older landings")
     job.add_argument("--mixed-headers", action="store_true", help="files may differ in their columns")
+    _add_journal(job)
     job.set_defaults(run=csv_etl)
 
     job = jobs.add_parser("publish-events", help="event files to a topic")

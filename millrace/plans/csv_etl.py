@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, types as T
 
 from millrace import ledger
 from millrace.functions import session_time
+from millrace.journal import Journal, no_journal
 from millrace.operators.project import rename, require_not_null
 from millrace.sinks.files import land_raw_csv, write_run_csv
 from millrace.sinks.tables import replace_table
@@ -42,6 +43,8 @@ def run_csv_etl(
     infer_types: bool = False,
     multi_line: bool = False,
     mixed_headers: bool = False,
+    journal: str | None = None,
+    source_version: str | None = None,
 ) -> CsvEtlResult:
     """Land the files of ``source``, clean what has been landed, and load the result.
 
@@ -53,23 +56,45 @@ def run_csv_etl(
     ``infer_types`` at the price of one more scan. ``load`` is the name of a catalog table, or a
     function that takes the frame as read from its files, such as one that calls
     ``replace_jdbc_table``. Paths are handed on as values and whole folders are read.
+
+    ``journal`` is a folder that remembers finished steps: a flow that failed is started again with the same ``journal``
+    and ``source_version`` (what the caller calls this state of the files) and goes on behind the last finished step.
     """
     if isinstance(load, str) and table_location is None:
         raise ValueError("a catalog table needs a table_location for its files")
-    run_ts = session_time(spark, run_ts or datetime.now(timezone.utc))
-    landed = land_raw_csv(spark, source, raw_root, name, run_ts, multi_line, mixed_headers)
-    if this_run_only:
-        runs = [r for r in ledger.finished_runs(spark, raw_root, name) if r.path == landed]
-        raw = read_runs(spark, runs, multi_line, True, mixed_headers)
-    else:
-        raw = read_finished_runs(spark, raw_root, name, multi_line, True, mixed_headers)
-    transformed = write_run_csv(
-        clean_csv(raw, names or {}, not_null), transformed_root, f"{name}_transformed", run_ts
-    )
-    if load is not None:
+    if journal is not None and source_version is None:
+        raise ValueError("a journal needs a source_version that tells one state of the source from another")
+    step = no_journal if journal is None else Journal(spark, journal).step
+    now = session_time(spark, run_ts or datetime.now(timezone.utc))
+    begun = step("begin", {"source": source_version, "name": name}, lambda: {"run_ts": now.isoformat()})["run_ts"]
+    run_ts = datetime.fromisoformat(begun)
+    landed = step(
+        "land",
+        {"source": source_version, "run_ts": begun},
+        lambda: {"path": land_raw_csv(spark, source, raw_root, name, run_ts, multi_line, mixed_headers)},
+        ["path"],
+    )["path"]
+
+    def transform() -> dict:
+        if this_run_only:
+            runs = [r for r in ledger.finished_runs(spark, raw_root, name) if r.path == landed]
+            raw = read_runs(spark, runs, multi_line, True, mixed_headers)
+        else:
+            raw = read_finished_runs(spark, raw_root, name, multi_line, True, mixed_headers)
+        cleaned = clean_csv(raw, names or {}, not_null)
+        return {"path": write_run_csv(cleaned, transformed_root, f"{name}_transformed", run_ts)}
+
+    transformed = step("transform", {"landed": landed, "run_ts": begun}, transform, ["path"])["path"]
+
+    def load_all() -> dict:
         frame = read_csv(spark, transformed, schema, infer_types, multi_line)
         if callable(load):
             load(frame)
         else:
             replace_table(frame, load, table_location)
+        return {}
+
+    if load is not None:
+        target = load if isinstance(load, str) else getattr(load, "__qualname__", "function")
+        step("load", {"transformed": transformed, "target": target}, load_all)
     return CsvEtlResult(landed, transformed)

@@ -40,14 +40,19 @@ def by_size(df: DataFrame, *columns: str) -> DataFrame:
     return df.hint("rebalance", *columns)
 
 
-def _analyzed(df: DataFrame) -> str:
-    return df._jdf.queryExecution().analyzed().toString()
+def _plan_nodes(df: DataFrame) -> list[str]:
+    """What the steps of the frame's plan are called, the last step first."""
+    left, names = [df._jdf.queryExecution().analyzed()], []
+    while left:
+        node = left.pop()
+        names.append(node.nodeName())
+        left += [node.children().apply(i) for i in range(node.children().size())]
+    return names
 
 
 def _dealt_by_size(df: DataFrame) -> bool:
-    """Whether the plan is ``by_size``, or counts on top of it."""
-    nodes = [line.strip(" +-:").split(" ")[0] for line in _analyzed(df).splitlines()]
-    return [n for n in nodes if n != "CollectMetrics"][:1] == ["RebalancePartitions"]
+    """Whether the frame is ``by_size``, or counts on top of it."""
+    return [n for n in _plan_nodes(df) if n != "CollectMetrics"][:1] == ["RebalancePartitions"]
 
 
 def _writer(
@@ -58,7 +63,7 @@ def _writer(
 ) -> DataFrameWriter:
     if partition_by and not _dealt_by_size(df):
         # Else every task would write a file per value. A value with many rows is split again.
-        if "CollectMetrics" in _analyzed(df):
+        if "CollectMetrics" in _plan_nodes(df):
             raise ValueError(
                 "counts below a shuffle can count a task twice: watch(by_size(df, ...)) puts them above it"
             )

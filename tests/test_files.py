@@ -230,6 +230,14 @@ def test_counts_of_a_partitioned_write_are_above_its_shuffle(spark, folder, plan
     assert counts.rows == 1000 and read_parquet(spark, folder).count() == 1000
 
 
+def test_names_of_columns_do_not_look_like_steps(spark, folder):
+    """What a column or a literal is called says nothing about the plan."""
+    df = spark.range(0, 100, 1, 8).selectExpr("id % 2 AS half", "id AS `RebalancePartitions`", "'CollectMetrics [x]' AS `CollectMetrics`")
+    write_parquet(df, folder, ["half"])
+    files = [f for _, _, names in os.walk(folder) for f in names if f.startswith("part-")]
+    assert len(files) == 2 and read_parquet(spark, folder).count() == 100
+
+
 def test_publish_replaces_only_a_finished_dataset(spark, folder):
     key = f"{folder}/orders.parquet"
     with pytest.raises(FileNotFoundError):
