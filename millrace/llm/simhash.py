@@ -35,6 +35,8 @@ _SEED = 42
 SEGMENT_BITS = 2
 #: Cells of up to so many fingerprints are worked on together.
 SMALL_CELL = 64
+#: Parts in which the fingerprints of a component are joined with its smallest document.
+_PARTS = 16
 _MAJORITY_ROWS = 1 << 15
 
 
@@ -262,11 +264,11 @@ def near_links(fps: DataFrame, max_bits: int, cell_rows: int = 4096) -> DataFram
 
 
 def _component_of(distinct: DataFrame, max_bits: int) -> DataFrame:
-    """``fp`` and ``component`` of distinct fingerprints. The component is named by one of its own."""
+    """Distinct fingerprints with the ``component`` they are linked in, named by one of its own; null without links."""
     # Signed order is as good as any for roots, as long as it is one order.
     nodes = components(near_links(distinct, max_bits))
-    joined = distinct.join(nodes, distinct["fp"] == nodes["node"], "left")
-    return joined.withColumn("component", F.coalesce("component", "fp")).drop("node")
+    joined = distinct.join(nodes, distinct["fp"] == nodes["node"], "left").drop("node")
+    return stored(joined, "components")
 
 
 def simhash_components(
@@ -286,8 +288,15 @@ def simhash_components(
     marked = stored(fingerprints(docs, shingle, doc_id, text), "fingerprints")
     distinct = marked.groupBy("fp").agg(F.min("doc_id").alias("low"))
     joined = _component_of(distinct, max_bits)
-    lowest = joined.groupBy("component").agg(F.min("low").alias("component_id"))
-    named = joined.select("fp", "component").join(lowest, "component").select("fp", "component_id")
+    linked = joined.filter("component IS NOT NULL")
+    lowest = linked.groupBy("component").agg(F.min("low").alias("component_id"))
+    # A component may have a third of all fingerprints: it is joined in parts.
+    lowest = lowest.withColumn("part", F.explode(F.array(*[F.lit(i) for i in range(_PARTS)])))
+    part = F.pmod(F.xxhash64("fp"), F.lit(_PARTS)).cast("int").alias("part")
+    # One plan at any size: components grow with the documents, so they are never sent to every task.
+    named = linked.select("fp", "component", part).join(lowest.hint("merge"), ["component", "part"])
+    named = named.select("fp", "component_id")
+    named = named.unionAll(joined.filter("component IS NULL").select("fp", F.col("low").alias("component_id")))
     return marked.join(named, "fp").select(
         "doc_id",
         F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
@@ -312,6 +321,7 @@ def representatives(
     prints = stored(marked, "fingerprints").distinct()
     rank = F.struct(F.col("id").isNull().alias("late"), "id", "key").alias("rank")
     lowest = keyed.select("key", rank).join(prints, "key").groupBy("fp").agg(F.min("rank").alias("low"))
-    kept = _component_of(lowest, max_bits).groupBy("component").agg(F.min("low").alias("low"))
+    group = F.coalesce("component", "fp")
+    kept = _component_of(lowest, max_bits).groupBy(group).agg(F.min("low").alias("low"))
     found = keyed.select("row", "key").join(kept.select("low.key"), "key", "left_semi")
     return found.dropDuplicates(["key"]).select("row.*")
