@@ -196,7 +196,9 @@ SELECT record_id, site AS canonical_url, CAST(epoch(taken) AS BIGINT) AS capture
            'expires: after ' || n,
            'last-modified: ' || coalesce(changed, CASE WHEN outcome = 'resolved' THEN their_changed END)
        ], lambda x: x IS NOT NULL), '; ') AS merged_headers,
-       CASE WHEN outcome = 'resolved' THEN md5(body) END AS payload_digest
+       CASE WHEN outcome = 'resolved' THEN md5(body) END AS payload_digest,
+       CASE WHEN outcome = 'resolved' THEN strlen(body) ELSE 0 END AS body_bytes,
+       CASE WHEN outcome = 'resolved' THEN sha256(body) END AS body_sha256
 FROM judged
 """
 

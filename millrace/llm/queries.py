@@ -21,7 +21,7 @@ from millrace.llm.shared import fold, ship
 from millrace.llm.simhash import simhash_components
 from millrace.llm.suffix_index import remove_earlier_strings
 from millrace.llm.toxicity import learn, toxicity
-from millrace.llm.warc import page_captures, resolve_revisits
+from millrace.llm.warc import page_captures, resolve_revisits, with_bodies
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -78,7 +78,8 @@ def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
-    resolved = resolve_revisits(page_captures(_table(spark, sf_dir, "pages")))
+    captures = page_captures(_table(spark, sf_dir, "pages"))
+    resolved = with_bodies(resolve_revisits(captures), captures)
     lines = F.transform(
         F.array_sort(F.map_entries("merged_headers")), lambda e: F.concat_ws(": ", e["key"], e["value"])
     )
@@ -90,6 +91,8 @@ def op9_warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
         "response_id",
         F.array_join(lines, "; ").alias("merged_headers"),
         "payload_digest",
+        F.coalesce(F.octet_length("body"), F.lit(0)).cast("long").alias("body_bytes"),
+        F.sha2("body", 256).alias("body_sha256"),
     )
 
 

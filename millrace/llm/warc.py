@@ -24,6 +24,9 @@ NOT_RENEWED = (
     "transfer-encoding", "upgrade",
 )
 
+#: Parts of the revisits that ask for one response.
+_PARTS = 16
+
 #: Query parameters that do not change what is shown.
 TRACKING = r"^(utm_[a-z]+|gclid|fbclid|msclkid|sessionid|phpsessid)$"
 
@@ -152,16 +155,23 @@ def with_bodies(
 ) -> DataFrame:
     """The resolved revisits with the ``body`` of their response; null for others.
 
-    Only bodies that are needed are shuffled. Of responses that share an id the smallest body counts.
+    Only bodies that are needed are shuffled: to their ids first, then to the parts of the revisits that ask for
+    them, as a third of all may ask for one. Of responses that share an id the smallest body counts.
     """
     body_of = F.when(F.col("outcome") == "resolved", F.col("response_id")).alias("_body_of")
-    wanted = resolved.select("*", body_of)
+    part = F.pmod(F.xxhash64("record_id"), F.lit(_PARTS)).cast("int").alias("_part")
+    wanted = stored(resolved.select("*", body_of, part), "resolved")
+    asked = wanted.filter("_body_of IS NOT NULL")
     bodies = records.filter(quoted(kind) == "response").select(
         quoted(record_id).cast("string").alias("_body_of"), quoted(body).alias("body")
     )
-    bodies = bodies.join(wanted.select("_body_of").distinct(), "_body_of", "left_semi")
-    bodies = bodies.groupBy("_body_of").agg(F.min("body").alias("body"))
-    return wanted.join(bodies, "_body_of", "left").drop("_body_of")
+    parts = asked.groupBy("_body_of").agg(F.collect_set("_part").alias("_parts"))
+    bodies = bodies.join(parts.hint("merge"), "_body_of")
+    bodies = bodies.groupBy("_body_of").agg(F.min("body").alias("body"), F.first("_parts").alias("_parts"))
+    bodies = bodies.select("_body_of", F.explode("_parts").alias("_part"), "body")
+    found = asked.join(bodies.hint("merge"), ["_body_of", "_part"], "left").select(*resolved.columns, "body")
+    rest = wanted.filter("_body_of IS NULL").select(*resolved.columns, F.lit(None).cast(bodies.schema["body"].dataType).alias("body"))
+    return found.unionAll(rest)
 
 
 def page_captures(pages: DataFrame) -> DataFrame:

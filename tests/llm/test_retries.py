@@ -6,6 +6,7 @@ from pyspark import TaskContext
 from millrace.llm.align import align
 from millrace.llm.debruijn import remove_repeats
 from millrace.llm.decontaminate import contamination
+from millrace.llm.html_text import main_text
 from millrace.llm.lexical import search
 from millrace.llm.maxent import score_texts
 from millrace.llm.packing import pack
@@ -14,6 +15,8 @@ from millrace.llm.quality import quality_verdicts
 from millrace.llm.queries import PIECES, TOKENIZER
 from millrace.llm.simhash import simhash_components
 from millrace.llm.suffix_index import remove_earlier_strings
+from millrace.llm.toxicity import learn, toxicity
+from millrace.llm.warc import page_captures, resolve_revisits, with_bodies
 
 from .conftest import SF_DIR
 
@@ -51,3 +54,20 @@ def test_results_are_those_of_a_run_without_failures(documents, operator):
     docs = documents.orderBy("doc_id").repartition(5, "doc_id")
     rounded = lambda rows: sorted(repr([round(x, 6) if isinstance(x, float) else x for x in r]) for r in rows)
     assert rounded(operator(dying_once(docs)).collect()) == rounded(operator(docs).collect())
+
+
+@pytest.mark.parametrize("operator", ["html", "revisits", "toxicity"])
+def test_results_of_pages_and_labels_likewise(corpus, documents, operator):
+    def result(lost):
+        if operator == "toxicity":
+            labels = corpus.read.parquet(f"{SF_DIR}/labels.parquet").select("doc_id", "toxic")
+            docs = lost(documents.orderBy("doc_id").repartition(5, "doc_id"))
+            return toxicity(docs, learn(docs.join(labels, "doc_id"), row_id="doc_id"))
+        pages = lost(corpus.read.parquet(f"{SF_DIR}/pages.parquet").repartition(5, "page_id"))
+        if operator == "html":
+            return main_text(pages)
+        captures = page_captures(pages)
+        return with_bodies(resolve_revisits(captures), captures)
+
+    rounded = lambda rows: sorted(repr([round(x, 6) if isinstance(x, float) else x for x in r]) for r in rows)
+    assert rounded(result(dying_once).collect()) == rounded(result(lambda df: df).collect())

@@ -92,3 +92,17 @@ def test_empty_tables(corpus):
     assert resolve_revisits(page_captures(pages)).count() == 0
     nulls = corpus.createDataFrame([(None, None, None), (5, None, None)], "page_id long, url string, html string")
     assert {r["outcome"] for r in resolve_revisits(page_captures(nulls)).collect()} == {"no_response"}
+
+
+def test_long_headers_and_a_response_that_many_ask_for(corpus):
+    """A header of a megabyte, and one response for a thousand revisits beside one for one."""
+    long = "x" * 1_000_000
+    rows = [rec("a", "http://h/1", 1, headers={"etag": '"1"', "x-long": long}, body="one"), rec("b", "http://h/2", 1, headers={"etag": '"2"'}, body="two")]
+    rows += [rec(f"v{i}", "http://h/1", 2, "revisit", 304, {"etag": '"1"'}) for i in range(1000)]
+    rows += [rec("w", "http://h/2", 2, "revisit", 304, {"etag": '"2"', "x-own": long})]
+    records = corpus.createDataFrame(rows, SCHEMA)
+    found = with_bodies(resolve_revisits(records), records)
+    assert {r["body"]: r["count"] for r in found.groupBy("body").count().collect()} == {"one": 1000, "two": 1}
+    assert found.filter("length(merged_headers['x-long']) = 1000000").count() == 1000
+    assert found.filter("length(merged_headers['x-own']) = 1000000").count() == 1
+    assert with_bodies(resolve_revisits(records.limit(0)), records.limit(0)).collect() == []
