@@ -24,6 +24,7 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
 from millrace.llm.components import components
@@ -194,23 +195,25 @@ def near_links(fps: DataFrame, max_bits: int, cell_rows: int = 4096) -> DataFram
                     names=["cell", "fp"],
                 )
 
-    schema = "a long, b long, cell long, block int"
+    schema = "a long, b long, cell long, block long"
 
     def rows(a: np.ndarray, b: np.ndarray, cell: int | None = None, block: int | None = None) -> pa.RecordBatch:
         columns = [pa.array(a.view(np.int64)), pa.array(b.view(np.int64))]
-        columns += [pa.array([cell] * len(a), pa.int64()), pa.array([block] * len(a), pa.int32())]
+        columns += [pa.array([cell] * len(a), pa.int64()), pa.array([block] * len(a), pa.int64())]
         return pa.RecordBatch.from_arrays(columns, names=["a", "b", "cell", "block"])
 
     def solve(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Rows come sorted by cell. Cells beyond ``cell_rows`` leave block by block, to be paired."""
+        """Rows come sorted by cell. Blocks of cells beyond ``cell_rows``, and of those that may go on in the task before or
+        behind, leave to be paired."""
         cells, fps_here, block = np.zeros(0, np.int64), np.zeros(0, np.uint64), 0
+        first, at_start = TaskContext.get().partitionId() << 20, True
 
-        def close() -> Iterator[pa.RecordBatch]:
-            """What is held is the last block of the cell."""
+        def close(shared: bool) -> Iterator[pa.RecordBatch]:
+            """What is held is the task's last block of the cell."""
             if len(fps_here) > 1:
                 yield rows(*_linked(fps_here, None, max_bits))
-            if block:
-                yield rows(fps_here, fps_here, int(cells[0]), block)
+            if block or shared:
+                yield rows(fps_here, fps_here, int(cells[0]), first + block)
 
         for batch in batches:
             cells = np.concatenate([cells, batch.column(0).to_numpy(zero_copy_only=False)])
@@ -223,7 +226,7 @@ def near_links(fps: DataFrame, max_bits: int, cell_rows: int = 4096) -> DataFram
             all_cells, all_fps = cells, fps_here
             small = ends - starts <= SMALL_CELL
             small[-1] = False  # may go on
-            small[0] &= block == 0
+            small[0] &= block == 0 and not at_start
             inside = np.repeat(small, ends - starts)
             yield rows(*_small_cells(all_cells[inside], all_fps[inside], max_bits))
             for k in np.flatnonzero(~small):
@@ -232,15 +235,17 @@ def near_links(fps: DataFrame, max_bits: int, cell_rows: int = 4096) -> DataFram
                 while len(cells) > cell_rows:
                     some, cells, rest = fps_here[:cell_rows], cells[cell_rows:], fps_here[cell_rows:]
                     yield rows(*_linked(some, None, max_bits))
-                    yield rows(some, some, int(cells[0]), block)
+                    yield rows(some, some, int(cells[0]), first + block)
                     fps_here, block = rest, block + 1
                 if k < len(starts) - 1:
-                    yield from close()
+                    yield from close(at_start and k == 0)
+            at_start &= len(starts) == 1
         if len(cells):
-            yield from close()
+            yield from close(True)
 
     cells = fps.select("fp").mapInArrow(to_cells, "cell long, fp long")
-    dealt = cells.repartition("cell").sortWithinPartitions("cell", "fp").mapInArrow(solve, schema)
+    # By ranges, so that a cell with a third of all fingerprints is dealt to a third of the tasks.
+    dealt = cells.repartitionByRange("cell", "fp").sortWithinPartitions("cell", "fp").mapInArrow(solve, schema)
     dealt = stored(dealt, "cells")
     links = dealt.filter("cell IS NULL").select("a", "b")
     blocks = dealt.filter("cell IS NOT NULL").select("cell", "block", F.col("a").alias("fp"))
@@ -252,14 +257,11 @@ def near_links(fps: DataFrame, max_bits: int, cell_rows: int = 4096) -> DataFram
         links = _linked(left, right, max_bits)
         return pa.table({"a": links[0].view(np.int64), "b": links[1].view(np.int64)})
 
-    counts = blocks.groupBy("cell").agg(F.max("block").alias("last"))
-    paired = (
-        blocks.join(counts, "cell")
-        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("last"))))
-        .filter("other <> block")
-        .select("cell", F.least("block", "other").alias("x"), F.greatest("block", "other").alias("y"), "block", "fp")
-    )
-    crossed = paired.groupBy("cell", "x", "y").applyInArrow(across, "a long, b long")
+    # Pairs of blocks of one cell, then the fingerprints of both; most cells have one block, and no pair.
+    known = blocks.select("cell", "block").distinct()
+    pairs = known.withColumnRenamed("block", "x").join(known.withColumnRenamed("block", "y"), "cell").filter("x < y")
+    sides = pairs.select("cell", "x", "y", F.explode(F.array("x", "y")).alias("block"))
+    crossed = sides.join(blocks, ["cell", "block"]).groupBy("cell", "x", "y").applyInArrow(across, "a long, b long")
     return links.unionAll(crossed)
 
 

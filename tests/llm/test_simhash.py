@@ -78,6 +78,25 @@ def test_cells_of_any_size_give_the_same_components(corpus, cell_rows):
     assert {n: found.get(n, n) for n in signed} == expected
 
 
+@pytest.mark.parametrize("cell_rows", [5, 4096])
+def test_a_cell_that_lies_in_many_tasks(corpus, cell_rows):
+    """A third of all prints in one cell: tasks share it, and no pair between them is lost."""
+    rng = np.random.default_rng(4)
+    # Bits of one half of the segments differ, so that grids over the other half have one cell for all.
+    near = {sum(1 << int(b) for b in rng.choice(32, rng.integers(0, 5), replace=False)) for _ in range(200)}
+    far = {int(x) for x in rng.integers(0, 2**62, 400)}
+    prints = sorted(near | far)
+    for name, value in (("adaptive.coalescePartitions.enabled", "false"), ("shuffle.partitions", "60")):
+        corpus.conf.set(f"spark.sql.{name}", value)
+    try:
+        links = near_links(corpus.createDataFrame([(p,) for p in prints], "fp long"), 4, cell_rows)
+        found = {r["node"]: r["component"] for r in components(links).collect()}
+    finally:
+        corpus.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+        corpus.conf.set("spark.sql.shuffle.partitions", "8")
+    assert {n: found.get(n, n) for n in prints} == plain_components(prints, lambda a, b: (a ^ b).bit_count() <= 4)
+
+
 def test_odd_rows(odd_docs, no_docs):
     rows = simhash_components(odd_docs).collect()
     assert len(rows) == odd_docs.count()
