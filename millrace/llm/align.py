@@ -33,7 +33,7 @@ from millrace.llm.tokens import text_slices
 
 _PLAIN_LEAD = 0xCA
 #: Bytes of text that are tokenized, and tokens that are joined, at a time.
-_SLICE, _JOINED = 1 << 20, 1 << 19
+_SLICE, _JOINED = 1 << 19, 1 << 18
 
 
 def _names(mark: str, size: int) -> np.ndarray:
