@@ -14,7 +14,7 @@ from millrace.journal import Journal, no_journal
 from millrace.operators.project import rename, require_not_null
 from millrace.sinks.files import land_raw_csv, write_run_csv
 from millrace.sinks.tables import replace_table
-from millrace.sources.files import read_csv, read_finished_runs, read_runs
+from millrace.sources.files import read_csv, read_runs
 
 
 @dataclass(frozen=True)
@@ -76,11 +76,12 @@ def run_csv_etl(
     )["path"]
 
     def transform() -> dict:
+        runs = ledger.finished_runs(spark, raw_root, name)
         if this_run_only:
-            runs = [r for r in ledger.finished_runs(spark, raw_root, name) if r.path == landed]
-            raw = read_runs(spark, runs, multi_line, True, mixed_headers)
-        else:
-            raw = read_finished_runs(spark, raw_root, name, multi_line, True, mixed_headers)
+            runs = [r for r in runs if r.path == landed]
+        # The files of this run were listed as it was entered.
+        ledger.check_whole(spark, raw_root, [r for r in runs if r.path != landed])
+        raw = read_runs(spark, runs, multi_line, True, mixed_headers)
         cleaned = clean_csv(raw, names or {}, not_null)
         return {"path": write_run_csv(cleaned, transformed_root, f"{name}_transformed", run_ts)}
 
