@@ -90,7 +90,7 @@ class PieceSide(_Side):
         super().__init__(self._model.surface, "|")
 
     def encode(self, text: str) -> np.ndarray:
-        return np.fromiter(self._model.encode(text), np.int64)
+        return self._model.encode(text).astype(np.int64)
 
 
 @lru_cache(maxsize=2)

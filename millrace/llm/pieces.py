@@ -14,7 +14,8 @@ there; short segments that came before are not worked out again.
 from __future__ import annotations
 
 import codecs
-from collections.abc import Callable, Iterable, Iterator
+from array import array
+from collections.abc import Callable, Iterator
 from functools import lru_cache
 from itertools import chain
 
@@ -173,7 +174,8 @@ class PieceModel:
             else:
                 j += 1
 
-    def _encode_segment(self, segment: str) -> tuple[int, ...]:
+    def _encode_segment(self, segment: str) -> bytes:
+        """Its ids, of four bytes each: a remembered segment is two small objects, not one for each id."""
         last, lengths = [-1] * (len(segment) + 1), [0] * (len(segment) + 1)
         apart, units = self._compatible, len(self._units)
         for at, (piece, length) in self._automaton.iter(segment):
@@ -193,7 +195,7 @@ class PieceModel:
             else:
                 out.append(piece)
                 at -= lengths[at]
-        return tuple(reversed(out))
+        return array("i", reversed(out)).tobytes()
 
     def _cut(self, text: str) -> Iterator[list[str]]:
         """Segments between which no merge takes place, those of a part of the text at a time."""
@@ -209,12 +211,10 @@ class PieceModel:
             yield [part[i:j] for i, j in zip([0, *ends], ends, strict=False)]
             at, step = at + ends[-1], _STEP
 
-    def encode(self, text: str) -> Iterable[int]:
+    def encode(self, text: str) -> np.ndarray:
         """The ids of the pieces of a text, without an end id."""
-        if not text:
-            return ()
-        parts = self._cut(self.prefix + text.replace(" ", _SPACE))
-        return chain.from_iterable(map(self._segments.__getitem__, chain.from_iterable(parts)))
+        parts = self._cut(self.prefix + text.replace(" ", _SPACE)) if text else ()
+        return np.frombuffer(b"".join(map(self._segments.__getitem__, chain.from_iterable(parts))), np.int32)
 
     def decode(self, ids: list[int]) -> str:
         """The text of ids. Bytes that are no UTF-8 give U+FFFD each; ids out of range are an error."""
@@ -250,12 +250,12 @@ def encode(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = piece_model(model_path)
-        end = [model.end_id] if add_end else []
+        end = np.array([model.end_id] if add_end else [], np.int32)
         for batch in batches:
             for row, offsets, data in text_slices(batch.column(1)):
                 body, at = data.tobytes(), offsets.tolist()
                 texts = [body[a:b].decode("utf-8", "replace") for a, b in zip(at, at[1:], strict=False)]
-                ids = [np.fromiter(chain(model.encode(t), end), np.int32) for t in texts]
+                ids = [np.concatenate([model.encode(t), end]) for t in texts]
                 columns = [batch.column(0).slice(row, len(ids)), _lists(ids)]
                 if with_decoded:
                     columns.append(pa.array([model.decode(x.tolist()) for x in ids], pa.string()))

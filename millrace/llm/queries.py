@@ -112,7 +112,8 @@ def op11_piece_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encoded.select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),
-        F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
+        # The ids as one text at once: an array of strings would be an object on the heap for each id.
+        F.sha2(F.replace(F.btrim(F.to_json("ids"), F.lit("[]")), F.lit(","), F.lit(" ")), 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"),
     )
 

@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import sys
 
 import public_tokenizers
 import pytest
@@ -63,6 +64,16 @@ def test_what_is_remembered_is_bounded(monkeypatch):
     assert all(len(x) + len(x._before) <= 6 for x in (model._segments, model._compatible))
 
 
+def test_what_is_remembered_has_four_bytes_for_an_id():
+    model = PieceModel(PATH)
+    letters = random.Random(5)
+    text = " ".join("".join(letters.choices("abcdefgh", k=12)) for _ in range(2000))
+    assert len(model.encode(text)) == len(LIBRARY.encode(text))
+    sizes = [(sys.getsizeof(ids), len(model._encode_segment(segment)) // 4) for segment, ids in model._segments.items()]
+    assert len(sizes) > 1000 and max(n for _, n in sizes) > 3
+    assert all(size <= 40 + 4 * n for size, n in sizes)
+
+
 def plain(text):
     ids = [*LIBRARY.encode(text or ""), LIBRARY.eos_id()]
     sha = lambda s: hashlib.sha256(s.encode()).hexdigest()
