@@ -66,6 +66,8 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 RUN_TS = datetime(2024, 5, 6, 7, 8, 9)
 MONEY = "decimal(12,2)"
+#: About how much of a table that is written anew goes to a task.
+TASK_BYTES = 64 << 20
 
 LINEITEM_RULES = (
     ColumnRule("l_orderkey", "int"),
@@ -848,15 +850,26 @@ def event_row_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def landed_bytes_hashes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Files with all the texts of a language, landed byte for byte in ranges; the digest of each range."""
+    """Files with all the texts of a language, in parts, landed byte for byte in ranges; the digest of each range."""
     source, root = scratch_path(spark, "source"), scratch_path(spark, "raw")
-    documents = _table(spark, sf_dir, "documents").select("lang", "doc_id", F.concat_ws("|", "doc_id", "text").alias("value"))
-    # The lines of a language in one file, in order; texts have line ends, quotes and characters of any kind.
-    by_language = documents.repartition("lang").sortWithinPartitions("lang", "doc_id").drop("doc_id")
-    by_language.write.mode("overwrite").partitionBy("lang").text(source)
-    sinks.land_bytes(spark, source, root, "texts", RUN_TS, range_bytes=50_000)
+    # The folder is named here as the writer would, so that it does not change the column and sort the rows again.
+    folder = F.coalesce(F.nullif("lang", F.lit("")), F.lit("__HIVE_DEFAULT_PARTITION__"))
+    documents = _table(spark, sf_dir, "documents").select(
+        F.col("lang").alias("named"),
+        folder.alias("lang"),
+        "doc_id",
+        F.monotonically_increasing_id().alias("at"),
+        F.concat_ws("|", "doc_id", "text").alias("value"),
+    )
+    size = documents.agg(F.coalesce(F.sum(F.octet_length("value") + 1), F.lit(0))).first()[0]
+    # The lines of a language in order, over as many parts of a file as they need; texts have line ends, quotes and
+    # characters of any kind.
+    order = ("lang", "named", "doc_id", "at")
+    ranged = documents.repartitionByRange(max(1, -(-size // TASK_BYTES)), *order).sortWithinPartitions(*order)
+    ranged.select("lang", "value").write.mode("overwrite").partitionBy("lang").text(source)
+    sinks.land_bytes(spark, source, root, "texts", RUN_TS, range_bytes=50_000, join_parts=True)
     ranges = sinks.landed_bytes(spark, root, "texts")
-    ranges = ranges.withColumn("lang", F.regexp_extract("file", "/lang=([^/]*)/", 1))
+    ranges = ranges.withColumn("lang", F.regexp_extract("file", "/lang=([^/]*)$", 1))
     broken = sinks.broken_ranges(ranges).count()
     return ranges.select("lang", "number", "size", "sha256", F.lit(broken).cast("bigint").alias("broken"))
 

@@ -1,7 +1,8 @@
 """Landing of files byte for byte, whatever is in them.
 
 Files are cut into ranges of bounded size. Tasks read ranges, not files, so one large file is
-landed by many tasks and none holds more than a range. A landing is a table of ranges with their bytes and
+landed by many tasks and none holds more than a range. What many tasks wrote as the part files of a folder
+can be cut as the one file it stands for. A landing is a table of ranges with their bytes and
 digests, and is entered in the ledger once every byte is there.
 """
 
@@ -14,7 +15,7 @@ from urllib.parse import quote
 
 import pyarrow as pa
 from pyarrow import fs
-from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
+from pyspark.sql import DataFrame, Observation, SparkSession, Window, functions as F
 
 from millrace import ledger, storage
 from millrace.functions.scalars import session_time
@@ -24,16 +25,21 @@ from millrace.sinks.files import run_path
 RANGES = "file string, number bigint, start bigint, size bigint, sha256 string, body binary"
 
 
+def _read(file: str, start: int, size: int) -> bytes:
+    # Spark names files by URIs whose odd characters stand for themselves.
+    scheme, rest = file.split(":", 1)
+    store, path = fs.FileSystem.from_uri(f"{scheme}:{quote(rest)}" if rest.startswith("//") else f"{scheme}://{quote(rest)}")
+    with store.open_input_file(path) as stream:
+        body = stream.read_at(size, start)
+    if len(body) != size:
+        raise OSError(f"{file} has changed while it was landed")
+    return body
+
+
 def _read_ranges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for row in batch.to_pylist():
-            # Spark names files by URIs whose odd characters stand for themselves.
-            scheme, rest = row["file"].split(":", 1)
-            store, path = fs.FileSystem.from_uri(f"{scheme}:{quote(rest)}" if rest.startswith("//") else f"{scheme}://{quote(rest)}")
-            with store.open_input_file(path) as stream:
-                body = stream.read_at(row["size"], row["start"])
-            if len(body) != row["size"]:
-                raise OSError(f"{row['file']} has changed while it was landed")
+            body = b"".join(_read(p["part"], p["from"], p["bytes"]) for p in row["parts"])
             digest = hashlib.sha256(body).hexdigest()
             values = (row["file"], row["number"], row["start"], row["size"], digest, body)
             names = ("file", "number", "start", "size", "sha256", "body")
@@ -55,6 +61,7 @@ def land_bytes(
     name: str,
     run_ts: datetime,
     range_bytes: int = 8 << 20,
+    join_parts: bool = False,
 ) -> str:
     """Land files as they are under a run-stamped path: encodings, quotes, blanks and line ends included.
 
@@ -62,19 +69,38 @@ def land_bytes(
     ``range_bytes``: ``file`` (where it was read), ``number`` (from 0), ``start``, ``size``, ``sha256`` and ``body``; an empty file has no
     range, as Spark does not list it. Returns the path. A file that changes meanwhile stops the job. Read it with ``landed_bytes``.
 
+    ``join_parts`` takes the files of a folder, in the order of their names, for the parts of one: ``file`` is the
+    folder, and ranges go on from a part to the next.
+
     The executors open files by their URI through Arrow, which knows local and mounted folders, HDFS, S3 and
     GCS.
     """
     path = run_path(root, name, session_time(spark, run_ts), ".bytes")
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True)
     files = files.load(source if isinstance(source, str) else list(source)).select(
-        F.col("path").alias("file"), "length"
+        F.col("path").alias("part"), "length"
     )
     total = files.agg(F.coalesce(F.sum("length"), F.lit(0))).first()[0]
-    last = F.ceil(F.col("length") / range_bytes) - 1
-    ranges = files.select("file", "length", F.explode(F.sequence(F.lit(0).cast("bigint"), last)).alias("number"))
-    ranges = ranges.withColumn("start", F.col("number") * range_bytes)
-    ranges = ranges.withColumn("size", F.least(F.lit(range_bytes), F.col("length") - F.col("start")))
+    if join_parts:
+        # A small row for each file, whatever is in it.
+        folder = F.regexp_replace("part", "/[^/]*$", "")
+        earlier = Window.partitionBy("file").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+        files = files.withColumn("file", folder).withColumn("before", F.coalesce(F.sum("length").over(earlier), F.lit(0)))
+    else:
+        files = files.withColumn("file", F.col("part")).withColumn("before", F.lit(0).cast("bigint"))
+    # What each file has of each range that it touches.
+    end = F.col("before") + F.col("length")
+    numbers = F.sequence(F.expr(f"before div {range_bytes}"), F.expr(f"(before + length - 1) div {range_bytes}"))
+    pieces = files.withColumn("end", end).withColumn("number", F.explode(numbers))
+    pieces = pieces.withColumn("start", F.greatest("before", F.col("number") * range_bytes))
+    pieces = pieces.withColumn("size", F.least("end", (F.col("number") + 1) * range_bytes) - F.col("start"))
+    piece = F.struct("start", "part", (F.col("start") - F.col("before")).alias("from"), F.col("size").alias("bytes"))
+    if join_parts:
+        ranges = pieces.groupBy("file", "number").agg(
+            F.min("start").alias("start"), F.sum("size").alias("size"), F.array_sort(F.collect_list(piece)).alias("parts")
+        )
+    else:
+        ranges = pieces.select("file", "number", "start", "size", F.array(piece).alias("parts"))
     # Ranges are small rows, dealt out evenly before their bytes are read.
     tasks = max(1, min(100_000, -(-total // (8 * range_bytes))))
     landed = ranges.repartition(tasks).mapInArrow(_read_ranges, RANGES)

@@ -92,3 +92,17 @@ def test_a_large_file_is_landed_by_many_tasks(spark, folder):
     assert len(parts) >= 16
     (run,) = ledger.finished_runs(spark, f"{folder}/raw", "web")
     assert run.rows == 256
+
+
+@pytest.mark.parametrize("range_bytes", [3, 100, 4096, 1 << 20])
+def test_parts_of_a_folder_are_landed_as_one_file(spark, folder, range_bytes):
+    sizes = {"a": [5, 0, 1, 300, 2], "b%20 c": [4096], "d": [1] * 20}
+    bodies = {name: [random.Random(i).randbytes(n) for i, n in enumerate(s)] for name, s in sizes.items()}
+    for name, parts in bodies.items():
+        put(f"{folder}/in/{name}", {f"part-{i:05d}": body for i, body in enumerate(parts)})
+    land_bytes(spark, f"{folder}/in", f"{folder}/raw", "web", RUN_TS, range_bytes, join_parts=True)
+    rows = landed_bytes(spark, f"{folder}/raw", "web").collect()
+    assert together(rows) == {name: b"".join(parts) for name, parts in bodies.items()}
+    whole = {name: sum(s) for name, s in sizes.items()}
+    assert len(rows) == sum(-(-n // range_bytes) for n in whole.values()) and all(r["size"] <= range_bytes for r in rows)
+    assert broken_ranges(landed_bytes(spark, f"{folder}/raw", "web")).count() == 0
