@@ -66,8 +66,8 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 RUN_TS = datetime(2024, 5, 6, 7, 8, 9)
 MONEY = "decimal(12,2)"
-#: About how much of a table that is written anew goes to a task.
-TASK_BYTES = 64 << 20
+#: About how much of a table that is written anew goes to a task, in rows or in bytes.
+TASK_ROWS, TASK_BYTES = 1_000_000, 64 << 20
 
 LINEITEM_RULES = (
     ColumnRule("l_orderkey", "int"),
@@ -700,15 +700,17 @@ def event_ids_stable(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids by position in the files, from two reads that split the files in different ways, and by content."""
     source = scratch_path(spark, "events")
     events = _table(spark, sf_dir, "events").select("event_type", "user_id", "value")
+    # As many files and tasks as the rows need: none has more than about TASK_ROWS.
+    tasks = max(4, -(-2 * events.count() // TASK_ROWS))
     # Small row groups, so that a file is split; rows that repeat, so that content alone is not enough.
-    events.unionAll(events).repartition(4).write.mode("overwrite").option("parquet.block.size", 64 << 10).parquet(source)
+    events.unionAll(events).repartition(tasks).write.mode("overwrite").option("parquet.block.size", 64 << 10).parquet(source)
     split, seen = spark.conf.get("spark.sql.files.maxPartitionBytes"), []
     for size in ("128m", "32k"):
         spark.conf.set("spark.sql.files.maxPartitionBytes", size)
         path = scratch_path(spark, "ids")
         rows = sources.read_parquet(spark, source)
         with_ids = rows.withColumn("place", position_id()).withColumn("held", content_id(*map(F.col, rows.columns)))
-        sinks.write_parquet(with_ids.repartition(3 + len(seen)), path)
+        sinks.write_parquet(with_ids.repartition(tasks - 1 + len(seen)), path)
         seen.append(sources.read_parquet(spark, path))
     spark.conf.set("spark.sql.files.maxPartitionBytes", split)
     again = seen[1].select("place", F.col("held").alias("held_again"))

@@ -31,3 +31,21 @@ def test_texts_of_a_language_lie_in_many_parts(spark, folder, monkeypatch):
     found = entry_module.landed_bytes_hashes(spark, folder).collect()
     assert sorted(repr(tuple(r)) for r in found) == of_sql("landed_bytes_hashes", documents=f"{folder}/documents.parquet")
     assert len(sizes) > 10 and max(sizes.values()) < 3 * 60_000
+
+
+def test_ids_are_written_by_as_many_tasks_as_they_need(spark, folder, monkeypatch):
+    rows = spark.range(5000).selectExpr("cast(id % 3 as string) as event_type", "id % 101 as user_id", "id % 7 / 2 as value")
+    rows.write.parquet(f"{folder}/events.parquet")
+    monkeypatch.setattr(entry_module, "TASK_ROWS", 500)
+    counts, write = [], entry_module.sinks.write_parquet
+
+    def watched(frame, path):
+        write(frame, path)
+        for where in (os.path.dirname(frame.inputFiles()[0]), path):
+            files = spark.read.parquet(where).groupBy("_metadata.file_name").count().collect()
+            counts.append(max(r["count"] for r in files))
+
+    monkeypatch.setattr(entry_module.sinks, "write_parquet", watched)
+    found = entry_module.event_ids_stable(spark, folder).collect()
+    assert sorted(repr(tuple(r)) for r in found) == of_sql("event_ids_stable", events=f"{folder}/events.parquet")
+    assert len(counts) == 4 and max(counts) < 2 * 500
